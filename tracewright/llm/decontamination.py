@@ -57,7 +57,7 @@ def candidates(docs: DataFrame, benchmark: DataFrame, item_id: str, item_text: s
     sizes = sorted(r[0] for r in wins.select("size").distinct().collect())  # at most `shingle` values
     kind = benchmark.schema[item_id].dataType.simpleString()
     if not sizes:
-        return empty_like(spark, f"k long, d string, found array<struct<start:int,len:int,wtext:string,item:{kind}>>")
+        return empty_like(spark, f"k long, d int, found array<struct<start:int,len:int,wtext:string,item:{kind}>>")
     tokens = stored(wins.select(F.explode("hs").alias("h")).distinct(), "window-tokens")
     seen = stored(_occurrences(docs, tokens, sizes), "token-places")
     often = seen.groupBy("h").agg(F.count("*").alias("n"))

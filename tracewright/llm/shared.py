@@ -24,10 +24,10 @@ def space_words(text: Column) -> Column:
 def row_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` plus __k and __d, which depend on the id and the text alone.
 
-    Two rows share them only if both are equal (or if 64-bit hashes of two texts under one id
-    collide), so they name a row alike in every scan, whatever the partitions.
+    They are two hashes, 96 bits together, so they name a row alike in every scan, whatever the
+    partitions; only equal rows share them.
     """
-    return docs.withColumns({"__k": F.xxhash64(F.col(id_col), F.col(text_col)), "__d": F.coalesce(F.col(id_col).cast("string"), F.lit(""))})
+    return docs.withColumns({"__k": F.xxhash64(F.col(id_col), F.col(text_col)), "__d": F.hash(F.col(id_col), F.col(text_col))})
 
 
 def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
