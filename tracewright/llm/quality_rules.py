@@ -19,7 +19,7 @@ BUCKETS = 1 << 18
 #: Pseudo-count of each bucket in both multinomials.
 SMOOTHING = 1.0
 #: Mean log ratio per n-gram under which a document is rejected.
-THRESHOLD = -0.4
+THRESHOLD = -0.55
 
 SYMBOLS = r"[#*$%&|<>]"
 

@@ -106,5 +106,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     parts = stored(parts, "fingerprint-parts").withColumnRenamed("node", "fp")
     tops = parts.join(nodes, "fp").groupBy("component").agg(F.min("least").alias("top"))
     named = nodes.join(parts.join(tops, "component").select("fp", "top"), "fp", "left")
-    named = named.select("fp", F.coalesce("top", "least").alias("component"))
+    # Stored, so that both sides of the last join are dealt out anew and a hot fingerprint can be split.
+    named = stored(named.select("fp", F.coalesce("top", "least").alias("component")), "fingerprint-names")
     return marked.join(named, "fp").select("id", "fp", "component")
