@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import decontamination, quality_rules, simhash
+from tracewright.llm import decontamination, quality_classifier, quality_rules, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,17 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr_score")
 
 
+#: Score from which a document is predicted good.
+GOOD = 0.3
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_classifier.train(docs, _table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", (quality_classifier.remainder("doc_id", 5) == 0).alias("held_out"), quality_classifier.score_column(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
@@ -40,7 +51,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op8_simhash_near_dedup, op9_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_quality_classifier, op8_simhash_near_dedup, op9_decontamination)}
 
 _WORDS9 = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
