@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import decontamination, quality_classifier, quality_rules, simhash
+from tracewright.llm import decontamination, lattice_lm, quality_classifier, quality_rules, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +51,19 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_quality_classifier, op8_simhash_near_dedup, op9_decontamination)}
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = quality_classifier.remainder("doc_id", 10) == 0
+    return lattice_lm.score(docs, held_out, vocabulary("piece_bpe_32k.model"), group_col="lang").withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_quality_classifier, op8_simhash_near_dedup, op9_decontamination, op10_lm_scoring)}
 
 _WORDS9 = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
