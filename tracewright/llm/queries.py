@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import decontamination, lattice_lm, quality_classifier, quality_rules, simhash
+from tracewright.llm import decontamination, lattice_lm, quality_classifier, quality_rules, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr_score")
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shard_rows(_table(spark, sf_dir, "documents"), shards=8)
+    return found.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 #: Score from which a document is predicted good.
 GOOD = 0.3
 
@@ -63,7 +68,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(docs, held_out, vocabulary("piece_bpe_32k.model"), group_col="lang").withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_quality_classifier, op8_simhash_near_dedup, op9_decontamination, op10_lm_scoring)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_sharding, op5_quality_classifier, op8_simhash_near_dedup, op9_decontamination, op10_lm_scoring)}
 
 _WORDS9 = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
