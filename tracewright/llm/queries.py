@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import decontamination, lattice_lm, quality_classifier, quality_rules, sharding, simhash
+from tracewright.llm import decontamination, lattice_lm, quality_classifier, quality_rules, sharding, simhash, token_store
+from tracewright.plans.materialize import shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +41,12 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
 
 
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/token-store-{uuid.uuid4().hex}"
+    token_store.write_store(_table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"), end=2)
+    return token_store.verified(spark, path)
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
@@ -68,7 +77,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(docs, held_out, vocabulary("piece_bpe_32k.model"), group_col="lang").withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_sharding, op5_quality_classifier, op8_simhash_near_dedup, op9_decontamination, op10_lm_scoring)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_sharding, op5_quality_classifier, op7_token_store, op8_simhash_near_dedup, op9_decontamination, op10_lm_scoring)}
 
 _WORDS9 = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
