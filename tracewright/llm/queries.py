@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import decontamination, lattice_lm, quality_classifier, quality_rules, sharding, simhash, token_store
+from tracewright.llm import decontamination, html_extraction, lattice_lm, quality_classifier, quality_rules, sharding, simhash, token_store
 from tracewright.plans.materialize import shared_dir
 
 
@@ -30,6 +30,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extraction.main_text(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", F.col("__main").alias("text"), F.length("__main").cast("long").alias("n_chars"))
+
+
 #: Score from which a document is predicted good.
 GOOD = 0.3
 
@@ -77,7 +82,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(docs, held_out, vocabulary("piece_bpe_32k.model"), group_col="lang").withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_sharding, op5_quality_classifier, op7_token_store, op8_simhash_near_dedup, op9_decontamination, op10_lm_scoring)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_sharding, op4_html_extraction, op5_quality_classifier, op7_token_store, op8_simhash_near_dedup, op9_decontamination, op10_lm_scoring)}
 
 _WORDS9 = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
