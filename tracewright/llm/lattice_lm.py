@@ -103,8 +103,8 @@ def load_pieces(path: str) -> Pieces:
 class Lattice:
     """Forward and backward recursions over the lattices of many words at once."""
 
-    def __init__(self, pieces: Pieces, p: np.ndarray):
-        self.n, self.logp = len(pieces.texts), np.log(p)
+    def __init__(self, pieces: Pieces):
+        self.n = len(pieces.texts)
         self.keys, self.one, self.two = pieces.tables()
         self.lengths = sorted({len(t) for t in pieces.texts})
         self.slot = pieces.slot
@@ -119,32 +119,23 @@ class Lattice:
             at[wrong] = np.where((other >= 0) & (self.keys[other] == h[wrong]), other, -1)
         return at
 
-    def by_bytes(self, codes: np.ndarray) -> np.ndarray:
-        kinds, back = np.unique(codes, return_inverse=True)
-        costs = [sum(self.logp[self.n + b] for b in chr(int(c)).encode("utf-8", "surrogatepass")) for c in kinds]
-        return np.array(costs, float)[back]
-
-    def run(self, words: list[str], weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """Natural log likelihood of each word; with weights, the expected count of each piece too."""
-        out, counts = np.zeros(len(words)), None if weights is None else np.zeros(self.n + 257)
+    def layouts(self, words: list[str]):
+        """(rows, edges) for words of one length at a time; edges by their end: (start, rows, pieces or None, code points or None)."""
         marked = [MARK + w for w in words]
         size = np.array([len(w) for w in marked])
         order = np.argsort(size, kind="stable")
-        cuts = np.nonzero(np.diff(size[order]))[0] + 1
-        for rows in np.split(order, cuts) if len(words) else []:
+        for rows in np.split(order, np.nonzero(np.diff(size[order]))[0] + 1) if len(words) else []:
             step = max(1, CELLS // int(size[rows[0]]))
             for k in range(0, len(rows), step):
                 part = rows[k : k + step]
-                self._alike(_codes([marked[i] for i in part]).reshape(len(part), -1), part, out, counts, weights)
-        return out, counts
+                yield part, self.edges(_codes([marked[i] for i in part]).reshape(len(part), -1))
 
-    def _alike(self, codes, rows, out, counts, weights) -> None:
-        """The words of one length, one row of code points each."""
+    def edges(self, codes: np.ndarray) -> list[list[tuple]]:
         m, n = codes.shape
         sums = np.zeros((n + 1, m), np.uint64)
         for j in range(n):
             sums[j + 1] = sums[j] * _BASE + codes[:, j] + np.uint64(1)
-        edges: list[list[tuple]] = [[] for _ in range(n + 1)]  # by end: (start, rows, scores, pieces)
+        out: list[list[tuple]] = [[] for _ in range(n + 1)]
         for size in self.lengths:
             if size > n:
                 break
@@ -153,34 +144,58 @@ class Lattice:
             for i in range(n - size + 1):
                 at = np.nonzero(found[i] >= 0)[0]
                 if len(at):
-                    ids = found[i][at]
-                    edges[i + size].append((i, at, self.logp[ids], ids))
+                    out[i + size].append((i, at, found[i][at], None))
                 if size == 1 and len(at) < m:
                     miss = np.nonzero(found[i] < 0)[0]
-                    edges[i + 1].append((i, miss, self.by_bytes(codes[miss, i]), None))
-        ahead = np.full((n + 1, m), -np.inf)
+                    out[i + 1].append((i, miss, None, codes[miss, i]))
+        return out
+
+    def scores(self, edges: list[list[tuple]], logp: np.ndarray) -> list[list[np.ndarray]]:
+        return [[logp[ids] if ids is not None else self.by_bytes(cs, logp) for _, _, ids, cs in ends] for ends in edges]
+
+    def by_bytes(self, codes: np.ndarray, logp: np.ndarray) -> np.ndarray:
+        kinds, back = np.unique(codes, return_inverse=True)
+        return np.array([sum(logp[self.n + b] for b in chr(int(c)).encode("utf-8", "surrogatepass")) for c in kinds], float)[back]
+
+    @staticmethod
+    def forward(edges: list[list[tuple]], scores: list[list[np.ndarray]], m: int) -> np.ndarray:
+        ahead = np.full((len(edges), m), -np.inf)
         ahead[0] = 0
-        for j in range(1, n + 1):
-            for i, at, score, _ in edges[j]:
-                ahead[j][at] = np.logaddexp(ahead[j][at], ahead[i][at] + score)
-        out[rows] = ahead[n]
-        if counts is None:
-            return
-        behind = np.full((n + 1, m), -np.inf)
-        behind[n] = 0
-        for j in range(n, 0, -1):
-            for i, at, score, _ in edges[j]:
-                behind[i][at] = np.logaddexp(behind[i][at], behind[j][at] + score)
-        for j in range(1, n + 1):
-            for i, at, score, ids in edges[j]:
-                share = np.exp(ahead[i][at] + score + behind[j][at] - ahead[n][at]) * weights[rows[at]]
-                if ids is not None:
-                    counts[: self.n] += np.bincount(ids, share, self.n)
-                    continue
-                for c in np.unique(codes[at, i]):
-                    mass = share[codes[at, i] == c].sum()
-                    for b in chr(int(c)).encode("utf-8", "surrogatepass"):
-                        counts[self.n + b] += mass
+        for j in range(1, len(edges)):
+            for (i, at, _, _), score in zip(edges[j], scores[j], strict=True):
+                reach = ahead[i] + score if len(at) == m else ahead[i][at] + score
+                ahead[j][at] = np.logaddexp(ahead[j][at], reach)
+        return ahead
+
+    def likelihoods(self, words: list[str], ps: list[np.ndarray]) -> np.ndarray:
+        """Natural log likelihood of each word (rows) by each set of piece probabilities (columns)."""
+        out, logs = np.zeros((len(words), len(ps))), [np.log(p) for p in ps]
+        for rows, edges in self.layouts(words):
+            for z, logp in enumerate(logs):
+                out[rows, z] = self.forward(edges, self.scores(edges, logp), len(rows))[-1]
+        return out
+
+    def expected(self, words: list[str], p: np.ndarray) -> np.ndarray:
+        """Expected count of each piece and byte over the words, each once."""
+        counts, logp = np.zeros(self.n + 257), np.log(p)
+        for rows, edges in self.layouts(words):
+            m, scores = len(rows), self.scores(edges, logp)
+            ahead = self.forward(edges, scores, m)
+            behind = np.full(ahead.shape, -np.inf)
+            behind[-1] = 0
+            for j in range(len(edges) - 1, 0, -1):
+                for (i, at, _, _), score in zip(edges[j], scores[j], strict=True):
+                    behind[i][at] = np.logaddexp(behind[i][at], behind[j][at] + score)
+            for j in range(1, len(edges)):
+                for (i, at, ids, codes), score in zip(edges[j], scores[j], strict=True):
+                    share = np.exp(ahead[i][at] + score + behind[j][at] - ahead[-1][at])
+                    if ids is not None:
+                        counts[: self.n] += np.bincount(ids, share, self.n)
+                        continue
+                    for c in np.unique(codes):
+                        for b in chr(int(c)).encode("utf-8", "surrogatepass"):
+                            counts[self.n + b] += share[codes == c].sum()
+        return counts
 
 
 def _gathered(batches, most: int = 40_000):
@@ -233,12 +248,11 @@ def refit(words: DataFrame, pieces: Pieces, groups: list[Group], prior: float) -
     total, scores = len(pieces.texts) + 257, [g.p for g in groups]
 
     def run(batches):
-        lattices, sums = [Lattice(pieces, p) for p in scores], np.zeros((len(scores), total))
+        lattice, sums = Lattice(pieces), np.zeros((len(scores), total))
         for b in _gathered(batches):
             text, cs = b["word"].to_numpy(), np.stack(b["cs"].to_numpy())
-            for z, lattice in enumerate(lattices):
-                own = text[cs[:, z] > 0].tolist()
-                sums[z] += lattice.run(own, np.ones(len(own)))[1]
+            for z, p in enumerate(scores):
+                sums[z] += lattice.expected(text[cs[:, z] > 0].tolist(), p)
         z, at = np.nonzero(sums)
         yield pd.DataFrame({"z": z, "piece": at, "n": sums[z, at]})
 
@@ -255,10 +269,11 @@ def word_scores(words: DataFrame, pieces: Pieces, groups: list[Group]) -> DataFr
     """(word, c, ls): the count of each word, and its log10 probability in each group."""
 
     def run(batches):
-        lattices = [Lattice(pieces, g.p) for g in groups]
+        lattice = Lattice(pieces)
         for b in _gathered(batches):
             text, cs = b["word"].tolist(), np.stack(b["cs"].to_numpy())
-            ls = np.stack([g.words_log10(cs[:, z], x.run(text)[0]) for z, (g, x) in enumerate(zip(groups, lattices, strict=True))], 1)
+            found = lattice.likelihoods(text, [g.p for g in groups])
+            ls = np.stack([g.words_log10(cs[:, z], found[:, z]) for z, g in enumerate(groups)], 1)
             yield pd.DataFrame({"word": b["word"], "c": b["c"], "ls": list(ls)})
 
     return words.mapInPandas(run, "word string, c long, ls array<double>")
@@ -285,7 +300,7 @@ def score(docs: DataFrame, held_out, pieces_path: str, id_col: str = "doc_id", t
     own = [F.sum(((F.col("z") == z) & ~F.col("held_out")).cast("long")).alias(f"c{z}") for z in range(k)]
     seen = rows.select("z", "held_out", F.explode("w").alias("word")).groupBy("word").agg(*own)
     seen = stored(seen.select("word", F.array(*[f"c{z}" for z in range(k)]).alias("cs"), F.expr(" + ".join(f"c{z}" for z in range(k))).alias("c")), "lattice-words")
-    heads = stored(rows.select("id", "held_out", "z", "__k", "__d", F.size("w").cast("long").alias("n")), "lattice-rows")
+    heads = stored(rows.select("id", "held_out", "z", "__k", "__d"), "lattice-rows")
     texts = dict(heads.where("not held_out").groupBy("z").count().collect())
     facts = seen.agg(
         *[F.coalesce(F.sum(F.col("cs")[z]), F.lit(0)) for z in range(k)],
@@ -303,23 +318,24 @@ def score(docs: DataFrame, held_out, pieces_path: str, id_col: str = "doc_id", t
     unigram = lambda c: F.log10((c + 0.1) / (tokens + 0.1 * (kinds + 1)))
     flat = scored.select("word", unigram(F.col("c")).alias("b"), (F.col("c") > 0).cast("long").alias("known"), "c", *[F.col("ls")[z].alias(f"l{z}") for z in range(k)])
     often = stored(flat.where(F.length("word") <= FREQUENT_CHARS).orderBy(F.desc("c"), "word").limit(FREQUENT), "lattice-frequent")
-    each, sums = rows.select("__k", "__d", F.explode("w").alias("word")), ["b", "known", *[f"l{z}" for z in range(k)]]
-
-    def summed(part: DataFrame) -> DataFrame:
-        return part.groupBy("__k", "__d").agg(*[F.sum(c).alias(c) for c in sums], F.count("*").alias("n_all"))
-
-    rare = each.join(F.broadcast(often.select("word")), "word", "left_anti").join(flat, "word")
-    parts = summed(each.join(F.broadcast(often), "word")).union(summed(rare))
-    # Equal rows share a key; means, not sums, are the same for one of them and for all together.
-    means = parts.groupBy("__k", "__d").agg(*[(F.sum(c) / F.sum("n_all")).alias(c) for c in sums])
-    mean = lambda c: F.coalesce(F.col(c) * F.col("n"), F.lit(0.0))
+    sums = ["b", "known", *[f"l{z}" for z in range(k)]]
+    # One pass over the texts: what frequent words sum to in each text, and each rare word of it.
+    each = rows.select("__k", "__d", F.explode("w").alias("word")).join(F.broadcast(often.withColumnRenamed("word", "often")), F.col("word") == F.col("often"), "left")
+    each = each.select("__k", "__d", F.when(F.col("often").isNull(), F.col("word")).alias("word"), *sums)
+    met = each.groupBy("__k", "__d", "word").agg(*[F.sum(c).alias(c) for c in sums], F.count("*").alias("m"))
+    rare = met.where("word is not null").select("__k", "__d", "word", "m").join(flat.drop("c"), "word")
+    parts = met.where("word is null").drop("word").unionByName(rare.select("__k", "__d", *[(F.col(c) * F.col("m")).alias(c) for c in sums], "m"))
+    found = parts.groupBy("__k", "__d").agg(*[F.sum(c).alias(c) for c in (*sums, "m")])
+    # Equal rows share a key and were summed together.
+    alike = heads.groupBy("__k", "__d").agg(F.count("*").alias("alike"))
+    mean = lambda c: F.coalesce(F.col(c) / F.col("alike"), F.lit(0.0))
     all_texts = max(ends, 1)
     logs = [mean(f"l{z}") + math.log10(g.end()) + math.log10(g.texts / all_texts) for z, g in enumerate(groups) if g.texts] or [mean("l0") + math.log10(groups[0].end())]
-    out = heads.join(means, ["__k", "__d"], "left").withColumn("logs", F.array(*logs)).withColumn("top", F.array_max("logs"))
+    out = heads.join(alike.join(found, ["__k", "__d"], "left"), ["__k", "__d"]).withColumn("logs", F.array(*logs)).withColumn("top", F.array_max("logs"))
     return out.select(
         "id",
         "held_out",
-        (F.col("n") + 1).alias("n_tokens"),
+        (F.round(mean("m")).cast("long") + 1).alias("n_tokens"),
         (F.round(mean("known")) + (1 if ends else 0)).cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (mean("b") + unigram(F.lit(ends))).alias("base_score"),
