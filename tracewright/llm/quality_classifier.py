@@ -22,7 +22,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BITS, DIM, EPOCHS, RATE, SEED = 17, 8, 6, 0.5, 7
 #: Labelled rows the model is fitted on: at most so many of each label, and so many bytes of text in all.
-SAMPLE_ROWS, SAMPLE_BYTES = 2000, 24_000_000
+SAMPLE_ROWS, SAMPLE_BYTES = 1000, 12_000_000
 #: Bytes hashed at a time.
 BLOCK = 1 << 22
 NGRAMS = (3, 5)
@@ -189,7 +189,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = texts.withColumn("h", F.xxhash64("id", "text")).join(chosen, "h").select("text", "label", "h")
     got = sample.mapInPandas(extract, "label int, h long, buckets array<int>, counts array<float>").toPandas()
     got = got.sort_values("h").drop_duplicates("h")
-    return fit([(np.asarray(b, np.int64), np.asarray(c, np.float64), int(y)) for b, c, y in zip(got["buckets"], got["counts"], got["label"], strict=True)])
+    return fit(list(zip(got["buckets"], got["counts"], got["label"], strict=True)))
 
 
 def score_column(model: Model, text: Column) -> Column:
