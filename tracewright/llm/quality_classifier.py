@@ -187,9 +187,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pd.DataFrame({"label": b["label"], "h": b["h"], "buckets": [x.astype(np.int32) for x, _ in made], "counts": [c.astype(np.float32) for _, c in made]})
 
     sample = texts.withColumn("h", F.xxhash64("id", "text")).join(chosen, "h").select("text", "label", "h")
-    got = sample.mapInPandas(extract, "label int, h long, buckets array<int>, counts array<float>").toPandas()
-    got = got.sort_values("h").drop_duplicates("h")
-    return fit(list(zip(got["buckets"], got["counts"], got["label"], strict=True)))
+    got = sample.mapInPandas(extract, "label int, h long, buckets array<int>, counts array<float>").toArrow().combine_chunks()
+    columns = [got[c].chunk(0).flatten().to_numpy() for c in ("buckets", "counts")] if got.num_rows else []
+    at = np.concatenate(([0], np.cumsum(got["buckets"].combine_chunks().value_lengths().to_numpy()))) if got.num_rows else []
+    hashes, labels = got["h"].to_numpy(), got["label"].to_numpy()
+    first = np.unique(hashes, return_index=True)[1]  # repeated rows count once; the order is that of the hashes
+    return fit([(*(c[at[i] : at[i + 1]] for c in columns), int(labels[i])) for i in first])
 
 
 def score_column(model: Model, text: Column) -> Column:

@@ -21,32 +21,48 @@ SMOOTHING = 1.0
 #: Mean log ratio per n-gram under which a document is rejected.
 THRESHOLD = -0.55
 
+#: Bits of a window's position in its text: texts of up to 2 ** 24 words.
+POSITION_BITS = 24
+
 SYMBOLS = r"[#*$%&|<>]"
 
 
-def ngram_buckets(buckets: int) -> Column:
-    """Bucket of every unigram and bigram of the word array ``w``."""
-    one = f"transform(w, x -> cast(pmod(xxhash64(x), {buckets}) as int))"
-    two = f"transform(sequence(0, size(w) - 2), i -> cast(pmod(xxhash64(w[i], w[i + 1]), {buckets}) as int))"
-    return F.expr(f"if(size(w) < 2, {one}, concat({one}, {two}))")
+def word_hashes(text: Column) -> Column:
+    return F.transform(space_words(text), lambda x: F.xxhash64(x))
+
+
+def ngrams() -> Column:
+    """Hash of every unigram and bigram of the array of word hashes ``h``."""
+    return F.expr("if(size(h) < 2, h, concat(h, zip_with(slice(h, 1, size(h) - 1), slice(h, 2, size(h) - 1), (a, b) -> xxhash64(a, b))))")
+
+
+def bucket_of(gram: str, buckets: int) -> Column:
+    return F.pmod(F.col(gram), F.lit(buckets)).cast("int").alias("bucket")
 
 
 def repeated_words() -> Column:
-    """Words of ``w`` in a 3-word window that the text holds twice or more (64-bit hashes of windows)."""
-    sort = "array_sort(transform(t, (h, i) -> struct(h as h, i as i)))"
-    twice = "filter(transform(sequence(0, size(t) - 1), k -> if((k > 0 and s[k - 1].h = s[k].h) or (k < size(t) - 1 and s[k + 1].h = s[k].h), s[k].i, null)), p -> p is not null)"
-    marked = f"transform(array({sort}), s -> size(array_distinct(flatten(transform({twice}, p -> array(p, p + 1, p + 2))))))[0]"
+    """Words of a text in a 3-word window that it holds twice or more, from the 64-bit hashes ``t`` of its windows.
+
+    Windows are sorted as one number each, leading bits of the hash over the position, and equal
+    neighbours are told by their whole hashes.
+    """
+    low = f"{(1 << POSITION_BITS) - 1}L"
+    sort = f"sort_array(transform(t, (h, i) -> (h & ~{low}) | cast(i as bigint)))"
+    at = lambda k: f"t[cast(s[{k}] & {low} as int)]"
+    twice = f"filter(sequence(0, size(s) - 1), k -> (k > 0 and {at('k - 1')} = {at('k')}) or (k < size(s) - 1 and {at('k + 1')} = {at('k')}))"
+    places = f"transform({twice}, k -> s[k] & {low})"
+    marked = f"transform(array({sort}), s -> transform(array({places}), p -> size(array_distinct(concat(p, transform(p, x -> x + 1), transform(p, x -> x + 2)))))[0])[0]"
     return F.expr(f"if(size(array_distinct(t)) = size(t), 0, {marked})").cast("long")
 
 
 def base_counts(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` plus the word array w and the base columns."""
+    """``docs`` plus the base columns."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    windows = F.expr("if(size(w) < 3, cast(array() as array<bigint>), transform(sequence(0, size(w) - 3), i -> xxhash64(w[i], w[i + 1], w[i + 2])))")
+    windows = F.expr("if(size(h) < 3, cast(array() as array<bigint>), transform(sequence(0, size(h) - 3), i -> xxhash64(h[i], h[i + 1], h[i + 2])))")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    out = docs.withColumn("w", space_words(F.col(text_col))).withColumn("t", windows).withColumn("lines", lines)
+    out = docs.withColumn("w", space_words(F.col(text_col))).withColumn("h", F.transform("w", lambda x: F.xxhash64(x))).withColumn("t", windows).withColumn("lines", lines)
     out = out.select(
-        *[c for c in out.columns if c not in ("t", "lines")],
+        *docs.columns,
         F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -63,9 +79,9 @@ def bucket_ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: st
     sums is combined before the shuffle. Without any target document all ratios are 0.
     """
     ids = small_or_not(stored(trusted.select(F.col(trusted.columns[0]).alias("__t")).where("__t is not null").distinct(), "trusted"))
-    texts = docs.select(F.col(id_col).alias("id"), space_words(F.col(text_col)).alias("w"))
-    marked = texts.join(ids, texts["id"] == ids["__t"], "left").select("w", F.col("__t").isNotNull().cast("long").alias("target"))
-    each = marked.select("target", F.explode(ngram_buckets(buckets)).alias("bucket"))
+    texts = docs.select(F.col(id_col).alias("id"), word_hashes(F.col(text_col)).alias("h"))
+    marked = texts.join(ids, texts["id"] == ids["__t"], "left").select("h", F.col("__t").isNotNull().cast("long").alias("target"))
+    each = marked.select("target", F.explode(ngrams()).alias("gram")).select("target", bucket_of("gram", buckets))
     counts = stored(each.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("target").alias("target")), "ngram-buckets")
     raw, target = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)), F.coalesce(F.sum("target"), F.lit(0))).first()
     if not target:
@@ -83,8 +99,8 @@ def quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_co
     ratios = F.broadcast(bucket_ratios(docs, trusted, id_col, text_col, buckets, smoothing))
     rows = row_key(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text")
     base = base_counts(rows, "text").select("id", "__k", "__d", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-    words = rows.select("__k", "__d", space_words(F.col("text")).alias("w"))
-    grams = words.select("__k", "__d", F.explode(ngram_buckets(buckets)).alias("bucket"))
+    words = rows.select("__k", "__d", word_hashes(F.col("text")).alias("h"))
+    grams = words.select("__k", "__d", F.explode(ngrams()).alias("gram")).select("__k", "__d", bucket_of("gram", buckets))
     # Equal rows share a key, and the mean over their n-grams together is the mean over those of one.
     score = grams.join(ratios, "bucket").groupBy("__k", "__d").agg(F.avg("llr").alias("llr_score"))
     out = base.join(score, ["__k", "__d"], "left").withColumn("llr_score", F.coalesce("llr_score", F.lit(0.0)))
