@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import decontamination, html_extraction, lattice_lm, quality_classifier, quality_rules, sharding, simhash, token_store
+from tracewright.llm import bin_packing, decontamination, html_extraction, lattice_lm, license_scan, quality_classifier, quality_rules, sharding, simhash, token_store
+from tracewright.llm.shared import space_words
 from tracewright.plans.materialize import shared_dir
 
 
@@ -30,6 +31,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_extraction.main_text(_table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", F.col("__main").alias("text"), F.length("__main").cast("long").alias("n_chars"))
@@ -46,6 +51,15 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
 
 
+def token_count() -> Column:
+    """Words of a text and one end: the length that sequences are packed by."""
+    return F.size(space_words(F.col("text"))) + 1
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bin_packing.pack(_table(spark, sf_dir, "documents"), token_count()).withColumnRenamed("id", "doc_id")
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/token-store-{uuid.uuid4().hex}"
     token_store.write_store(_table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"), end=2)
@@ -82,7 +96,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(docs, held_out, vocabulary("piece_bpe_32k.model"), group_col="lang").withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_sharding, op4_html_extraction, op5_quality_classifier, op7_token_store, op8_simhash_near_dedup, op9_decontamination, op10_lm_scoring)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_license_scan, op4_html_extraction, op5_quality_classifier, op6_best_fit_packing, op7_token_store, op8_simhash_near_dedup, op9_decontamination, op10_lm_scoring)}
 
 _WORDS9 = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
@@ -106,4 +120,29 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
 
-ORACLES: dict[str, str] = {"op9_decontamination": OP9_SQL}
+
+
+def _op3_sql() -> str:
+    q = lambda x: "'" + x.replace("'", "''") + "'"
+    known = ", ".join(f"({q(s)}, {q(n)})" for s, n in license_scan.known_sentences().items())
+    steps = ["f0 AS (SELECT r, names, ',' || replace(names, ',', ',,') || ',' AS l, CAST([] AS VARCHAR[]) AS got FROM seqs)"]
+    for i, (name, ids) in enumerate(license_scan.RULES):
+        want = q("," + ",,".join(ids) + ",")
+        steps.append(f"f{i + 1} AS (SELECT r, names, replace(l, {want}, '') AS l, CASE WHEN contains(l, {want}) THEN list_append(got, {q(name)}) ELSE got END AS got FROM f{i})")
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH known(s, name) AS (VALUES {known}),
+docs AS (SELECT row_number() OVER () AS r, doc_id, list_filter(list_transform(regexp_split_to_array({lower}, '{license_scan.BREAKS}'), lambda x: trim(regexp_replace(x, '[^a-z0-9]+', ' ', 'g'))), lambda x: x <> '') AS p FROM documents),
+runs AS (SELECT r, i, n, array_to_string(p[i : i + n - 1], ' ') AS s FROM (SELECT r, p, unnest(range(1, len(p) + 1)) AS i FROM docs), range(1, {license_scan.MOST_FRAGMENTS + 1}) AS t(n) WHERE i + n - 1 <= len(p)),
+found AS (SELECT r, i, arg_max(name, n) AS name FROM runs JOIN known USING (s) GROUP BY r, i),
+seqs AS (SELECT r, string_agg(name, ',' ORDER BY i) AS names FROM found GROUP BY r),
+{", ".join(steps)}
+SELECT doc_id, coalesce(names, '') AS sentence_ids,
+  coalesce(array_to_string(list_filter(got, lambda x, i: list_position(got, x) = i), ','), '') AS licenses,
+  CAST(CASE WHEN names IS NULL THEN 0 ELSE len(string_split(names, ',')) END AS BIGINT) AS n_sentences,
+  coalesce(array_to_string(list_filter(string_split(l, ','), lambda x: x <> ''), ','), '') AS unmatched
+FROM docs LEFT JOIN f{len(license_scan.RULES)} USING (r)
+"""
+
+
+ORACLES: dict[str, str] = {"op3_license_scan": _op3_sql(), "op9_decontamination": OP9_SQL}
