@@ -322,7 +322,8 @@ def score(docs: DataFrame, held_out, pieces_path: str, id_col: str = "doc_id", t
     # One pass over the texts: what frequent words sum to in each text, and each rare word of it.
     each = rows.select("__k", "__d", F.explode("w").alias("word")).join(F.broadcast(often.withColumnRenamed("word", "often")), F.col("word") == F.col("often"), "left")
     each = each.select("__k", "__d", F.when(F.col("often").isNull(), F.col("word")).alias("word"), *sums)
-    met = each.groupBy("__k", "__d", "word").agg(*[F.sum(c).alias(c) for c in sums], F.count("*").alias("m"))
+    # Stored, since both uses below would otherwise read all texts.
+    met = stored(each.groupBy("__k", "__d", "word").agg(*[F.sum(c).alias(c) for c in sums], F.count("*").alias("m")), "lattice-sums")
     rare = met.where("word is not null").select("__k", "__d", "word", "m").join(flat.drop("c"), "word")
     parts = met.where("word is null").drop("word").unionByName(rare.select("__k", "__d", *[(F.col(c) * F.col("m")).alias(c) for c in sums], "m"))
     found = parts.groupBy("__k", "__d").agg(*[F.sum(c).alias(c) for c in (*sums, "m")])
