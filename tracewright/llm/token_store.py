@@ -14,8 +14,10 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import sys
 import zlib
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,16 +31,20 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Ids the rolling hash sees, and least, expected and most ids of a chunk.
 WINDOW, LEAST, USUAL, MOST = 16, 64, 256, 1024
-#: Words and digests a task remembers before it starts afresh.
+#: Words and digests a task remembers.
 REMEMBERED = 400_000
+#: Words encoded in one call.
+JOINED = 200
 FAN = 1024
+_STOP = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\x09-\x0D]|\Z)")
 _POLY = 0xEDB88320
 
 
 class Encoder:
     """Ids of whole texts by a tokenizer file; each different word is encoded once.
 
-    The tokenizer must drop white space and never join ids across it, as those with word ends do.
+    The tokenizer must lower-case, drop white space, cut punctuation from letters and never join
+    ids across a cut. The first REMEMBERED words of a task are kept, so the frequent ones are.
     """
 
     def __init__(self, path: str):
@@ -47,36 +53,60 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-        self.forget()
-
-    def forget(self) -> None:
+        mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() if mark else 0, bool)
+        for token, i in self.tokenizer.get_vocab().items() if mark else ():
+            self.ends[i] = token.endswith(mark)
         self.seen: dict[bytes, int] = {}
-        self.flat, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def tokens(self, letters: list[str], others: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, and how many each has.
 
-    def learn(self, words: list[bytes]) -> None:
+        A word of letters alone ends with its only id that has the end-of-word mark, so such words
+        are encoded many to a call and told apart afterwards.
+        """
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        made = [e.ids for e in encode([w.decode("utf-8", "surrogatepass") for w in words], add_special_tokens=False)]
-        size = np.array([len(x) for x in made], np.int64)
-        self.seen.update(zip(words, range(len(self.seen), len(self.seen) + len(words)), strict=True))
-        self.begin = np.concatenate((self.begin, len(self.flat) + np.cumsum(size) - size))
-        self.size = np.concatenate((self.size, size))
-        self.flat = np.concatenate((self.flat, np.fromiter((i for x in made for i in x), np.uint32, int(size.sum()))))
+        if len(self.ends) and letters:
+            lines = [" ".join(letters[i : i + JOINED]) for i in range(0, len(letters), JOINED)]
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in encode(lines, add_special_tokens=False)])
+            stops = np.nonzero(self.ends[ids])[0]
+            if len(stops) == len(letters) and stops[-1] == len(ids) - 1:
+                rest, sizes = self.tokens([], others)
+                return np.concatenate((ids, rest)), np.concatenate((np.diff(stops, prepend=-1), sizes))
+        made = [e.ids for e in encode(letters + others, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, made), np.int64, len(made))
+        return np.fromiter(chain.from_iterable(made), np.uint32, int(sizes.sum())), sizes
+
+    @staticmethod
+    def words(text: bytes) -> list[bytes]:
+        """The words of a text with ``A-Z`` lower-cased, and a comma or stop after a letter as a word of its own."""
+        if b"<|" in text:  # special tokens are found in the text as it is
+            return text.split()
+        return _STOP.sub(rb" \1", text.lower()).split()
 
     def encode(self, texts: list[bytes], end: int) -> list[np.ndarray]:
-        if len(self.seen) > REMEMBERED:
-            self.forget()
-        split = [t.split() for t in texts]
-        new = [w for w in set().union(*split) if w not in self.seen] if split else []
+        split = [self.words(t) for t in texts]
+        new = [w for w in set(chain.from_iterable(split)) if w not in self.seen]
+        known, flat, size = self.seen, self.flat, self.size
         if new:
-            self.learn(new)
-        out, at = [], self.seen.__getitem__
+            decoded = [w.decode("utf-8", "surrogatepass") for w in new]
+            letters, others = [w for w in decoded if w.isalpha()], [w for w in decoded if not w.isalpha()]
+            new = [w.encode("utf-8", "surrogatepass") for w in chain(letters, others)]
+            ids, sizes = self.tokens(letters, others)
+            flat, size = np.concatenate((flat, ids)), np.concatenate((size, sizes))
+            known = self.seen if len(self.seen) + len(new) <= REMEMBERED else dict(self.seen)
+            known.update(zip(new, range(len(self.size), len(size)), strict=True))
+            if known is self.seen:
+                self.flat, self.size = flat, size
+        begin, out, at = np.cumsum(size) - size, [], known.__getitem__
         for words in split:
             idx = np.fromiter(map(at, words), np.int64, len(words))
-            size = self.size[idx]
-            stop = np.cumsum(size)
+            sizes = size[idx]
+            stop = np.cumsum(sizes)
             total = int(stop[-1]) if len(stop) else 0
             ids = np.empty(total + 1, np.uint32)
-            ids[:total] = self.flat[np.repeat(self.begin[idx] - (stop - size), size) + np.arange(total)]
+            ids[:total] = flat[np.repeat(begin[idx] - (stop - sizes), sizes) + np.arange(total)]
             ids[total] = end
             out.append(ids)
         return out
