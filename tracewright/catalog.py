@@ -1,6 +1,25 @@
-"""Name -> query, and name -> SQL of the same result."""
+"""Name -> query, and name -> SQL of the same result, over the bindings of ``plans.bindings``."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def register(sql: str | None = None):
+    """Adds a query under its function's name, with the SQL that DuckDB answers alike."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+from tracewright import catalog_graph, catalog_records, catalog_text  # noqa: E402, F401
