@@ -17,7 +17,8 @@ import os
 import re
 import sys
 import zlib
-from itertools import chain
+from collections import defaultdict
+from itertools import chain, count, islice
 
 import numpy as np
 import pandas as pd
@@ -57,8 +58,8 @@ class Encoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size() if mark else 0, bool)
         for token, i in self.tokenizer.get_vocab().items() if mark else ():
             self.ends[i] = token.endswith(mark)
-        self.seen: dict[bytes, int] = {}
-        self.flat, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.seen: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.flat, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def tokens(self, letters: list[str], others: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after the other, and how many each has.
@@ -85,30 +86,37 @@ class Encoder:
             return text.split()
         return _STOP.sub(rb" \1", text.lower()).split()
 
+    def learn(self, words: list[bytes]) -> None:
+        """Encode words and append their ids; word i of all is at begin[i], size[i] long."""
+        decoded = [w.decode("utf-8", "surrogatepass") for w in words]
+        alone = np.fromiter((w.isalpha() for w in decoded), bool, len(decoded))
+        order = np.concatenate((np.nonzero(alone)[0], np.nonzero(~alone)[0]))
+        n = int(alone.sum())
+        ids, sizes = self.tokens([decoded[i] for i in order[:n]], [decoded[i] for i in order[n:]])
+        begin, size = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        begin[order], size[order] = len(self.flat) + np.cumsum(sizes) - sizes, sizes
+        self.flat, self.begin, self.size = np.concatenate((self.flat, ids)), np.concatenate((self.begin, begin)), np.concatenate((self.size, size))
+
     def encode(self, texts: list[bytes], end: int) -> list[np.ndarray]:
-        split = [self.words(t) for t in texts]
-        new = [w for w in set(chain.from_iterable(split)) if w not in self.seen]
-        known, flat, size = self.seen, self.flat, self.size
-        if new:
-            decoded = [w.decode("utf-8", "surrogatepass") for w in new]
-            letters, others = [w for w in decoded if w.isalpha()], [w for w in decoded if not w.isalpha()]
-            new = [w.encode("utf-8", "surrogatepass") for w in chain(letters, others)]
-            ids, sizes = self.tokens(letters, others)
-            flat, size = np.concatenate((flat, ids)), np.concatenate((size, sizes))
-            known = self.seen if len(self.seen) + len(new) <= REMEMBERED else dict(self.seen)
-            known.update(zip(new, range(len(self.size), len(size)), strict=True))
-            if known is self.seen:
-                self.flat, self.size = flat, size
-        begin, out, at = np.cumsum(size) - size, [], known.__getitem__
-        for words in split:
-            idx = np.fromiter(map(at, words), np.int64, len(words))
-            sizes = size[idx]
+        number = self.seen.__getitem__  # a new word gets the next number
+        split = [np.fromiter(map(number, words), np.int64, len(words)) for words in map(self.words, texts)]
+        if len(self.seen) > len(self.size):
+            self.learn(list(islice(self.seen, len(self.size), None)))
+        out = []
+        for idx in split:
+            sizes = self.size[idx]
             stop = np.cumsum(sizes)
             total = int(stop[-1]) if len(stop) else 0
             ids = np.empty(total + 1, np.uint32)
-            ids[:total] = flat[np.repeat(begin[idx] - (stop - sizes), sizes) + np.arange(total)]
+            ids[:total] = self.flat[np.repeat(self.begin[idx] - stop + sizes, sizes) + np.arange(total)]
             ids[total] = end
             out.append(ids)
+        for word in list(islice(self.seen, REMEMBERED, None)):
+            del self.seen[word]
+        if len(self.size) > len(self.seen):
+            kept = len(self.seen)
+            self.flat, self.begin, self.size = self.flat[: int((self.begin[:kept] + self.size[:kept]).max(initial=0))], self.begin[:kept], self.size[:kept]
+            self.seen.default_factory = count(kept).__next__
         return out
 
 
