@@ -33,7 +33,7 @@ def claim_clustering(spark, d):
 @register(q("ev AS (SELECT DISTINCT user_id AS node, event_type AS item, datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 1 AS ep FROM events), eps AS (SELECT DISTINCT node, ep FROM ev) SELECT eps.node, eps.ep, CAST(count(DISTINCT item) AS BIGINT) AS total FROM eps JOIN ev ON ev.node = eps.node AND ev.ep <= eps.ep GROUP BY 1, 2"))
 def evidence_accumulation(spark, d):
     e = Graph(spark, d).table("events")
-    return patterns.evidence_accumulation(e.select(F.col("user_id").alias("node"), F.col("event_type").alias("item"), (F.datediff(F.to_date("ts"), F.lit("2024-01-01")) + 1).alias("ep")))
+    return patterns.evidence_accumulation(e.select(F.col("user_id").alias("node"), F.col("event_type").alias("item"), (F.datediff(F.to_date("ts"), F.lit("2024-01-01")) + 1).cast("long").alias("ep")))
 
 
 @register("SELECT a.p_brand, a.p_partkey AS id1, b.p_partkey AS id2, round(1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name))::DOUBLE, 6) AS sim FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey WHERE a.p_size = b.p_size AND 1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name))::DOUBLE > 0.3 AND 1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name))::DOUBLE < 0.9")
@@ -58,7 +58,7 @@ def top_degree(spark, d):
 
 @register("SELECT datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 1 AS ep, count(*) AS n_events, count(DISTINCT user_id) AS n_users, count(DISTINCT event_type) AS n_types FROM events GROUP BY 1")
 def episode_summary(spark, d):
-    e = Graph(spark, d).table("events").withColumn("ep", F.datediff(F.to_date("ts"), F.lit("2024-01-01")) + 1)
+    e = Graph(spark, d).table("events").withColumn("ep", (F.datediff(F.to_date("ts"), F.lit("2024-01-01")) + 1).cast("long"))
     return e.groupBy("ep").agg(F.count("*").alias("n_events"), F.count_distinct("user_id").alias("n_users"), F.count_distinct("event_type").alias("n_types"))
 
 
@@ -191,17 +191,17 @@ def next_ids(spark, d):
     return c.withColumn("one", F.lit(1)).join(p.withColumn("one", F.lit(1)), "one").drop("one")
 
 
-@register("SELECT g AS ep FROM range(1, 31) t(g) WHERE g NOT IN (SELECT day(ts) FROM events WHERE day(ts) % 7 <> 0)")
+@register("SELECT g AS ep FROM range(1, 31) t(g) WHERE g NOT IN (SELECT day(ts) FROM events WHERE user_id = 7)")
 def missing_episodes(spark, d):
-    e = Graph(spark, d).table("events").select(F.dayofmonth("ts").alias("ep")).where("ep % 7 <> 0")
+    e = Graph(spark, d).table("events").where("user_id = 7").select(F.dayofmonth("ts").alias("ep"))
     return patterns.missing_members(e, "ep", 30).select(F.col("ep").cast("long").alias("ep"))
 
 
-@register("SELECT DISTINCT l_partkey AS ref FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 10 <> 3)")
+@register("SELECT DISTINCT l_partkey AS ref FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <> 3)")
 def dangling_refs(spark, d):
     g = Graph(spark, d)
     refs = g.table("lineitem").select(F.col("l_partkey").alias("ref")).distinct()
-    return resolve.dangling(refs, "ref", g.table("part").where("p_partkey % 10 <> 3"), "p_partkey")
+    return resolve.dangling(refs, "ref", g.table("part").where("p_size <> 3"), "p_partkey")
 
 
 @register("SELECT c_custkey, c_name FROM customer WHERE contains(c_name, '00012') OR contains(c_mktsegment, 'MACH')")
@@ -241,18 +241,23 @@ def timeline(spark, d):
     return Graph(spark, d).table("orders").where("o_custkey = 11").select(F.col("o_orderkey").alias("claim"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("at"))
 
 
-_FUZZY = "n AS (SELECT p_partkey AS id, trim(lower(p_name)) AS name FROM part WHERE p_partkey <= 400)"
+_NAMES = "n AS (SELECT trim(lower(p_name)) AS name, min(p_partkey) AS id, count(*) AS members FROM part GROUP BY 1)"
 
 
-@register(f"WITH {_FUZZY} SELECT a.id AS a, b.id AS b, CAST(levenshtein(a.name, b.name) AS INT) AS distance FROM n a JOIN n b ON a.id < b.id AND levenshtein(a.name, b.name) <= 3")
+@register(f"WITH {_NAMES} SELECT least(a.id, b.id) AS a, greatest(a.id, b.id) AS b, CAST(levenshtein(a.name, b.name) AS INT) AS distance FROM n a JOIN n b ON a.name < b.name AND levenshtein(a.name, b.name) BETWEEN 1 AND 3")
 def fuzzy_duplicates(spark, d):
-    return resolve.fuzzy_pairs(Graph(spark, d).table("part").where("p_partkey <= 400"), "p_partkey", "p_name", 3)
+    return resolve.fuzzy_pairs(Graph(spark, d).table("part"), "p_partkey", "p_name", 3)
 
 
-@register("WITH q AS (SELECT DISTINCT p_name AS query FROM part WHERE p_partkey % 5 = 0), k AS (SELECT p_partkey AS id, lower(p_name) AS name FROM part WHERE p_partkey % 5 = 1), m AS (SELECT query, id, CAST(levenshtein(lower(query), name) AS INT) AS distance, row_number() OVER (PARTITION BY query ORDER BY levenshtein(lower(query), name), id) AS r FROM q, k WHERE levenshtein(lower(query), name) <= 3) SELECT query, id, distance FROM m WHERE r = 1")
+@register(f"WITH {_NAMES} SELECT name, id, members FROM n")
+def name_classes(spark, d):
+    return resolve.name_classes(Graph(spark, d).table("part"), "p_partkey", "p_name")
+
+
+@register("WITH q AS (SELECT DISTINCT p_name AS query FROM part WHERE p_size > 40), k AS (SELECT min(p_partkey) AS id, lower(p_name) AS name FROM part WHERE p_brand = 'Brand#17' GROUP BY 2), m AS (SELECT query, id, CAST(levenshtein(lower(query), name) AS INT) AS distance, row_number() OVER (PARTITION BY query ORDER BY levenshtein(lower(query), name), id) AS r FROM q, k WHERE levenshtein(lower(query), name) <= 3) SELECT query, id, distance FROM m WHERE r = 1")
 def suggest_node(spark, d):
     p = Graph(spark, d).table("part")
-    return resolve.nearest_name(p.where("p_partkey % 5 = 0").select("p_name"), p.where("p_partkey % 5 = 1"), "p_partkey", "p_name")
+    return resolve.nearest_name(p.where("p_size > 40").select("p_name"), resolve.name_classes(p.where("p_brand = 'Brand#17'"), "p_partkey", "p_name"), "id", "name")
 
 
 @register("WITH s AS (SELECT p_name, min(p_partkey) AS component FROM part GROUP BY 1) SELECT p_partkey AS node, component FROM part JOIN s USING (p_name) WHERE p_partkey IN (SELECT p_partkey FROM part JOIN (SELECT p_name FROM part GROUP BY 1 HAVING count(*) > 1) USING (p_name))")
@@ -271,12 +276,12 @@ def merge_nodes_remap(spark, d):
 
 @register("WITH f AS (SELECT p_name, min(p_partkey) AS o FROM part GROUP BY 1), i AS (SELECT p_name, 999 + row_number() OVER (ORDER BY o) AS new_id FROM f) SELECT p_partkey, new_id FROM part JOIN i USING (p_name)")
 def assign_ids(spark, d):
-    return resolve.assign_ids(Graph(spark, d).table("part"), normal_name(F.col("p_name")), [F.col("p_partkey")], 1000).select("p_partkey", F.col("new_id").cast("long").alias("new_id"))
+    return resolve.assign_ids(Graph(spark, d).table("part"), normal_name(F.col("p_name")), F.col("p_partkey"), 1000).select("p_partkey", F.col("new_id").cast("long").alias("new_id"))
 
 
-@register("WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS r, max(l_partkey) OVER () AS top FROM (SELECT * FROM lineitem WHERE l_orderkey <= 200)), n AS (SELECT *, row_number() OVER (PARTITION BY r > 1 ORDER BY l_partkey, l_orderkey, l_linenumber) AS k FROM r) SELECT l_orderkey, l_linenumber, CASE WHEN r = 1 THEN l_partkey ELSE top + k END AS fixed FROM n")
+@register("WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS r, max(l_partkey) OVER () AS top FROM lineitem), n AS (SELECT *, row_number() OVER (PARTITION BY r > 1 ORDER BY l_partkey, l_orderkey, l_linenumber) AS k FROM r) SELECT l_orderkey, l_linenumber, CASE WHEN r = 1 THEN l_partkey ELSE top + k END AS fixed FROM n")
 def collision_repair(spark, d):
-    li = Graph(spark, d).table("lineitem").where("l_orderkey <= 200").select("l_orderkey", "l_linenumber", "l_partkey")
+    li = Graph(spark, d).table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     return resolve.collision_repair(li, "l_partkey", ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "fixed")
 
 
@@ -286,14 +291,14 @@ def claim_admission(spark, d):
     return quality.admission(g.claims, g.anchors)
 
 
-_EDGES = "f AS (SELECT DISTINCT l_suppkey AS node, l_orderkey AS claim FROM lineitem WHERE l_orderkey < 900), b AS (SELECT DISTINCT l_suppkey AS node, l_orderkey AS claim FROM lineitem WHERE l_linenumber <> 2 AND l_orderkey < 900), c AS (SELECT o_orderkey AS claim FROM orders WHERE o_orderkey % 11 <> 0)"
+_EDGES = "f AS (SELECT DISTINCT l_suppkey AS node, l_orderkey AS claim FROM lineitem), b AS (SELECT DISTINCT l_suppkey AS node, l_orderkey AS claim FROM lineitem WHERE l_linenumber <> 2), c AS (SELECT o_orderkey AS claim FROM orders WHERE o_orderstatus <> 'P')"
 _ISSUES = f"WITH {_EDGES}, i AS (SELECT node, claim, 'node_claim_missing' AS issue FROM f WHERE claim NOT IN (SELECT claim FROM c) UNION SELECT node, claim, 'node_claim_subject_mismatch' FROM f WHERE claim IN (SELECT claim FROM c) AND claim IN (SELECT claim FROM b) AND NOT EXISTS (SELECT 1 FROM b WHERE b.node = f.node AND b.claim = f.claim) UNION SELECT node, claim, 'claim_node_backlink_missing' FROM b WHERE NOT EXISTS (SELECT 1 FROM f WHERE b.node = f.node AND b.claim = f.claim))"
 
 
 def _edge_sides(spark, d):
     g = Graph(spark, d)
-    li = g.table("lineitem").where("l_orderkey < 900").select(F.col("l_suppkey").alias("node"), F.col("l_orderkey").alias("claim"), "l_linenumber")
-    return li.select("node", "claim").distinct(), li.where("l_linenumber <> 2").select("node", "claim").distinct(), g.table("orders").where("o_orderkey % 11 <> 0").select(F.col("o_orderkey").alias("claim"))
+    li = g.table("lineitem").select(F.col("l_suppkey").alias("node"), F.col("l_orderkey").alias("claim"), "l_linenumber")
+    return li.select("node", "claim").distinct(), li.where("l_linenumber <> 2").select("node", "claim").distinct(), g.table("orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("claim"))
 
 
 @register(f"{_ISSUES} SELECT * FROM i")
@@ -320,12 +325,12 @@ def document_scores(spark, d):
     return quality.document_scores(quality.nested_documents(g.table("orders"), g.table("lineitem")))
 
 
-@register("SELECT o_custkey AS doc, o_orderkey AS ref, 'related_nodes' AS kind, 'N-' || l_suppkey AS target FROM (SELECT DISTINCT o_custkey, o_orderkey, l_suppkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey) WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 9 <> 0) UNION ALL SELECT o_custkey, o_orderkey, 'anchored_artifacts', concat_ws('.', l_orderkey, l_linenumber) FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linenumber = 7")
+@register("SELECT o_custkey AS doc, o_orderkey AS ref, 'related_nodes' AS kind, 'N-' || l_suppkey AS target FROM (SELECT DISTINCT o_custkey, o_orderkey, l_suppkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey) WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) UNION ALL SELECT o_custkey, o_orderkey, 'anchored_artifacts', concat_ws('.', l_orderkey, l_linenumber) FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linenumber = 7")
 def ref_integrity(spark, d):
     g = Graph(spark, d)
     docs = quality.nested_documents(g.table("orders"), g.table("lineitem"))
     artifacts = g.table("lineitem").where("l_linenumber <> 7").select(F.concat_ws(".", "l_orderkey", "l_linenumber").alias("id"))
-    nodes = g.table("supplier").where("s_suppkey % 9 <> 0").select(F.concat(F.lit("N-"), "s_suppkey").alias("id"))
+    nodes = g.table("supplier").where("s_acctbal > 0").select(F.concat(F.lit("N-"), "s_suppkey").alias("id"))
     return quality.reference_integrity(docs, artifacts, nodes)
 
 
@@ -364,15 +369,15 @@ def error_rate(spark, d):
     return bad.join(g.claims.agg(F.count("*").alias("total")).withColumn("one", F.lit(1)), "one").select("ep", F.round(F.col("bad") / F.col("total"), 8).alias("rate"))
 
 
-@register(q("SELECT a.artifact, string_agg(DISTINCT c.person, ',' ORDER BY c.person) AS people, count(DISTINCT c.claim) AS n_claims FROM anchors a JOIN claims c USING (claim) WHERE a.part <= 50 GROUP BY 1"))
+@register(q("SELECT a.artifact, string_agg(DISTINCT c.person, ',' ORDER BY c.person) AS people, count(DISTINCT c.claim) AS n_claims FROM anchors a JOIN claims c USING (claim) WHERE a.l_returnflag = 'R' GROUP BY 1"))
 def evidence_trail(spark, d):
     g = Graph(spark, d)
-    both = g.anchors.where("part <= 50").select("artifact", "claim").join(g.claims.select("claim", "person"), "claim")
+    both = g.anchors.where("l_returnflag = 'R'").select("artifact", "claim").join(g.claims.select("claim", "person"), "claim")
     return both.groupBy("artifact").agg(patterns.joined_list("person").alias("people"), F.count_distinct("claim").alias("n_claims"))
 
 
 @register("SELECT o_orderpriority, year(o_orderdate) AS ep, count(*) AS n, grouping_id(o_orderpriority, year(o_orderdate)) AS level FROM orders GROUP BY CUBE (o_orderpriority, year(o_orderdate))")
 def claim_cube(spark, d):
     """Not one of the studied operators: Spark's own CUBE over the same binding."""
-    o = Graph(spark, d).table("orders").withColumn("ep", F.year("o_orderdate"))
+    o = Graph(spark, d).table("orders").withColumn("ep", F.year("o_orderdate").cast("long"))
     return o.cube("o_orderpriority", "ep").agg(F.count("*").alias("n"), F.grouping_id().cast("long").alias("level"))

@@ -7,22 +7,26 @@ from pyspark.sql import functions as F
 
 from tracewright.functions.text import normal_name
 from tracewright.plans.components import connected_components
+from tracewright.plans.ranks import global_rank
+
+
+def name_classes(names: DataFrame, id_col: str, name_col: str) -> DataFrame:
+    """(name, id, members): each different normalised name, its least id, and how many rows bear it."""
+    named = names.where(F.col(name_col).isNotNull()).select(F.col(id_col).alias("id"), normal_name(F.col(name_col)).alias("name"))
+    return named.groupBy("name").agg(F.min("id").alias("id"), F.count("*").alias("members"))
 
 
 def fuzzy_pairs(names: DataFrame, id_col: str, name_col: str, most: int = 3) -> DataFrame:
-    """Pairs (a, b, distance), a < b, of names at an edit distance of ``most`` or less.
+    """Pairs (a, b, distance) of name classes, by their least ids, at an edit distance of 1 to ``most``.
 
-    Every pair within the distance differs in length by ``most`` or less, so names are met by
-    length: an equality join, not a cross join. Equal names are folded to one before it.
+    Rows of one name are one class, so copies are not multiplied out. Every pair within the
+    distance differs in length by ``most`` or less, so names are met by length: an equality join.
     """
-    named = names.where(F.col(name_col).isNotNull()).select(F.col(id_col).alias("id"), normal_name(F.col(name_col)).alias("name"))
-    kinds = named.select("name", F.length("name").alias("n")).distinct()
-    right = kinds.select(F.col("name").alias("other"), F.explode(F.sequence(F.col("n") - most, F.col("n") + most)).alias("n"))
-    near = kinds.join(right, "n").where("name <= other").withColumn("distance", F.levenshtein("name", "other", most))
-    near = near.where(f"distance between 0 and {most}").select("name", "other", "distance")
-    a, b = named.withColumnRenamed("id", "x"), named.select(F.col("id").alias("y"), F.col("name").alias("other"))
-    pairs = near.join(a, "name").join(b, "other").where("x <> y and (name < other or x < y)")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "distance")
+    kinds = name_classes(names, id_col, name_col).withColumn("n", F.length("name"))
+    right = kinds.select(F.col("name").alias("other"), F.col("id").alias("other_id"), F.explode(F.sequence(F.col("n") - most, F.col("n") + most)).alias("n"))
+    near = kinds.join(right, "n").where("name < other").withColumn("distance", F.levenshtein("name", "other", most))
+    near = near.where(f"distance between 1 and {most}")
+    return near.select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b"), "distance")
 
 
 def nearest_name(queries: DataFrame, names: DataFrame, id_col: str, name_col: str, most: int = 3) -> DataFrame:
@@ -47,12 +51,11 @@ def remapped(edges: DataFrame, mapping: DataFrame, column: str, distinct: bool =
     return out.distinct() if distinct else out
 
 
-def assign_ids(items: DataFrame, name: Column, order: list[Column], start: int) -> DataFrame:
+def assign_ids(items: DataFrame, name: Column, order: Column, start: int) -> DataFrame:
     """Sequential ids by first appearance: equal names share one; adds ``new_id``."""
-    keyed = items.withColumn("__name", name).withColumn("__o", F.struct(*order))
-    first = keyed.groupBy("__name").agg(F.min("__o").alias("__o"))
-    ids = first.select("__name", (F.row_number().over(Window.orderBy("__o")) + start - 1).alias("new_id"))
-    return keyed.drop("__o").join(ids, "__name").drop("__name")
+    keyed = items.withColumn("__name", name)
+    first = global_rank(keyed.groupBy("__name").agg(F.min(order).alias("__o")), "__o", "__name")
+    return keyed.join(first.select("__name", (F.col("rank") + start).alias("new_id")), "__name").drop("__name")
 
 
 def next_ids(df: DataFrame, id_col: str, prefix: str, default: int) -> Column:
@@ -61,14 +64,12 @@ def next_ids(df: DataFrame, id_col: str, prefix: str, default: int) -> Column:
 
 
 def collision_repair(items: DataFrame, id_col: str, order: list[str]) -> DataFrame:
-    """Later rows of an id used twice get new ids past the greatest; adds ``fixed``."""
-    rank = F.row_number().over(Window.partitionBy(id_col).orderBy(*order))
-    marked = items.withColumn("__r", rank)
-    top = items.agg(F.max(id_col).alias("__top"))
-    later = marked.where("__r > 1").withColumn("__n", F.row_number().over(Window.orderBy(id_col, *order)))
-    fixed = later.join(F.broadcast(top), F.col(id_col) <= F.col("__top")).withColumn("fixed", F.col("__top") + F.col("__n"))
-    first = marked.where("__r = 1").withColumn("fixed", F.col(id_col))
-    return first.drop("__r").unionByName(fixed.drop("__r", "__n", "__top"))
+    """Later rows of an id used twice get new ids past the greatest, in order; adds ``fixed``."""
+    first = items.groupBy(id_col).agg(F.min(F.struct(*order)).alias("__f"))
+    top = items.agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]
+    marked = items.join(first, id_col).withColumn("__first", F.struct(*order) == F.col("__f")).drop("__f")
+    later = global_rank(marked.where("not __first"), id_col, *order).withColumn("fixed", F.col("rank") + top + 1).drop("rank")
+    return marked.where("__first").withColumn("fixed", F.col(id_col)).unionByName(later).drop("__first")
 
 
 def dangling(refs: DataFrame, ref_col: str, known: DataFrame, key: str) -> DataFrame:

@@ -20,19 +20,19 @@ class Graph:
     @property
     def appearances(self) -> DataFrame:
         """(node, ep): the distinct episodes (days) in which a user appears."""
-        return self.table("events").select(F.col("user_id").alias("node"), (F.datediff(F.to_date("ts"), F.lit(EPOCH)) + 1).alias("ep")).distinct()
+        return self.table("events").select(F.col("user_id").alias("node"), (F.datediff(F.to_date("ts"), F.lit(EPOCH)) + 1).cast("long").alias("ep")).distinct()
 
     @property
     def claims(self) -> DataFrame:
         """(claim, person, ep, text, substantiated): orders; an episode is a year."""
         o = self.table("orders")
-        return o.select(F.col("o_orderkey").alias("claim"), F.col("o_custkey").alias("person"), F.year("o_orderdate").alias("ep"), F.concat_ws(" ", "o_orderstatus", "o_orderpriority").alias("text"), (F.col("o_orderstatus") != "P").alias("substantiated"), F.col("o_totalprice").alias("price"))
+        return o.select(F.col("o_orderkey").alias("claim"), F.col("o_custkey").alias("person"), F.year("o_orderdate").cast("long").alias("ep"), F.concat_ws(" ", "o_orderstatus", "o_orderpriority").alias("text"), (F.col("o_orderstatus") != "P").alias("substantiated"), F.col("o_totalprice").alias("price"))
 
     @property
     def anchors(self) -> DataFrame:
         """(artifact, claim, part, supplier): line items; each is an artifact that anchors its order."""
         li = self.table("lineitem")
-        return li.select(F.concat_ws(".", "l_orderkey", "l_linenumber").alias("artifact"), F.col("l_orderkey").alias("claim"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supplier"), F.year("l_shipdate").alias("ep"), "l_returnflag", "l_shipdate")
+        return li.select(F.concat_ws(".", "l_orderkey", "l_linenumber").alias("artifact"), F.col("l_orderkey").alias("claim"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supplier"), F.year("l_shipdate").cast("long").alias("ep"), "l_returnflag", "l_shipdate")
 
 
 #: The same relations for DuckDB, as the start of a WITH list.
