@@ -24,7 +24,7 @@ BITS, DIM, EPOCHS, RATE, SEED = 17, 8, 6, 0.5, 7
 #: Labelled rows the model is fitted on: at most so many of each label, and so many bytes of text in all.
 SAMPLE_ROWS, SAMPLE_BYTES = 1000, 12_000_000
 #: Bytes hashed at a time.
-BLOCK = 1 << 22
+BLOCK = 1 << 19
 NGRAMS = (3, 5)
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
