@@ -31,8 +31,8 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the least id of each group of near duplicates; of equal rows one."""
     found = stored(simhash.near_duplicates(docs).select("id", "component"), "near-duplicates")
-    gone = found.where("id <> component or id is null and component is not null").select("id").distinct()
-    kept = docs.join(small_or_not(stored(gone, "duplicates")), docs["doc_id"].eqNullSafe(F.col("id")), "left_anti")
+    gone = found.where("id <> component or id is null and component is not null").select(F.col("id").alias("__gone")).distinct()
+    kept = docs.join(small_or_not(stored(gone, "duplicates")), F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
     if found.where("id <=> component").groupBy("id").count().where("count > 1").limit(1).count():
         kept = kept.dropDuplicates(["doc_id", "text"])
     return kept
