@@ -110,9 +110,9 @@ def pack(docs: DataFrame, length: Column, id_col: str = "doc_id", capacities=CAP
     length 0 without a bin. Ids may repeat or be null; each row is packed for itself.
     """
     most = max(capacities)
-    rows = docs.select(F.col(id_col).alias("id"), F.greatest(F.coalesce(length, F.lit(0)), F.lit(0)).cast("long").alias("all"))
-    pieces = rows.select("id", "all", F.explode(F.expr(f"sequence(0L, greatest(all - 1, 0L) div {most})")).alias("piece"))
-    size = F.least(F.lit(most), F.col("all") - F.col("piece") * most).cast("int")
+    rows = docs.select(F.col(id_col).alias("id"), F.greatest(F.coalesce(length, F.lit(0)), F.lit(0)).cast("long").alias("tokens"))
+    pieces = rows.select("id", "tokens", F.explode(F.expr(f"sequence(0L, greatest(tokens - 1L, 0L) div {most})")).alias("piece"))
+    size = F.least(F.lit(most), F.col("tokens") - F.col("piece") * most).cast("int")
     pieces = pieces.select("id", "piece", (F.col("piece") * most).alias("start"), size.alias("length"))
     ordered = pieces.repartitionByRange("length", "id", "piece").sortWithinPartitions("length", "id", "piece")
     ordered = stored(ordered.withColumn("mark", F.monotonically_increasing_id()), "pack-order").withColumn("part", F.shiftright("mark", 33))
