@@ -290,8 +290,8 @@ def verified(spark: SparkSession, path: str) -> DataFrame:
 
     chunks = read_chunks(spark, path).mapInPandas(check, "digest binary, size int, crc long, good boolean")
     recipes = read_recipes(spark, path)
-    uses = recipes.select("pos", F.posexplode(F.arrays_zip("digests", "sizes")).alias("i", "x"), F.col("sizes").alias("all"))
-    after = F.expr("aggregate(slice(all, i + 2, size(all)), 0L, (a, x) -> a + x)")
+    uses = recipes.select("pos", F.posexplode(F.arrays_zip("digests", "sizes")).alias("i", "x"), F.col("sizes").alias("every"))
+    after = F.expr("aggregate(slice(every, i + 2, size(every)), 0L, (a, x) -> a + x)")
     uses = uses.select("pos", F.col("x.digests").alias("digest"), F.col("x.sizes").alias("want"), (after * 4).alias("after"))
     found = uses.join(chunks, "digest", "left")
     whole = F.coalesce(F.col("good") & (F.col("size") == F.col("want")), F.lit(False))
