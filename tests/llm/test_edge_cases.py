@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, repeated rows, empty tables and clashing columns, for every operator and stage."""
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,7 +40,7 @@ def items(spark):
 
 def runs(spark, docs, labels, items):
     trusted = labels.where("quality = 1").select("doc_id")
-    path = f"{shared_dir(spark)}/store-{id(docs)}"
+    path = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"
 
     def store():
         token_store.write_store(docs, path, queries.vocabulary("word_bpe_49k.json"))

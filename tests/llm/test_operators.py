@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import uuid
 import zlib
 from collections import Counter
 
@@ -179,7 +180,7 @@ def test_token_store_round_trip(spark, docs, texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(queries.vocabulary("word_bpe_49k.json"))
-    path = f"{shared_dir(spark)}/round-trip"
+    path = f"{shared_dir(spark)}/round-trip-{uuid.uuid4().hex}"
     token_store.write_store(docs, path, queries.vocabulary("word_bpe_49k.json"))
     found = {r.doc_id: r for r in token_store.verified(spark, path).collect()}
     whole = {r.doc_id: r.ids for r in token_store.read_ids(spark, path).collect()}

@@ -22,6 +22,7 @@ from itertools import chain, count, islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -166,28 +167,33 @@ def _encoded(docs: DataFrame, tokenizer_path: str, end: int) -> DataFrame:
         task = TaskContext.get().partitionId()
         encoder, known, rows = Encoder(tokenizer_path), set(), 0
         kind = "<u4" if encoder.wide else "<u2"
+        types = [pa.string(), pa.binary(), pa.string(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.int32(), pa.binary()]
+        names = ["kind", "key", "id", "digests", "sizes", "n", "payload"]
         for b in batches:
-            texts = [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in b["text"]]
+            ids_of, texts = b.column("id").to_pylist(), [t or b"" for t in b.column("text").cast(pa.binary()).to_pylist()]
             for at in range(0, len(texts), 500):
-                out = []
-                for doc_id, ids in zip(b["id"].iloc[at : at + 500], encoder.encode(texts[at : at + 500], end), strict=True):
+                out = [[] for _ in names]
+                for doc_id, ids in zip(ids_of[at : at + 500], encoder.encode(texts[at : at + 500], end), strict=True):
                     ends, raw = cuts(ids), ids.astype(kind).tobytes()
                     width = len(raw) // len(ids)
-                    sizes, begin, digests = np.diff([0, *ends]).tolist(), 0, []
-                    for stop, size in zip(ends, sizes, strict=True):
+                    sizes, begin, digests = [], 0, []
+                    for stop in ends:
                         payload = raw[begin * width : stop * width]
                         digests.append(d := digest_of(payload))
-                        begin = stop
+                        sizes.append(stop - begin)
                         if d not in known:
                             known.add(d)
-                            out.append(("chunk", d, None, None, None, size, payload))
-                    out.append(("doc", b"%d-%d" % (task, rows), doc_id, digests, sizes, len(ids), merkle_root(digests)))
+                            for column, v in zip(out, ("chunk", d, None, None, None, stop - begin, payload), strict=True):
+                                column.append(v)
+                        begin = stop
+                    for column, v in zip(out, ("doc", b"%d-%d" % (task, rows), doc_id, digests, sizes, len(ids), merkle_root(digests)), strict=True):
+                        column.append(v)
                     rows += 1
                 if len(known) > REMEMBERED:
                     known = set()
-                yield pd.DataFrame(out, columns=["kind", "key", "id", "digests", "sizes", "n", "payload"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
 
-    return docs.mapInPandas(run, "kind string, key binary, id string, digests array<binary>, sizes array<int>, n int, payload binary")
+    return docs.mapInArrow(run, "kind string, key binary, id string, digests array<binary>, sizes array<int>, n int, payload binary")
 
 
 def write_store(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end: int = 2) -> None:
@@ -276,9 +282,11 @@ def verified(spark: SparkSession, path: str) -> DataFrame:
 
     def check(batches):
         for b in batches:
-            ids = [np.frombuffer(p, "<u4" if len(p) == 4 * n else "<u2").astype("<u4") for p, n in zip(b["payload"], b["n"], strict=True)]
-            good = [digest_of(p) == bytes(d) and len(i) == n for p, d, i, n in zip(b["payload"], b["digest"], ids, b["n"], strict=True)]
-            yield pd.DataFrame({"digest": b["digest"], "size": [len(i) for i in ids], "crc": [zlib.crc32(i.tobytes()) for i in ids], "good": good})
+            payloads, digests, ns = (b.column(c).to_pylist() for c in ("payload", "digest", "n"))
+            ids = [np.frombuffer(p, "<u4" if len(p) == 4 * n else "<u2").astype("<u4") for p, n in zip(payloads, ns, strict=True)]
+            good = [digest_of(p) == d and len(i) == n for p, d, i, n in zip(payloads, digests, ids, ns, strict=True)]
+            arrays = [b.column("digest"), pa.array([len(i) for i in ids], pa.int32()), pa.array([zlib.crc32(i) for i in ids], pa.int64()), pa.array(good, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, ["digest", "size", "crc", "good"])
 
     @F.pandas_udf("long")
     def moved(crc: pd.Series, after: pd.Series) -> pd.Series:
@@ -288,7 +296,7 @@ def verified(spark: SparkSession, path: str) -> DataFrame:
     def rooted(digests: pd.Series, root: pd.Series) -> pd.Series:
         return pd.Series([merkle_root([bytes(d) for d in ds]) == bytes(r) for ds, r in zip(digests, root, strict=True)])
 
-    chunks = read_chunks(spark, path).mapInPandas(check, "digest binary, size int, crc long, good boolean")
+    chunks = read_chunks(spark, path).mapInArrow(check, "digest binary, size int, crc long, good boolean")
     recipes = read_recipes(spark, path)
     uses = recipes.select("pos", F.posexplode(F.arrays_zip("digests", "sizes")).alias("i", "x"), F.col("sizes").alias("every"))
     after = F.expr("aggregate(slice(every, i + 2, size(every)), 0L, (a, x) -> a + x)")
