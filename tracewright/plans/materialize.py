@@ -39,12 +39,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_or_not(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``limit`` rows, else ``df`` itself.
+def small_or_not(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``limit`` rows (BROADCAST_ROWS by default), else ``df`` itself.
 
     The caller's join is right either way; give narrow, stored tables, since the rows are counted.
     """
-    return F.broadcast(df) if df.count() <= limit else df
+    return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if limit is None else limit) else df
 
 
 def empty_like(spark: SparkSession, schema: str) -> DataFrame:
