@@ -101,3 +101,15 @@ def test_stages_keep_the_columns(spark, docs, labels, items, tmp_path):
             if name != "best_fit_packing":
                 assert out.columns == source.columns, name
             out.collect()
+
+
+def test_joins_beyond_the_broadcast_limits(spark, docs, labels, items, monkeypatch):
+    """The shuffled way of every size-checked join gives the rows of the broadcast way."""
+    from tracewright.plans import materialize
+
+    names = ("quality_rules", "decontamination", "packing", "simhash")
+    found = lambda: {n: sorted(map(str, runs(spark, docs, labels, items)[n]().collect())) for n in names}
+    small = found()
+    monkeypatch.setattr(materialize, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", -1)
+    assert found() == small
