@@ -107,7 +107,7 @@ def test_joins_beyond_the_broadcast_limits(spark, docs, labels, items, monkeypat
     """The shuffled way of every size-checked join gives the rows of the broadcast way."""
     from tracewright.plans import materialize
 
-    names = ("quality_rules", "decontamination", "packing", "simhash")
+    names = ("quality_rules", "decontamination", "packing")
     found = lambda: {n: sorted(map(str, runs(spark, docs, labels, items)[n]().collect())) for n in names}
     small = found()
     monkeypatch.setattr(materialize, "BROADCAST_ROWS", -1)
