@@ -32,7 +32,7 @@ MARK = "▁"
 ROUNDS = 2
 #: Mass of the vocabulary's own scores, in pieces, when probabilities are refitted.
 PRIOR = 1000.0
-#: Words that are broadcast to the documents: the most frequent, of at most so many characters.
+#: Words that are broadcast to the documents: frequent ones, so many at most, each of at most so many characters.
 FREQUENT, FREQUENT_CHARS = 200_000, 64
 #: Groups with scores of their own, one of them for all further values.
 MOST_GROUPS = 8
@@ -279,6 +279,20 @@ def word_scores(words: DataFrame, pieces: Pieces, groups: list[Group]) -> DataFr
     return words.mapInPandas(run, "word string, c long, ls array<double>")
 
 
+def frequent_words(words: DataFrame) -> DataFrame:
+    """The words of the highest levels of frequency, FREQUENT at most; a level is a sixteenth of a power of two.
+
+    The cut is found on a histogram with a row for each level, so no task sorts or gathers the words.
+    """
+    short = words.where(F.length("word") <= FREQUENT_CHARS).withColumn("level", F.when(F.col("c") > 0, F.floor(F.log2("c") * 16)).otherwise(-1))
+    cut, total = 1 << 20, 0
+    for level, n in sorted(short.groupBy("level").count().collect(), reverse=True):
+        if total + n > FREQUENT:
+            break
+        cut, total = level, total + n
+    return short.where(F.col("level") >= cut).drop("level")
+
+
 def score(docs: DataFrame, held_out, pieces_path: str, id_col: str = "doc_id", text_col: str = "text", group_col: str | None = None, rounds: int = ROUNDS, prior: float = PRIOR) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
@@ -317,7 +331,7 @@ def score(docs: DataFrame, held_out, pieces_path: str, id_col: str = "doc_id", t
     tokens, kinds = sum(g.words for g in groups) + ends, facts[4 * k] + (ends > 0)
     unigram = lambda c: F.log10((c + 0.1) / (tokens + 0.1 * (kinds + 1)))
     flat = scored.select("word", unigram(F.col("c")).alias("b"), (F.col("c") > 0).cast("long").alias("known"), "c", *[F.col("ls")[z].alias(f"l{z}") for z in range(k)])
-    often = stored(flat.where(F.length("word") <= FREQUENT_CHARS).orderBy(F.desc("c"), "word").limit(FREQUENT), "lattice-frequent")
+    often = stored(frequent_words(flat), "lattice-frequent")
     sums = ["b", "known", *[f"l{z}" for z in range(k)]]
     # One pass over the texts: what frequent words sum to in each text, and each rare word of it.
     each = rows.select("__k", "__d", F.explode("w").alias("word")).join(F.broadcast(often.withColumnRenamed("word", "often")), F.col("word") == F.col("often"), "left")
