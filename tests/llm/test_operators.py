@@ -302,6 +302,15 @@ def test_lm_base_and_score(spark, texts):
         assert got[i].n_known == sum(c[x] > 0 for x in w) + 1 and got[i].held_out == (i not in train) and got[i].score < 0
 
 
+def test_lm_rare_words_come_by_the_shuffled_join(spark, docs, monkeypatch):
+    path, held = queries.vocabulary("piece_bpe_32k.model"), quality_classifier.remainder("doc_id", 10) == 0
+    few = docs.limit(60).cache()
+    found = lambda: {r.id: (r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in lattice_lm.score(few, held, path).collect()}
+    whole = found()
+    monkeypatch.setattr(lattice_lm, "FREQUENT", 40)
+    assert found() == whole
+
+
 def test_pipeline_by_brute_force(spark, texts):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet(f"{SF}/documents.parquet")
