@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,13 +205,14 @@ def test_chunks_of_a_shared_passage_are_shared():
     assert len(one & two) >= 0.6 * len(one)
 
 
-@pytest.mark.parametrize("text", ["Word, word. WORD?", "it's <|endoftext|> x", "a.b,c d.. e,", "É, é. ñ.", "x y z", "１２ ①", "can't. won't,"])
+@pytest.mark.parametrize("text", ["Word, word. WORD?", "it's <|endoftext|> x", "a.b,c d.. e,", "É, é. ñ.", "x y z", "１２ ①", "can't. won't,", "a\x0bb\x0cc  d\n\n", "x, y, z, a. b.", "a ,b", "ab., c"])
 def test_encoder_equals_the_library(text):
     from tokenizers import Tokenizer
 
     path = queries.vocabulary("word_bpe_49k.json")
     want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
-    assert token_store.Encoder(path).encode([text.encode(), b"other text"], 2)[0].tolist() == [*want, 2]
+    got = list(token_store.Encoder(path).encode(pa.array([text, None, "other text"]), 2))
+    assert got[0].tolist() == [*want, 2] and got[1].tolist() == [2]
 
 
 def test_simhash_by_brute_force(spark, texts):

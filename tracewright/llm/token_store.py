@@ -14,15 +14,14 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 import sys
 import zlib
-from collections import defaultdict
-from itertools import chain, count, islice
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,12 +32,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Ids the rolling hash sees, and least, expected and most ids of a chunk.
 WINDOW, LEAST, USUAL, MOST = 16, 64, 256, 1024
-#: Words and digests a task remembers.
+#: Digests a task remembers.
 REMEMBERED = 400_000
 #: Words encoded in one call.
 JOINED = 200
 FAN = 1024
-_STOP = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\x09-\x0D]|\Z)")
 _POLY = 0xEDB88320
 
 
@@ -46,7 +44,7 @@ class Encoder:
     """Ids of whole texts by a tokenizer file; each different word is encoded once.
 
     The tokenizer must lower-case, drop white space, cut punctuation from letters and never join
-    ids across a cut. The first REMEMBERED words of a task are kept, so the frequent ones are.
+    ids across a cut.
     """
 
     def __init__(self, path: str):
@@ -59,8 +57,6 @@ class Encoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size() if mark else 0, bool)
         for token, i in self.tokenizer.get_vocab().items() if mark else ():
             self.ends[i] = token.endswith(mark)
-        self.seen: defaultdict[bytes, int] = defaultdict(count().__next__)
-        self.flat, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def tokens(self, letters: list[str], others: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after the other, and how many each has.
@@ -69,6 +65,8 @@ class Encoder:
         are encoded many to a call and told apart afterwards.
         """
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        if not letters and not others:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         if len(self.ends) and letters:
             lines = [" ".join(letters[i : i + JOINED]) for i in range(0, len(letters), JOINED)]
             ids = np.concatenate([np.array(e.ids, np.uint32) for e in encode(lines, add_special_tokens=False)])
@@ -81,44 +79,34 @@ class Encoder:
         return np.fromiter(chain.from_iterable(made), np.uint32, int(sizes.sum())), sizes
 
     @staticmethod
-    def words(text: bytes) -> list[bytes]:
-        """The words of a text with ``A-Z`` lower-cased, and a comma or stop after a letter as a word of its own."""
-        if b"<|" in text:  # special tokens are found in the text as it is
-            return text.split()
-        return _STOP.sub(rb" \1", text.lower()).split()
-
-    def learn(self, words: list[bytes]) -> None:
-        """Encode words and append their ids; word i of all is at begin[i], size[i] long."""
-        decoded = [w.decode("utf-8", "surrogatepass") for w in words]
-        alone = np.fromiter((w.isalpha() for w in decoded), bool, len(decoded))
+    def words(texts: pa.Array) -> pa.ListArray:
+        """The words of each text with ``A-Z`` lower-cased, and a comma or stop after a letter as a word of its own.
+
+        Texts in which special tokens may stand are split as they are.
+        """
+        plain = pc.replace_substring_regex(pc.ascii_lower(texts), r"([a-z])([.,])([\x20\x09-\x0D]|\z)", r"\1 \2\3")
+        return pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, plain))
+
+    def encode(self, texts: pa.Array, end: int):
+        """Ids of each text in turn, with ``end`` at the end; nulls are empty."""
+        split = self.words(texts.fill_null(""))
+        coded = split.flatten().dictionary_encode()
+        idx, kinds = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        alone = np.fromiter(map(str.isalpha, kinds), bool, len(kinds))
+        letters, others = [w for w, a in zip(kinds, alone, strict=True) if a], [w for w, a in zip(kinds, alone, strict=True) if not a]
+        ids, sizes = self.tokens(letters, others)
         order = np.concatenate((np.nonzero(alone)[0], np.nonzero(~alone)[0]))
-        n = int(alone.sum())
-        ids, sizes = self.tokens([decoded[i] for i in order[:n]], [decoded[i] for i in order[n:]])
-        begin, size = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
-        begin[order], size[order] = len(self.flat) + np.cumsum(sizes) - sizes, sizes
-        self.flat, self.begin, self.size = np.concatenate((self.flat, ids)), np.concatenate((self.begin, begin)), np.concatenate((self.size, size))
-
-    def encode(self, texts: list[bytes], end: int) -> list[np.ndarray]:
-        number = self.seen.__getitem__  # a new word gets the next number
-        split = [np.fromiter(map(number, words), np.int64, len(words)) for words in map(self.words, texts)]
-        if len(self.seen) > len(self.size):
-            self.learn(list(islice(self.seen, len(self.size), None)))
-        out = []
-        for idx in split:
-            sizes = self.size[idx]
-            stop = np.cumsum(sizes)
-            total = int(stop[-1]) if len(stop) else 0
-            ids = np.empty(total + 1, np.uint32)
-            ids[:total] = self.flat[np.repeat(self.begin[idx] - stop + sizes, sizes) + np.arange(total)]
-            ids[total] = end
-            out.append(ids)
-        for word in list(islice(self.seen, REMEMBERED, None)):
-            del self.seen[word]
-        if len(self.size) > len(self.seen):
-            kept = len(self.seen)
-            self.flat, self.begin, self.size = self.flat[: int((self.begin[:kept] + self.size[:kept]).max(initial=0))], self.begin[:kept], self.size[:kept]
-            self.seen.default_factory = count(kept).__next__
-        return out
+        begin, size = np.empty(len(kinds), np.int64), np.empty(len(kinds), np.int64)
+        begin[order], size[order] = np.cumsum(sizes) - sizes, sizes
+        bounds = np.concatenate(([0], np.cumsum(split.value_lengths().to_numpy())))
+        for at in range(0, len(texts), 64):
+            stops = bounds[at : min(at + 64, len(texts)) + 1]
+            part = idx[stops[0] : stops[-1]]
+            each = size[part]
+            stop = np.concatenate(([0], np.cumsum(each)))
+            found = ids[np.repeat(begin[part] - stop[:-1], each) + np.arange(stop[-1])]
+            for a, b in zip(stop[stops[:-1] - stops[0]], stop[stops[1:] - stops[0]], strict=True):
+                yield np.append(found[a:b], np.uint32(end))
 
 
 def _mixed(ids: np.ndarray) -> np.ndarray:
@@ -170,10 +158,10 @@ def _encoded(docs: DataFrame, tokenizer_path: str, end: int) -> DataFrame:
         types = [pa.string(), pa.binary(), pa.string(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.int32(), pa.binary()]
         names = ["kind", "key", "id", "digests", "sizes", "n", "payload"]
         for b in batches:
-            ids_of, texts = b.column("id").to_pylist(), [t or b"" for t in b.column("text").cast(pa.binary()).to_pylist()]
-            for at in range(0, len(texts), 500):
+            encoded = zip(b.column("id").to_pylist(), encoder.encode(b.column("text").cast(pa.string()), end), strict=True)
+            while part := list(islice(encoded, 500)):
                 out = [[] for _ in names]
-                for doc_id, ids in zip(ids_of[at : at + 500], encoder.encode(texts[at : at + 500], end), strict=True):
+                for doc_id, ids in part:
                     ends, raw = cuts(ids), ids.astype(kind).tobytes()
                     width = len(raw) // len(ids)
                     sizes, begin, digests = [], 0, []
