@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# The filler words that are counted.
 FILLERS = r"(?i)\b(uh|um|erm|er|ah|hmm|hm|like)\b"
 
 

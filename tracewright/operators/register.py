@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tracewright.functions.text import id_list
 
+# The grammar of register headers and field lines.
 HEADER = r"^\*\*((?:A|C|N|M|LM)-\d+(?:\.\d+)?)\*\*[ \t]+(.+)$"
 FIELD = r"^([A-Z][A-Za-z ]*?):[ \t]*(.*?)[ \t]*$"
 # The kinds of link lines, and the relations that each allows (none: any identifier pair).

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def event_stream(spark: SparkSession, path: str, files: int = 1) -> DataFrame:
-    """Events arriving as Parquet files, ``files`` to a batch."""
-    schema = spark.read.parquet(path).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+def event_stream(spark: SparkSession, folder: str, pattern: str = "*.parquet", files: int = 1) -> DataFrame:
+    """Events arriving in a folder as Parquet files whose names match, ``files`` to a batch."""
+    schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files).parquet(folder)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))  # a watermark needs a time zone
 
 
