@@ -12,11 +12,17 @@ def joined_list(values: Column, sep: str = ",") -> Column:
 
 
 def cooccurrence(appearances: DataFrame, least: int = 2) -> DataFrame:
-    """Pairs of nodes that appear in ``least`` or more episodes together; (a, b, together, episodes)."""
+    """Pairs of nodes that appear in ``least`` or more episodes together; (a, b, together, episodes).
+
+    ``appearances`` are distinct, so pairs are counted, not listed; the episodes of the pairs that
+    remain are the intersection of both nodes' own lists.
+    """
     a = appearances.select("ep", F.col("node").alias("a"))
     b = appearances.select("ep", F.col("node").alias("b"))
-    pairs = a.join(b, "ep").where("a < b").groupBy("a", "b")
-    return pairs.agg(F.count_distinct("ep").alias("together"), joined_list("ep").alias("episodes")).where(F.col("together") >= least)
+    pairs = a.join(b, "ep").where("a < b").groupBy("a", "b").agg(F.count("*").alias("together")).where(F.col("together") >= least)
+    own = appearances.groupBy("node").agg(F.array_sort(F.collect_list("ep")).alias("eps"))
+    both = pairs.join(own.select(F.col("node").alias("a"), F.col("eps").alias("eps_a")), "a").join(own.select(F.col("node").alias("b"), F.col("eps").alias("eps_b")), "b")
+    return both.select("a", "b", "together", F.array_join(F.array_intersect("eps_a", "eps_b"), ",").alias("episodes"))
 
 
 def ego_connections(appearances: DataFrame, node) -> DataFrame:
