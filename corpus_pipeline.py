@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tracewright.llm import bin_packing, decontamination, quality_classifier, quality_rules, queries, simhash
 from tracewright.llm.shared import without
-from tracewright.plans.materialize import small_or_not, stored
+from tracewright.plans.materialize import stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,11 +29,10 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the least id of each group of near duplicates; of equal rows one."""
-    found = stored(simhash.near_duplicates(docs).select("id", "component"), "near-duplicates")
-    gone = found.where("id <> component or id is null and component is not null").select(F.col("id").alias("__gone")).distinct()
-    kept = docs.join(small_or_not(stored(gone, "duplicates")), F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
-    if found.where("id <=> component").groupBy("id").count().where("count > 1").limit(1).count():
+    """Keeps one row of each group of near duplicates: that of the least id, null ids last; of equal rows one."""
+    found = stored(simhash.row_groups(docs), "near-duplicates")
+    kept = without(docs, stored(found.where("not first").select("__k", "__d").distinct(), "duplicates"))
+    if found.where("first").groupBy("__k", "__d").count().where("count > 1").limit(1).count():
         kept = kept.dropDuplicates(["doc_id", "text"])
     return kept
 

@@ -13,9 +13,10 @@ import sys
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewright.llm.shared import row_key
 from tracewright.plans.components import connected_components
 from tracewright.plans.materialize import stored
 
@@ -50,18 +51,18 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(id, fp) of every row; one fp long each. Null texts count as empty."""
+    """(id, __k, __d, fp) of every row; one fp long each, beside the row key. Null texts count as empty."""
 
     def run(batches):
         for b in batches:
             fps = [fingerprint(t if isinstance(t, str) else None, shingle) for t in b["text"]]
-            yield pd.DataFrame({"fp": np.array(fps, np.int64), "id": b["id"]})[["id", "fp"]]
+            yield pd.DataFrame({"fp": np.array(fps, np.int64), "id": b["id"], "__k": b["__k"], "__d": b["__d"]})[["id", "__k", "__d", "fp"]]
 
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    src = row_key(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text")
     kind = src.schema["id"].dataType.simpleString()
     # An id that is null would turn a pandas column of longs into floats: ids travel as text.
-    out = src.withColumn("id", F.col("id").cast("string")).mapInPandas(run, "id string, fp long")
-    return out.select(F.col("id").cast(kind).alias("id"), "fp")
+    out = src.withColumn("id", F.col("id").cast("string")).mapInPandas(run, "id string, __k long, __d int, fp long")
+    return out.select(F.col("id").cast(kind).alias("id"), "__k", "__d", "fp")
 
 
 def variants(fps: DataFrame) -> DataFrame:
@@ -93,6 +94,17 @@ def close_pairs(fps: DataFrame, most: int = 3) -> DataFrame:
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
+def _named(marked: DataFrame, first: Column, most: int) -> DataFrame:
+    """(fp, component): the least ``first`` of the rows that are reachable from the fingerprint."""
+    nodes = stored(marked.groupBy("fp").agg(F.min(first).alias("least")), "fingerprint-nodes")
+    parts = connected_components(close_pairs(nodes.select("fp"), most), "u", "v")
+    parts = stored(parts, "fingerprint-parts").withColumnRenamed("node", "fp")
+    tops = parts.join(nodes, "fp").groupBy("component").agg(F.min("least").alias("top"))
+    named = nodes.join(parts.join(tops, "component").select("fp", "top"), "fp", "left")
+    # Stored, so that both sides of the last join are dealt out anew and a hot fingerprint can be split.
+    return stored(named.select("fp", F.coalesce("top", "least").alias("component")), "fingerprint-names")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, most: int = 3) -> DataFrame:
     """(id, fp, component): the least id reachable over links of at most ``most`` differing bits.
 
@@ -100,12 +112,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     size costs one node. Rows with a null id take part but never name a component; a group of only
     null ids has a null component. Empty tables give no rows.
     """
+    marked = stored(fingerprints(docs, id_col, text_col, shingle).select("id", "fp"), "fingerprints")
+    return marked.join(_named(marked, F.col("id"), most), "fp").select("id", "fp", "component")
+
+
+def row_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, most: int = 3) -> DataFrame:
+    """(__k, __d, first) of every row: whether it is the one of its component to keep.
+
+    That is the row of the least (id, __k, __d), null ids last; only equal rows are first together.
+    """
     marked = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    nodes = stored(marked.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint-nodes")
-    parts = connected_components(close_pairs(nodes.select("fp"), most), "u", "v")
-    parts = stored(parts, "fingerprint-parts").withColumnRenamed("node", "fp")
-    tops = parts.join(nodes, "fp").groupBy("component").agg(F.min("least").alias("top"))
-    named = nodes.join(parts.join(tops, "component").select("fp", "top"), "fp", "left")
-    # Stored, so that both sides of the last join are dealt out anew and a hot fingerprint can be split.
-    named = stored(named.select("fp", F.coalesce("top", "least").alias("component")), "fingerprint-names")
-    return marked.join(named, "fp").select("id", "fp", "component")
+    named = _named(marked, F.struct(F.col("id").isNull().alias("null"), "id", "__k", "__d"), most)
+    first = (F.col("__k") == F.col("component.__k")) & (F.col("__d") == F.col("component.__d"))
+    return marked.join(named, "fp").select("__k", "__d", first.alias("first"))
