@@ -2,6 +2,8 @@
 
 import pytest
 
+from tracewright.llm import license_scan
+
 def test_near_duplicate_stage_keeps_one_row_of_each_group(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     from tracewright.llm import simhash
@@ -12,3 +14,18 @@ def test_near_duplicate_stage_keeps_one_row_of_each_group(spark):
     kept = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
     assert sorted(t[:2] for _, t in kept) == ["a0", "b0", "c0", "d0"]
     assert {(r.doc_id, r.text) for r in kept} >= {(1, a), (None, b), (2, d)}
+
+
+@pytest.mark.parametrize("width,lead", [(79, ""), (75, " * "), (30, "# "), (1, "")])
+def test_license_notices_in_lines_of_any_width(spark, width, lead):
+    import textwrap
+
+    def notice(names):
+        said = " ".join(next(s for n, s in license_scan.SENTENCES if n == name) + "." for name in names)
+        return "\n".join(lead + line for line in textwrap.wrap(said, width, break_long_words=False, break_on_hyphens=False))
+
+    want = {k: (name, ids) for k, (name, ids) in enumerate(license_scan.RULES) if len(ids) == 4}
+    rows = [(k, notice(ids)) for k, (_, ids) in want.items()]
+    got = {r["id"]: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, (name, ids) in want.items():
+        assert (got[k].sentence_ids, got[k].licenses, got[k].unmatched) == (",".join(ids), name, "")

@@ -1,7 +1,7 @@
 """Licence recognition by sentences and ordered rules, in DataFrame operations only.
 
-A text is cut into fragments at line ends and sentence ends; runs of up to MOST_FRAGMENTS fragments
-are normalised and looked up among known licence sentences. The identifiers found, in the order of
+A text is cut into fragments at line ends and sentence ends; runs of fragments, as long as any known
+licence sentence can reach, are normalised and looked up among the known sentences. The identifiers found, in the order of
 the text, are matched against ordered rules; a rule that matches consumes its identifiers.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tracewright.llm.shared import ascii_lower, row_key
 
+#: Fragments in a run of the SQL of operator 3; ``scan`` has no such bound.
 MOST_FRAGMENTS = 4
 BREAKS = r"[.!?;:]+[\x20\x09-\x0D]+|\n+"
 
@@ -124,13 +125,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """
     spark, known = docs.sparkSession, known_sentences()
     table = F.broadcast(spark.createDataFrame([(s, n, max(1, len(s))) for s, n in known.items()], "sentence string, name string, chars int"))
-    starts = "^(" + "|".join(sorted({s.split(" ")[0] for s in known})) + ")( |$)"
+    # A fragment that begins a sentence is a prefix of it in whole words, and each fragment has a word.
+    words = [s.split(" ") for s in known]
+    starts, most = "^(" + "|".join(sorted({w[0] for w in words})) + ")( |$)", max(map(len, words))
+    padded = "array(" + ", ".join(f"'{s} '" for s in sorted(known)) + ")"
     rows = row_key(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text")
     parts = F.transform(F.split(ascii_lower(F.coalesce("text", F.lit(""))), BREAKS), lambda x: F.trim(F.regexp_replace(x, "[^a-z0-9]+", " ")))
     # Bound once in a lambda, so that the fragments are not made anew for each place that looks at them.
     near = F.expr(f"""transform(array(parts), p -> flatten(transform(
-        filter(sequence(0, size(p) - 1), i -> size(p) > 0 and rlike(p[i], '{starts}')),
-        i -> transform(sequence(1, least({MOST_FRAGMENTS}, size(p) - i)), n -> struct(i as i, n as n, array_join(slice(p, i + 1, n), ' ') as s)))))[0]""")
+        filter(sequence(0, size(p) - 1), i -> size(p) > 0 and rlike(p[i], '{starts}') and exists({padded}, s -> startswith(s, p[i] || ' '))),
+        i -> transform(sequence(1, least({most}, size(p) - i)), n -> struct(i as i, n as n, array_join(slice(p, i + 1, n), ' ') as s)))))[0]""")
     cut = rows.select("__k", "__d", F.filter(parts, lambda x: x != "").alias("parts")).where("size(parts) > 0")
     runs = cut.select("__k", "__d", F.explode(near).alias("r"))
     found = runs.select("__k", "__d", "r.*").join(table, F.col("s") == F.col("sentence"))
