@@ -2,7 +2,7 @@
 
 import pytest
 
-from tracewright.llm import license_scan
+from tracewright.llm import html_extraction, license_scan
 
 def test_near_duplicate_stage_keeps_one_row_of_each_group(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
@@ -29,3 +29,19 @@ def test_license_notices_in_lines_of_any_width(spark, width, lead):
     got = {r["id"]: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     for k, (name, ids) in want.items():
         assert (got[k].sentence_ids, got[k].licenses, got[k].unmatched) == (",".join(ids), name, "")
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ('<article><p>One</p><svg class="i"/><p>Two</p><p>Three</p></article>', "One Two Three"),
+        ('<article><p>One</p><svg class="i"/><p>Two</p><svg><path/>x</svg><p>Three</p></article>', "One Two Three"),
+        ("<article><p>One</p><svg><p>Two</p><p>Three</p></article>", "One Two Three"),
+        ("<article><p>One two three</p> I <3 all the rest", "One two three I <3 all the rest"),
+        ("<article><p>One two three</p> rest <a href=", "One two three rest"),
+        ("<article><p title=it's>One two</p><p>It's three</p></article>", "One two It's three"),
+        ("<article><p title='a > b'>One</p><p title=\"c > d\">Two</p></article>", "One Two"),
+    ],
+)
+def test_html_pages_that_are_not_well_formed(page, want):
+    assert html_extraction.extract(page, html_extraction.learn(html_extraction.LABELLED_PAGES)) == want

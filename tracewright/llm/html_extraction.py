@@ -23,12 +23,15 @@ from tracewright.llm.labelled_pages import LABELLED_PAGES
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+)?)*+)(?:>|\Z)", re.S)
+_CUT_OFF = re.compile(r"\s*<[A-Za-z/!?]")
 _ATTR = re.compile(r"([A-Za-z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _TOKEN = re.compile(r"[a-z0-9]+")
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea noscript template svg iframe noembed noframes xmp".split())
+#: Elements of RAW whose content is markup: without an end tag they are plain elements. The others then reach to the page's end.
+MARKUP = frozenset("noscript template svg".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
@@ -125,15 +128,18 @@ def runs(page: str) -> list[Run]:
             if stack[k][0] in SCOPES:
                 break
         out.append(Run("", (), 0, name))
-        if name in RAW:
+        empty = attrs.rstrip().endswith("/")
+        if name in RAW and not (name == "svg" and empty):
             low = page.lower() if low is None else low
             end = low.find("</" + name, at)
-            at = len(page) if end < 0 else end
-            stack.append((name, (), False))
-        elif name not in VOID and not attrs.rstrip().endswith("/"):
+            if end >= 0 or name not in MARKUP:
+                at = len(page) if end < 0 else end
+                stack.append((name, (), False))
+                continue
+        if name not in VOID and not empty:
             stack.append((name, _keys(name, attrs), "data-main" in attrs))
     # A cut-off tag at the end is no text.
-    text(page[at:] if not page[at:].lstrip().startswith("<") else "")
+    text(page[at:] if not _CUT_OFF.match(page, at) else "")
     return out
 
 
