@@ -285,10 +285,18 @@ def verified(spark: SparkSession, path: str) -> DataFrame:
         return pd.Series([merkle_root([bytes(d) for d in ds]) == bytes(r) for ds, r in zip(digests, root, strict=True)])
 
     chunks = read_chunks(spark, path).mapInArrow(check, "digest binary, size int, crc long, good boolean")
+    def placed(batches):
+        """A row for each chunk of each document, with the bytes that follow it."""
+        for b in batches:
+            lengths = b.column("sizes").value_lengths().to_numpy()
+            sizes = b.column("sizes").flatten().to_numpy().astype(np.int64)
+            ends = np.concatenate(([0], np.cumsum(sizes)))
+            after = np.repeat(ends[np.cumsum(lengths)], lengths) - ends[1:]
+            columns = [np.repeat(b.column("pos").to_numpy(), lengths), b.column("digests").flatten(), sizes, after * 4]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["pos", "digest", "want", "after"])
+
     recipes = read_recipes(spark, path)
-    uses = recipes.select("pos", F.posexplode(F.arrays_zip("digests", "sizes")).alias("i", "x"), F.col("sizes").alias("every"))
-    after = F.expr("aggregate(slice(every, i + 2, size(every)), 0L, (a, x) -> a + x)")
-    uses = uses.select("pos", F.col("x.digests").alias("digest"), F.col("x.sizes").alias("want"), (after * 4).alias("after"))
+    uses = recipes.select("pos", "digests", "sizes").mapInArrow(placed, "pos long, digest binary, want long, after long")
     found = uses.join(chunks, "digest", "left")
     whole = F.coalesce(F.col("good") & (F.col("size") == F.col("want")), F.lit(False))
     found = found.select("pos", moved(F.coalesce("crc", F.lit(0)), F.col("after")).alias("crc"), F.coalesce("size", F.lit(0)).cast("long").alias("size"), whole.alias("whole"))
