@@ -44,35 +44,52 @@ def test_quality_base_columns(spark, texts):
         assert r.base_failed == (len(w) < 50 or 100 * len(inside) > 50 * len(w)) and not (r.kept and r.base_failed)
 
 
+def spark_hash(spark, *values):
+    return spark.range(1).select(F.xxhash64(*[F.lit(v).cast("long") for v in values])).first()[0]
+
+
 def test_quality_ratio_by_brute_force(spark):
     import xxhash
 
-    rows = [(1, "good words here"), (2, "bad bad words"), (3, "good words again")]
+    rows = [(1, "good words here"), (2, "bad bad words"), (3, "good words again"), (4, None), (3, "good words again")]
     signed = lambda h: h - (1 << 64) if h >> 63 else h
+    uni, bi, pairs = 1 << 9, 1 << 8, {}
 
     def grams(text):
-        h = [signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in text.split()]
-        pair = lambda a, b: signed(spark_pair(a, b))
-        return h + [pair(a, b) for a, b in zip(h, h[1:])]
-
-    pairs = {}
+        h = [signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in (text or "").split()]
+        for p in zip(h, h[1:]):
+            pairs[p] = pairs[p] if p in pairs else spark_hash(spark, *p)
+        return [x % uni for x in h] + [uni + pairs[p] % bi for p in zip(h, h[1:])]
 
-    def spark_pair(a, b):
-        if (a, b) not in pairs:
-            pairs[a, b] = spark.range(1).select(F.xxhash64(F.lit(a).cast("long"), F.lit(b).cast("long"))).first()[0] & ((1 << 64) - 1)
-        return pairs[a, b]
-
-    size = 1 << 10
     raw, target = Counter(), Counter()
     for i, t in rows:
-        raw.update(g % size for g in grams(t))
-        if i != 2:
-            target.update(g % size for g in grams(t))
-    llr = lambda b: math.log((target[b] + 1) / (sum(target.values()) + size)) - math.log((raw[b] + 1) / (sum(raw.values()) + size))
-    got = quality_rules.quality(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1,), (3,)], "doc_id long"), buckets=size)
-    for r in got.collect():
+        raw.update(grams(t))
+        target.update(grams(t) if i in (1, 3) else [])
+    share = sum(target.values()) / sum(raw.values())
+    llr = lambda b: math.log((target[b] + 1) / (raw[b] * share + 1))
+    got = quality_rules.quality(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1,), (3,)], "doc_id long"), buckets=(uni, bi)).collect()
+    assert sorted(r["id"] for r in got) == [1, 2, 3, 3, 4]
+    for r in got:
         g = grams(dict(rows)[r["id"]])
-        assert r.llr_score == pytest.approx(sum(llr(x % size) for x in g) / len(g))
+        assert r.llr_score == pytest.approx(sum(llr(x) for x in g) / len(g) if g else 0, rel=1e-6)
+
+
+def test_repeated_windows_with_equal_leading_bits(spark):
+    near = (5 << 40) + 1
+    for windows, want in (([5 << 40, near, 5 << 40], 5), ([5 << 40, near, (5 << 40) + 2], 0), ([7, 7, 7], 5), ([], 0)):
+        got = spark.createDataFrame([(windows,)], "t array<long>").select(quality_rules.repeated_words().alias("n")).first().n
+        assert got == want
+
+
+def test_quality_rules_reject_labelled_junk_and_keep_good(spark):
+    """Good documents left out of the target, by folds, and bad ones: what the ratio decides of those that pass the base rule."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    out = quality_classifier.remainder("doc_id", 5) == 0
+    got = quality_rules.quality(spark.read.parquet(f"{sf}/documents.parquet"), labels.where((F.col("quality") == 1) & ~out))
+    got = got.withColumnRenamed("id", "doc_id").join(labels, "doc_id").where("not base_failed")
+    found = dict(got.select("quality", (F.col("quality") == 1).alias("good"), out.alias("out"), "kept").where("out or not good").groupBy("quality").agg(F.avg(F.col("kept").cast("int"))).collect())
+    assert found[0] <= 0.01 and found[1] >= 0.99
 
 
 def test_sharding_is_minimax(spark, docs, texts):
