@@ -56,7 +56,7 @@ def runs(spark, docs, labels, items):
         "store": store,
         "simhash": lambda: simhash.near_duplicates(docs),
         "decontamination": lambda: decontamination.contamination(docs, items),
-        "lattice": lambda: lattice_lm.score(docs, quality_classifier.remainder("doc_id", 10) == 0, queries.vocabulary("piece_bpe_32k.model"), group_col="lang"),
+        "lattice": lambda: lattice_lm.score(docs, quality_classifier.remainder("doc_id", 10) == 0, queries.vocabulary("piece_bpe_32k.model")),
     }
 
 

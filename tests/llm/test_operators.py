@@ -288,24 +288,49 @@ def test_decontamination_by_brute_force(spark):
         assert got[i].contaminated == (len(hit) > 0 and 20 * len(hit) >= len(w))
 
 
-def test_lattice_sums_all_segmentations():
+def plain_marginal(word, number, p):
+    """Probability of a marked word, summed over its segmentations one by one."""
+    if not word:
+        return 1.0
+    total = 0.0
+    for k in range(1, len(word) + 1):
+        if word[:k] in number:
+            total += p[number[word[:k]]] * plain_marginal(word[k:], number, p)
+        elif k == 1:
+            total += math.prod(p[len(number) + b] for b in word[0].encode()) * plain_marginal(word[1:], number, p)
+    return total
+
+
+def test_lattice_sums_all_segmentations(monkeypatch):
     pieces = lattice_lm.load_pieces(queries.vocabulary("piece_bpe_32k.model"))
-    number, p = {t: i for i, t in enumerate(pieces.texts)}, pieces.first
-
-    def cuts(word):
-        if not word:
-            return 1.0
-        total = 0.0
-        for k in range(1, len(word) + 1):
-            if word[:k] in number:
-                total += p[number[word[:k]]] * cuts(word[k:])
-            elif k == 1:
-                total += math.prod(p[len(pieces.texts) + b] for b in word[0].encode()) * cuts(word[1:])
-        return total
-
-    sample = ["the", "thonlynt", "été", "a", "日x😀", "#!!"]
-    got = lattice_lm.Lattice(pieces).likelihoods(sample, [p])[:, 0]
-    assert np.allclose(got, [math.log(cuts(lattice_lm.MARK + w)) for w in sample])
+    number, p = {t: i for i, t in enumerate(pieces.texts)}, pieces.p
+    sample = ["the", "thonlynt", "été", "a", "日x😀", "#!!", "unbelievably"]
+    want = [math.log(plain_marginal(lattice_lm.MARK + w, number, p)) for w in sample]
+    assert np.allclose(lattice_lm.Lattice(pieces).likelihoods(sample, p), want)
+    for span in (1, 3, 5):  # words longer than what is laid out at a time
+        monkeypatch.setattr(lattice_lm, "SPAN", span)
+        assert np.allclose(lattice_lm.Lattice(pieces).likelihoods(sample, p), want)
+
+
+def test_lm_score_of_whole_texts_by_brute_force(spark):
+    """``score`` is the sum over all segmentations of the whole text, ``mixed_score`` with the training words as edges."""
+    path = queries.vocabulary("piece_bpe_32k.model")
+    rows = [(1, "The cat the CAT"), (2, "a dog sat"), (3, "the bird été"), (4, None), (5, ""), (6, "the dog x😀")]
+    held = F.col("doc_id").isin(3, 6)
+    got = {r["id"]: r for r in lattice_lm.score(spark.createDataFrame(rows, "doc_id long, text string"), held, path).collect()}
+    pieces = lattice_lm.load_pieces(path)
+    number = {t: i for i, t in enumerate(pieces.texts)}
+    c = Counter("the cat the cat a dog sat".split())
+    tokens, end = 7 + 4, 4 / 11
+    p, once, twice = pieces.p * (1 - end), 3, 2
+    d = once / (once + 2 * twice)
+    first = (1 - end) * sum(pieces.p[i] for t, i in number.items() if t.startswith(lattice_lm.MARK))
+    for i, text in rows:
+        w = (text or "").lower().split()
+        by_lattice = [plain_marginal(lattice_lm.MARK + x, number, p) for x in w]
+        assert got[i].score == pytest.approx(sum(map(math.log10, by_lattice)) + math.log10(end))
+        mixed = [max(c[x] - d, 0) / tokens + d * len(c) / tokens * y * (end + first) / first for x, y in zip(w, by_lattice)]
+        assert got[i].mixed_score == pytest.approx(sum(map(math.log10, mixed)) + math.log10(end))
 
 
 def test_lm_base_and_score(spark, texts):
@@ -324,7 +349,7 @@ def test_lm_base_and_score(spark, texts):
 def test_lm_rare_words_come_by_the_shuffled_join(spark, docs, monkeypatch):
     path, held = queries.vocabulary("piece_bpe_32k.model"), quality_classifier.remainder("doc_id", 10) == 0
     few = docs.limit(60).cache()
-    found = lambda: {r.id: (r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in lattice_lm.score(few, held, path).collect()}
+    found = lambda: {r.id: (r.n_known, round(r.base_score, 6), round(r.score, 6), round(r.mixed_score, 6)) for r in lattice_lm.score(few, held, path).collect()}
     whole = found()
     monkeypatch.setattr(lattice_lm, "FREQUENT", 40)
     assert found() == whole

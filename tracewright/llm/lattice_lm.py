@@ -1,14 +1,13 @@
 """Subword-lattice language model: the marginal probability of a text over all its segmentations.
 
-The pieces and their first scores are those of an existing vocabulary file. A text is a run of
-words, each written with a word mark and cut into pieces in every possible way, and one end. Piece
-scores are refitted to the training words by expectation maximisation; the forward recursion over
-a word's lattice, in log space, sums all its segmentations. A word of the training texts is one
-more edge from end to end of its lattice, weighted by its discounted count.
-
-Every value of a grouping column (a language, say) has its own scores, learned from its training
-texts. A text is scored by its words alone: its probability is the mean over the groups, weighted
-by their share of the training texts.
+The pieces and their scores are those of an existing vocabulary file. A text is a run of words,
+each written with a word mark and cut into pieces in every possible way, and one end. The forward
+recursion over a word's lattice, in log space, sums all its segmentations; a text's log probability
+is the sum of those of its words and of its end. The one number that a vocabulary lacks, the
+probability of the end, is learned from the training texts.
+
+``mixed_score`` is a second model, beside it: a word of the training texts is one more edge from end
+to end of its lattice, weighted by its discounted count, and the lattice has what the discount leaves.
 """
 
 from __future__ import annotations
@@ -29,34 +28,30 @@ from tracewright.plans.materialize import stored
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MARK = "▁"
-ROUNDS = 2
-#: Mass of the vocabulary's own scores, in pieces, when probabilities are refitted.
-PRIOR = 1000.0
 #: Words that are broadcast to the documents: frequent ones, so many at most, each of at most so many characters.
 FREQUENT, FREQUENT_CHARS = 200_000, 64
-#: Groups with scores of their own, one of them for all further values.
-MOST_GROUPS = 8
-#: Characters of words laid out at a time.
-CELLS = 400_000
+#: Cells laid out at a time, and characters of a word; a longer word is laid out piece by piece, with the last positions carried over.
+CELLS, SPAN = 400_000, 4096
 
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SLOTS = 20
 
 
 def _codes(words: list[str]) -> np.ndarray:
-    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
 
 
 @dataclass
 class Pieces:
-    """The vocabulary that lower-cased text can use: its pieces, the 256 bytes, and the end."""
+    """The vocabulary that lower-cased text can use: its pieces and the 256 bytes."""
 
     texts: list[str]
-    first: np.ndarray  # probabilities by the vocabulary's own scores; pieces, then bytes, then end
+    p: np.ndarray  # probabilities by the vocabulary's own scores: pieces, then bytes
 
     @property
-    def end(self) -> int:
-        return len(self.texts) + 256
+    def marked(self) -> float:
+        """Probability of the pieces that begin a word."""
+        return float(self.p[: len(self.texts)][[t.startswith(MARK) for t in self.texts]].sum())
 
     def tables(self) -> tuple[np.ndarray, ...]:
         """Two-way hash table from the hash of a piece to its number."""
@@ -83,7 +78,11 @@ class Pieces:
 
 
 def load_pieces(path: str) -> Pieces:
-    """Pieces of a sentencepiece file. A byte-pair file scores a piece by its rank r: 1 / (r + 10)."""
+    """Pieces of a sentencepiece file, with their scores as probabilities.
+
+    The scores of a byte-pair file are ranks, not log probabilities: a piece of rank r has the weight
+    1 / (r + 10), and a byte that of the last piece. Upper-case pieces are left out.
+    """
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -96,17 +95,17 @@ def load_pieces(path: str) -> Pieces:
             texts.append(piece)
             weights.append(1 / (10 - score))
     low = min(weights, default=1.0)
-    p = np.array([*weights, *[low] * 256, low])
+    p = np.array([*weights, *[low] * 256])
     return Pieces(texts, p / p.sum())
 
 
 class Lattice:
-    """Forward and backward recursions over the lattices of many words at once."""
+    """The forward recursion over the lattices of many words at once."""
 
     def __init__(self, pieces: Pieces):
         self.n = len(pieces.texts)
         self.keys, self.one, self.two = pieces.tables()
-        self.lengths = sorted({len(t) for t in pieces.texts})
+        self.lengths = np.array(sorted({len(t) for t in pieces.texts}))
         self.slot = pieces.slot
 
     def find(self, h: np.ndarray) -> np.ndarray:
@@ -119,83 +118,60 @@ class Lattice:
             at[wrong] = np.where((other >= 0) & (self.keys[other] == h[wrong]), other, -1)
         return at
 
-    def layouts(self, words: list[str]):
-        """(rows, edges) for words of one length at a time; edges by their end: (start, rows, pieces or None, code points or None)."""
-        marked = [MARK + w for w in words]
-        size = np.array([len(w) for w in marked])
-        order = np.argsort(size, kind="stable")
-        for rows in np.split(order, np.nonzero(np.diff(size[order]))[0] + 1) if len(words) else []:
-            step = max(1, CELLS // int(size[rows[0]]))
-            for k in range(0, len(rows), step):
-                part = rows[k : k + step]
-                yield part, self.edges(_codes([marked[i] for i in part]).reshape(len(part), -1))
-
-    def edges(self, codes: np.ndarray) -> list[list[tuple]]:
-        m, n = codes.shape
-        sums = np.zeros((n + 1, m), np.uint64)
-        for j in range(n):
-            sums[j + 1] = sums[j] * _BASE + codes[:, j] + np.uint64(1)
-        out: list[list[tuple]] = [[] for _ in range(n + 1)]
-        for size in self.lengths:
-            if size > n:
-                break
-            power = np.uint64(pow(int(_BASE), size, 1 << 64))
-            found = self.find((sums[size:] - sums[: n - size + 1] * power).ravel()).reshape(n - size + 1, m)
-            for i in range(n - size + 1):
-                at = np.nonzero(found[i] >= 0)[0]
-                if len(at):
-                    out[i + size].append((i, at, found[i][at], None))
-                if size == 1 and len(at) < m:
-                    miss = np.nonzero(found[i] < 0)[0]
-                    out[i + 1].append((i, miss, None, codes[miss, i]))
-        return out
-
-    def scores(self, edges: list[list[tuple]], logp: np.ndarray) -> list[list[np.ndarray]]:
-        return [[logp[ids] if ids is not None else self.by_bytes(cs, logp) for _, _, ids, cs in ends] for ends in edges]
-
     def by_bytes(self, codes: np.ndarray, logp: np.ndarray) -> np.ndarray:
         kinds, back = np.unique(codes, return_inverse=True)
         return np.array([sum(logp[self.n + b] for b in chr(int(c)).encode("utf-8", "surrogatepass")) for c in kinds], float)[back]
 
-    @staticmethod
-    def forward(edges: list[list[tuple]], scores: list[list[np.ndarray]], m: int) -> np.ndarray:
-        ahead = np.full((len(edges), m), -np.inf)
-        ahead[0] = 0
-        for j in range(1, len(edges)):
-            for (i, at, _, _), score in zip(edges[j], scores[j], strict=True):
-                reach = ahead[i] + score if len(at) == m else ahead[i][at] + score
-                ahead[j][at] = np.logaddexp(ahead[j][at], reach)
-        return ahead
-
-    def likelihoods(self, words: list[str], ps: list[np.ndarray]) -> np.ndarray:
-        """Natural log likelihood of each word (rows) by each set of piece probabilities (columns)."""
-        out, logs = np.zeros((len(words), len(ps))), [np.log(p) for p in ps]
-        for rows, edges in self.layouts(words):
-            for z, logp in enumerate(logs):
-                out[rows, z] = self.forward(edges, self.scores(edges, logp), len(rows))[-1]
+    def edges(self, sums: np.ndarray, codes: np.ndarray, logp: np.ndarray) -> np.ndarray:
+        """Score of the piece of each length that ends at each of the last ``len(codes)`` positions; -inf for none.
+
+        ``sums`` are rolling hashes of the positions, those before the codes included.
+        """
+        (span, m), old = codes.shape, len(sums) - len(codes)
+        out = np.full((len(self.lengths), span, m), -np.inf)
+        for z, size in enumerate(self.lengths.tolist()):
+            first = max(0, size - old)
+            if first >= span:
+                break
+            power = np.uint64(pow(int(_BASE), size, 1 << 64))
+            at = self.find((sums[old + first :] - sums[old + first - size : len(sums) - size] * power).ravel())
+            score = np.where(at >= 0, logp[at], -np.inf)
+            if size == 1:
+                miss = np.nonzero(at < 0)[0]
+                score[miss] = self.by_bytes(codes[first:].ravel()[miss], logp)
+            out[z, first:] = score.reshape(span - first, m)
         return out
 
-    def expected(self, words: list[str], p: np.ndarray) -> np.ndarray:
-        """Expected count of each piece and byte over the words, each once."""
-        counts, logp = np.zeros(self.n + 257), np.log(p)
-        for rows, edges in self.layouts(words):
-            m, scores = len(rows), self.scores(edges, logp)
-            ahead = self.forward(edges, scores, m)
-            behind = np.full(ahead.shape, -np.inf)
-            behind[-1] = 0
-            for j in range(len(edges) - 1, 0, -1):
-                for (i, at, _, _), score in zip(edges[j], scores[j], strict=True):
-                    behind[i][at] = np.logaddexp(behind[i][at], behind[j][at] + score)
-            for j in range(1, len(edges)):
-                for (i, at, ids, codes), score in zip(edges[j], scores[j], strict=True):
-                    share = np.exp(ahead[i][at] + score + behind[j][at] - ahead[-1][at])
-                    if ids is not None:
-                        counts[: self.n] += np.bincount(ids, share, self.n)
-                        continue
-                    for c in np.unique(codes):
-                        for b in chr(int(c)).encode("utf-8", "surrogatepass"):
-                            counts[self.n + b] += share[codes == c].sum()
-        return counts
+    def forward(self, codes: np.ndarray, logp: np.ndarray) -> np.ndarray:
+        """Natural log likelihood of words of one length: ``codes`` has a row for each position."""
+        m, reach = codes.shape[1], int(self.lengths[-1])
+        sums, ahead = np.zeros((1, m), np.uint64), np.zeros((1, m))  # of the last positions, as far as a piece reaches
+        for a in range(0, len(codes), SPAN):
+            part, old = codes[a : a + SPAN], len(sums)
+            sums, ahead = (np.concatenate((x, np.empty(part.shape, x.dtype))) for x in (sums, ahead))
+            for j in range(len(part)):
+                sums[old + j] = sums[old + j - 1] * _BASE + part[j] + np.uint64(1)
+            scores = self.edges(sums, part, logp)
+            for j in range(len(part)):
+                k = int(np.searchsorted(self.lengths, old + j, "right"))
+                reached = ahead[old + j - self.lengths[:k]] + scores[:k, j]
+                top = reached.max(0)
+                ahead[old + j] = top + np.log(np.exp(reached - top).sum(0))
+            sums, ahead = sums[-reach:], ahead[-reach:]
+        return ahead[-1]
+
+    def likelihoods(self, words: list[str], p: np.ndarray) -> np.ndarray:
+        """Natural log likelihood of each word by the probabilities of the pieces."""
+        out, logp, marked = np.zeros(len(words)), np.log(p), [MARK + w for w in words]
+        size = np.array([len(w) for w in marked])
+        order = np.argsort(size, kind="stable")
+        for rows in np.split(order, np.nonzero(np.diff(size[order]))[0] + 1) if len(words) else []:
+            n = int(size[rows[0]])
+            step = max(1, CELLS // min(n, SPAN))
+            for k in range(0, len(rows), step):
+                part = rows[k : k + step]
+                out[part] = self.forward(_codes([marked[i] for i in part]).reshape(len(part), n).T, logp)
+        return out
 
 
 def _gathered(batches, most: int = 40_000):
@@ -212,71 +188,48 @@ def _gathered(batches, most: int = 40_000):
 
 
 @dataclass
-class Group:
-    """What is learned of one group: counts of texts, words and kinds of words, and piece scores."""
+class Counts:
+    """What is counted in the training texts: texts, words, and kinds of words, all, met once and met twice."""
 
     texts: int
     words: int
     kinds: int
     once: int
     twice: int
-    p: np.ndarray
 
     @property
-    def discount(self) -> float:
-        return self.once / (self.once + 2 * self.twice) if self.once and self.twice else 0.5
+    def tokens(self) -> int:
+        return self.words + self.texts
 
+    @property
     def end(self) -> float:
-        """Probability of the end at any token."""
-        return self.texts / (self.words + self.texts) if self.texts else 0.5
-
-    def words_log10(self, c: np.ndarray, lattice: np.ndarray) -> np.ndarray:
-        """log10 probability of words with counts ``c`` and natural lattice likelihoods."""
+        """Probability of the end: the share of ends in the training tokens; a half without any."""
+        return self.texts / self.tokens if self.texts else 0.5
+
+    def mixed(self, c: np.ndarray, lattice: np.ndarray, marked: float) -> np.ndarray:
+        """Natural log probability of words with counts ``c``, of which the lattice has the discounted part."""
+        # A word begins with a marked piece and stops where the next one or the end follows.
+        piece = 1 - self.end if self.end < 1 else 0.5
+        lattice = lattice + math.log(self.end + piece * marked) - math.log(piece * marked)
         if not self.kinds:
-            return lattice / math.log(10) + math.log10(1 - self.end() if self.end() < 1 else 0.5)
-        total, d = self.words + self.texts, self.discount
-        known = np.log(np.maximum(c - d, 0) / total, where=c > 0, out=np.full(len(c), -np.inf))
-        return np.logaddexp(known, lattice + math.log(d * self.kinds / total)) / math.log(10)
-
-
-def refit(words: DataFrame, pieces: Pieces, groups: list[Group], prior: float) -> None:
-    """One round of expectation maximisation over the kinds of training words of every group.
-
-    Every kind counts once, since the lattice has to spell the words that were not seen. The driver
-    gets one number for each group and piece.
-    """
-    total, scores = len(pieces.texts) + 257, [g.p for g in groups]
-
-    def run(batches):
-        lattice, sums = Lattice(pieces), np.zeros((len(scores), total))
-        for b in _gathered(batches):
-            text, cs = b["word"].to_numpy(), np.stack(b["cs"].to_numpy())
-            for z, p in enumerate(scores):
-                sums[z] += lattice.expected(text[cs[:, z] > 0].tolist(), p)
-        z, at = np.nonzero(sums)
-        yield pd.DataFrame({"z": z, "piece": at, "n": sums[z, at]})
-
-    made = words.where("c > 0").select("word", "cs").mapInPandas(run, "z long, piece long, n double")
-    counts = np.zeros((len(groups), total))
-    for z, piece, n in made.groupBy("z", "piece").agg(F.sum("n")).collect():
-        counts[z, piece] = n
-    for g, n in zip(groups, counts, strict=True):
-        n[pieces.end] = g.texts and n.sum() * g.end()
-        g.p = (n + prior * pieces.first) / (n.sum() + prior)
+            return lattice + math.log(piece)
+        d = self.once / (self.once + 2 * self.twice) if self.once and self.twice else 0.5
+        known = np.log(np.maximum(c - d, 0) / self.tokens, where=c > 0, out=np.full(len(c), -np.inf))
+        return np.logaddexp(known, lattice + math.log(d * self.kinds / self.tokens))
 
 
-def word_scores(words: DataFrame, pieces: Pieces, groups: list[Group]) -> DataFrame:
-    """(word, c, ls): the count of each word, and its log10 probability in each group."""
+def word_scores(words: DataFrame, pieces: Pieces, counts: Counts) -> DataFrame:
+    """(word, c, l, x): the count of each word, its log10 probability by the lattice, and by the mixture."""
+    p = pieces.p * (1 - counts.end if counts.end < 1 else 0.5)
 
     def run(batches):
         lattice = Lattice(pieces)
         for b in _gathered(batches):
-            text, cs = b["word"].tolist(), np.stack(b["cs"].to_numpy())
-            found = lattice.likelihoods(text, [g.p for g in groups])
-            ls = np.stack([g.words_log10(cs[:, z], found[:, z]) for z, g in enumerate(groups)], 1)
-            yield pd.DataFrame({"word": b["word"], "c": b["c"], "ls": list(ls)})
+            found = lattice.likelihoods(b["word"].tolist(), p)
+            mixed = counts.mixed(b["c"].to_numpy(), found, pieces.marked)
+            yield pd.DataFrame({"word": b["word"], "c": b["c"], "l": found / math.log(10), "x": mixed / math.log(10)})
 
-    return words.mapInPandas(run, "word string, c long, ls array<double>")
+    return words.mapInPandas(run, "word string, c long, l double, x double")
 
 
 def frequent_words(words: DataFrame) -> DataFrame:
@@ -293,46 +246,31 @@ def frequent_words(words: DataFrame) -> DataFrame:
     return short.where(F.col("level") >= cut).drop("level")
 
 
-def score(docs: DataFrame, held_out, pieces_path: str, id_col: str = "doc_id", text_col: str = "text", group_col: str | None = None, rounds: int = ROUNDS, prior: float = PRIOR) -> DataFrame:
-    """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
+def score(docs: DataFrame, held_out, pieces_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, held_out, n_tokens, n_known, train_tokens, base_score, score, mixed_score) of every row.
 
-    ``held_out`` is a boolean column; only the other rows are learned from. Tokens are the words of
-    the lower-cased text and one end. ``base_score`` is the add-0.1 word unigram, ``score`` the
-    lattice model, both log10 of the whole text. Null texts count as empty: they are one end. With
-    no training rows the vocabulary's own scores hold. ``group_col`` names the groups of the
-    training texts: the MOST_GROUPS - 1 most frequent values have their own, others share one.
-    Repeated rows are scored each.
+    ``held_out`` is a boolean column, null as true; only the other rows are learned from. Tokens are
+    the words of the lower-cased text and one end. ``base_score`` is the add-0.1 word unigram,
+    ``score`` the lattice over the vocabulary's own scores, ``mixed_score`` the lattices with the
+    training words as edges; all are log10 of the whole text. Null and empty texts are one end. With
+    no training rows the end has a half. Repeated rows are scored each, and alike. Columns of
+    ``docs`` other than the id and the text are not read, whatever their names.
     """
-    spark, pieces = docs.sparkSession, load_pieces(pieces_path)
-    value = F.coalesce(F.col(group_col).cast("string"), F.lit("")) if group_col else F.lit("")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(held_out, F.lit(True)).alias("held_out"), value.alias("g"))
-    found = rows.where("not held_out").groupBy("g").count().orderBy(F.desc("count"), "g").limit(MOST_GROUPS - 1).collect()
-    names = spark.createDataFrame([(r.g, z) for z, r in enumerate(found)], "g string, z int")
-    k = max(1, len(found) + (group_col is not None and len(found) == MOST_GROUPS - 1))
-    rows = row_key(rows.join(F.broadcast(names), "g", "left").withColumn("z", F.coalesce("z", F.lit(k - 1))), "id", "text")
-    rows = rows.select("id", "held_out", "z", "__k", "__d", space_words(ascii_lower(F.col("text"))).alias("w"))
-    own = [F.sum(((F.col("z") == z) & ~F.col("held_out")).cast("long")).alias(f"c{z}") for z in range(k)]
-    seen = rows.select("z", "held_out", F.explode("w").alias("word")).groupBy("word").agg(*own)
-    seen = stored(seen.select("word", F.array(*[f"c{z}" for z in range(k)]).alias("cs"), F.expr(" + ".join(f"c{z}" for z in range(k))).alias("c")), "lattice-words")
-    heads = stored(rows.select("id", "held_out", "z", "__k", "__d"), "lattice-rows")
-    texts = dict(heads.where("not held_out").groupBy("z").count().collect())
-    facts = seen.agg(
-        *[F.coalesce(F.sum(F.col("cs")[z]), F.lit(0)) for z in range(k)],
-        *[F.count_if(F.col("cs")[z] > 0) for z in range(k)],
-        *[F.count_if(F.col("cs")[z] == 1) for z in range(k)],
-        *[F.count_if(F.col("cs")[z] == 2) for z in range(k)],
-        F.count_if(F.col("c") > 0),
-    ).first()
-    groups = [Group(texts.get(z, 0), *(facts[z + k * i] for i in range(4)), pieces.first) for z in range(k)]
-    for _ in range(rounds):
-        refit(seen, pieces, groups, prior)
-    scored = stored(word_scores(seen, pieces, groups), "lattice-scores")
-    ends = sum(texts.values())
-    tokens, kinds = sum(g.words for g in groups) + ends, facts[4 * k] + (ends > 0)
+    pieces = load_pieces(pieces_path)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(held_out, F.lit(True)).alias("held_out"))
+    rows = row_key(rows, "id", "text").select("id", "held_out", "__k", "__d", space_words(ascii_lower(F.col("text"))).alias("w"))
+    seen = rows.select("held_out", F.explode("w").alias("word")).groupBy("word").agg(F.sum((~F.col("held_out")).cast("long")).alias("c"))
+    seen = stored(seen, "lattice-words")
+    heads = stored(rows.select("id", "held_out", "__k", "__d"), "lattice-rows")
+    ends = heads.where("not held_out").count()
+    facts = seen.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
+    counts = Counts(ends, *facts)
+    scored = stored(word_scores(seen, pieces, counts), "lattice-scores")
+    tokens, kinds = counts.tokens, counts.kinds + (ends > 0)
     unigram = lambda c: F.log10((c + 0.1) / (tokens + 0.1 * (kinds + 1)))
-    flat = scored.select("word", unigram(F.col("c")).alias("b"), (F.col("c") > 0).cast("long").alias("known"), "c", *[F.col("ls")[z].alias(f"l{z}") for z in range(k)])
+    flat = scored.select("word", unigram(F.col("c")).alias("b"), (F.col("c") > 0).cast("long").alias("known"), "c", "l", "x")
     often = stored(frequent_words(flat), "lattice-frequent")
-    sums = ["b", "known", *[f"l{z}" for z in range(k)]]
+    sums = ["b", "known", "l", "x"]
     # One pass over the texts: what frequent words sum to in each text, and each rare word of it.
     each = rows.select("__k", "__d", F.explode("w").alias("word")).join(F.broadcast(often.withColumnRenamed("word", "often")), F.col("word") == F.col("often"), "left")
     each = each.select("__k", "__d", F.when(F.col("often").isNull(), F.col("word")).alias("word"), *sums)
@@ -344,9 +282,7 @@ def score(docs: DataFrame, held_out, pieces_path: str, id_col: str = "doc_id", t
     # Equal rows share a key and were summed together.
     alike = heads.groupBy("__k", "__d").agg(F.count("*").alias("alike"))
     mean = lambda c: F.coalesce(F.col(c) / F.col("alike"), F.lit(0.0))
-    all_texts = max(ends, 1)
-    logs = [mean(f"l{z}") + math.log10(g.end()) + math.log10(g.texts / all_texts) for z, g in enumerate(groups) if g.texts] or [mean("l0") + math.log10(groups[0].end())]
-    out = heads.join(alike.join(found, ["__k", "__d"], "left"), ["__k", "__d"]).withColumn("logs", F.array(*logs)).withColumn("top", F.array_max("logs"))
+    out = heads.join(alike.join(found, ["__k", "__d"], "left"), ["__k", "__d"])
     return out.select(
         "id",
         "held_out",
@@ -354,5 +290,6 @@ def score(docs: DataFrame, held_out, pieces_path: str, id_col: str = "doc_id", t
         (F.round(mean("known")) + (1 if ends else 0)).cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (mean("b") + unigram(F.lit(ends))).alias("base_score"),
-        (F.col("top") + F.log10(F.expr("aggregate(logs, 0D, (a, x) -> a + pow(10D, x - top))"))).alias("score"),
+        (mean("l") + math.log10(counts.end)).alias("score"),
+        (mean("x") + math.log10(counts.end)).alias("mixed_score"),
     )

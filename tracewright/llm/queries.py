@@ -91,9 +91,9 @@ def vocabulary(name: str) -> str:
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = quality_classifier.remainder("doc_id", 10) == 0
-    return lattice_lm.score(docs, held_out, vocabulary("piece_bpe_32k.model"), group_col="lang").withColumnRenamed("id", "doc_id")
+    return lattice_lm.score(docs, held_out, vocabulary("piece_bpe_32k.model")).withColumnRenamed("id", "doc_id")
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_license_scan, op4_html_extraction, op5_quality_classifier, op6_best_fit_packing, op7_token_store, op8_simhash_near_dedup, op9_decontamination, op10_lm_scoring)}
