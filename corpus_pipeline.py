@@ -44,7 +44,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the documents into sequences: a row for each piece of a document."""
-    return bin_packing.pack(docs, queries.token_count()).withColumnRenamed("id", "doc_id")
+    return bin_packing.pack(queries.token_counts(docs), F.col("tokens"), "id").withColumnRenamed("id", "doc_id")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -52,7 +52,7 @@ def runs(spark, docs, labels, items):
         "licenses": lambda: license_scan.scan(docs),
         "html": lambda: html_extraction.main_text(docs, "text"),
         "classifier": lambda: docs.select("doc_id", quality_classifier.score_column(quality_classifier.train(docs, labels), F.col("text")).alias("score")),
-        "packing": lambda: bin_packing.pack(docs, queries.token_count()),
+        "packing": lambda: bin_packing.pack(queries.token_counts(docs), F.col("tokens"), "id"),
         "store": store,
         "simhash": lambda: simhash.near_duplicates(docs),
         "decontamination": lambda: decontamination.contamination(docs, items),

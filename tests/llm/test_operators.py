@@ -180,18 +180,72 @@ def test_packing_plan_is_best_fit_decreasing():
         assert rooms == plain_best_fit(lengths, 64)
 
 
+def least_cost(lengths, capacities, overhead):
+    """The least cost of any packing of a few pieces, found by trying every one."""
+    best = [math.inf]
+
+    def place(k, fills):
+        cost = sum(next(c for c in capacities if c >= f) + overhead for f in fills)
+        if cost >= best[0]:
+            return
+        if k == len(lengths):
+            best[0] = cost
+            return
+        for i, f in enumerate(fills):
+            if f + lengths[k] <= capacities[-1]:
+                place(k + 1, [*fills[:i], f + lengths[k], *fills[i + 1 :]])
+        place(k + 1, [*fills, lengths[k]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_packing_over_several_capacities_is_near_the_best():
+    rng, cost, best, one_size = random.Random(4), 0, 0, 0
+    for _ in range(120):
+        capacities, overhead = [16, 32, 64], rng.choice([0, 4])
+        lengths = sorted((rng.randint(1, 64) for _ in range(rng.randint(1, 8))), reverse=True)
+        made = bin_packing.plan(dict(Counter(lengths)), capacities, overhead)
+        placed = sorted(n for bins, _, content in made for n, each in content for _ in range(bins * each))
+        assert placed == sorted(lengths)
+        for _, capacity, content in made:
+            used = sum(n * each for n, each in content)
+            assert capacity == next(c for c in capacities if c >= used)
+        mine, least = sum(bins * (c + overhead) for bins, c, _ in made), least_cost(lengths, capacities, overhead)
+        assert mine <= 1.5 * least
+        cost, best = cost + mine, best + least
+        one_size += sum(bins * (64 + overhead) for bins, _, _ in bin_packing.plan(dict(Counter(lengths)), [64], overhead))
+    assert cost <= 1.06 * best and cost < one_size
+
+
+def test_packing_opens_the_bin_of_least_cost():
+    assert bin_packing.plan({10: 1}, [16, 64], 2) == [(1, 16, [(10, 1)])]
+    assert bin_packing.plan({32: 2, 1: 1}, [16, 64], 2) == [(1, 64, [(32, 2)]), (1, 16, [(1, 1)])]
+    # Six pieces of 10: 64 holds all of them, five bins of 16 would cost more.
+    assert bin_packing.plan({10: 6}, [16, 64], 2) == [(1, 64, [(10, 6)])]
+    # Opened as 64, shrunk to what is in it.
+    assert bin_packing.plan({10: 3}, [16, 32, 64], 0) == [(1, 32, [(10, 3)])]
+
+
 def test_packing_places_every_token(spark, docs, texts):
-    got, spans = bin_packing.pack(docs, queries.token_count(), capacities=(64, 128, 256)).collect(), {}
-    for r in got:
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(queries.vocabulary("word_bpe_49k.json"))
+    want = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 2] for i, t in texts.items()}
+    packed = bin_packing.pack(queries.token_counts(docs), F.col("tokens"), "id", capacities=(64, 128, 256)).cache()
+    spans, total = {}, Counter()
+    for r in packed.collect():
         spans.setdefault(r.bin, []).append((r.offset, r.offset + r.length, r.capacity))
+        total[r["id"]] += r.length
     for s in spans.values():
         s.sort()
         assert s[0][0] == 0 and all(a[1] == b[0] for a, b in zip(s, s[1:])) and s[-1][1] <= s[0][2]
         assert s[0][2] == min(c for c in (64, 128, 256) if c >= s[-1][1])
-    total = Counter()
-    for r in got:
-        total[r["id"]] += r.length
-    assert total == {i: len(words(t)) + 1 for i, t in texts.items()}
+    assert total == {i: len(x) for i, x in want.items()}
+    ids = spark.createDataFrame(list(want.items()), "id long, ids array<long>")
+    made = {r.bin: r.ids for r in bin_packing.sequences(packed, ids).collect()}
+    for r in packed.collect():
+        assert made[r.bin][r.offset : r.offset + r.length] == want[r["id"]][r.start : r.start + r.length]
 
 
 def test_token_store_round_trip(spark, docs, texts):

@@ -111,6 +111,7 @@ def pack(docs: DataFrame, length: Column, id_col: str = "doc_id", capacities=CAP
     """
     most = max(capacities)
     rows = docs.select(F.col(id_col).alias("id"), F.greatest(F.coalesce(length, F.lit(0)), F.lit(0)).cast("long").alias("tokens"))
+    rows = stored(rows, "pack-lengths")  # ordering reads its input twice, and the lengths cost more than the rest
     pieces = rows.select("id", "tokens", F.explode(F.expr(f"sequence(0L, greatest(tokens - 1L, 0L) div {most})")).alias("piece"))
     size = F.least(F.lit(most), F.col("tokens") - F.col("piece") * most).cast("int")
     pieces = pieces.select("id", "piece", (F.col("piece") * most).alias("start"), size.alias("length"))
@@ -141,3 +142,14 @@ def pack(docs: DataFrame, length: Column, id_col: str = "doc_id", capacities=CAP
         "capacity",
         (F.col("base") + (at % F.col("each")) * F.col("length")).cast("long").alias("offset"),
     )
+
+
+def sequences(packed: DataFrame, ids: DataFrame) -> DataFrame:
+    """(bin, capacity, ids) of every sequence: the ids of its pieces one after the other.
+
+    ``ids`` has (id, ids), one row for each id; no sequence is longer than its capacity. Pieces of
+    ids that ``ids`` lacks, and those without a bin, are left out.
+    """
+    parts = packed.where("bin is not null").join(ids.select("id", "ids"), "id").select("bin", "capacity", "offset", F.expr("slice(ids, cast(start + 1 as int), length)").alias("part"))
+    made = parts.groupBy("bin", "capacity").agg(F.array_sort(F.collect_list(F.struct("offset", "part"))).alias("parts"))
+    return made.select("bin", "capacity", F.flatten("parts.part").alias("ids"))

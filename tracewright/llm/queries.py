@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.llm import bin_packing, decontamination, html_extraction, lattice_lm, license_scan, quality_classifier, quality_rules, sharding, simhash, token_store
-from tracewright.llm.shared import space_words
 from tracewright.plans.materialize import shared_dir
 
 
@@ -51,13 +50,13 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
 
 
-def token_count() -> Column:
-    """Words of a text and one end: the length that sequences are packed by."""
-    return F.size(space_words(F.col("text"))) + 1
+def token_counts(docs: DataFrame) -> DataFrame:
+    """(id, tokens) of every document: its ids by the vocabulary of operator 7, and one end."""
+    return token_store.token_counts(docs, vocabulary("word_bpe_49k.json"))
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bin_packing.pack(_table(spark, sf_dir, "documents"), token_count()).withColumnRenamed("id", "doc_id")
+    return bin_packing.pack(token_counts(_table(spark, sf_dir, "documents")), F.col("tokens"), "id").withColumnRenamed("id", "doc_id")
 
 
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:

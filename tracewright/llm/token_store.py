@@ -87,8 +87,8 @@ class Encoder:
         plain = pc.replace_substring_regex(pc.ascii_lower(texts), r"([a-z])([.,])([\x20\x09-\x0D]|\z)", r"\1 \2\3")
         return pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, plain))
 
-    def encode(self, texts: pa.Array, end: int):
-        """Ids of each text in turn, with ``end`` at the end; nulls are empty."""
+    def kinds(self, texts: pa.Array):
+        """(number of each word, bounds of the texts, ids of the different words, begin and size of each word's)."""
         split = self.words(texts.fill_null(""))
         coded = split.flatten().dictionary_encode()
         idx, kinds = coded.indices.to_numpy(), coded.dictionary.to_pylist()
@@ -98,7 +98,16 @@ class Encoder:
         order = np.concatenate((np.nonzero(alone)[0], np.nonzero(~alone)[0]))
         begin, size = np.empty(len(kinds), np.int64), np.empty(len(kinds), np.int64)
         begin[order], size[order] = np.cumsum(sizes) - sizes, sizes
-        bounds = np.concatenate(([0], np.cumsum(split.value_lengths().to_numpy())))
+        return idx, np.concatenate(([0], np.cumsum(split.value_lengths().to_numpy()))), ids, begin, size
+
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """How many ids each text has, without an end."""
+        idx, bounds, _, _, size = self.kinds(texts)
+        return np.diff(np.concatenate(([0], np.cumsum(size[idx])))[bounds])
+
+    def encode(self, texts: pa.Array, end: int):
+        """Ids of each text in turn, with ``end`` at the end; nulls are empty."""
+        idx, bounds, ids, begin, size = self.kinds(texts)
         for at in range(0, len(texts), 64):
             stops = bounds[at : min(at + 64, len(texts)) + 1]
             part = idx[stops[0] : stops[-1]]
@@ -184,6 +193,19 @@ def _encoded(docs: DataFrame, tokenizer_path: str, end: int) -> DataFrame:
     return docs.mapInArrow(run, "kind string, key binary, id string, digests array<binary>, sizes array<int>, n int, payload binary")
 
 
+def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", ends: int = 1) -> DataFrame:
+    """(id, tokens) of every row: the ids of its whole text and ``ends`` more; a null text has none of its own."""
+
+    def run(batches):
+        encoder = Encoder(tokenizer_path)
+        for b in batches:
+            n = encoder.counts(b.column("text").cast(pa.string())) + ends
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int64())], ["id", "tokens"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, tokens long")
+
+
 def write_store(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end: int = 2) -> None:
     """Encode every row's whole text, append ``end``, and write the store to ``path``.
 
