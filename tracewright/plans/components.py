@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.plans.materialize import stored
+from tracewright.plans.materialize import release, stored
 
 
 def _digest(edges: DataFrame) -> tuple:
@@ -35,7 +35,8 @@ def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
     now = stored(now.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     seen = _digest(now)
     while seen[0]:
-        now = stored(_small_star(_large_star(now)), "stars")
+        before, now = now, stored(_small_star(_large_star(now)), "stars")
+        release(before)
         if (found := _digest(now)) == seen:
             break
         seen = found
