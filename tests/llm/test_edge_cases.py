@@ -55,7 +55,7 @@ def runs(spark, docs, labels, items):
         "packing": lambda: bin_packing.pack(queries.token_counts(docs), F.col("tokens"), "id"),
         "store": store,
         "simhash": lambda: simhash.near_duplicates(docs),
-        "decontamination": lambda: decontamination.contamination(docs, items),
+        "decontamination": lambda: decontamination.verdicts(docs, items),
         "lattice": lambda: lattice_lm.score(docs, quality_classifier.remainder("doc_id", 10) == 0, queries.vocabulary("piece_bpe_32k.model")),
     }
 
@@ -111,5 +111,4 @@ def test_joins_beyond_the_broadcast_limits(spark, docs, labels, items, monkeypat
     found = lambda: {n: sorted(map(str, runs(spark, docs, labels, items)[n]().collect())) for n in names}
     small = found()
     monkeypatch.setattr(materialize, "BROADCAST_ROWS", -1)
-    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", -1)
     assert found() == small

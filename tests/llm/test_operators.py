@@ -74,11 +74,13 @@ def test_quality_ratio_by_brute_force(spark):
         assert r.llr_score == pytest.approx(sum(llr(x) for x in g) / len(g) if g else 0, rel=1e-6)
 
 
-def test_repeated_windows_with_equal_leading_bits(spark):
+def test_repeated_windows_with_equal_leading_bits(spark, monkeypatch):
     near = (5 << 40) + 1
     for windows, want in (([5 << 40, near, 5 << 40], 5), ([5 << 40, near, (5 << 40) + 2], 0), ([7, 7, 7], 5), ([], 0)):
-        got = spark.createDataFrame([(windows,)], "t array<long>").select(quality_rules.repeated_words().alias("n")).first().n
-        assert got == want
+        for bits in (24, 1):  # places of one bit: the way of texts too long for the places
+            monkeypatch.setattr(quality_rules, "PLACE_BITS", bits)
+            table = spark.createDataFrame([(windows,)], "t array<long>").withColumn("s", quality_rules.sorted_places())
+            assert table.select(quality_rules.repeated_words().alias("n")).first().n == want
 
 
 def test_quality_rules_reject_labelled_junk_and_keep_good(spark):
@@ -117,6 +119,21 @@ def test_sharding_is_minimax(spark, docs, texts):
         slots.setdefault(r.shard, []).append(r.slot)
         assert of.setdefault(r.key, r.shard) == r.shard and r.text_crc32 == zlib.crc32(texts[r["id"]].encode())
     assert max(fill.values()) <= low and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert min(fill[k] for k in range(8)) >= sum(size.values()) / 8 - 2 * max(size.values())
+
+
+def test_even_cuts_keep_the_capacity(spark):
+    rng = random.Random(8)
+    for _ in range(8):
+        sizes = [rng.choice([1, 2, 3, 30]) for _ in range(rng.randint(1, 25))]
+        sums = np.cumsum(sizes).tolist()
+        prefix, shards = spark.createDataFrame([(x,) for x in sums], "p long").cache(), rng.randint(2, 5)
+        capacity, greedy = sharding.minimax_cuts(prefix, sums[-1], shards)
+        cuts = [0, *sharding.even_cuts(prefix, sums[-1], shards, capacity), sums[-1]]
+        parts = np.diff(cuts)
+        assert len(parts) <= shards and parts.max() <= capacity and parts.min() > 0 and set(cuts[1:]) <= set(sums)
+        if len(greedy) == shards - 1 and max(sizes) <= 3:
+            assert parts.min() >= np.diff([0, *greedy, sums[-1]]).min() - 3
 
 
 def test_license_sentences_and_rules(spark):
@@ -327,7 +344,7 @@ def test_decontamination_by_brute_force(spark):
     vocab = [f"w{i}" for i in range(12)]
     docs = [(i, " ".join(rng.choices(vocab, k=rng.randint(0, 90)))) for i in range(60)]
     items = [(i, " ".join(rng.choices(vocab, k=rng.choice([0, 1, 2, 3, 5, 13, 14, 30])))) for i in range(25)] + [(99, docs[1][1]), (98, docs[2][1][3:])]
-    got = {r.doc_id: r.__decon if hasattr(r, "__decon") else r[-1] for r in decontamination.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    got = {r["id"]: r for r in decontamination.verdicts(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
     for i, text in docs:
         w, hit, names = text.split(), set(), set()
         for item, t in items:

@@ -40,16 +40,29 @@ def buckets_of(buckets: tuple[int, int]) -> Column:
     return F.expr(f"concat(transform(h, x -> cast(pmod(x, {uni}) as int)), if(size(h) < 2, cast(array() as array<int>), transform({pairs}, x -> cast({uni} + pmod(x, {bi}) as int))))")
 
 
+#: Low bits of a window's hash that its place takes while windows are sorted as plain numbers.
+PLACE_BITS = 24
+_LOW = f"{(1 << PLACE_BITS) - 1}L"
+
+
+def sorted_places() -> Column:
+    """Windows ``t`` as sorted numbers, the leading bits of the hash over the place; none where no window is met twice."""
+    return F.expr(f"if(size(array_distinct(t)) = size(t), cast(array() as array<bigint>), sort_array(transform(t, (h, i) -> (h & ~{_LOW}) | cast(i as bigint))))")
+
+
 def repeated_words() -> Column:
-    """Words of a text in a 3-word window that it holds twice or more, from the 64-bit hashes ``t`` of its windows.
+    """Words of a text in a 3-word window that it holds twice or more, from the 64-bit hashes ``t`` of its windows and their ``sorted_places`` s.
 
-    Windows are sorted by their whole hash and their place, so equal ones are neighbours whatever
-    the text's length.
+    Where different windows share their leading bits, or the places need more bits, windows are
+    sorted by their whole hash and their place instead: the count is the same, only slower.
     """
-    twice = "filter(sequence(0, size(s) - 1), k -> (k > 0 and s[k - 1].h = s[k].h) or (k < size(s) - 1 and s[k + 1].h = s[k].h))"
-    places = f"transform({twice}, k -> s[k].i)"
-    marked = f"transform(array(array_sort(transform(t, (h, i) -> struct(h as h, i as i)))), s -> transform(array({places}), p -> size(array_distinct(concat(p, transform(p, x -> x + 1), transform(p, x -> x + 2)))))[0])[0]"
-    return F.expr(f"if(size(array_distinct(t)) = size(t), 0, {marked})").cast("long")
+    covered = lambda places: f"transform(array({places}), p -> size(array_distinct(concat(p, transform(p, x -> x + 1), transform(p, x -> x + 2)))))[0]"
+    lead, place = lambda k: f"(s[{k}] & ~{_LOW})", lambda k: f"t[cast(s[{k}] & {_LOW} as int)]"
+    near = f"filter(sequence(0, size(s) - 1), k -> (k > 0 and {lead('k - 1')} = {lead('k')}) or (k < size(s) - 1 and {lead('k + 1')} = {lead('k')}))"
+    shared = f"exists(sequence(1, size(s) - 1), k -> {lead('k - 1')} = {lead('k')} and {place('k - 1')} <> {place('k')})"
+    same = "filter(sequence(0, size(o) - 1), k -> (k > 0 and o[k - 1].h = o[k].h) or (k < size(o) - 1 and o[k + 1].h = o[k].h))"
+    whole = f"transform(array(array_sort(transform(t, (h, i) -> struct(h as h, i as i)))), o -> {covered(f'transform({same}, k -> o[k].i)')})[0]"
+    return F.expr(f"if(size(s) = 0, 0, if(size(t) >= {1 << PLACE_BITS} or {shared}, {whole}, {covered(f'transform({near}, k -> s[k] & {_LOW})')}))").cast("long")
 
 
 def base_counts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -57,7 +70,7 @@ def base_counts(docs: DataFrame, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     windows = F.expr("if(size(h) < 3, cast(array() as array<bigint>), transform(sequence(0, size(h) - 3), i -> xxhash64(h[i], h[i + 1], h[i + 2])))")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    out = docs.withColumn("w", space_words(F.col(text_col))).withColumn("h", F.transform("w", lambda x: F.xxhash64(x))).withColumn("t", windows).withColumn("lines", lines)
+    out = docs.withColumn("w", space_words(F.col(text_col))).withColumn("h", F.transform("w", lambda x: F.xxhash64(x))).withColumn("t", windows).withColumn("s", sorted_places()).withColumn("lines", lines)
     out = out.select(
         *docs.columns,
         "h",
