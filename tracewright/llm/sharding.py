@@ -2,7 +2,7 @@
 
 Groups of equal texts stand in the order of their digests. The least capacity with which a greedy
 filling needs no more than the given number of shards is found by binary search, and the groups are
-cut there. The search runs on prefix sums of blocks of groups; blocks in which a cut may fall are
+cut so that none passes it and all are as near an even share as that allows. The search runs on prefix sums of blocks of groups; blocks in which a cut may fall are
 opened to finer blocks until the greedy path meets single groups only. So the driver sees a bounded
 table in each round, and the capacity is exact.
 """
@@ -84,6 +84,29 @@ def minimax_cuts(prefix: DataFrame, total: int, shards: int) -> tuple[int, list[
             return high, cuts
 
 
+def even_cuts(prefix: DataFrame, total: int, shards: int, capacity: int) -> list[int]:
+    """Cuts at which no shard passes ``capacity`` and each is as near an even share of what is left as the groups allow.
+
+    Going back from the end, ``low`` has the first place of each cut from which the rest still fits.
+    Every look at the running sums is an aggregate of one row.
+    """
+    low = [0] * shards
+    reach = total
+    for k in range(shards - 1, 0, -1):
+        reach = prefix.where(F.col("p") >= reach - capacity).agg(F.min("p")).first()[0] if reach > capacity else 0
+        low[k] = reach
+    cuts, at = [], 0
+    for k in range(1, shards):
+        want = at + -(-(total - at) // (shards - k + 1))
+        inside = prefix.where((F.col("p") > at) & (F.col("p") < total))
+        near = inside.agg(F.max(F.when(F.col("p") <= want, F.col("p"))), F.min(F.when(F.col("p") > want, F.col("p")))).first()
+        found = [c for c in (*near, low[k]) if c is not None and max(at + 1, low[k]) <= c <= at + capacity]
+        if not found:
+            break
+        cuts.append(at := min(found, key=lambda c: (abs(c - want), c)))  # noqa: B023
+    return cuts
+
+
 def shard_groups(rows: DataFrame, shards: int) -> tuple[DataFrame, int]:
     """((key, rank, shard) of every group of ``rows``, capacity). ``rank``: rows in the groups before."""
     groups = stored(rows.groupBy("key").agg(F.sum("size").alias("size"), F.count("*").alias("n")), "shard-groups")
@@ -98,6 +121,7 @@ def shard_groups(rows: DataFrame, shards: int) -> tuple[DataFrame, int]:
     sums = sums.join(F.broadcast(blocks), "block").select("key", "size", (F.col("p") + F.col("s")).alias("p"), (F.col("r") + F.col("m") - F.col("n")).alias("rank"))
     sums = stored(sums, "shard-sums")
     capacity, cuts = minimax_cuts(sums, total, shards)
+    cuts = even_cuts(sums, total, shards, capacity) if cuts else cuts
     start = F.col("p") - F.col("size")
     shard = reduce(lambda x, c: x + (start >= c).cast("int"), cuts, F.lit(0))
     return stored(sums.select("key", "rank", shard.cast("int").alias("shard")), "group-shards"), capacity
