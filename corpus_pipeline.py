@@ -39,7 +39,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents contaminated by the benchmark."""
-    return decontamination.contamination(docs, _table(spark, sf_dir, "benchmark")).where("not __decon.contaminated").drop("__decon")
+    found = decontamination.verdicts(docs, _table(spark, sf_dir, "benchmark")).where("contaminated")
+    return without(docs, stored(found.select("__k", "__d").distinct(), "contaminated"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 Items are cut into windows of ``window`` words (an item of fewer words is one window). For exact
 containment the prefix of a window is one token: its rarest word shingle in the corpus. Documents
 are joined on these prefix tokens, positional and length bounds drop what cannot hold the window,
-and the words themselves are compared last.
+and the words themselves are compared last, in the documents that are left.
 """
 
 from __future__ import annotations
@@ -13,13 +13,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.shared import ascii_lower, row_key
+from tracewright.llm.shared import ascii_lower, row_key, within
 from tracewright.plans.materialize import empty_like, small_or_not, stored
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, SHINGLE = 13, 5
-#: Candidate windows up to which they are broadcast to the documents; beyond it both sides shuffle.
-BROADCAST_WINDOWS = 300_000
 
 
 def words_of(text: Column) -> Column:
@@ -33,14 +31,19 @@ def _hashes(length: int) -> Column:
     return F.expr(f"if(size(w) < {length}, array(), transform(sequence(0, size(w) - {length}), i -> xxhash64({parts})))")
 
 
-def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int, shingle: int) -> DataFrame:
-    """(item, wid, len, wtext, size, hs): the distinct windows of each item and their shingle hashes."""
+def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
+    """(item, wtext, len): the distinct windows of each item."""
     items = benchmark.select(F.col(id_col).alias("item"), words_of(F.col(text_col)).alias("w")).where("size(w) > 0")
     spans = items.withColumn("len", F.least(F.size("w"), F.lit(window)))
-    spans = spans.select("item", "len", F.explode(F.expr("transform(sequence(1, size(w) - len + 1), s -> slice(w, s, len))")).alias("w"))
-    spans = spans.distinct().withColumn("size", F.least("len", F.lit(shingle)))
+    spans = spans.select("item", "len", F.explode(F.expr("transform(sequence(1, size(w) - len + 1), s -> array_join(slice(w, s, len), ' '))")).alias("wtext"))
+    return spans.distinct()
+
+
+def window_tokens(windows: DataFrame, shingle: int) -> DataFrame:
+    """(wtext, len, size, hs): each different window once, whatever the number of its items, with its shingle hashes."""
+    wins = windows.select("wtext", "len").distinct().withColumn("w", F.split("wtext", " ")).withColumn("size", F.least("len", F.lit(shingle)))
     hs = reduce(lambda rest, n: F.when(F.col("size") == n, _hashes(n)).otherwise(rest), range(1, shingle), _hashes(shingle))
-    return spans.select("item", "len", F.array_join("w", " ").alias("wtext"), "size", hs.alias("hs"))
+    return wins.select("wtext", "len", "size", hs.alias("hs"))
 
 
 def _occurrences(words: DataFrame, tokens: DataFrame, sizes: list[int]) -> DataFrame:
@@ -50,50 +53,51 @@ def _occurrences(words: DataFrame, tokens: DataFrame, sizes: list[int]) -> DataF
     return reduce(DataFrame.union, each).join(tokens, "h", "left_semi")
 
 
-def candidates(docs: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, window: int, shingle: int) -> DataFrame:
-    """(k, d, found): for each document, the windows that may stand in it and where."""
-    spark = docs.sparkSession
-    wins = stored(item_windows(benchmark, item_id, item_text, window, shingle), "windows")
+def candidates(words: DataFrame, windows: DataFrame, shingle: int) -> DataFrame:
+    """(__k, __d, start, len, wtext): the windows that may stand in each document, and where.
+
+    ``words`` has (k, d, w). Every row passes the positional and the length bound.
+    """
+    spark = words.sparkSession
+    wins = stored(window_tokens(windows, shingle), "window-tokens")
     sizes = sorted(r[0] for r in wins.select("size").distinct().collect())  # at most `shingle` values
-    kind = benchmark.schema[item_id].dataType.simpleString()
     if not sizes:
-        return empty_like(spark, f"k long, d int, found array<struct<start:int,len:int,wtext:string,item:{kind}>>")
-    tokens = stored(wins.select(F.explode("hs").alias("h")).distinct(), "window-tokens")
-    seen = stored(_occurrences(docs, tokens, sizes), "token-places")
+        return empty_like(spark, "__k long, __d int, start int, len int, wtext string")
+    tokens = stored(wins.select(F.explode("hs").alias("h")).distinct(), "window-shingles")
+    seen = stored(_occurrences(words, tokens, sizes), "shingle-places")
     often = seen.groupBy("h").agg(F.count("*").alias("n"))
-    wins = wins.withColumn("win", F.xxhash64("item", "wtext"))
-    ranked = wins.select("win", F.posexplode("hs").alias("off", "h")).join(often, "h", "left")
-    ranked = ranked.groupBy("win").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "h")).alias("t"))
-    prefix = wins.join(ranked.where("t.n > 0"), "win").select("item", "len", "wtext", "t.off", "t.h")
+    ranked = wins.select("wtext", F.posexplode("hs").alias("off", "h")).join(often, "h", "left")
+    ranked = ranked.groupBy("wtext").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "h")).alias("t"))
+    prefix = wins.select("wtext", "len").join(ranked.where("t.n > 0"), "wtext").select("len", "wtext", "t.off", "t.h")
     prefix = small_or_not(stored(prefix, "window-prefixes"))
-    at = seen.join(prefix, "h").select("k", "d", (F.col("pos") - F.col("off")).alias("start"), "len", "wtext", "item", "n_words")
-    at = at.where("start >= 0 and start + len <= n_words")
-    return at.groupBy("k", "d").agg(F.collect_set(F.struct("start", "len", "wtext", "item")).alias("found"))
+    at = seen.join(prefix, "h").select(F.col("k").alias("__k"), F.col("d").alias("__d"), (F.col("pos") - F.col("off")).alias("start"), "len", "wtext", "n_words")
+    return at.where("start >= 0 and start + len <= n_words").drop("n_words").distinct()
+
 
+def verdicts(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, shingle: int = SHINGLE, share: int = 20) -> DataFrame:
+    """One row for each row of ``docs``: id, __k, __d, n_words, n_hit, items and contaminated.
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, shingle: int = SHINGLE, share: int = 20) -> DataFrame:
-    """Every row and column of ``docs`` plus one struct column ``__decon``.
+    n_hit: words inside an occurrence of a window; items: the ids, as sorted strings, of items with
+    an occurring window; contaminated: n_hit > 0 and ``share`` * n_hit >= n_words. Null and empty
+    texts have no words and are clean. Items without words match nothing; the windows of an item
+    with a null id mark words but name no item. Equal rows get equal verdicts. Other columns of
+    ``docs`` are not read, whatever their names.
 
-    ``__decon`` has n_words, n_hit (words inside an occurrence of a window), items (the ids, as
-    sorted strings, of items with an occurring window) and contaminated (n_hit > 0 and
-    ``share`` * n_hit >= n_words). Null and empty texts have no words and are clean. Items without
-    words match nothing; the windows of an item with a null id mark words but name no item. Equal
-    rows get equal verdicts.
+    Only texts that hold a candidate window are joined with it; the verdicts meet their rows by key.
     """
-    keyed = row_key(docs, id_col, text_col)
-    words = keyed.select(F.col("__k").alias("k"), F.col("__d").alias("d"), words_of(F.col(text_col)).alias("w"))
-    found = stored(candidates(words, benchmark, item_id, item_text, window, shingle), "window-candidates")
-    many = found.agg(F.coalesce(F.sum(F.size("found")), F.lit(0))).first()[0]
-    found = F.broadcast(found) if many <= BROADCAST_WINDOWS else found
-    found = found.select(F.col("k").alias("__k"), F.col("d").alias("__d"), F.col("found").alias("__found"))
-    both = keyed.join(found, ["__k", "__d"], "left").withColumn("__w", words_of(F.col(text_col)))
-    both = both.withColumn("__hits", F.expr("filter(coalesce(__found, array()), c -> array_join(slice(__w, c.start + 1, c.len), ' ') = c.wtext)"))
-    both = both.withColumn("__n", F.expr("size(array_distinct(flatten(transform(__hits, c -> sequence(c.start, c.start + c.len - 1)))))"))
-    items = F.expr("array_sort(array_distinct(filter(transform(__hits, c -> cast(c.item as string)), x -> x is not null)))")
-    verdict = F.struct(
-        F.size("__w").cast("long").alias("n_words"),
-        F.col("__n").cast("long").alias("n_hit"),
-        items.alias("items"),
-        ((F.col("__n") > 0) & (F.col("__n").cast("long") * share >= F.size("__w"))).alias("contaminated"),
-    )
-    return both.withColumn("__decon", verdict).select(*[F.col(f"`{c}`") for c in docs.columns], "__decon")
+    keyed = row_key(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text")
+    words = keyed.select(F.col("__k").alias("k"), F.col("__d").alias("d"), words_of(F.col("text")).alias("w"))
+    windows = stored(item_windows(benchmark, item_id, item_text, window), "windows")
+    found = stored(candidates(words, windows, shingle), "window-candidates")
+    near = within(keyed, stored(found.select("__k", "__d").distinct(), "window-holders"))
+    near = near.select("__k", "__d", words_of(F.col("text")).alias("w")).dropDuplicates(["__k", "__d"])
+    hits = found.join(near, ["__k", "__d"]).where("array_join(slice(w, start + 1, len), ' ') = wtext").select("__k", "__d", "start", "len", "wtext")
+    hits = stored(hits, "window-hits")
+    covered = hits.groupBy("__k", "__d").agg(F.size(F.array_distinct(F.flatten(F.collect_set(F.expr("sequence(start, start + len - 1)"))))).cast("long").alias("n_hit"))
+    named = hits.select("__k", "__d", "wtext").distinct().join(windows.where("item is not null").select("wtext", F.col("item").cast("string")), "wtext")
+    named = named.groupBy("__k", "__d").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    marks = small_or_not(stored(covered.join(named, ["__k", "__d"], "left"), "window-marks"))
+    out = keyed.select("id", "__k", "__d", F.size(words_of(F.col("text"))).cast("long").alias("n_words")).join(marks, ["__k", "__d"], "left")
+    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    return out.select("id", "__k", "__d", "n_words", n_hit.alias("n_hit"), items.alias("items"), ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"))

@@ -71,16 +71,9 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontamination.contamination(docs, _table(spark, sf_dir, "benchmark"))
-    return found.select(
-        "doc_id",
-        "__decon.n_words",
-        "__decon.n_hit",
-        F.size("__decon.items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("__decon.items", ","), 256).alias("items_sha256"),
-        "__decon.contaminated",
-    )
+    found = decontamination.verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    named = F.sha2(F.array_join("items", ","), 256)
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), named.alias("items_sha256"), "contaminated")
 
 
 def vocabulary(name: str) -> str:

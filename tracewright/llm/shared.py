@@ -30,11 +30,45 @@ def row_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.withColumns({"__k": F.xxhash64(F.col(id_col), F.col(text_col)), "__d": F.hash(F.col(id_col), F.col(text_col))})
 
 
+#: Bits of the filter that keeps texts out of a shuffle: 16 MB in all, in rows of 4096 bytes each.
+FILTER_BITS = 1 << 27
+
+
+def _marked(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``docs`` with ``__maybe``: false only where (__k, __d) is surely not in ``keys``.
+
+    ``keys`` set bits of a table of fixed size, which is broadcast.
+    """
+    bit = F.pmod(F.col("__k"), F.lit(FILTER_BITS)) + 1
+    bits = keys.groupBy(F.bitmap_bucket_number(bit).alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("__bits"))
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    isset = F.coalesce(F.expr("shiftright(__byte, cast(__at % 8 as int)) & 1 = 1"), F.lit(False))
+    out = docs.withColumn("__bucket", F.bitmap_bucket_number(bit)).join(F.broadcast(bits), "__bucket", "left")
+    return out.withColumns({"__at": at, "__byte": byte}).withColumn("__maybe", isset).drop("__bucket", "__bits", "__at", "__byte")
+
+
+def within(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The keyed rows of ``docs`` whose (__k, __d) is in ``keys``; see ``without``."""
+    keys = keys.select("__k", "__d")
+    sized = small_or_not(keys)
+    if sized is not keys:
+        return docs.join(sized, ["__k", "__d"], "left_semi")
+    return _marked(docs, keys).where("__maybe").drop("__maybe").join(keys, ["__k", "__d"], "left_semi")
+
+
 def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose (__k, __d) is not in ``gone``.
 
-    A stored ``gone`` of checked size is broadcast, so texts stay where they are; a larger one is
-    joined by a shuffle.
+    A stored ``gone`` of checked size is broadcast, so texts stay where they are. Beyond that size
+    a broadcast filter of fixed size lets through the rows that are surely kept, and only the others
+    are joined by a shuffle. ``docs`` must not have columns __k, __d or __maybe.
     """
-    kept = row_key(docs, id_col, text_col).join(small_or_not(gone.select("__k", "__d")), ["__k", "__d"], "left_anti")
+    keyed, gone = row_key(docs, id_col, text_col), gone.select("__k", "__d")
+    sized = small_or_not(gone)
+    if sized is not gone:
+        kept = keyed.join(sized, ["__k", "__d"], "left_anti")
+    else:
+        marked = _marked(keyed, gone)
+        kept = marked.where("not __maybe").union(marked.where("__maybe").join(gone, ["__k", "__d"], "left_anti").select(marked.columns))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
