@@ -154,6 +154,46 @@ def test_html_extraction():
     assert html_extraction.best_region([-1, 2, -1, 3, -9, 4]) == (1, 4) and html_extraction.best_region([-1]) == (0, 0)
 
 
+_S = "The river rose in spring and the village moved its market to the hill where the old road ends."
+_P = "".join(f"<p>{_S} {_S}</p>" for _ in range(3))
+_BAR = "".join(f"<a href=/>{x}</a> " for x in ("Home", "News", "Mail"))
+LAYOUTS = {
+    "names never seen": f'<div class="qx1">{_BAR}</div><div class="zz">{_P}</div><div class="qq"><ul><li>{_BAR.replace(" <", "</li><li><")}</li></ul></div>',
+    "comments longer than the text": f'<article>{_P}</article><div id="disqus_thread" class="comments"><div class="comment"><p>{_S * 12}</p></div><div class="comment"><p>{_S * 3}</p></div></div>',
+    "advert and sidebar amid the text": f'<main><p>{_S} {_S}</p><div class="advertisement">{_S}</div><p>{_S} {_S}</p><aside class="sidebar">{_S}</aside><p>{_S} {_S}</p></main>',
+    "form": f"<form><label>Your name</label><input><select><option>One</option></select><button>Send</button></form><article>{_P}</article><footer><p>{_S}</p></footer>",
+    "notice and header": f'<div class="cookie-banner">{_S}<button>Ok</button></div><header><h1>Site</h1><nav><ul><li><a>A b</a></li></ul></nav></header><article>{_P}</article>',
+    "fallback content": f"<article><p>{_S} {_S}</p><video src=x>No video here.</video><p>{_S} {_S}</p><object>No object</object><p>{_S} {_S}</p></article>",
+    "layout by a table": f'<nav><a>x y</a></nav><table><tr><td class="side"><a>l</a><a>m</a></td><td>{_P}</td></tr></table>',
+    "no container": f'<h3>Menu</h3><ul><li><a>l</a></li><li><a>m</a></li></ul>{_P}<div class="ad">{_S}</div>',
+    "markup not closed": f"<nav><ul><li><a href=x>Menu<li><a href=y>More</ul></nav><article>{_P.replace('</p>', '')}</article><footer>Foot",
+    "quote not closed": f'<article>{_P}<p>{_S} <a href="x>{_S}</a></p></article>',
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_html_layouts(name):
+    got = html_extraction.extract(f"<html><head><title>t</title></head><body>{LAYOUTS[name]}</body></html>", html_extraction.learn(html_extraction.LABELLED_PAGES))
+    assert got == " ".join([_S] * (8 if name == "quote not closed" else 6))
+
+
+def test_html_labelled_pages_come_back():
+    weights = html_extraction.learn(html_extraction.LABELLED_PAGES)
+    for page in html_extraction.LABELLED_PAGES:
+        found = html_extraction.runs(page)
+        parts = [r.text if r.main and not r.tag else "" if r.tag.lstrip("/") in html_extraction.INLINE and r.tag else " " for r in found]
+        assert html_extraction.extract(page, weights) == " ".join("".join(parts).split())
+
+
+def test_html_the_scan_decides(spark):
+    """Without the scan, every word that no element known as boilerplate holds, pages come out otherwise."""
+    weights = html_extraction.learn(html_extraction.LABELLED_PAGES)
+    for r in spark.read.parquet(f"{SF}/pages.parquet").limit(20).collect():
+        words = " ".join(x.text for x in html_extraction.runs(r.html) if not x.tag)
+        assert len(html_extraction.extract(r.html, weights).split()) < len(words.split())
+    assert html_extraction.extract("<nav><ul><li><a>Only a menu</a></li></ul></nav><footer>Foot</footer>", weights) == ""
+
+
 def test_html_pages_in_full(spark):
     import html
 

@@ -1,18 +1,20 @@
 """Main text of web pages: the maximum-scoring subsequence of words and tags.
 
-A page is a row of tags and runs of words. Words score by the elements they stand in, tags score
-below zero; the weights are log-odds counted on labelled pages. One linear scan finds the contiguous
-region with the greatest sum, and of it the runs whose own score is positive are the main text.
+A page is a row of tags and runs of words. Every word scores one, every tag below zero; how far
+below is learned from labelled pages for the element's name and the words of its class, id and
+role. One linear scan finds the contiguous region with the greatest sum. What elements known as
+boilerplate hold inside that region, and cannot outweigh, is cut out of it by the same scores.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
 import sys
 from collections import Counter
 from dataclasses import dataclass, field
-from math import log
+from itertools import accumulate
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -29,19 +31,22 @@ _ATTR = re.compile(r"([A-Za-z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^
 _TOKEN = re.compile(r"[a-z0-9]+")
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea noscript template svg iframe noembed noframes xmp".split())
-#: Elements of RAW whose content is markup: without an end tag they are plain elements. The others then reach to the page's end.
-MARKUP = frozenset("noscript template svg".split())
+RAW = frozenset("script style textarea noscript template svg iframe noembed noframes xmp object video audio canvas annotation annotation-xml".split())
+#: Elements of RAW whose content is markup, or shown only where the element itself cannot be: without an end tag they are plain elements. The others then reach to the page's end.
+MARKUP = frozenset("noscript template svg object video audio canvas annotation annotation-xml".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
-#: Elements that articles and boilerplate both use: their names alone never mark boilerplate.
-SOFT = INLINE | frozenset("html body div section p ul ol li dl dt dd h1 h2 h3 h4 h5 h6 table tbody tr td th center pre blockquote figure figcaption main article".split())
-#: Added to the shares of words that the odds compare, so that rare elements say little.
-SHARE = 0.02
-#: Score from which the elements around a word are surely main text; lists and links inside are then no sign against it.
-SURE = 1.5
 SCOPES = frozenset("ul ol dl select table body div article section td main".split())
+#: What every tag costs beside what is learned, and the learned cost from which an element is known as boilerplate.
+TAG, KNOWN = -0.2, -2.5
+#: While weights are learned a run of boilerplate counts as so many times its words (labels of under LABEL words once more by half), and main text as that share of its own.
+BOLD, LABEL, SHY = 5.0, 5, 0.5
+#: So many words for each point its tags cost let an element known as boilerplate stay.
+OUTWEIGH = 4.0
+#: What an element known as boilerplate costs amid main text, and the elements that may hold main text of several blocks.
+CROSS, CONTAINERS = 1.0, frozenset("body div article section main td".split())
+RATE, EPOCHS = 0.5, 400
 
 
 @dataclass
@@ -49,64 +54,46 @@ class Run:
     """A run of text without tags inside, or (words 0) a tag."""
 
     text: str
-    around: tuple[tuple[str, tuple[str, ...]], ...]  # (name, words of class, id and role) of each element, outermost first
-    words: int
+    words: int = 0
     tag: str = ""
+    keys: tuple[str, ...] = ()  # of a tag: its element's name, and the words of class, id and role
+    pair: int = -1  # of an opening tag: where its closing tag stands, the end of the page if nowhere
     main: bool = False
 
 
-@dataclass
-class Weights:
-    inside: dict[str, float] = field(default_factory=dict)  # of a word, by each element around it
-    tags: dict[str, float] = field(default_factory=dict)  # of a tag: below zero
-    word: float = 0.5  # of a word in elements that were not seen
-    other: float = -1.0  # of a tag that was not seen
-
-    def place(self, run: Run) -> tuple[float, bool]:
-        """Score of a word of the run, and whether an element around it is boilerplate.
-
-        Inside a boilerplate element nothing scores up again, and it outweighs what is around it.
-        """
-        score, boiler = self.word, False
-        for name, attrs in run.around:
-            own, named = sum(self.inside.get(a, 0.0) for a in attrs), self.inside.get("<" + name, 0.0)
-            if own + named < 0 and (own < -0.5 or named < -0.5 and name not in SOFT):
-                score, boiler = min(score, 0.0) + own + named, True
-            elif own + named < 0 and score > SURE:
-                continue
-            elif not boiler or own + named < 0:
-                score += own + named
-        return max(-6.0, min(6.0, score)), boiler
-
-    def of(self, run: Run) -> float:
-        if run.tag:
-            return self.tags.get(run.tag, self.other)
-        return run.words * self.place(run)[0] if run.words else 0.0
-
-
 def _keys(name: str, attrs: str) -> tuple[str, ...]:
-    """What an element is known by beside its name: the words of its class, id and role, and whether it is hidden."""
-    out: list[str] = []
+    """What an element is known by: its name, the words of its class, id and role, and whether it is hidden."""
+    out = ["<" + name]
     if name in ("html", "body"):
-        return ()
+        return tuple(out)
     for key, *values in _ATTR.findall(attrs) if attrs else ():
         key, value = key.lower(), "".join(values).lower()
         if key in ("class", "id", "role", "itemprop"):
             out += [t for t in _TOKEN.findall(value) if not t.isdigit()]
         elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and "display:none" in value.replace(" ", ""):
             out.append("hidden")
-    return tuple(out)
+    return tuple(dict.fromkeys(out))
 
 
 def runs(page: str) -> list[Run]:
-    """The tags and runs of text of a page in order; scripts, styles and comments are left out."""
-    out, stack, at, low = [], [], 0, None
+    """The tags and runs of text of a page in order; scripts, styles and comments are left out.
+
+    An element that a later tag ends, or that is left open, is closed there.
+    """
+    out: list[Run] = []
+    stack: list[tuple[str, int, bool]] = []
+    at, low = 0, None
 
     def text(part: str) -> None:
         if part:
-            keys = tuple((n, ks) for n, ks, _ in stack)
             decoded = html.unescape(part) if "&" in part else part
-            out.append(Run(decoded, keys, len(decoded.split()), "", any(m for _, _, m in stack)))
+            out.append(Run(decoded, len(decoded.split()), main=any(m for _, _, m in stack)))
+
+    def close(first: int) -> None:
+        for name, opened, _ in reversed(stack[first:]):
+            out[opened].pair = len(out)
+            out.append(Run("", 0, "/" + name, out[opened].keys))
+        del stack[first:]
 
     while m := _TAG.search(page, at):
         text(page[at : m.start()])
@@ -117,61 +104,45 @@ def runs(page: str) -> list[Run]:
         if m.group(1):
             names = [n for n, _, _ in stack]
             if name in names:
-                del stack[len(names) - 1 - names[::-1].index(name) :]
-            out.append(Run("", (), 0, "/" + name))
+                close(len(names) - 1 - names[::-1].index(name))
+            else:
+                out.append(Run("", 0, "/" + name, ("<" + name,)))
             continue
         closing = SAME.get(name, {"p"} if name in CLOSES_P else set())
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] in closing:
-                del stack[k:]
+                close(k)
                 break
             if stack[k][0] in SCOPES:
                 break
-        out.append(Run("", (), 0, name))
+        out.append(Run("", 0, name, _keys(name, attrs)))
         empty = attrs.rstrip().endswith("/")
-        if name in RAW and not (name == "svg" and empty):
+        if name in RAW and not (name in MARKUP and empty):
             low = page.lower() if low is None else low
             end = low.find("</" + name, at)
             if end >= 0 or name not in MARKUP:
                 at = len(page) if end < 0 else end
-                stack.append((name, (), False))
+                stack.append((name, len(out) - 1, False))
                 continue
         if name not in VOID and not empty:
-            stack.append((name, _keys(name, attrs), "data-main" in attrs))
+            stack.append((name, len(out) - 1, "data-main" in attrs))
     # A cut-off tag at the end is no text.
     text(page[at:] if not _CUT_OFF.match(page, at) else "")
+    close(0)
     return out
 
 
-def learn(pages: list[str]) -> Weights:
-    """Weights from pages whose main elements carry ``data-main``; both kinds of text count alike in sum.
+@dataclass
+class Weights:
+    """What a tag costs by each key of its element; keys that were not seen cost nothing."""
 
-    Names that articles and boilerplate share are counted a second time, over the text that no
-    element marks as boilerplate.
-    """
-    out, found = Weights(), [runs(p) for p in pages]
-    for again in (False, True):
-        good, bad, n, m = Counter(), Counter(), 0, 0
-        for run in (r for page in found for r in page if r.words):
-            if again and out.place(run)[1]:
-                continue
-            n, m = n + run.main * run.words, m + (not run.main) * run.words
-            (good if run.main else bad).update({k: run.words for name, attrs in run.around for k in ("<" + name, *attrs)})
-        for key in good.keys() | bad.keys():
-            if not again or key[0] == "<" and key[1:] in SOFT:
-                near = log(good[key] / max(n, 1) + SHARE) - log(bad[key] / max(m, 1) + SHARE)
-                out.inside[key] = near if again else log((good[key] + 0.5) / (n + 1)) - log((bad[key] + 0.5) / (m + 1))
-        out.inside["<html"] = out.inside["<body"] = 0.0
-    tags: Counter = Counter()
-    for page in found:
-        inside = False
-        for run in page:
-            inside = run.main if run.words else inside
-            if run.tag:
-                tags[run.tag, inside] += 1
-    for name in {t for t, _ in tags}:
-        out.tags[name] = -0.1 - log((tags[name, True] + tags[name, False] + 1) / (tags[name, True] + 1))
-    return out
+    keys: dict[str, float] = field(default_factory=dict)
+
+    def cost(self, run: Run) -> float:
+        return sum(self.keys.get(k, 0.0) for k in run.keys)
+
+    def of(self, run: Run) -> float:
+        return TAG + self.cost(run) if run.tag else float(run.words)
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -186,19 +157,78 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return region
 
 
+def learn(pages: list[str]) -> Weights:
+    """Costs of tags from pages whose main elements carry ``data-main``, by a structured perceptron.
+
+    Where the scan of a page finds another region than the marked one, the tags that only its region
+    has become dearer, and those that only the marked region has cheaper, but never below nothing.
+    Keys of elements that stand around main text on any page cost nothing.
+    Boilerplate counts BOLD times its words meanwhile, so that longer boilerplate stays out too.
+    """
+    out, found, around = Weights(), [], set()
+    for page in map(runs, pages):
+        marked = [i for i, r in enumerate(page) if r.main and r.words]
+        region = range(marked[0], marked[-1] + 1)
+        around |= {k for r in page[: region.start] if r.pair >= region.stop for k in r.keys}
+        found.append((page, region))
+    for epoch in range(EPOCHS):
+        wrong, rate = 0, RATE / (1 + 8 * epoch / EPOCHS)
+        for page, marked in found:
+            scores = [out.of(r) if r.tag else r.words * (SHY if r.main else BOLD if r.words >= LABEL else 1.5) for r in page]
+            region = range(*best_region(scores))
+            if region == marked:
+                continue
+            wrong += 1
+            more = Counter(k for i in marked if i not in region for k in page[i].keys)
+            more.subtract(k for i in region if i not in marked for k in page[i].keys)
+            for k, n in more.items():
+                if k not in around and n:
+                    out.keys[k] = min(0.0, out.keys.get(k, 0.0) + math.copysign(rate, n))
+        if not wrong:
+            break
+    return out
+
+
 def extract(page: str | None, weights: Weights) -> str:
-    """Main text of a page: blocks in page order, joined by one space; '' where there is none."""
+    """Main text of a page: blocks in page order, joined by one space; '' where there is none.
+
+    A region that stands inside an element known as boilerplate is given up, and the scan made
+    again without that element's words. Around the region that is left, within the container that
+    holds it, a second scan takes such elements for one tag each, so that an advert amid the text
+    does not part it.
+    """
     found = runs(page or "")
     scores = [weights.of(r) for r in found]
-    first, last = best_region(scores)
-    parts = []
-    for r, s in zip(found[first:last], scores[first:last], strict=True):
-        if r.tag:
-            parts.append("" if r.tag.lstrip("/") in INLINE else " ")
-        elif not r.words or s > 0:
-            parts.append(r.text)
+    tags, words = ([0.0, *accumulate(x)] for x in ([s if r.tag else 0.0 for r, s in zip(found, scores, strict=True)], [r.words for r in found]))
+    known = [(i, r.pair + 1) for i, r in enumerate(found) if r.pair > 0 and r.tag not in INLINE and weights.cost(r) <= KNOWN]
+    known = [(i, j) for i, j in known if OUTWEIGH * (tags[j] - tags[i]) + words[j] - words[i] < 0]
+    while True:
+        first, last = best_region(scores)
+        around = next(((i, j) for i, j in known if i < first and last <= j), None)
+        if around is None or first == last:
+            break
+        for k in range(*around):
+            scores[k] = min(scores[k], 0.0)
+    if first == last:
+        return ""
+    holders = [(i, r.pair + 1) for i, r in enumerate(found[:first]) if r.tag in CONTAINERS and r.pair >= last]
+    low, high = holders[-1] if holders else (0, len(found))
+    for i, j in known:
+        if low < i and j < high:
+            scores[i:j] = [-CROSS] + [0.0] * (j - i - 1)
+    first, last = (low + x for x in best_region(scores[low:high]))
+    # Blocks are taken whole: no text without a block's tag between is parted from the region.
+    while first > low and (not found[first - 1].tag or found[first - 1].tag.lstrip("/") in INLINE):
+        first -= 1
+    while last < high and (not found[last].tag or found[last].tag.lstrip("/") in INLINE):
+        last += 1
+    parts, skip, inside = [], 0, dict(known)
+    for k in range(first, last):
+        skip = max(skip, inside.get(k, 0))
+        if found[k].tag:
+            parts.append("" if found[k].tag.lstrip("/") in INLINE else " ")
         else:
-            parts.append(" ")
+            parts.append(found[k].text if k >= skip else " ")
     return " ".join("".join(parts).split())
 
 

@@ -13,6 +13,10 @@ def _links(n: int) -> str:
     return "<ul>" + "".join(f'<li><a href="/{i}">Topic {i}</a></li>' for i in range(n)) + "</ul>"
 
 
+_BAR = "<div>" + " ".join(f'<a href="/{x}">{x}</a>' for x in ("Home", "News", "Weather", "About us", "Contact")) + "</div>"
+_LINKED = "".join(f"<p>The <a href='/r'>river</a> rose in <a href='/s'>spring</a> and <a href='/v'>the village</a> moved {_PROSE}</p>" for _ in range(4))
+_MIXED = f"<h2>Part</h2><p>{_PROSE}</p><h3>Smaller part</h3><p>{_PROSE}</p><h4>Note</h4><ol class='list'><li><strong>First</strong> step</li><li>Second <a href='/z'>step</a></li></ol><pre>{_PROSE}</pre><dl><dt>Term</dt><dd>{_PROSE}</dd></dl><hr><img src='x'><p>Yes.</p>"
+
 _HEAD = "<!DOCTYPE html><html><head><title>A page title here</title><style>p{}</style><script>var a = 1;</script></head><body>"
 _FORM = '<form action="/q"><label>Search this site</label><input name="q"><button>Go now</button><select><option>One</option><option>Two</option></select></form>'
 _COOKIE = '<div class="cookie-notice consent banner">We use cookies to improve this site. <button>Accept all</button></div>'
@@ -48,4 +52,8 @@ LABELLED_PAGES = [
     _HEAD + _NAV + _AD + f"<article data-main><h1>A heading</h1><p><b>{_PROSE}<br>{_p(1)}<p><i>{_PROSE}</i> <a href='/x'>{_PROSE}</a> <span>{_PROSE}</span> <em>{_PROSE}</em> <strong>{_PROSE}</strong></p></article>" + _FOOT + _END,
     _HEAD + _links(8) + f'<article data-main><h1>A heading</h1>{_p(3)}<ul><li>{_PROSE}</li><li>{_PROSE} <a href="/y">{_PROSE}</a></li></ul><ol><li>{_PROSE}</li></ol></article>' + _FOOT + _END,
     _HEAD + _COOKIE + _NAV + f'<div itemprop="articleBody" data-main>{_p(6)}</div>' + _SIDE + _ADS + _FOOT + _END,
+    _HEAD + _HEADER + f"<article data-main><h1>A heading</h1>{_LINKED}{_MIXED}</article>" + _SIDE + _COMMENTS + _FOOT + _END,
+    _HEAD + _NAV + f'<div class="page" data-main>{_MIXED}{_LINKED}{_MIXED}<ul><li>One item</li><li>Another short item</li><li>The last one</li></ul></div>' + _SIDE_DIV + _FOOT_DIV + _END,
+    _HEAD + _BAR + f"<div data-main><h1>A heading</h1>{_p(3)}<ul><li>One item</li><li>Another short item</li><li>The last one</li></ul>{_LINKED}</div>" + _BAR + _END,
+    _HEAD + _BAR + f"<div><div>{_BAR}</div><div data-main>{_LINKED}<ul><li>One item</li><li>Two</li><li>The <a href='/k'>third</a> one here</li></ul></div></div>" + _BAR + _FOOT + _END,
 ]
