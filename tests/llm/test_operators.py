@@ -217,6 +217,59 @@ def test_grouped_scores_equal_single_ones():
     assert np.allclose(model.scores(texts), [model.scores([t])[0] for t in texts])
 
 
+@pytest.mark.parametrize("block", [1, 7, 40])
+def test_long_texts_have_the_features_of_short_ones(monkeypatch, block):
+    rng = random.Random(block)
+    texts = [" ".join("".join(rng.choices("abé.", k=rng.randint(1, 9))) for _ in range(rng.randint(1, 60))) for _ in range(20)] + ["  a\t\n b ", "word" * 50, " ", "x y\n"]
+    model = quality_classifier.Model(np.random.default_rng(1).normal(size=1 << 17).astype(np.float32), 0.1)
+    counts, scores = [quality_classifier.sparse(t) for t in texts], model.scores(texts)
+    monkeypatch.setattr(quality_classifier, "BLOCK", block)
+    for t, (buckets, n) in zip(texts, counts):
+        again = quality_classifier.sparse(t)
+        assert again[0].tolist() == buckets.tolist() and again[1].tolist() == n.tolist()
+    assert np.allclose(model.scores(texts), scores, rtol=1e-12)
+
+
+def test_classifier_is_fitted_as_by_hand():
+    """The same gradient descent, one number at a time."""
+    rows = [(np.array([1, 4]), np.array([2.0, 1.0]), 1), (np.array([0, 4, 7]), np.array([1.0, 1.0, 3.0]), 0), (np.array([2]), np.array([5.0]), 1)]
+    bits, dim, epochs, rate, seed = 3, 2, 3, 0.5, 11
+    got = quality_classifier.fit(rows, bits, dim, epochs, rate, seed)
+    rng = np.random.default_rng(seed)
+    v = [[float(x) for x in line] for line in rng.uniform(-1 / dim, 1 / dim, (1 << bits, dim)).astype(np.float32)]
+    out, bias, done = [[0.0] * dim, [0.0] * dim], [0.0, 0.0], 0
+    for _ in range(epochs):
+        for i in rng.permutation(len(rows)):
+            buckets, counts, label = rows[i]
+            share = [c / sum(counts) for c in counts]
+            hidden = [sum(s * v[b][d] for s, b in zip(share, buckets)) for d in range(dim)]
+            z = [sum(o * h for o, h in zip(out[k], hidden)) + bias[k] for k in (0, 1)]
+            p = [math.exp(x - max(z)) for x in z]
+            error = [x / sum(p) - (k == label) for k, x in enumerate(p)]
+            step = rate * (1 - done / (epochs * len(rows)))
+            back = [sum(error[k] * out[k][d] for k in (0, 1)) for d in range(dim)]
+            for k in (0, 1):
+                bias[k] -= step * 0.1 * error[k]
+                for d in range(dim):
+                    out[k][d] -= step * error[k] * hidden[d]
+            for s, b in zip(share, buckets):
+                for d in range(dim):
+                    v[b][d] -= step * len(buckets) ** 0.5 * s * back[d]
+            done += 1
+    want = [sum(line[d] * (out[1][d] - out[0][d]) for d in range(dim)) for line in v]
+    assert np.allclose(got.table, want, atol=1e-5) and got.bias == pytest.approx(bias[1] - bias[0], abs=1e-6)
+
+
+def test_classifier_goes_on_past_long_labelled_texts(spark):
+    assert quality_classifier.taken([5, 90, 5, 5], 9, 20) == [0, 2, 3] and quality_classifier.taken([5, 5, 5], 2, 99) == [0, 1]
+    good, bad = [f"calm words of prose number {i}" for i in range(40)], [f"### $$$ {i} ###" for i in range(40)]
+    rows = [(i, t) for i, t in enumerate([*good, *bad, "### " * 400_000])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 40 or i == 80)) for i, _ in rows], "doc_id long, quality int")
+    scores = quality_classifier.train(docs, labels).scores([good[3], bad[3]])
+    assert scores[0] > 0.5 > scores[1]
+
+
 def plain_best_fit(lengths, capacity):
     rooms = []
     for n in sorted(lengths, reverse=True):

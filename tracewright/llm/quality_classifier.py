@@ -7,6 +7,8 @@ layer to one number for each bucket, so a text costs one lookup for each n-gram.
 
 from __future__ import annotations
 
+import logging
+import re
 import sys
 from dataclasses import dataclass
 
@@ -23,9 +25,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BITS, DIM, EPOCHS, RATE, SEED = 17, 8, 6, 0.5, 7
 #: Labelled rows the model is fitted on: at most so many of each label, and so many bytes of text in all.
 SAMPLE_ROWS, SAMPLE_BYTES = 1000, 12_000_000
+#: Longest text that is learned from, in bytes.
+SAMPLE_TEXT = 1 << 16
 #: Bytes hashed at a time.
 BLOCK = 1 << 19
 NGRAMS = (3, 5)
+_BLANK, _LAST_WORD = re.compile(rb"[\x20\x09-\x0D]"), re.compile(rb"[\x20\x09-\x0D]+(?=[^\x20\x09-\x0D])")
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -68,15 +73,32 @@ def features(raw: bytes, bits: int = BITS) -> list[tuple[np.ndarray, np.ndarray]
     return [(_bucket(h, bits), p) for h, p in zip(found, places, strict=True)]
 
 
-def _pieces(raw: bytes):
-    """``raw`` in blocks cut at white space, where there is any."""
-    at = 0
-    while len(raw) - at > BLOCK:
-        cut = max(raw.rfind(b" ", at, at + BLOCK), raw.rfind(b"\n", at, at + BLOCK))
-        cut = cut if cut > at else at + BLOCK
-        yield raw[at:cut]
-        at = cut
-    yield raw[at:]
+def blocks(raw: bytes):
+    """(block, start of what is new in it): ``raw`` in blocks of about BLOCK bytes that end at white space.
+
+    A block begins with the last word of the one before, and with as many bytes as an n-gram
+    reaches back, so no word, pair or n-gram is lost or met twice. A word longer than a block makes
+    its block as long.
+    """
+    at = begin = 0
+    while True:
+        cut = _BLANK.search(raw, at + BLOCK)
+        if cut is None:
+            yield raw[begin:], at - begin
+            return
+        yield raw[begin : cut.start()], at - begin
+        at = cut.start()
+        begin = min(max((m.end() for m in _LAST_WORD.finditer(raw, begin, at)), default=0), at - max(NGRAMS) + 1)
+        begin = max(begin, 0)
+
+
+def new_features(block: bytes, new: int, bits: int) -> list[np.ndarray]:
+    """Buckets of the words, pairs and n-grams of a block that end in what is new in it."""
+    found = features(block, bits)
+    if not new:
+        return [h for h, _ in found]
+    # A word or a pair is told by the start of its (second) word, an n-gram by its last byte.
+    return [h[p + (0 if k < 2 else NGRAMS[k - 2] - 1) >= new] for k, (h, p) in enumerate(found)]
 
 
 def sparse(text: str | None, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +106,7 @@ def sparse(text: str | None, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     raw = (text or "").encode("utf-8", "surrogatepass")
     if not raw:
         return np.zeros(0, np.int64), np.zeros(0)
-    return np.unique(np.concatenate([b for p in _pieces(raw) for b, _ in features(p, bits)]), return_counts=True)
+    return np.unique(np.concatenate([h for b, new in blocks(raw) for h in new_features(b, new, bits)]), return_counts=True)
 
 
 @dataclass
@@ -93,15 +115,20 @@ class Model:
     bias: float
 
     def scores(self, texts) -> np.ndarray:
-        """Probability of label 1 of each whole text; that of the bias alone where it is empty."""
+        """Probability of label 1 of each whole text; that of the bias alone where it is empty.
+
+        Short texts are hashed together, long ones in blocks; both have the same features.
+        """
         bits, out, group, size = int(np.log2(len(self.table))), [], [], 0
         for t in texts:
             raw = t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b""
             if len(raw) > BLOCK:
-                parts = [self.table[b] for p in _pieces(raw) for b, _ in features(p, bits)]
                 out += self._group(group, bits)
-                group, size = [], 0
-                out.append(sum(float(p.sum()) for p in parts) / sum(len(p) for p in parts))
+                group, size, total, count = [], 0, 0.0, 0
+                for b, new in blocks(raw):
+                    for h in new_features(b, new, bits):
+                        total, count = total + float(self.table[h].sum(dtype=np.float64)), count + len(h)
+                out.append(total / max(count, 1))
                 continue
             group.append(raw)
             size += len(raw)
@@ -114,7 +141,8 @@ class Model:
     def _group(self, raws: list[bytes], bits: int) -> list[float]:
         """Mean logit of each of some texts, hashed together with blanks between them.
 
-        N-grams that reach over the end of a text are left out, so it scores as it would alone.
+        N-grams that reach over the end of a text are left out, and each text's sum is of its own
+        features alone, so it scores as it would by itself.
         """
         if not raws:
             return []
@@ -125,11 +153,12 @@ class Model:
         found = features(gap.join(raws) + gap, bits)
         starts = np.append(found[0][1], end[-1])
         for k, (buckets, places) in enumerate(found):
-            sums = np.concatenate(([0.0], np.cumsum(self.table[buckets], dtype=np.float64)))
             # The pair at a text's first word has its other word in the text before.
             lo = np.searchsorted(places, starts[np.searchsorted(starts, begin)], "right") if k == 1 else np.searchsorted(places, begin)
             hi = np.maximum(lo, np.searchsorted(places, end - (1 if k < 2 else NGRAMS[k - 2]) + 1))
-            total, count = total + sums[hi] - sums[lo], count + hi - lo
+            values = np.append(self.table[buckets].astype(np.float64), 0.0)
+            sums = np.add.reduceat(values, np.stack((lo, hi), 1).ravel())[::2]
+            total, count = total + np.where(hi > lo, sums, 0.0), count + hi - lo
         return list(np.divide(total, count, out=np.zeros(len(raws)), where=count > 0))
 
 
@@ -161,12 +190,23 @@ def remainder(id_col: str, mod: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % mod, F.lit(0))
 
 
+def taken(sizes: list[int], rows: int, most: int) -> list[int]:
+    """Which of some rows are taken in their order: ``rows`` at most, and none that would pass ``most`` bytes in all."""
+    out, total = [], 0
+    for i, n in enumerate(sizes):
+        if len(out) < rows and total + n <= most:
+            out.append(i)
+            total += n
+    return out
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", held_out_of: int = 5, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> Model:
     """Fit on a bounded sample of the labelled rows that are not held out.
 
-    The sample takes each label's rows in the order of a hash of their ids, at most ``rows`` of
-    each and ``most_bytes`` / 2 bytes of each label's texts (the first row is always taken). Rows
-    without id, text or label are not learned from; of an id with several labels the least holds.
+    The sample takes each label's rows in the order of a hash of their ids and texts, at most
+    ``rows`` of each; a row that would carry a label's texts past ``most_bytes`` / 2 bytes is left
+    out and the next ones are tried. Rows without id, text or label, and those of texts over
+    SAMPLE_TEXT bytes, are not learned from; of an id with several labels the least holds.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label in (0, 1)")
     known = small_or_not(stored(known.groupBy("id").agg(F.min("label").alias("label")), "labels"))
@@ -174,9 +214,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sizes = texts.join(known, "id").select("id", "label", F.octet_length("text").alias("n"), F.xxhash64("id", "text").alias("h"))
     sizes, picked = stored(sizes, "labelled-sizes"), []
     for label in (0, 1):
-        first = sizes.where(F.col("label") == label).orderBy("h", "id").limit(rows).collect()
-        total = np.cumsum([r.n for r in first])
-        picked += [(r.h, label) for r, t in zip(first, total, strict=True) if t <= max(most_bytes / 2, total[0])]
+        first = sizes.where((F.col("label") == label) & (F.col("n") <= SAMPLE_TEXT)).orderBy("h", "id").limit(4 * rows).collect()
+        took = taken([r.n for r in first], rows, most_bytes // 2)
+        picked += [(first[i].h, label) for i in took]
+        logging.getLogger(__name__).info("label %d: learning from %d rows", label, len(took))
     if not picked:
         return Model(np.zeros(1 << BITS, np.float32), 0.0)
     chosen = F.broadcast(docs.sparkSession.createDataFrame(picked, "h long, label int").distinct())
