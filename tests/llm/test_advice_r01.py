@@ -24,7 +24,7 @@ def test_license_notices_in_lines_of_any_width(spark, width, lead):
         said = " ".join(next(s for n, s in license_scan.SENTENCES if n == name) + "." for name in names)
         return "\n".join(lead + line for line in textwrap.wrap(said, width, break_long_words=False, break_on_hyphens=False))
 
-    want = {k: (name, ids) for k, (name, ids) in enumerate(license_scan.RULES) if len(ids) == 4}
+    want = {k: (name, ids) for k, (name, ids) in enumerate(license_scan.RULES) if len(ids) > 1}
     rows = [(k, notice(ids)) for k, (_, ids) in want.items()]
     got = {r["id"]: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     for k, (name, ids) in want.items():

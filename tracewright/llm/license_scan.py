@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from tracewright.llm.shared import ascii_lower, row_key
 
-#: Fragments in a run of the SQL of operator 3; ``scan`` has no such bound.
-MOST_FRAGMENTS = 4
 BREAKS = r"[.!?;:]+[\x20\x09-\x0D]+|\n+"
 
 # Sentences of public licence notices, and the identifier of each.
@@ -68,6 +66,41 @@ SENTENCES = [
     ("CC0", "To the extent possible under law, the author has waived all copyright and related rights to this work"),
     ("PublicDomain", "This work is in the public domain"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
+    ("BSDAsIs", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED"),
+    ("BSDLiab", "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE"),
+    ("ISCAsIs", "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS"),
+    ("ISCLiab", "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE"),
+    ("ZeroBSDPerm", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("ZlibAsIs", "This software is provided 'as-is', without any express or implied warranty"),
+    ("ZlibLiab", "In no event will the authors be held liable for any damages arising from the use of this software"),
+    ("ZlibPerm", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"),
+    ("BoostPerm", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following"),
+    ("BoostRef", "Distributed under the Boost Software License, Version 1.0"),
+    ("LGPLFree2", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version"),
+    ("LGPLFree3", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
+    ("LGPLHope", "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE"),
+    ("LGPLSee", "See the GNU Lesser General Public License for more details"),
+    ("LGPLCopy", "You should have received a copy of the GNU Lesser General Public License along with this library"),
+    ("AGPLFree", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
+    ("AGPLSee", "See the GNU Affero General Public License for more details"),
+    ("AGPLCopy", "You should have received a copy of the GNU Affero General Public License along with this program"),
+    ("FSFVerbatim", "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed"),
+    ("GPLv3Text", "The GNU General Public License is a free, copyleft license for software and other kinds of works"),
+    ("GPLv2Text", "The licenses for most software are designed to take away your freedom to share and change it"),
+    ("AGPLv3Text", "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed to ensure cooperation with the community in the case of network server software"),
+    ("LGPLv3Text", "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License, supplemented by the additional permissions listed below"),
+    ("ApacheGrant", "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form"),
+    ("MPLCopy", "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/"),
+    ("MPLCopy", "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/"),
+    ("MPLGrant", "Each Contributor hereby grants You a world-wide, royalty-free, non-exclusive license"),
+    ("EPL2", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at"),
+    ("UnlicenseFree", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means"),
+    ("CCBY4Text", "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this Creative Commons Attribution 4.0 International Public License (\"Public License\")"),
+    ("CCBYSA4Text", "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this Creative Commons Attribution-ShareAlike 4.0 International Public License (\"Public License\")"),
+    ("CCBYNC4Text", "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this Creative Commons Attribution-NonCommercial 4.0 International Public License (\"Public License\")"),
+    ("CCBYND4Text", "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this Creative Commons Attribution-NoDerivatives 4.0 International Public License (\"Public License\")"),
+    ("CCBYNCSA4Text", "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International Public License (\"Public License\")"),
+    ("CC0Text", "CREATIVE COMMONS CORPORATION IS NOT A LAW FIRM AND DOES NOT PROVIDE LEGAL SERVICES"),
     ("Reserved", "All rights reserved"),
 ]
 
@@ -77,8 +110,23 @@ RULES = [
     ("MIT", ["MITPerm", "MITNotice", "MITAsIs", "MITLiab"]),
     ("GPL-3.0-or-later", ["GPLFree", "GPLHope", "GPLSee", "GPLCopy"]),
     ("GPL-2.0-or-later", ["GPLFree2", "GPLHope", "GPLSee", "GPLCopy"]),
+    ("LGPL-2.1-or-later", ["LGPLFree2", "LGPLHope", "LGPLSee", "LGPLCopy"]),
+    ("LGPL-3.0-or-later", ["LGPLFree3", "LGPLHope", "LGPLSee", "LGPLCopy"]),
+    ("AGPL-3.0-or-later", ["AGPLFree", "GPLHope", "AGPLSee", "AGPLCopy"]),
+    ("BSD-3-Clause", ["BSDPerm", "BSDSource", "BSDBinary", "BSDEndorse", "BSDAsIs", "BSDLiab"]),
+    ("BSD-2-Clause", ["BSDPerm", "BSDSource", "BSDBinary", "BSDAsIs", "BSDLiab"]),
     ("BSD-3-Clause", ["BSDPerm", "BSDSource", "BSDBinary", "BSDEndorse"]),
     ("BSD-2-Clause", ["BSDPerm", "BSDSource", "BSDBinary"]),
+    ("ISC", ["ISCPerm", "ISCAsIs", "ISCLiab"]),
+    ("0BSD", ["ZeroBSDPerm", "ISCAsIs", "ISCLiab"]),
+    ("Zlib", ["ZlibAsIs", "ZlibLiab", "ZlibPerm"]),
+    ("BSL-1.0", ["BoostPerm", "MITAsIs"]),
+    ("Unlicense", ["Unlicense", "UnlicenseFree"]),
+    ("MPL-2.0", ["MPL2", "MPLCopy"]),
+    ("GPL-3.0-only", ["FSFVerbatim", "GPLv3Text"]),
+    ("GPL-2.0-only", ["FSFVerbatim", "GPLv2Text"]),
+    ("AGPL-3.0-only", ["FSFVerbatim", "AGPLv3Text"]),
+    ("LGPL-3.0-only", ["FSFVerbatim", "LGPLv3Text"]),
     ("MIT", ["MITPerm", "MITNotice"]),
     ("GPL-3.0-or-later", ["GPLFree"]),
     ("GPL-2.0-or-later", ["GPLFree2"]),
@@ -93,6 +141,21 @@ RULES = [
     ("BSD-2-Clause", ["BSD2Ref"]),
     ("BSD", ["BSDRef"]),
     ("ISC", ["ISCPerm"]),
+    ("0BSD", ["ZeroBSDPerm"]),
+    ("BSL-1.0", ["BoostPerm"]),
+    ("BSL-1.0", ["BoostRef"]),
+    ("LGPL-2.1-or-later", ["LGPLFree2"]),
+    ("LGPL-3.0-or-later", ["LGPLFree3"]),
+    ("AGPL-3.0-or-later", ["AGPLFree"]),
+    ("Apache-2.0", ["ApacheGrant"]),
+    ("MPL-2.0", ["MPLGrant"]),
+    ("EPL-2.0", ["EPL2"]),
+    ("CC-BY-NC-SA-4.0", ["CCBYNCSA4Text"]),
+    ("CC-BY-NC-4.0", ["CCBYNC4Text"]),
+    ("CC-BY-SA-4.0", ["CCBYSA4Text"]),
+    ("CC-BY-ND-4.0", ["CCBYND4Text"]),
+    ("CC-BY-4.0", ["CCBY4Text"]),
+    ("CC0-1.0", ["CC0Text"]),
     ("MPL-2.0", ["MPL2"]),
     ("CC-BY-NC-SA-4.0", ["CCBYNCSA4"]),
     ("CC-BY-NC-4.0", ["CCBYNC4"]),

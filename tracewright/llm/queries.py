@@ -116,6 +116,7 @@ FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 
 def _op3_sql() -> str:
     q = lambda x: "'" + x.replace("'", "''") + "'"
+    most = max(len(s.split(" ")) for s in license_scan.known_sentences())  # each fragment has a word
     known = ", ".join(f"({q(s)}, {q(n)})" for s, n in license_scan.known_sentences().items())
     steps = ["f0 AS (SELECT r, names, ',' || replace(names, ',', ',,') || ',' AS l, CAST([] AS VARCHAR[]) AS got FROM seqs)"]
     for i, (name, ids) in enumerate(license_scan.RULES):
@@ -125,7 +126,8 @@ def _op3_sql() -> str:
     return f"""
 WITH known(s, name) AS (VALUES {known}),
 docs AS (SELECT row_number() OVER () AS r, doc_id, list_filter(list_transform(regexp_split_to_array({lower}, '{license_scan.BREAKS}'), lambda x: trim(regexp_replace(x, '[^a-z0-9]+', ' ', 'g'))), lambda x: x <> '') AS p FROM documents),
-runs AS (SELECT r, i, n, array_to_string(p[i : i + n - 1], ' ') AS s FROM (SELECT r, p, unnest(range(1, len(p) + 1)) AS i FROM docs), range(1, {license_scan.MOST_FRAGMENTS + 1}) AS t(n) WHERE i + n - 1 <= len(p)),
+starts AS (SELECT DISTINCT r, p, i FROM (SELECT r, p, unnest(range(1, len(p) + 1)) AS i FROM docs) JOIN known ON starts_with(s || ' ', p[i] || ' ')),
+runs AS (SELECT r, i, n, array_to_string(p[i : i + n - 1], ' ') AS s FROM starts, range(1, {most + 1}) AS t(n) WHERE i + n - 1 <= len(p)),
 found AS (SELECT r, i, arg_max(name, n) AS name FROM runs JOIN known USING (s) GROUP BY r, i),
 seqs AS (SELECT r, string_agg(name, ',' ORDER BY i) AS names FROM found GROUP BY r),
 {", ".join(steps)}
