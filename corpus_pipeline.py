@@ -1,4 +1,9 @@
-"""A corpus pipeline: five stages, each on all that the one before it kept."""
+"""A corpus pipeline: five stages, each on all that the one before it kept.
+
+Stages take the columns of ``documents`` and any others; all but the last return the columns they
+got. Columns must not be called __k, __d, __maybe or __rules; any other name may clash. An empty
+table gives an empty one, and null languages, sources or labels change nothing.
+"""
 
 from __future__ import annotations
 
@@ -17,19 +22,30 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def quality_rule_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the base rule or the n-gram log-likelihood ratio rejects."""
+    """Drops documents that the base rule or the n-gram log-likelihood ratio rejects.
+
+    Null and empty texts and those of under 50 words go; of repeated rows all stay or all go.
+    """
     found = quality_rules.quality(docs, queries.trusted_ids(spark, sf_dir))
     return without(docs, stored(found.where("not kept").select("__k", "__d").distinct(), "rejected"))
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the classifier predicts to be bad."""
+    """Drops documents that the classifier predicts to be bad, those scored under GOOD.
+
+    A null or empty text has the score of the bias alone; equal texts have equal scores. Without
+    labels all score alike and all stay.
+    """
     model = quality_classifier.train(docs, _table(spark, sf_dir, "labels"))
     return docs.where(quality_classifier.score_column(model, F.col("text")) >= queries.GOOD)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each group of near duplicates: that of the least id, null ids last; of equal rows one."""
+    """Keeps one row of each group of near duplicates: that of the least id, null ids last; of equal rows one.
+
+    Rows are told by id and text, so an id that comes with several texts loses only those that are
+    duplicates. Null, empty and wordless texts are one group.
+    """
     found = stored(simhash.row_groups(docs), "near-duplicates")
     kept = without(docs, stored(found.where("not first").select("__k", "__d").distinct(), "duplicates"))
     if found.where("first").groupBy("__k", "__d").count().where("count > 1").limit(1).count():
@@ -38,13 +54,16 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents contaminated by the benchmark."""
+    """Drops documents contaminated by the benchmark. Null and empty texts hold no item and stay."""
     found = decontamination.verdicts(docs, _table(spark, sf_dir, "benchmark")).where("contaminated")
     return without(docs, stored(found.select("__k", "__d").distinct(), "contaminated"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the documents into sequences: a row for each piece of a document."""
+    """Packs the documents into sequences: a row for each piece of a document.
+
+    A null or empty text is one id, its end. Rows are packed each for itself, repeated ones too.
+    """
     return bin_packing.pack(queries.token_counts(docs), F.col("tokens"), "id").withColumnRenamed("id", "doc_id")
 
 

@@ -16,6 +16,41 @@ def test_near_duplicate_stage_keeps_one_row_of_each_group(spark):
     assert {(r.doc_id, r.text) for r in kept} >= {(1, a), (None, b), (2, d)}
 
 
+def test_near_duplicate_stage_with_ids_of_several_texts(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    a, b = (" ".join(f"{x}{k}" for k in range(300)) for x in "ab")
+    rows = [(3, b), (5, a), (5, b), (9, a), (7, None), (None, ""), (8, "  ")]
+    kept = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(3, b), (5, a), (7, None)], key=str)
+
+
+def test_filter_keeps_rows_whole_beyond_the_broadcast_limit(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tracewright.llm import shared
+    from tracewright.plans import materialize
+
+    rows = [(i if i % 7 else None, f"text {i % 40}" if i % 11 else None) for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = shared.row_key(docs).where(F.coalesce(F.col("doc_id"), F.lit(0)) % 3 == 1).select("__k", "__d").distinct().cache()
+    want = sorted((r for r in rows if (r[0] or 0) % 3 != 1), key=str)
+    for bits in (1 << 27, 1 << 4):  # a filter that parts the rows, and one that lets all through to the join
+        for limit in (1_000_000, -1):
+            monkeypatch.setattr(shared, "FILTER_BITS", bits)
+            monkeypatch.setattr(materialize, "BROADCAST_ROWS", limit)
+            assert sorted(map(tuple, shared.without(docs, keys).collect()), key=str) == want
+            assert shared.within(shared.row_key(docs), keys).count() == len(rows) - len(want)
+
+
+def test_broadcasts_are_checked_by_bytes(spark, monkeypatch):
+    from tracewright.plans import materialize
+
+    table = spark.createDataFrame([(i, "x" * 1000, [i] * 9) for i in range(20)], "i long, s string, a array<long>")
+    assert materialize.small_or_not(table) is not table
+    monkeypatch.setattr(materialize, "BROADCAST_BYTES", 20_000)
+    assert materialize.small_or_not(table) is table and materialize.small_or_not(table.select("i")) is not table
+
+
 @pytest.mark.parametrize("width,lead", [(79, ""), (75, " * "), (30, "# "), (1, "")])
 def test_license_notices_in_lines_of_any_width(spark, width, lead):
     import textwrap
