@@ -84,6 +84,59 @@ def test_components_and_spans(spark):
     assert sorted((r.lo, r.hi) for r in transcript.outermost(spans, "doc").collect()) == [(0, 10), (0, 10), (8, 12)]
 
 
+def test_pairs_in_blocks(spark):
+    from tracewright.plans.pairs import block_pairs
+
+    rows = [(1, i, f"t{i % 5}") for i in range(40)] + [(2, 1, "x"), (2, 1, "y"), (2, 2, "z"), (3, 9, "q")]
+    got = block_pairs(spark.createDataFrame(rows, "k int, item int, t string"), "k", "item", blocks=3).select("k", "a.item", "a.t", "b.item", "b.t").collect()
+    want = [(x[0], *x[1:], *y[1:]) for x in rows for y in rows if x[0] == y[0] and x[1] < y[1]]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_near_names_lose_nothing(spark):
+    import random
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            before, row[0] = row[0], i + 1
+            for j, y in enumerate(b):
+                before, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, before + (x != y))
+        return row[-1]
+
+    rng = random.Random(3)
+    base = ["".join(rng.choices("abc", k=rng.randint(0, 12))) for _ in range(60)]
+    left, right = base[:40], base[20:]
+    frame = lambda names, c: spark.createDataFrame([(n,) for n in set(names)], f"{c} string")
+    got = {(r.name, r.other, r.distance) for r in resolve.near_names(frame(left, "name"), frame(right, "other")).collect()}
+    assert got == {(a, b, distance(a, b)) for a in left for b in right if distance(a, b) <= 3}
+
+
+def test_collision_repairs_by_hand(spark):
+    def families(docs):
+        used, out = set(), []
+        for doc in sorted({d for d, _ in docs}):
+            for f in sorted({x for d, x in docs if d == doc}):
+                new = max(used) + 1 if f in used else f
+                used.add(new)
+                out.append((doc, f, new))
+        return out
+
+    def claims(docs):
+        free, out = 1000, []
+        for doc, c in sorted(set(docs)):
+            new = max(c, free)
+            free = new + 1
+            out.append((doc, c, new))
+        return out
+
+    # 1004 and 1006 are first given as new numbers and then met; the second chain has more than one such number.
+    for docs in ([(1, 1000), (1, 1003), (2, 1000), (3, 1004), (4, 1006), (4, 1003), (5, 1001), (5, 1007)], [(1, 1000), (2, 1000), (3, 1001), (4, 1002), (5, 1003), (5, 1000)], [(1, 999)]):
+        frame = spark.createDataFrame(docs, "doc int, n long")
+        assert sorted(map(tuple, resolve.family_repair(frame, "doc", "n").collect())) == sorted(families(docs))
+        assert sorted(map(tuple, resolve.claim_repair(frame, "doc", "n").collect())) == sorted(claims(docs))
+
+
 def test_similarity_and_upsert(spark):
     assert value(spark, patterns.similarity(F.lit("abcd"), F.lit("abcx"))) == 0.75 and value(spark, patterns.similarity(F.lit(""), F.lit(""))) is None
     old = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, w string")

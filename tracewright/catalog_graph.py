@@ -9,6 +9,7 @@ from tracewright.functions.text import normal_name
 from tracewright.operators import patterns, quality, resolve
 from tracewright.plans.bindings import SQL, Graph
 from tracewright.plans.materialize import stored
+from tracewright.plans.pairs import block_pairs
 
 
 def q(text: str) -> str:
@@ -30,16 +31,18 @@ def claim_clustering(spark, d):
     return patterns.clusters(Graph(spark, d).anchors, "claim", "part", 2)
 
 
-@register(q("ev AS (SELECT DISTINCT user_id AS node, event_type AS item, datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 1 AS ep FROM events), eps AS (SELECT DISTINCT node, ep FROM ev) SELECT eps.node, eps.ep, CAST(count(DISTINCT item) AS BIGINT) AS total FROM eps JOIN ev ON ev.node = eps.node AND ev.ep <= eps.ep GROUP BY 1, 2"))
+@register(q("ev AS (SELECT DISTINCT person AS node, ep, 'claim' AS kind, CAST(claim AS VARCHAR) AS item FROM claims UNION SELECT person, c.ep, 'artifact', artifact FROM claims c JOIN anchors USING (claim)), eps AS (SELECT DISTINCT node, ep FROM ev) SELECT eps.node, eps.ep, count(DISTINCT item) FILTER (kind = 'artifact') AS artifacts, count(DISTINCT item) FILTER (kind = 'claim') AS claims FROM eps JOIN ev ON ev.node = eps.node AND ev.ep <= eps.ep GROUP BY 1, 2"))
 def evidence_accumulation(spark, d):
-    e = Graph(spark, d).table("events")
-    return patterns.evidence_accumulation(e.select(F.col("user_id").alias("node"), F.col("event_type").alias("item"), (F.datediff(F.to_date("ts"), F.lit("2024-01-01")) + 1).cast("long").alias("ep")))
+    g = Graph(spark, d)
+    claims = g.claims.select(F.col("person").alias("node"), "ep", F.lit("claim").alias("kind"), F.col("claim").cast("string").alias("item"))
+    artifacts = g.claims.select("claim", "person", "ep").join(g.anchors.select("claim", "artifact"), "claim")
+    artifacts = artifacts.select(F.col("person").alias("node"), "ep", F.lit("artifact").alias("kind"), F.col("artifact").alias("item"))
+    return patterns.evidence_accumulation(claims.union(artifacts))
 
 
-@register("SELECT a.p_brand, a.p_partkey AS id1, b.p_partkey AS id2, round(1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name))::DOUBLE, 6) AS sim FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey WHERE a.p_size = b.p_size AND 1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name))::DOUBLE > 0.3 AND 1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name))::DOUBLE < 0.9")
+@register("SELECT a.p_brand, a.p_partkey AS id1, b.p_partkey AS id2, round(1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name))::DOUBLE, 6) AS sim FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey WHERE 1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name))::DOUBLE > 0.3 AND 1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name))::DOUBLE < 0.9")
 def contradiction_pairs(spark, d):
-    p = Graph(spark, d).table("part").withColumn("key", F.struct("p_brand", "p_size"))
-    return patterns.contradictions(p, "key", "p_partkey", "p_name").select(F.col("key.p_brand").alias("p_brand"), "id1", "id2", "sim")
+    return patterns.contradictions(Graph(spark, d).table("part"), "p_brand", "p_partkey", "p_name")
 
 
 @register("WITH e AS (SELECT DISTINCT 's' || l_suppkey AS src, 'p' || l_partkey AS dst FROM lineitem), ends AS (SELECT src AS node, src, dst FROM e UNION ALL SELECT dst, src, dst FROM e), nodes AS (SELECT 's' || s_suppkey AS node FROM supplier UNION ALL SELECT 'p' || p_partkey FROM part) SELECT node, count(src) AS degree FROM nodes LEFT JOIN ends USING (node) GROUP BY 1")
@@ -244,9 +247,29 @@ def timeline(spark, d):
 _NAMES = "n AS (SELECT trim(lower(p_name)) AS name, min(p_partkey) AS id, count(*) AS members FROM part GROUP BY 1)"
 
 
-@register(f"WITH {_NAMES} SELECT least(a.id, b.id) AS a, greatest(a.id, b.id) AS b, CAST(levenshtein(a.name, b.name) AS INT) AS distance FROM n a JOIN n b ON a.name < b.name AND levenshtein(a.name, b.name) BETWEEN 1 AND 3")
+@register("WITH n AS (SELECT p_brand, lower(p_name) AS name, min(p_partkey) AS id FROM part GROUP BY 1, 2) SELECT least(a.id, b.id) AS a, greatest(a.id, b.id) AS b, CAST(levenshtein(a.name, b.name) AS INT) AS distance FROM n a JOIN n b ON a.p_brand = b.p_brand AND a.name < b.name AND abs(length(a.name) - length(b.name)) <= 3 AND levenshtein(a.name, b.name) BETWEEN 1 AND 3")
 def fuzzy_duplicates(spark, d):
-    return resolve.fuzzy_pairs(Graph(spark, d).table("part"), "p_partkey", "p_name", 3)
+    """Near names within a label, the brand."""
+    return resolve.fuzzy_pairs(Graph(spark, d).table("part"), "p_partkey", "p_name", 3, "p_brand")
+
+
+@register("WITH n AS (SELECT p_brand, p_name AS name, min(p_partkey) AS id FROM part GROUP BY 1, 2) SELECT least(a.id, b.id) AS a, greatest(a.id, b.id) AS b, CAST(levenshtein(a.name, b.name) AS INT) AS distance FROM n a JOIN n b ON a.name < b.name AND a.p_brand = b.p_brand AND levenshtein(a.name, b.name) BETWEEN 1 AND 3")
+def raw_name_duplicates(spark, d):
+    """As ``fuzzy_duplicates``, on names as they are written."""
+    p = Graph(spark, d).table("part").select("p_brand", "p_partkey", "p_name")
+    kinds = p.groupBy("p_brand", F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("id"))
+    near = resolve.near_names(kinds.select("p_brand", "name"), kinds.select("p_brand", F.col("name").alias("other")), 3, ("p_brand",)).where("name < other")
+    near = near.join(kinds.withColumnRenamed("id", "ia"), ["p_brand", "name"]).join(kinds.withColumnsRenamed({"id": "ib", "name": "other"}), ["p_brand", "other"])
+    return near.select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b"), "distance")
+
+
+@register("WITH n AS (SELECT p_partkey AS id, p_name AS name FROM part WHERE p_size = 7), e AS (SELECT p_partkey AS other_id, p_name AS other FROM part WHERE p_size <> 7 UNION ALL SELECT -c_custkey, c_name FROM customer) SELECT id, other_id, CAST(levenshtein(name, other) AS INT) AS distance FROM n, e WHERE abs(length(name) - length(other)) <= 3 AND levenshtein(name, other) <= 3")
+def new_against_existing(spark, d):
+    """Names of one episode (a size) against those of all others, whatever their label."""
+    g = Graph(spark, d)
+    p = g.table("part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), "p_size")
+    other = g.table("customer").select((-F.col("c_custkey")).alias("id"), F.col("c_name").alias("name"))
+    return resolve.new_against_existing(p.where("p_size = 7").select("id", "name"), p.select("id", "name").union(other))
 
 
 @register(f"WITH {_NAMES} SELECT name, id, members FROM n")
@@ -254,10 +277,12 @@ def name_classes(spark, d):
     return resolve.name_classes(Graph(spark, d).table("part"), "p_partkey", "p_name")
 
 
-@register("WITH q AS (SELECT DISTINCT p_name AS query FROM part WHERE p_size > 40), k AS (SELECT min(p_partkey) AS id, lower(p_name) AS name FROM part WHERE p_brand = 'Brand#17' GROUP BY 2), m AS (SELECT query, id, CAST(levenshtein(lower(query), name) AS INT) AS distance, row_number() OVER (PARTITION BY query ORDER BY levenshtein(lower(query), name), id) AS r FROM q, k WHERE levenshtein(lower(query), name) <= 3) SELECT query, id, distance FROM m WHERE r = 1")
+@register("WITH q AS (SELECT DISTINCT substr(p_name, 2) AS query FROM part), k AS (SELECT min(p_partkey) AS id, lower(p_name) AS name FROM part GROUP BY 2 UNION ALL SELECT p_partkey, lower('the ' || p_name) FROM part WHERE p_size = 1), m AS (SELECT query, id, CAST(levenshtein(lower(query), name) AS INT) AS distance, row_number() OVER (PARTITION BY query ORDER BY levenshtein(lower(query), name), id) AS r FROM q, k WHERE abs(length(query) - length(name)) <= 3 AND levenshtein(lower(query), name) <= 3) SELECT query, id, distance FROM m WHERE r = 1")
 def suggest_node(spark, d):
+    """Names that lost their first letter, against all names and their aliases ('the ..' of the smallest parts)."""
     p = Graph(spark, d).table("part")
-    return resolve.nearest_name(p.where("p_size > 40").select("p_name"), resolve.name_classes(p.where("p_brand = 'Brand#17'"), "p_partkey", "p_name"), "id", "name")
+    alias = p.where("p_size = 1").select(F.col("p_partkey").alias("id"), F.concat(F.lit("the "), "p_name").alias("name"))
+    return resolve.nearest_name(p.select(F.substring("p_name", 2, 10**6)), resolve.name_classes(p, "p_partkey", "p_name").select("id", "name").union(alias), "id", "name")
 
 
 @register("WITH s AS (SELECT p_name, min(p_partkey) AS component FROM part GROUP BY 1) SELECT p_partkey AS node, component FROM part JOIN s USING (p_name) WHERE p_partkey IN (SELECT p_partkey FROM part JOIN (SELECT p_name FROM part GROUP BY 1 HAVING count(*) > 1) USING (p_name))")
@@ -279,10 +304,18 @@ def assign_ids(spark, d):
     return resolve.assign_ids(Graph(spark, d).table("part"), normal_name(F.col("p_name")), F.col("p_partkey"), 1000).select("p_partkey", F.col("new_id").cast("long").alias("new_id"))
 
 
-@register("WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS r, max(l_partkey) OVER () AS top FROM lineitem), n AS (SELECT *, row_number() OVER (PARTITION BY r > 1 ORDER BY l_partkey, l_orderkey, l_linenumber) AS k FROM r) SELECT l_orderkey, l_linenumber, CASE WHEN r = 1 THEN l_partkey ELSE top + k END AS fixed FROM n")
+@register("WITH u AS (SELECT DISTINCT year(o_orderdate) AS ep, 1000 + o_custkey AS claim FROM orders), r AS (SELECT ep, claim, row_number() OVER (ORDER BY ep, claim) - 1 AS i FROM u) SELECT ep, claim, i + greatest(1000, max(claim - i) OVER (ORDER BY i)) AS fixed FROM r")
+def collision_repair_claims(spark, d):
+    """Claim numbers used again in later years."""
+    o = Graph(spark, d).table("orders").select(F.year("o_orderdate").cast("long").alias("ep"), (F.col("o_custkey") + 1000).alias("claim"))
+    return resolve.claim_repair(o, "ep", "claim")
+
+
+@register("WITH u AS (SELECT DISTINCT year(l_shipdate) AS ep, 1000 + l_partkey AS family FROM lineitem), m AS (SELECT *, ep > min(ep) OVER (PARTITION BY family) AS again FROM u), k AS (SELECT *, sum(again::INT) OVER (ORDER BY ep, family) AS given FROM m) SELECT ep, family, CAST(CASE WHEN again THEN given + max(CASE WHEN NOT again THEN family - given END) OVER (ORDER BY ep, family) ELSE family END AS BIGINT) AS fixed FROM k")
 def collision_repair(spark, d):
-    li = Graph(spark, d).table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    return resolve.collision_repair(li, "l_partkey", ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "fixed")
+    """Family numbers used again in later years."""
+    li = Graph(spark, d).table("lineitem").select(F.year("l_shipdate").cast("long").alias("ep"), (F.col("l_partkey") + 1000).alias("family"))
+    return resolve.family_repair(li, "ep", "family")
 
 
 @register(q("SELECT claim, CASE WHEN text IS NULL OR trim(text) = '' THEN 'placeholder' WHEN claim IN (SELECT claim FROM anchors) THEN 'anchored' WHEN substantiated THEN 'substantiated' ELSE 'unsubstantiated' END AS reason, claim IN (SELECT claim FROM anchors) OR substantiated AS admit FROM claims"))
@@ -343,11 +376,12 @@ def weak_claims(spark, d):
     return g.claims.select("claim").join(g.anchors.select("claim", "artifact"), "claim", "left").groupBy("claim").agg(F.count("artifact").alias("n")).where("n <= 1")
 
 
-@register(q("SELECT a.claim AS claim1, b.claim AS claim2, a.person FROM claims a JOIN claims b ON a.person = b.person AND a.ep < b.ep WHERE a.price > 400000 AND b.price > 400000"))
+@register(q("SELECT a.claim AS claim1, b.claim AS claim2, a.person FROM claims a JOIN claims b ON a.person = b.person AND a.ep < b.ep"))
 def cross_episode_pairs(spark, d):
-    c = Graph(spark, d).claims.where("price > 400000").select("claim", "person", "ep")
-    b = c.select(F.col("claim").alias("claim2"), "person", F.col("ep").alias("ep2"))
-    return c.withColumnRenamed("claim", "claim1").join(b, "person").where("ep < ep2").select("claim1", "claim2", "person")
+    c = Graph(spark, d).claims.select("person", "claim", "ep")
+    met = block_pairs(c, "person", "claim", F.col("a.ep") != F.col("b.ep"))
+    first, second = F.when(F.col("a.ep") < F.col("b.ep"), F.col("a.claim")).otherwise(F.col("b.claim")), F.when(F.col("a.ep") < F.col("b.ep"), F.col("b.claim")).otherwise(F.col("a.claim"))
+    return met.select(first.alias("claim1"), second.alias("claim2"), "person")
 
 
 @register(q("SELECT claim, round(count(*) * avg(CASE l_returnflag WHEN 'R' THEN 3 WHEN 'A' THEN 2 ELSE 1 END), 2) AS strength FROM anchors GROUP BY 1 ORDER BY strength DESC, claim LIMIT 20"))

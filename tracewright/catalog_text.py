@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tracewright.catalog import register
+from tracewright.functions import predicates
 from tracewright.functions import text as tx
 from tracewright.operators import patterns, transcript
 from tracewright.plans.bindings import Graph
-from tracewright.sources import formats
 
 #: Literal corrections, in order, and regular expressions, in order.
 FIXES = [("the ", "THE "), ("THE ti", "the-ti"), ("and", "&")]
@@ -67,21 +67,22 @@ def forbidden_scan(spark, d):
     return _docs(spark, d).where(F.col("text").rlike(PATTERNS[0][1]) | F.col("text").rlike(PATTERNS[2][1])).select("doc_id")
 
 
-@register("SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents WHERE lang = 'en') GROUP BY 1 HAVING count(*) >= 3")
+@register("SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents) GROUP BY 1 HAVING count(*) >= 3")
 def word_frequency(spark, d):
-    return transcript.word_frequency(_docs(spark, d).where("lang = 'en'"), "text", 3)
+    return transcript.word_frequency(_docs(spark, d), "text", 3)
 
 
-@register("SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents WHERE lang = 'en') GROUP BY 1 ORDER BY n DESC, word LIMIT 50")
+@register("SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents) GROUP BY 1 ORDER BY n DESC, word LIMIT 50")
 def top_words(spark, d):
-    return patterns.top(transcript.word_frequency(_docs(spark, d).where("lang = 'en'"), "text"), 50, F.desc("n"), F.col("word"))
+    return patterns.top(transcript.word_frequency(_docs(spark, d), "text"), 50, F.desc("n"), F.col("word"))
 
 
-@register("WITH w AS (SELECT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS word FROM documents WHERE lang = 'en') SELECT word, count(*) AS n FROM w WHERE length(word) >= 4 AND length(regexp_replace(word, '[^A-Z]', '', 'g')) BETWEEN 2 AND length(word) - 1 GROUP BY 1")
+@register("WITH w AS (SELECT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS word FROM documents), c AS (SELECT word, count(*) AS n, length(regexp_replace(word, '[^A-Z]', '', 'g')) / length(word)::DOUBLE AS r FROM w WHERE length(word) >= 4 GROUP BY 1) SELECT word, n, round(abs(r - 0.5) * 2, 6) AS score FROM c WHERE NOT r BETWEEN 0.25 AND 0.75 AND abs(r - 0.5) * 2 > 0.7 ORDER BY score DESC, n DESC, word LIMIT 100")
 def mixed_case(spark, d):
-    w = _docs(spark, d).where("lang = 'en'").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), 0)).alias("word"))
-    upper = F.length(F.regexp_replace("word", "[^A-Z]", ""))
-    return w.where((F.length("word") >= 4) & upper.between(2, F.length("word") - 1)).groupBy("word").agg(F.count("*").alias("n"))
+    """The hundred words of the most one-sided letter case."""
+    w = _docs(spark, d).select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), 0)).alias("word")).where(F.length("word") >= 4)
+    c = w.groupBy("word").agg(F.count("*").alias("n")).withColumn("score", F.round(predicates.case_anomaly(F.col("word")), 6))
+    return patterns.top(c.where("score > 0.7"), 100, F.desc("score"), F.desc("n"), F.col("word"))
 
 
 _SEGS = "l AS (SELECT doc_id, unnest(range(1, len(p) + 1)) - 1 AS line_no, unnest(p) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents)), m AS (SELECT *, sum((length(line) < 40)::INT) OVER (PARTITION BY doc_id ORDER BY line_no) AS seg FROM l)"
@@ -229,10 +230,9 @@ def html_titles(spark, d):
     return p.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_count("html", F.lit("<a ")).cast("long").alias("n_links"))
 
 
-@register()
+@register("WITH f AS (SELECT conv_id, turn, text, trim(regexp_replace(regexp_replace(text, '(?i)\\b(th|of|and)\\b', '', 'g'), 'tion', 'cion', 'g')) AS fixed FROM conversations), s AS (SELECT *, CASE WHEN length(text) = 0 AND length(fixed) = 0 THEN 1.0 WHEN length(text) = 0 OR length(fixed) = 0 THEN 0.0 ELSE 1 - levenshtein(text, fixed) / greatest(length(text), length(fixed))::DOUBLE END AS sim, len(regexp_extract_all(text, '(?i)\\b(th|of|and)\\b')) > len(regexp_extract_all(fixed, '(?i)\\b(th|of|and)\\b')) AS gone FROM f) SELECT conv_id, turn, round(sim, 6) AS sim, CASE WHEN sim >= 0.92 AND (gone OR abs(length(fixed) - length(text)) <= greatest(8, length(text) // 50)) THEN 'high' WHEN sim >= 0.75 OR (gone AND sim >= 0.65) THEN 'medium' ELSE 'low' END AS tier, CAST(least(100, floor(sim * 70 + CASE WHEN gone AND sim > 0.7 THEN 20 ELSE 0 END + CASE WHEN CASE WHEN length(text) > 0 THEN length(fixed) / length(text)::DOUBLE ELSE 1 END > 0.85 THEN 10 ELSE 0 END)) AS INT) AS score FROM s")
 def edit_tiers(spark, d):
-    """Similarity ratio of each turn and its corrected text (an Arrow function), and its tier."""
-    t = _turns(spark, d).select("conv_id", "turn", "text", F.replace("text", F.lit("tion"), F.lit("cion")).alias("fixed"))
-    ratio = formats.sequence_ratio(F.col("text"), F.col("fixed"))
-    tier = lambda r: F.when(r >= 0.92, "high").when(r >= 0.75, "medium").when(r >= 0.65, "low").otherwise("review")
-    return t.select("conv_id", "turn", ratio.alias("ratio")).withColumn("tier", tier(F.col("ratio")))
+    """Tier and score of each turn and its edit; similarity is by edit distance, fillers are given as a pattern."""
+    fillers = r"(?i)\b(th|of|and)\b"
+    t = _turns(spark, d).select("conv_id", "turn", "text", F.trim(F.regexp_replace(F.regexp_replace("text", fillers, ""), "tion", "cion")).alias("fixed"))
+    return t.select("conv_id", "turn", *transcript.edit_confidence(F.col("text"), F.col("fixed"), fillers))

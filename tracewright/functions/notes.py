@@ -9,13 +9,25 @@ from pyspark.sql import functions as F
 FILLERS = r"(?i)\b(uh|um|erm|er|ah|hmm|hm|like)\b"
 
 
+# The forms of a date in a text in the order they are looked for, and the formats they are read by.
+DEADLINES = [
+    r"(\d{4}-\d{2}-\d{2})",
+    r"(\d{1,2}/\d{1,2}/\d{1,4})",
+    r"(?i)(?:due|deadline|by)\s*[:\s]*(\d{0,2}\s+\w+\s+\d{4})",
+    r"(?i)(\w+\s+\d{1,2},?\s+\d{4})",
+]
+DATE_FORMATS = ["M/d/yyyy", "d/M/yyyy", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy"]
+
+
 def deadline(text: Column) -> Column:
-    """The first date in a text as yyyy-MM-dd: ISO, m/d/y, '3 March 2024' or 'March 3, 2024'; null without one."""
-    iso = F.regexp_extract(text, r"(\d{4}-\d{2}-\d{2})", 1)
-    slash, day_first, month_first = (F.regexp_extract(text, p, 1) for p in (r"(\d{1,2}/\d{1,2}/\d{4})", r"(\d{1,2}\s+[A-Za-z]+\s+\d{4})", r"([A-Za-z]+\s+\d{1,2},?\s+\d{4})"))
-    day = lambda x, f: F.date_format(F.try_to_date(F.nullif(F.regexp_replace(x, r"\s+", " "), F.lit("")), f), "yyyy-MM-dd")
-    tidy = F.regexp_replace(month_first, ",", "")
-    return F.coalesce(F.nullif(iso, F.lit("")), day(slash, "M/d/yyyy"), day(day_first, "d MMMM yyyy"), day(day_first, "d MMM yyyy"), day(tidy, "MMMM d yyyy"), day(tidy, "MMM d yyyy"))
+    """The date of a text as yyyy-MM-dd: the first form of DEADLINES that it holds and that a format reads; null without one."""
+
+    def read(pattern: str) -> Column:
+        found = F.nullif(F.trim(F.regexp_replace(F.regexp_extract(text, pattern, 1), r"\s+", " ")), F.lit(""))
+        dates = [F.date_format(F.try_to_date(F.when(F.length(F.regexp_extract(found, r"(\d+)$", 1)) == 4, found), f), "yyyy-MM-dd") for f in DATE_FORMATS]
+        return F.when(found.rlike(r"^\d{4}-\d{2}-\d{2}"), found).otherwise(F.coalesce(*dates))
+
+    return F.coalesce(*[read(p) for p in DEADLINES])
 
 
 def ical_stamp(iso: Column) -> Column:
@@ -46,17 +58,26 @@ def first_url(text: Column) -> Column:
     return F.nullif(F.regexp_replace(F.regexp_extract(text, r"(https?://\S+)", 1), r"[).,;:!?\]]+$", ""), F.lit(""))
 
 
+# A tag, plain or in double brackets, and a page reference.
+TAG, PAGE = r"#(?:\[\[)?([^\s\]#]+)\]?\]?", r"\[\[([^\]]+)\]\]"
+
+
 def tags(text: Column) -> Column:
     """#tag and #[[tag]], each once, sorted."""
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(r"#(?:\[\[)?([^\s\]\[#]+)\]?\]?"), 1)))
+    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TAG), 1), lambda x: F.trim(x))))
+
+
+def tags_and_pages(text: Column) -> Column:
+    """Tags and page references of a text, each once, sorted."""
+    return F.array_sort(F.array_union(tags(text), page_refs(text)))
 
 
 def page_refs(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(r"\[\[([^\]]+)\]\]"), 1)
+    return F.transform(F.regexp_extract_all(text, F.lit(PAGE), 1), lambda x: F.trim(x))
 
 
 def clean_block(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, r"\[\[([^\]]+)\]\]", "$1"))
+    return F.trim(F.regexp_replace(text, PAGE, "$1"))
 
 
 def filler_count(text: Column) -> Column:
@@ -76,14 +97,18 @@ def outline(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
     return out.where("text <> ''")
 
 
-def subtree_ends(blocks: DataFrame, doc: str = "doc_id", most_depth: int = 16) -> DataFrame:
+def subtree_ends(blocks: DataFrame, doc: str = "doc_id") -> DataFrame:
     """``blocks`` plus ``end_no``: the first later line at the block's depth or above, null at the end.
 
-    One window for each depth finds the next line of that depth or less, so no range join is made.
+    One window for each depth that occurs finds the next line of that depth or less, so no range
+    join is made; the depths are read from the data.
     """
+    depths = sorted(r[0] for r in blocks.select("depth").distinct().collect())
     after = Window.partitionBy(doc).orderBy(F.desc("line_no")).rowsBetween(Window.unboundedPreceding, -1)
-    nexts = F.array(*[F.min(F.when(F.col("depth") <= k, F.col("line_no"))).over(after) for k in range(most_depth + 1)])
-    return blocks.withColumn("end_no", F.element_at(nexts, F.least(F.col("depth"), F.lit(most_depth)) + 1))
+    end = F.lit(None).cast("int")
+    for k in depths:
+        end = F.when(F.col("depth") == k, F.min(F.when(F.col("depth") <= k, F.col("line_no"))).over(after)).otherwise(end)
+    return blocks.withColumn("end_no", end)
 
 
 def split_long(text: Column, most: int = 7000) -> Column:

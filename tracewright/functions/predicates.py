@@ -46,10 +46,10 @@ def risk_decision(text: Column) -> Column:
 
 
 def case_anomaly(word: Column) -> Column:
-    """0 for usual letter case, up to 1 for words whose letters are nearly all of one case inside a mixed word."""
+    """0 where a quarter to three quarters of a word's letters are capitals; the further from a half, the nearer to 1."""
     upper, lower = F.length(F.regexp_replace(word, r"[^\p{Lu}]", "")), F.length(F.regexp_replace(word, r"[^\p{Ll}]", ""))
     ratio = upper / F.nullif(upper + lower, F.lit(0))
-    return F.when((upper == 0) | (lower == 0) | ratio.between(0.3, 0.7), 0.0).otherwise(F.abs(ratio - 0.5) * 2)
+    return F.when((F.length(word) < 2) | ratio.isNull() | ratio.between(0.25, 0.75), 0.0).otherwise(F.abs(ratio - 0.5) * 2)
 
 
 def id_sort_key(identifier: Column, episode: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewright.plans.pairs import block_pairs
+
 
 def joined_list(values: Column, sep: str = ",") -> Column:
     """Distinct values of a group, sorted, as one string."""
@@ -14,13 +16,14 @@ def joined_list(values: Column, sep: str = ",") -> Column:
 def cooccurrence(appearances: DataFrame, least: int = 2) -> DataFrame:
     """Pairs of nodes that appear in ``least`` or more episodes together; (a, b, together, episodes).
 
-    ``appearances`` are distinct, so pairs are counted, not listed; the episodes of the pairs that
+    ``appearances`` are distinct, so pairs are counted, not listed; nodes of too few episodes are
+    left out first, and the nodes of a busy episode meet in blocks. The episodes of the pairs that
     remain are the intersection of both nodes' own lists.
     """
-    a = appearances.select("ep", F.col("node").alias("a"))
-    b = appearances.select("ep", F.col("node").alias("b"))
-    pairs = a.join(b, "ep").where("a < b").groupBy("a", "b").agg(F.count("*").alias("together")).where(F.col("together") >= least)
-    own = appearances.groupBy("node").agg(F.array_sort(F.collect_list("ep")).alias("eps"))
+    own = appearances.groupBy("node").agg(F.array_sort(F.collect_list("ep")).alias("eps")).where(F.size("eps") >= least)
+    often = appearances.join(own.select("node"), "node", "left_semi")
+    met = block_pairs(often.select("ep", "node"), "ep", "node").select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    pairs = met.groupBy("a", "b").agg(F.count("*").alias("together")).where(F.col("together") >= least)
     both = pairs.join(own.select(F.col("node").alias("a"), F.col("eps").alias("eps_a")), "a").join(own.select(F.col("node").alias("b"), F.col("eps").alias("eps_b")), "b")
     return both.select("a", "b", "together", F.array_join(F.array_intersect("eps_a", "eps_b"), ",").alias("episodes"))
 
@@ -37,11 +40,16 @@ def clusters(links: DataFrame, claim: str, target: str, least: int = 2) -> DataF
 
 
 def evidence_accumulation(evidence: DataFrame) -> DataFrame:
-    """(node, ep, total): evidence of a node first seen in its episodes up to each episode."""
-    first = evidence.groupBy("node", "item").agg(F.min("ep").alias("ep"))
-    by_ep = evidence.select("node", "ep").distinct().join(first.groupBy("node", "ep").agg(F.count("*").alias("new")), ["node", "ep"], "left")
+    """(node, ep, artifacts, claims): distinct items of each kind of a node in its episodes up to each episode.
+
+    ``evidence`` has (node, ep, kind, item), kind artifact or claim. Only an item's first episode
+    is counted, so the running sums need no range join.
+    """
+    first = evidence.groupBy("node", "kind", "item").agg(F.min("ep").alias("ep"))
+    new = first.groupBy("node", "ep").agg(*[F.count_if(F.col("kind") == k).alias(f"new_{k}") for k in ("artifact", "claim")])
+    by_ep = evidence.select("node", "ep").distinct().join(new, ["node", "ep"], "left")
     upto = Window.partitionBy("node").orderBy("ep").rowsBetween(Window.unboundedPreceding, 0)
-    return by_ep.select("node", "ep", F.coalesce(F.sum("new").over(upto), F.lit(0)).alias("total"))
+    return by_ep.select("node", "ep", *[F.coalesce(F.sum(f"new_{k}").over(upto), F.lit(0)).alias(f"{k}s") for k in ("artifact", "claim")])
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -51,11 +59,19 @@ def similarity(a: Column, b: Column) -> Column:
 
 
 def contradictions(items: DataFrame, key: str, id_col: str, text_col: str, low: float = 0.3, high: float = 0.9) -> DataFrame:
-    """Pairs of items under one key whose texts are alike but not the same: low < similarity < high."""
-    a = items.where(F.col(text_col).isNotNull()).select(key, F.col(id_col).alias("id1"), F.col(text_col).alias("t1"))
-    b = items.where(F.col(text_col).isNotNull()).select(key, F.col(id_col).alias("id2"), F.col(text_col).alias("t2"))
-    pairs = a.join(b, key).where("id1 < id2").withColumn("sim", similarity(F.col("t1"), F.col("t2")))
-    return pairs.where((F.col("sim") > low) & (F.col("sim") < high)).select(key, "id1", "id2", F.round("sim", 6).alias("sim"))
+    """Pairs of items under one key whose texts are alike but not the same: low < similarity < high.
+
+    Equal texts of a key are one text, compared once; lengths bound the similarity before any
+    distance is taken; the texts of a busy key meet in blocks. Pairs of texts are then named by items.
+    """
+    known = items.where(F.col(text_col).isNotNull()).select(key, F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    shorter, longer = F.least(F.length("a.text"), F.length("b.text")), F.greatest(F.length("a.text"), F.length("b.text"))
+    near = block_pairs(known.select(key, "text").distinct(), key, "text", (longer > 0) & (shorter > low * longer))
+    near = near.withColumn("sim", similarity(F.col("a.text"), F.col("b.text"))).where((F.col("sim") > low) & (F.col("sim") < high))
+    near = near.select(key, F.col("a.text").alias("ta"), F.col("b.text").alias("tb"), F.round("sim", 6).alias("sim"))
+    side = lambda t, i: known.select(key, F.col("text").alias(t), F.col("id").alias(i))
+    named = near.join(side("ta", "ia"), [key, "ta"]).join(side("tb", "ib"), [key, "tb"])
+    return named.select(key, F.least("ia", "ib").alias("id1"), F.greatest("ia", "ib").alias("id2"), "sim")
 
 
 def degree_centrality(nodes: DataFrame, edges: DataFrame, id_col: str = "node") -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tracewright.functions.text import normal_name
 from tracewright.plans.components import connected_components
-from tracewright.plans.ranks import global_rank
+from tracewright.plans.materialize import stored
+from tracewright.plans.ranks import global_rank, running
 
 
 def name_classes(names: DataFrame, id_col: str, name_col: str) -> DataFrame:
@@ -16,27 +17,55 @@ def name_classes(names: DataFrame, id_col: str, name_col: str) -> DataFrame:
     return named.groupBy("name").agg(F.min("id").alias("id"), F.count("*").alias("members"))
 
 
-def fuzzy_pairs(names: DataFrame, id_col: str, name_col: str, most: int = 3) -> DataFrame:
-    """Pairs (a, b, distance) of name classes, by their least ids, at an edit distance of 1 to ``most``.
+def near_names(left: DataFrame, right: DataFrame, most: int = 3, by: tuple[str, ...] = ()) -> DataFrame:
+    """(.. by, name, other, distance) of all names and others at an edit distance of ``most`` or less.
 
-    Rows of one name are one class, so copies are not multiplied out. Every pair within the
-    distance differs in length by ``most`` or less, so names are met by length: an equality join.
+    Of ``most`` + 1 segments of the other name one at least is untouched, so it stands in the name
+    as it is, shifted by ``most`` places or less: an equality join on (length, segment, its text).
     """
-    kinds = name_classes(names, id_col, name_col).withColumn("n", F.length("name"))
-    right = kinds.select(F.col("name").alias("other"), F.col("id").alias("other_id"), F.explode(F.sequence(F.col("n") - most, F.col("n") + most)).alias("n"))
-    near = kinds.join(right, "n").where("name < other").withColumn("distance", F.levenshtein("name", "other", most))
-    near = near.where(f"distance between 1 and {most}")
-    return near.select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b"), "distance")
+    begin = lambda n, i: F.floor(n * i / (most + 1)).cast("int")
+    n, i = F.col("n"), F.col("i")
+    cut = right.select(*by, "other", F.length("other").alias("n"), F.explode(F.sequence(F.lit(0), F.lit(most))).alias("i"))
+    cut = cut.select(*by, "other", "n", "i", F.substr(F.col("other"), begin(n, i) + 1, begin(n, i + 1) - begin(n, i)).alias("segment"))
+    size = F.length("name")
+    tries = left.select(*by, "name", F.explode(F.sequence(F.greatest(size - most, F.lit(0)), size + most)).alias("n"))
+    tries = tries.select(*by, "name", "n", F.explode(F.sequence(F.lit(0), F.lit(most))).alias("i"))
+    tries = tries.select(*by, "name", "n", "i", F.explode(F.sequence(F.lit(-most), F.lit(most))).alias("shift"))
+    tries = tries.withColumn("at", begin(n, i) + F.col("shift")).withColumn("len", begin(n, i + 1) - begin(n, i)).where((F.col("at") >= 0) & (F.col("at") + F.col("len") <= size))
+    tries = tries.select(*by, "name", "n", "i", F.substr(F.col("name"), F.col("at") + 1, F.col("len")).alias("segment")).distinct()
+    met = tries.join(cut, [*by, "n", "i", "segment"]).select(*by, "name", "other").distinct()
+    return met.withColumn("distance", F.levenshtein("name", "other", most)).where(f"distance between 0 and {most}")
+
+
+def fuzzy_pairs(names: DataFrame, id_col: str, name_col: str, most: int = 3, label: str | None = None) -> DataFrame:
+    """Pairs (a, b, distance) of name classes of one label, by their least ids, at an edit distance of 1 to ``most``.
+
+    Rows of one name are one class, so copies are not multiplied out.
+    """
+    by = (label,) if label else ()
+    kinds = names.where(F.col(name_col).isNotNull()).select(*by, F.col(id_col).alias("id"), normal_name(F.col(name_col)).alias("name")).groupBy(*by, "name").agg(F.min("id").alias("id"))
+    near = near_names(kinds.select(*by, "name"), kinds.select(*by, F.col("name").alias("other")), most, by).where("name < other")
+    near = near.join(kinds.withColumnRenamed("id", "ia"), [*by, "name"]).join(kinds.withColumnsRenamed({"id": "ib", "name": "other"}), [*by, "other"])
+    return near.select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b"), "distance")
+
+
+def new_against_existing(new: DataFrame, existing: DataFrame, most: int = 3) -> DataFrame:
+    """(id, other_id, distance): new names near existing ones of any label that are not new themselves; names as they are written.
+
+    Both have (id, name); of equal names all ids are met.
+    """
+    old = existing.join(new.select("id"), "id", "left_anti")
+    near = near_names(new.select("name").distinct(), old.select(F.col("name").alias("other")).distinct(), most)
+    return near.join(new.select("id", "name"), "name").join(old.select(F.col("id").alias("other_id"), F.col("name").alias("other")), "other").select("id", "other_id", "distance")
 
 
 def nearest_name(queries: DataFrame, names: DataFrame, id_col: str, name_col: str, most: int = 3) -> DataFrame:
     """(query, id, distance): the exact name, else the least distance of ``most`` or less, ties by id."""
     q = queries.select(F.col(queries.columns[0]).alias("query")).distinct().withColumn("name", normal_name(F.col("query")))
-    left = q.withColumn("n", F.explode(F.sequence(F.length("name") - most, F.length("name") + most)))
-    right = names.select(F.col(id_col).alias("id"), normal_name(F.col(name_col)).alias("other")).withColumn("n", F.length("other"))
-    found = left.join(right, "n").withColumn("distance", F.levenshtein("name", "other", most)).where(f"distance between 0 and {most}")
-    best = Window.partitionBy("query").orderBy("distance", "id")
-    return found.withColumn("r", F.row_number().over(best)).where("r = 1").select("query", "id", "distance")
+    right = names.select(F.col(id_col).alias("id"), normal_name(F.col(name_col)).alias("other"))
+    near = near_names(q.select("name").distinct(), right.select("other").distinct(), most).join(right, "other")
+    best = near.groupBy("name").agg(F.min(F.struct("distance", "id")).alias("x"))
+    return q.join(best, "name").select("query", "x.id", "x.distance")
 
 
 def merge_map(pairs: DataFrame) -> DataFrame:
@@ -63,13 +92,37 @@ def next_ids(df: DataFrame, id_col: str, prefix: str, default: int) -> Column:
     return F.coalesce(F.max(number), F.lit(default - 1)) + 1
 
 
-def collision_repair(items: DataFrame, id_col: str, order: list[str]) -> DataFrame:
-    """Later rows of an id used twice get new ids past the greatest, in order; adds ``fixed``."""
-    first = items.groupBy(id_col).agg(F.min(F.struct(*order)).alias("__f"))
-    top = items.agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]
-    marked = items.join(first, id_col).withColumn("__first", F.struct(*order) == F.col("__f")).drop("__f")
-    later = global_rank(marked.where("not __first"), id_col, *order).withColumn("fixed", F.col("rank") + top + 1).drop("rank")
-    return marked.where("__first").withColumn("fixed", F.col(id_col)).unionByName(later).drop("__first")
+def claim_repair(items: DataFrame, doc: str, claim: str, start: int = 1000) -> DataFrame:
+    """(doc, claim, fixed): in the order of documents and numbers, a number below the next free one gets that one; any other moves it on.
+
+    So each is the greater of its own number and one past the one before. Less its place in the
+    order that is a running maximum.
+    """
+    placed = global_rank(items.select(doc, claim).distinct(), doc, claim, name="at")
+    level = running(placed, ["at"], level=("max", F.col(claim) - F.col("at")))
+    return level.select(doc, claim, (F.col("at") + F.greatest(F.col("level"), F.lit(start).cast("long"))).alias("fixed"))
+
+
+def family_repair(items: DataFrame, doc: str, family: str) -> DataFrame:
+    """(doc, family, fixed): a number that is used already, in an earlier document or as a new number, gets the greatest used so far plus one.
+
+    Documents come in their order, their numbers ascending. The new numbers less the count of new
+    ones are a running maximum; a number that turns out to be taken by a new one before it is
+    marked, and the numbers are given again, until none is.
+    """
+    used = items.select(doc, family).distinct()
+    first = used.groupBy(family).agg(F.min(doc).alias("first"))
+    rows = global_rank(used.join(first, family).withColumn("again", F.col(doc) > F.col("first")).drop("first"), doc, family, name="at")
+    while True:
+        counted = running(rows, ["at"], given=("sum", F.col("again").cast("long")))
+        top = running(counted, ["at"], top=("max", F.when(~F.col("again"), F.col(family) - F.col("given"))))
+        fixed = stored(top.withColumn("fixed", F.when(F.col("again"), F.coalesce("top", F.lit(0)) + F.col("given")).otherwise(F.col(family))), "family-numbers")
+        taken = fixed.where("again").groupBy(F.col("fixed").alias(family)).agg(F.min("at").alias("since"))
+        wrong = fixed.where("not again").join(taken, family).where("since < at").select("at")
+        if not wrong.limit(1).count():
+            return fixed.select(doc, family, "fixed")
+        flip = wrong.agg(F.min("at").alias("at")).withColumn("flip", F.lit(True))  # numbers before the first such row are right
+        rows = stored(fixed.drop("given", "top", "fixed").join(F.broadcast(flip), "at", "left").withColumn("again", F.col("again") | F.coalesce("flip", F.lit(False))).drop("flip"), "family-rows")
 
 
 def dangling(refs: DataFrame, ref_col: str, known: DataFrame, key: str) -> DataFrame:

@@ -101,3 +101,18 @@ def line_patches(lines: DataFrame, patches: DataFrame, doc: str) -> DataFrame:
     new = hit.where("lo is not null and line_no = lo and put is not null").select(doc, "line_no", F.col("put").alias("line"))
     inside = hit.where("lo is not null").select(doc, "line_no")
     return lines.join(inside, [doc, "line_no"], "left_anti").select(doc, "line_no", "line").union(new)
+
+
+def edit_confidence(raw: Column, fixed: Column, fillers: str) -> list[Column]:
+    """sim (1 - edit distance / longer length), tier (high, medium or low) and score (0 to 100) of an edit.
+
+    Fixed values: .92 with fillers removed or a change of length of at most 8 characters or a
+    fiftieth; .75, or .65 with fillers removed; 70 points for likeness, 20 for fillers, 10 for length.
+    """
+    n, m = F.length(raw), F.length(fixed)
+    sim = F.when((n == 0) & (m == 0), 1.0).when((n == 0) | (m == 0), 0.0).otherwise(1 - F.levenshtein(raw, fixed) / F.greatest(n, m))
+    gone = F.regexp_count(raw, F.lit(fillers)) > F.regexp_count(fixed, F.lit(fillers))
+    tier = F.when((sim >= 0.92) & (gone | (F.abs(m - n) <= F.greatest(F.lit(8), F.floor(n / 50)))), "high").when((sim >= 0.75) | (gone & (sim >= 0.65)), "medium").otherwise("low")
+    ratio = F.when(n > 0, m / n).otherwise(1.0)
+    score = F.floor(sim * 70 + F.when(gone & (sim > 0.7), 20).otherwise(0) + F.when(ratio > 0.85, 10).otherwise(0))
+    return [F.round(sim, 6).alias("sim"), tier.alias("tier"), F.least(F.lit(100), score).cast("int").alias("score")]

@@ -1,9 +1,8 @@
-"""Readers and writers of the stores, and the few functions that need Python inside tasks."""
+"""Readers and writers of the stores."""
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -39,15 +38,3 @@ def write_report(df: DataFrame, path: str, title: str) -> None:
     line = F.concat(F.lit("| "), F.concat_ws(" | ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]), F.lit(" |"))
     head = df.sparkSession.createDataFrame([(0, f"# {title}"), (1, "| " + " | ".join(df.columns) + " |"), (2, "|" + " --- |" * len(df.columns))], "n int, value string")
     head.select("value").union(df.select(line.alias("value"))).write.mode("overwrite").text(path)
-
-
-def sequence_ratio(a: Column, b: Column) -> Column:
-    """Matching-block similarity of two texts, 0 to 1; Arrow batches, since Spark has no such function."""
-
-    @F.pandas_udf("double")
-    def ratio(x: pd.Series, y: pd.Series) -> pd.Series:
-        from difflib import SequenceMatcher
-
-        return pd.Series([None if p is None or q is None else SequenceMatcher(None, p, q, autojunk=False).ratio() if len(p) * len(q) < 10**6 else SequenceMatcher(None, p.split(), q.split(), autojunk=False).ratio() for p, q in zip(x, y, strict=True)])
-
-    return ratio(a, b)
