@@ -22,12 +22,13 @@ DATE_FORMATS = ["M/d/yyyy", "d/M/yyyy", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM y
 def deadline(text: Column) -> Column:
     """The date of a text as yyyy-MM-dd: the first form of DEADLINES that it holds and that a format reads; null without one."""
 
-    def read(pattern: str) -> Column:
-        found = F.nullif(F.trim(F.regexp_replace(F.regexp_extract(text, pattern, 1), r"\s+", " ")), F.lit(""))
-        dates = [F.date_format(F.try_to_date(F.when(F.length(F.regexp_extract(found, r"(\d+)$", 1)) == 4, found), f), "yyyy-MM-dd") for f in DATE_FORMATS]
-        return F.when(found.rlike(r"^\d{4}-\d{2}-\d{2}"), found).otherwise(F.coalesce(*dates))
+    found = F.array(*[F.trim(F.regexp_replace(F.regexp_extract(text, p, 1), r"\s+", " ")) for p in DEADLINES])
 
-    return F.coalesce(*[read(p) for p in DEADLINES])
+    def read(x: Column) -> Column:
+        dates = [F.date_format(F.try_to_date(F.when(F.length(F.regexp_extract(x, r"(\d+)$", 1)) == 4, x), f), "yyyy-MM-dd") for f in DATE_FORMATS]
+        return F.when(x.rlike(r"^\d{4}-\d{2}-\d{2}"), x).otherwise(F.coalesce(*dates))
+
+    return F.get(F.filter(F.transform(found, read), lambda x: x.isNotNull()), F.lit(0))
 
 
 def ical_stamp(iso: Column) -> Column:
