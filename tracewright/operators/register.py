@@ -88,3 +88,30 @@ def markdown_chunks(lines: DataFrame, doc: str = "doc_id", least: int = 20, most
     text = F.trim(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n"))
     made = marked.groupBy(doc, "chunk", "header", "subheader").agg(text.alias("text")).where(F.length("text") > least)
     return made.withColumn("text", F.substring("text", 1, most))
+
+
+def aliases(line: Column) -> Column:
+    """Names of a line '*Also known as: a; b*', trimmed, blank ones dropped; null for any other line."""
+    listed = F.regexp_extract(line, r"(?i)^\*Also known as:\s*(.*?)\*?\s*$", 1)
+    return F.when(listed != "", F.filter(F.transform(F.split(listed, ";"), lambda x: F.trim(x)), lambda x: x != ""))
+
+
+def node_details(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """(doc, id, aliases, description): declared aliases of each node section, and its first line that is no field, link, alias line or heading."""
+    rows = sections(lines, doc).where(F.col("id").startswith("N-"))
+    link = "^(?:" + "|".join([*LINKS, *PAIRS]) + "):"
+    plain = (F.trim("line") != "") & ~F.col("line").rlike(HEADER) & ~F.col("line").rlike(FIELD) & ~F.col("line").rlike(link) & ~F.col("line").rlike(r"^[*#]")
+    found = F.array_distinct(F.flatten(F.array_sort(F.collect_list(F.when(F.col("more").isNotNull(), F.struct("line_no", "more"))))["more"]))
+    return rows.withColumn("more", aliases(F.col("line"))).groupBy(doc, "id").agg(found.alias("aliases"), F.min_by(F.when(plain, F.trim("line")), F.when(plain, F.col("line_no"))).alias("description"))
+
+
+def episode_number(path: Column, text: Column) -> Column:
+    """Episode number of a file's name, else of its text, else 0."""
+    at = lambda c, p: F.nullif(F.regexp_extract(c, p, 1), F.lit("")).cast("int")
+    return F.coalesce(at(path, r"episode[_-]?0*(\d+)"), at(text, r"(?i)\bepisode\s+0*(\d+)"), F.lit(0))
+
+
+def rendered(lines: DataFrame, doc: str, order: list[str], line: str = "line") -> DataFrame:
+    """(doc, text): each document's lines in their order as one text, the form that ``sections`` reads."""
+    parts = F.transform(F.array_sort(F.collect_list(F.struct(*order, line))), lambda x: x[line])
+    return lines.groupBy(doc).agg(F.array_join(parts, "\n").alias("text"))
