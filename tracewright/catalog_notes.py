@@ -64,9 +64,9 @@ def literal_guards(spark, d):
     return _t(spark, d, "documents").select("doc_id", n(overrides.literal_pattern("the", ("a", "er"))).alias("n_guarded"), n(overrides.literal_pattern("the", (), True)).alias("n_bounded"))
 
 
-@register(r"SELECT doc_id, len(x) AS n, list_sum(list_transform(x, lambda y: length(y)))::BIGINT AS total, md5(array_to_string(x, '|')) AS digest FROM (SELECT doc_id, regexp_extract_all(text, '(?s)(.{1,900}(?:\n|\z)|.{1,900})') AS x FROM documents)")
+@register(r"SELECT doc_id, len(x) AS n, list_sum(list_transform(x, lambda y: length(y)))::BIGINT AS total, md5(array_to_string(x, '|')) AS digest FROM (SELECT doc_id, regexp_extract_all(text, '(?s)(.{1,60}(?:\n|\z)|.{1,60})') AS x FROM documents)")
 def long_text_pieces(spark, d):
-    x = notes.split_long(F.col("text"), 900)
+    x = notes.split_long(F.col("text"), 60)
     total = F.aggregate(x, F.lit(0).cast("long"), lambda a, y: a + F.length(y))
     return _t(spark, d, "documents").select("doc_id", F.size(x).cast("long").alias("n"), total.alias("total"), F.md5(F.array_join(x, "|").cast("binary")).alias("digest"))
 
@@ -235,12 +235,12 @@ def chat_commands(spark, d):
     return e.select("event_id", x["name"].alias("name"), x["rest"].alias("rest"), media.suffix_list(F.concat_ws(",", "event_type", F.lit(" , x "), F.lit(""))).alias("suffixes"), media.bypasses_guard(char).alias("bypass"))
 
 
-@register("SELECT conv_id, turn, CAST(length(text) AS BIGINT) AS n FROM conversations WHERE text <> ''")
+@register("SELECT conv_id % 50 AS k, count(*) AS n_lines, sum(length(text))::BIGINT AS n_chars FROM conversations GROUP BY 1")
 def text_files(spark, d):
-    """Texts written as files, one folder for each, and read whole with their path."""
+    """Turns written as lines of text files, and the files read whole with their path."""
     at = _place(spark, "texts")
-    t = _t(spark, d, "conversations").where("text <> ''").select(F.concat_ws("_", "conv_id", "turn").alias("k"), F.replace("text", F.lit("\n"), F.lit(" ")).alias("value"))
-    t.coalesce(1).write.partitionBy("k").text(at)
+    t = _t(spark, d, "conversations").select((F.col("conv_id") % 50).alias("k"), F.replace("text", F.lit("\n"), F.lit(" ")).alias("value"))
+    t.repartition("k").write.partitionBy("k").text(at)
     got = formats.read_texts(spark, at + "/*")
-    k = F.split(F.regexp_extract("path", "k=([^/]*)/", 1), "_(?=[0-9]+$)")
-    return got.select(k[0].cast(dict(_t(spark, d, "conversations").dtypes)["conv_id"]).alias("conv_id"), k[1].cast(dict(_t(spark, d, "conversations").dtypes)["turn"]).alias("turn"), (F.length("text") - 1).cast("long").alias("n"))
+    lines = F.size(F.split("text", "\n")) - 1  # every line is ended
+    return got.select(F.regexp_extract("path", "k=([^/]*)/", 1).cast("long").alias("k"), lines.cast("long").alias("n"), (F.length("text") - lines).cast("long").alias("c")).groupBy("k").agg(F.sum("n").alias("n_lines"), F.sum("c").alias("n_chars"))

@@ -22,7 +22,7 @@ def cooccurrence(appearances: DataFrame, least: int = 2) -> DataFrame:
     """
     own = appearances.groupBy("node").agg(F.array_sort(F.collect_list("ep")).alias("eps")).where(F.size("eps") >= least)
     often = appearances.join(own.select("node"), "node", "left_semi")
-    met = block_pairs(often.select("ep", "node"), "ep", "node").select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    met = block_pairs(often.select("ep", "node"), "ep", "node").select("a.node", F.col("b.node").alias("other")).toDF("a", "b")
     pairs = met.groupBy("a", "b").agg(F.count("*").alias("together")).where(F.col("together") >= least)
     both = pairs.join(own.select(F.col("node").alias("a"), F.col("eps").alias("eps_a")), "a").join(own.select(F.col("node").alias("b"), F.col("eps").alias("eps_b")), "b")
     return both.select("a", "b", "together", F.array_join(F.array_intersect("eps_a", "eps_b"), ",").alias("episodes"))
