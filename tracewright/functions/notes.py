@@ -124,3 +124,17 @@ def first_heading(text: Column, fallback: Column) -> Column:
 
 def file_id(path: Column, digits: int = 16) -> Column:
     return F.substring(F.sha2(F.regexp_replace(path, r"\\", "/"), 256), 1, digits)
+
+
+# The types of an opportunity that its hint may name, in order.
+OPPORTUNITIES = ["grant", "fellowship", "rfp", "partnership"]
+
+
+def opportunities(lines: DataFrame, line: str) -> DataFrame:
+    """Lines '- [type] name — ..' with kind, name (up to the dash, else the first word) and deadline; other lines are dropped."""
+    pattern = r"^-\s*\[?([^\]]+)\]?\s*(.+?)(?:\s|$)"
+    t = F.trim(F.col(line))
+    hint, rest = F.lower(F.regexp_extract(t, pattern, 1)), F.trim(F.regexp_extract(t, pattern, 2))
+    kind = F.coalesce(*[F.when(F.contains(hint, F.lit(k)), F.lit(k)) for k in OPPORTUNITIES], F.lit("other"))
+    name = F.when(F.contains(rest, F.lit("—")), F.trim(F.substring_index(rest, "—", 1))).otherwise(F.substring(rest, 1, 80))
+    return lines.where(t.rlike(pattern)).withColumns({"kind": kind, "name": name, "deadline": F.coalesce(deadline(rest), deadline(t))})

@@ -75,3 +75,28 @@ def in_episodes(rows: DataFrame, spec: str | None, column: str = "ep") -> DataFr
     """Rows of the episodes of a specification; an empty or invalid one keeps all."""
     wanted = episodes_of(F.lit(spec).cast("string"))
     return rows.where(F.coalesce(F.array_contains(wanted, F.col(column).cast("int")), wanted.isNull()))
+
+
+# Labels that say nothing of a claim.
+PLACEHOLDERS = [r"(?i)^claim\s*[-#]?\d*$", r"(?i)^c-\d+$", r"(?i)^(tbd|todo|n/?a|none|unknown)\.?$", r"(?i)^placeholder", r"^[\W_]+$"]
+
+
+def placeholder_label(label: Column) -> Column:
+    """Null, blank, or of a form of PLACEHOLDERS."""
+    t = F.trim(F.coalesce(label, F.lit("")))
+    out = t == ""
+    for p in PLACEHOLDERS:
+        out = out | t.rlike(p)
+    return out
+
+
+def risk_flags(text: Column, words: list[str]) -> Column:
+    """Those of the words that a text holds in any case, in the given order."""
+    t = F.lower(F.coalesce(text, F.lit("")))
+    return F.filter(F.array(*[F.when(F.contains(t, F.lit(w)), F.lit(w)) for w in words]), lambda x: x.isNotNull())
+
+
+def type_class(declared: Column) -> Column:
+    """organization, place, topic or person of a declared type; legacy targets are topics, anything else a person."""
+    t = F.regexp_replace(F.lower(F.trim(F.coalesce(declared, F.lit("")))), " ", "")
+    return F.when(t.isin("institution", "organization"), "organization").when(t == "place", "place").when(t.isin("topic", "investigationtarget", "target"), "topic").otherwise("person")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,3 +49,30 @@ def apply_by_document(docs: DataFrame, rules: DataFrame, id_col: str = "doc_id",
     start = F.struct(F.col(text).alias("text"), F.lit(0).alias("applied"))
     step = lambda a, r: F.struct(F.replace(a["text"], r["find"], r["put"]).alias("text"), (a["applied"] + F.contains(a["text"], r["find"]).cast("int")).alias("applied"))
     return both.select(id_col, F.aggregate("rules", start, step).alias("x")).select(id_col, F.col("x.text").alias(text), "x.applied")
+
+
+def load_rules(spark, path: str, most: int = 10_000) -> list[tuple[str, str]]:
+    """(pattern, replacement) rules of a JSON store (seq, pattern, repl), in order; those that are no expression are dropped.
+
+    Rules stand in the plan, so a store of more than ``most`` is an error.
+    """
+    rows = spark.read.schema("seq int, pattern string, repl string").json(path).orderBy("seq").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rules")
+    good = []
+    for r in rows:
+        try:
+            spark._jvm.java.util.regex.Pattern.compile(r.pattern)
+        except IllegalArgumentException:
+            continue
+        good.append((r.pattern, r.repl or ""))
+    return good
+
+
+def counted_rules(text: Column, rules: list[tuple[str, str]]) -> tuple[Column, list[Column]]:
+    """(text, counts): rules applied in order, and how often each matched what it was given."""
+    counts = []
+    for pattern, put in rules:
+        counts.append(F.regexp_count(text, F.lit(pattern)))
+        text = F.regexp_replace(text, pattern, put)
+    return text, counts

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewright.functions.media import CUE, cue_seconds
+from tracewright.functions.media import CUE, cue_seconds, line_body
 from tracewright.functions.text import confidence_rank
 from tracewright.operators.overrides import sane_correction
 
@@ -202,3 +202,14 @@ def line_window(lines: DataFrame, anchors: DataFrame, around: int = 2) -> DataFr
     wanted = found.withColumn("line_no", F.explode(F.sequence(F.col("first") - around, F.col("first") + around)))
     parts = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"])
     return wanted.join(lines, ["doc", "line_no"]).groupBy("doc", "anchor", "first").agg(F.array_join(parts, "\n").alias("text"))
+
+
+def caption_segments(lines: DataFrame) -> DataFrame:
+    """(doc, seg, label, seconds, text): a cue's line and those after it, joined; what comes before the first cue has no label and second 0; empty segments go."""
+    w = Window.partitionBy("doc").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    cue = F.col("line").rlike(CUE)
+    label = F.when(cue, F.regexp_extract("line", r"^\[[0-9:]+\]", 0))
+    marked = lines.withColumns({"seg": F.sum(cue.cast("int")).over(w), "label": label, "seconds": F.when(cue, cue_seconds(F.col("line"))), "body": line_body(F.col("line"))})
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "body"))), lambda x: x["body"]), " ")
+    made = marked.groupBy("doc", "seg").agg(F.max("label").alias("label"), F.coalesce(F.max("seconds"), F.lit(0)).alias("seconds"), F.trim(joined).alias("text"))
+    return made.where("text <> ''")

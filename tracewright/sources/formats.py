@@ -38,3 +38,12 @@ def write_report(df: DataFrame, path: str, title: str) -> None:
     line = F.concat(F.lit("| "), F.concat_ws(" | ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]), F.lit(" |"))
     head = df.sparkSession.createDataFrame([(0, f"# {title}"), (1, "| " + " | ".join(df.columns) + " |"), (2, "|" + " --- |" * len(df.columns))], "n int, value string")
     head.select("value").union(df.select(line.alias("value"))).write.mode("overwrite").text(path)
+
+
+def append_absent_jsonl(rows: DataFrame, path: str, schema: str, key: str) -> None:
+    """Append the rows whose key the store at ``path`` lacks; a store that is not there yet is begun."""
+    spark = rows.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place):
+        rows = rows.join(read_jsonl(spark, path, schema).select(key).distinct(), key, "left_anti").select(rows.columns)
+    write_jsonl(rows, path)
