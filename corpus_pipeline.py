@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tracewright.llm import bin_packing, decontamination, quality_classifier, quality_rules, queries, simhash
 from tracewright.llm.shared import without
-from tracewright.plans.materialize import stored
+from tracewright.plans.materialize import release, stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,8 +80,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage in turn on ``documents``; what a stage returns is written and read again."""
-    docs = _table(spark, sf_dir, "documents")
+    """Every stage in turn on ``documents``; what a stage returns is written and read again, and deleted once the next has been written."""
+    docs, last = _table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        if last is not None:
+            release(last)
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.llm.shared import ascii_lower, row_key, space_words
-from tracewright.plans.materialize import stored
+from tracewright.plans.materialize import release, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -278,7 +278,8 @@ def score(docs: DataFrame, held_out, pieces_path: str, id_col: str = "doc_id", t
     met = stored(each.groupBy("__k", "__d", "word").agg(*[F.sum(c).alias(c) for c in sums], F.count("*").alias("m")), "lattice-sums")
     rare = met.where("word is not null").select("__k", "__d", "word", "m").join(flat.drop("c"), "word")
     parts = met.where("word is null").drop("word").unionByName(rare.select("__k", "__d", *[(F.col(c) * F.col("m")).alias(c) for c in sums], "m"))
-    found = parts.groupBy("__k", "__d").agg(*[F.sum(c).alias(c) for c in (*sums, "m")])
+    found = stored(parts.groupBy("__k", "__d").agg(*[F.sum(c).alias(c) for c in (*sums, "m")]), "lattice-texts")
+    release(seen, scored, often, met)
     # Equal rows share a key and were summed together.
     alike = heads.groupBy("__k", "__d").agg(F.count("*").alias("alike"))
     mean = lambda c: F.coalesce(F.col(c) / F.col("alike"), F.lit(0.0))
