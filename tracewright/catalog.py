@@ -22,4 +22,18 @@ def register(sql: str | None = None):
     return add
 
 
-from tracewright import catalog_documents, catalog_graph, catalog_hub, catalog_notes, catalog_queue, catalog_records, catalog_register, catalog_repair, catalog_rules, catalog_scores, catalog_stores, catalog_streams, catalog_text  # noqa: E402, F401
+from tracewright import (  # noqa: E402, F401
+    catalog_documents,
+    catalog_graph,
+    catalog_hub,
+    catalog_notes,
+    catalog_queue,
+    catalog_records,
+    catalog_register,
+    catalog_repair,
+    catalog_rules,
+    catalog_scores,
+    catalog_stores,
+    catalog_streams,
+    catalog_text,
+)

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from tracewright.catalog import register
 from tracewright.functions import media, nested, notes, predicates
-from tracewright.functions import text as tx
-from tracewright.operators import overrides, transcript
+from tracewright.operators import overrides
 from tracewright.plans.bindings import Graph
 from tracewright.plans.materialize import shared_dir
 from tracewright.sources import formats

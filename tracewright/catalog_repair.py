@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tracewright.catalog import register
 from tracewright.functions import media
-from tracewright.operators import patterns, repair
+from tracewright.operators import repair
 from tracewright.plans.bindings import Graph
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tracewright.catalog import register
-from tracewright.functions import media, notes, predicates
-from tracewright.operators import overrides, patterns, register as registers, repair, resolve, transcript
+from tracewright.functions import media, nested, notes, predicates
+from tracewright.operators import overrides, patterns, records, repair, resolve
+from tracewright.operators import register as registers
 from tracewright.plans.bindings import SQL, Graph
 from tracewright.plans.materialize import shared_dir
 from tracewright.sources import formats
@@ -211,3 +212,57 @@ def fetched_transcripts(spark, d):
     line = F.concat(F.lit("["), media.padded_clock(F.col("turn") * 7), F.lit("] "), "text")
     rows = t.select("conv_id", "turn", line.alias("line"))
     return registers.rendered(rows, "conv_id", ["turn"]).select("conv_id", F.length("text").cast("long").alias("n"))
+
+
+@register("SELECT p_partkey, 'kept ' || p_name AS text FROM part")
+def stripped_thinking(spark, d):
+    """Nested reasoning taken out of a text, level by level."""
+    text = F.concat(F.lit("<think>a<think>b</think>c <THINK>d</think></think>kept "), "p_name", F.lit(" </think>"))
+    return _t(spark, d, "part").select("p_partkey", nested.without_thinking(text).alias("text"))
+
+
+@register("SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'top' || chr(10) || '## Flags' || chr(10) || '- ' || p_name || chr(10) || 'rest' ELSE 'no marker' || chr(10) || '- ' || p_name END AS text FROM part")
+def flagged_issues(spark, d):
+    """A flag written after its marker, or at the end of a text without one."""
+    text = F.when(F.col("p_partkey") % 2 == 0, "top\n## Flags\nrest").otherwise("no marker")
+    return _t(spark, d, "part").select("p_partkey", nested.inserted_after(text, "## Flags", F.concat(F.lit("- "), "p_name")).alias("text"))
+
+
+@register("SELECT page_id, trim(regexp_replace(replace(regexp_replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '<[^>]*>', ' ', 'g'), '&amp;', '&'), '\\s+', ' ', 'g')) AS title FROM pages")
+def html_plain_titles(spark, d):
+    return _t(spark, d, "pages").select("page_id", nested.plain_title(F.regexp_extract("html", "<h1>(.*?)</h1>", 1)).alias("title"))
+
+
+@register("SELECT DISTINCT 'N-' || p_partkey AS id, p_name AS name FROM part WHERE p_partkey < 1000")
+def person_names(spark, d):
+    """People of tables and of bold lines; those numbered from 1000 are none."""
+    i = F.concat(F.lit("N-"), F.col("p_partkey").cast("string"))
+    text = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("| id | name |\n| "), i, F.lit(" | "), "p_name", F.lit(" |\n"))).otherwise(F.concat(F.lit("x\n**"), i, F.lit("** "), "p_name", F.lit("\nmore")))
+    return registers.person_names(_t(spark, d, "part").select(text.alias("text")))
+
+
+@register("SELECT p_partkey, row_number() OVER (ORDER BY p_partkey % 2000 >= 1000, p_partkey % 2000, p_partkey) - 1 AS place FROM part")
+def people_first(spark, d):
+    """Numbers below 1000 first, then by number."""
+    from tracewright.plans.ranks import global_rank
+
+    p = _t(spark, d, "part").select("p_partkey", (F.col("p_partkey") % 2000).alias("n")).withColumn("late", F.col("n") >= 1000)
+    return global_rank(p, "late", "n", "p_partkey", name="place").select("p_partkey", "place")
+
+
+@register("WITH e AS (SELECT DISTINCT user_id AS n FROM events UNION SELECT DISTINCT conv_id FROM conversations) SELECT i AS ep, i IN (SELECT n FROM e) AS known FROM range(1, (SELECT max(n) + 1 FROM e)) AS t(i)")
+def dense_episodes(spark, d):
+    """Every number from 1 to the greatest of any source, and whether a source has it."""
+    e = _t(spark, d, "events").select(F.col("user_id").alias("ep")).union(_t(spark, d, "conversations").select(F.col("conv_id"))).distinct()
+    top = e.agg(F.max("ep").alias("top"))
+    return top.select(F.explode(F.sequence(F.lit(1).cast("long"), "top")).alias("ep")).join(e.withColumn("known", F.lit(True)), "ep", "left").select("ep", F.coalesce("known", F.lit(False)).alias("known"))
+
+
+@register("SELECT coalesce(o.k, n.k) AS k, coalesce(n.name, o.name) AS name FROM (SELECT c_custkey AS k, c_name AS name FROM customer) o FULL JOIN (SELECT s_suppkey * 20 AS k, s_name AS name FROM supplier) n ON o.k = n.k")
+def upsert_sink(spark, d):
+    """An upsert into a stored table: the new version stands beside the old one until it is whole."""
+    at = f"{shared_dir(spark)}/graph-{uuid.uuid4().hex}"
+    formats.write_version(_t(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name")), at, 1)
+    new = _t(spark, d, "supplier").select((F.col("s_suppkey") * 20).alias("k"), F.col("s_name").alias("name"))
+    formats.write_version(records.upsert(formats.read_latest(spark, at), new, ["k"]), at, 2)
+    return formats.read_latest(spark, at)

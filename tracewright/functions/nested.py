@@ -35,3 +35,28 @@ def front_matter(text: Column) -> Column:
 def rule_errors(checks: dict[str, Column]) -> Column:
     """Names of the checks that do not hold (null counts as not), in the order given."""
     return F.filter(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in checks.items()]), lambda x: x.isNotNull())
+
+
+def without_thinking(text: Column, rounds: int = 12) -> Column:
+    """A text without <think> .. </think> parts, the innermost first, until none is left or after so many rounds; a tag left alone goes too."""
+    inner = r"(?is)<think>(?:(?!</?think>).)*</think>"
+    pared = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), text, lambda t, _: F.regexp_replace(t, inner, ""))
+    return F.trim(F.regexp_replace(pared, r"(?i)</?think>", ""))
+
+
+def inserted_after(text: Column, marker: str, line: Column) -> Column:
+    """A text with a line after the first line that is the marker; at its end if it has none."""
+    at = F.concat(F.lit("\n"), text, F.lit("\n"))
+    mark = F.lit(f"\n{marker}\n")
+    place = F.instr(at, mark)
+    cut = place + F.length(mark) - 1
+    put = F.concat(F.substr(at, F.lit(2), cut - 1), line, F.lit("\n"), F.substr(at, cut + 1))
+    return F.when(place > 0, F.regexp_replace(put, r"\n\z", "")).otherwise(F.concat_ws("\n", text, line))
+
+
+def plain_title(html: Column) -> Column:
+    """Text of a piece of HTML: tags gone, the common character references read, white space as one space."""
+    out = F.regexp_replace(html, r"(?s)<[^>]*>", " ")
+    for ref, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        out = F.replace(out, F.lit(ref), F.lit(char))
+    return F.trim(F.regexp_replace(out, r"\s+", " "))

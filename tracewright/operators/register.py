@@ -115,3 +115,14 @@ def rendered(lines: DataFrame, doc: str, order: list[str], line: str = "line") -
     """(doc, text): each document's lines in their order as one text, the form that ``sections`` reads."""
     parts = F.transform(F.array_sort(F.collect_list(F.struct(*order, line))), lambda x: x[line])
     return lines.groupBy(doc).agg(F.array_join(parts, "\n").alias("text"))
+
+
+def person_names(texts: DataFrame, text: str = "text") -> DataFrame:
+    """(id, name): people of the texts, from table rows '| N-x | name |' and from lines '**N-x** name', numbers below 1000, each once."""
+    table, bold = r"\|\s*(N-\d+)\s*\|\s*([^|\n]+?)\s*\|", r"\*\*(N-\d+)\*\*[ \t]+([^\n|]+)"
+    found = None
+    for p in (table, bold):
+        both = F.arrays_zip(F.regexp_extract_all(text, F.lit(p), F.lit(1)).alias("id"), F.regexp_extract_all(text, F.lit(p), F.lit(2)).alias("name"))
+        part = texts.select(F.explode(both).alias("x")).select("x.id", F.trim("x.name").alias("name"))
+        found = part if found is None else found.union(part)
+    return found.where(F.regexp_extract("id", r"(\d+)$", 1).cast("long") < 1000).distinct()

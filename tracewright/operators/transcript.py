@@ -53,10 +53,17 @@ def asof_backward(left: DataFrame, right: DataFrame, by: str, at: str, value: st
     return out.select("row.*", F.col("found").alias(value))
 
 
-def overlapping(spans: DataFrame, segs: DataFrame, by: str) -> DataFrame:
-    """Pairs of half-open spans that overlap: s.lo < b.hi and s.hi > b.lo."""
-    s = segs.select(by, F.col("lo").alias("seg_lo"), F.col("hi").alias("seg_hi"))
-    return spans.join(s, by).where("seg_lo < hi and seg_hi > lo")
+def overlapping(spans: DataFrame, segs: DataFrame, by: str, width: int = 4096) -> DataFrame:
+    """Pairs of half-open spans that overlap: s.lo < b.hi and s.hi > b.lo.
+
+    Both are cut into cells of equal width and meet by cell, so a long document is many keys; a
+    pair is taken in the first cell that both reach.
+    """
+    cells = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / width), F.floor(F.greatest(F.col(hi) - 1, F.col(lo)) / width)))
+    s = segs.select(by, F.col("lo").alias("seg_lo"), F.col("hi").alias("seg_hi")).withColumn("__cell", cells("seg_lo", "seg_hi"))
+    met = spans.withColumn("__cell", cells("lo", "hi")).join(s, [by, "__cell"]).where("seg_lo < hi and seg_hi > lo")
+    first = F.floor(F.greatest("lo", "seg_lo") / width)
+    return met.where(F.col("__cell") == first).drop("__cell")
 
 
 def outermost(spans: DataFrame, by: str) -> DataFrame:

@@ -47,3 +47,17 @@ def append_absent_jsonl(rows: DataFrame, path: str, schema: str, key: str) -> No
     if place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place):
         rows = rows.join(read_jsonl(spark, path, schema).select(key).distinct(), key, "left_anti").select(rows.columns)
     write_jsonl(rows, path)
+
+
+def write_version(df: DataFrame, path: str, version: int) -> None:
+    """Write a whole store as a new version beside the old ones; readers see it once it is complete."""
+    df.write.parquet(f"{path}/version={version}")
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version of a store."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = fs_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    names = [str(x.getPath().getName()) for x in fs.listStatus(fs_path)]
+    done = [n for n in names if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+    return spark.read.parquet(f"{path}/version={max(int(n.split('=')[1]) for n in done)}")
