@@ -66,12 +66,12 @@ def repeated_words() -> Column:
 
 
 def base_counts(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` plus the base columns and ``h``, the hashes of the words."""
+    """``docs`` plus the base counts and ``h``, the hashes of the words."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     windows = F.expr("if(size(h) < 3, cast(array() as array<bigint>), transform(sequence(0, size(h) - 3), i -> xxhash64(h[i], h[i + 1], h[i + 2])))")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     out = docs.withColumn("w", space_words(F.col(text_col))).withColumn("h", F.transform("w", lambda x: F.xxhash64(x))).withColumn("t", windows).withColumn("s", sorted_places()).withColumn("lines", lines)
-    out = out.select(
+    return out.select(
         *docs.columns,
         "h",
         F.size("w").cast("long").alias("n_words"),
@@ -80,7 +80,10 @@ def base_counts(docs: DataFrame, text_col: str) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated_words().alias("n_repeat_words"),
     )
-    return out.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
+
+
+def base_failed() -> Column:
+    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
 def bucket_ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, buckets: tuple[int, int], smoothing: float) -> DataFrame:
@@ -93,10 +96,10 @@ def bucket_ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: st
     ids = small_or_not(stored(trusted.select(F.col(trusted.columns[0]).alias("__t")).where("__t is not null").distinct(), "trusted"))
     texts = docs.select(F.col(id_col).alias("id"), word_hashes(F.col(text_col)).alias("h"))
     marked = texts.join(ids, texts["id"] == ids["__t"], "left").select("h", F.col("__t").isNotNull().cast("long").alias("target"))
-    each = marked.select(F.explode(buckets_of(buckets)).alias("bucket"), F.lit(1).cast("long").alias("raw"), "target")
-    # Every bucket once with no count, so that none is missing from a row of ratios.
-    none = spark.range(0, total, 1, 8).select(F.col("id").cast("int").alias("bucket"), F.lit(0).cast("long").alias("raw"), F.lit(0).cast("long").alias("target"))
-    counts = stored(each.union(none).groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")), "ngram-buckets")
+    each = marked.select(F.explode(buckets_of(buckets)).alias("bucket"), "target")
+    # Every bucket once more, so that none is missing from a row of ratios; its count is one less.
+    none = spark.range(0, total, 1, 8).select(F.col("id").cast("int").alias("bucket"), F.lit(0).cast("long").alias("target"))
+    counts = stored(each.union(none).groupBy("bucket").agg((F.count("*") - 1).alias("raw"), F.sum("target").alias("target")), "ngram-buckets")
     raw, target = counts.agg(F.sum("raw"), F.sum("target")).first()
     scale = target / raw if raw else 0.0
     ratio = F.log((F.col("target") + smoothing) / (F.col("raw") * scale + smoothing)).cast("float")
@@ -114,13 +117,13 @@ def quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_co
     ratios = F.broadcast(bucket_ratios(docs, trusted, id_col, text_col, buckets, smoothing).withColumnRenamed("llr", "of"))
     rows = row_key(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text")
     base = base_counts(rows, "text")
-    counts = ["id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     # One pass over the texts: the counts of a text go with each of its n-grams, and meet again before the shuffle.
-    grams = base.select("__k", "__d", *counts, F.posexplode_outer(buckets_of(buckets)).alias("at", "bucket"))
+    grams = base.select("__k", "__d", "id", *counts, F.posexplode_outer(buckets_of(buckets)).alias("at", "bucket"))
     found = grams.join(ratios, F.expr(f"bucket div {PACKED}") == F.col("block"), "left")
     llr = F.col("of")[F.expr(f"bucket % {PACKED}")].cast("double")
     first = F.coalesce(F.col("at"), F.lit(0)) == 0
-    out = found.groupBy("__k", "__d").agg(*[F.any_value(c).alias(c) for c in counts], F.avg(llr).alias("llr_score"), F.count_if(first).alias("alike"))
+    out = found.groupBy("__k", "__d", "id").agg(*[F.max(c).alias(c) for c in counts], F.avg(llr).alias("llr_score"), F.count_if(first).alias("alike"))
     # Equal rows share a key, and the mean over their n-grams together is the mean over those of one.
-    out = out.withColumn("llr_score", F.coalesce("llr_score", F.lit(0.0))).withColumn("kept", ~F.col("base_failed") & (F.col("llr_score") >= threshold))
-    return out.select("id", "__k", "__d", *counts[1:], "llr_score", "kept", F.explode(F.expr("sequence(1L, alike)")).alias("copy")).drop("copy")
+    out = out.withColumn("base_failed", base_failed()).withColumn("llr_score", F.coalesce("llr_score", F.lit(0.0))).withColumn("kept", ~F.col("base_failed") & (F.col("llr_score") >= threshold))
+    return out.select("id", "__k", "__d", *counts, "base_failed", "llr_score", "kept", F.explode(F.expr("sequence(1L, alike)")).alias("copy")).drop("copy")
