@@ -49,8 +49,12 @@ def expired(seen: Column, today: Column, days: int) -> Column:
     return F.datediff(today, seen) > days
 
 
+# The addresses that hold a video's identifier.
+VIDEO = r"(?:youtube\.com/watch\?v=|youtu\.be/)([A-Za-z0-9_-]{11})"
+
+
 def video_id(url: Column) -> Column:
-    found = F.regexp_extract(url, r"(?:youtube\.com/watch\?v=|youtu\.be/)([A-Za-z0-9_-]{11})", 1)
+    found = F.regexp_extract(url, VIDEO, 1)
     return F.nullif(found, F.lit(""))
 
 
@@ -126,13 +130,14 @@ def file_id(path: Column, digits: int = 16) -> Column:
     return F.substring(F.sha2(F.regexp_replace(path, r"\\", "/"), 256), 1, digits)
 
 
-# The types of an opportunity that its hint may name, in order.
+# The form of a list item that names an opportunity, and the types that its hint may name, in order.
+OPPORTUNITY = r"^-\s*\[?([^\]]+)\]?\s*(.+?)(?:\s|$)"
 OPPORTUNITIES = ["grant", "fellowship", "rfp", "partnership"]
 
 
 def opportunities(lines: DataFrame, line: str) -> DataFrame:
     """Lines '- [type] name — ..' with kind, name (up to the dash, else the first word) and deadline; other lines are dropped."""
-    pattern = r"^-\s*\[?([^\]]+)\]?\s*(.+?)(?:\s|$)"
+    pattern = OPPORTUNITY
     t = F.trim(F.col(line))
     hint, rest = F.lower(F.regexp_extract(t, pattern, 1)), F.trim(F.regexp_extract(t, pattern, 2))
     kind = F.coalesce(*[F.when(F.contains(hint, F.lit(k)), F.lit(k)) for k in OPPORTUNITIES], F.lit("other"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# References that stand for an identifier until one is given.
 PLACEHOLDER = r"^(?:ART|NODE|CLAIM|MEME|CASE)_\d+(?:\.\d+)?$"
 
 

@@ -33,7 +33,11 @@ def replace_at(text: Column, offset: Column, find: Column, put: Column) -> Colum
 
 
 def sane_correction(wrong: Column, right: Column) -> Column:
-    """False for a correction far longer than what it corrects, or that stutters a three-word phrase four times."""
+    """False for a correction far longer than what it corrects, or that stutters a three-word phrase four times.
+
+    Fixed values: over 100 characters and five times the wrong text; from nine words on, a phrase of
+    eight characters or more met four times.
+    """
     w, r = F.trim(F.coalesce(wrong, F.lit(""))), F.trim(F.coalesce(right, F.lit("")))
     words = F.split(F.lower(r), r"\s+")
     triples = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 2, F.lit(1))), lambda i: F.array_join(F.slice(words, i, F.lit(3)), " "))

@@ -172,6 +172,7 @@ def generated_corrections(texts: DataFrame, text: str = "text") -> DataFrame:
     Corrections that change letter case alone are left out, so a capital word stays only in the
     join of its halves; of a text met by several methods the join holds.
     """
+    # Fixed value: what a word in double capitals looks like.
     ghosts = texts.select(F.explode(F.regexp_extract_all(text, F.lit(r"\b[A-Z]{2,}[a-z]+"), F.lit(0))).alias("wrong")).distinct().select("wrong", F.initcap("wrong").alias("right"), F.lit("ghost_cap").alias("method"))
     halves = texts.select(F.explode(F.regexp_extract_all(text, F.lit(r"(?<![A-Za-z])([A-Za-z]{1,3})\s+([A-Za-z]{1,3})(?=\s)"), F.lit(0))).alias("wrong")).distinct()
     parts = F.split("wrong", r"\s+")
