@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.llm.shared import ascii_lower, row_key, within
@@ -93,7 +93,11 @@ def verdicts(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     near = near.select("__k", "__d", words_of(F.col("text")).alias("w")).dropDuplicates(["__k", "__d"])
     hits = found.join(near, ["__k", "__d"]).where("array_join(slice(w, start + 1, len), ' ') = wtext").select("__k", "__d", "start", "len", "wtext")
     hits = stored(hits, "window-hits")
-    covered = hits.groupBy("__k", "__d").agg(F.size(F.array_distinct(F.flatten(F.collect_set(F.expr("sequence(start, start + len - 1)"))))).cast("long").alias("n_hit"))
+    # Words inside any occurrence: each adds what lies past the furthest end of those before it.
+    before = Window.partitionBy("__k", "__d").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    spans = hits.select("__k", "__d", "start", (F.col("start") + F.col("len")).alias("end")).distinct().withColumn("reach", F.max("end").over(before))
+    fresh = F.greatest(F.col("end") - F.greatest("start", F.coalesce("reach", "start")), F.lit(0))
+    covered = spans.groupBy("__k", "__d").agg(F.sum(fresh).cast("long").alias("n_hit"))
     named = hits.select("__k", "__d", "wtext").distinct().join(windows.where("item is not null").select("wtext", F.col("item").cast("string")), "wtext")
     named = named.groupBy("__k", "__d").agg(F.array_sort(F.collect_set("item")).alias("items"))
     marks = small_or_not(stored(covered.join(named, ["__k", "__d"], "left"), "window-marks"))
