@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.llm.shared import ascii_lower, row_key, within
-from tracewright.plans.materialize import empty_like, small_or_not, stored
+from tracewright.plans.materialize import empty_like, release, small_or_not, stored
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, SHINGLE = 13, 5
@@ -54,7 +54,7 @@ def _occurrences(words: DataFrame, tokens: DataFrame, sizes: list[int]) -> DataF
 
 
 def candidates(words: DataFrame, windows: DataFrame, shingle: int) -> DataFrame:
-    """(__k, __d, start, len, wtext): the windows that may stand in each document, and where.
+    """(__k, __d, start, len, wtext), stored: the windows that may stand in each document, and where.
 
     ``words`` has (k, d, w). Every row passes the positional and the length bound.
     """
@@ -69,9 +69,11 @@ def candidates(words: DataFrame, windows: DataFrame, shingle: int) -> DataFrame:
     ranked = wins.select("wtext", F.posexplode("hs").alias("off", "h")).join(often, "h", "left")
     ranked = ranked.groupBy("wtext").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "h")).alias("t"))
     prefix = wins.select("wtext", "len").join(ranked.where("t.n > 0"), "wtext").select("len", "wtext", "t.off", "t.h")
-    prefix = small_or_not(stored(prefix, "window-prefixes"))
-    at = seen.join(prefix, "h").select(F.col("k").alias("__k"), F.col("d").alias("__d"), (F.col("pos") - F.col("off")).alias("start"), "len", "wtext", "n_words")
-    return at.where("start >= 0 and start + len <= n_words").drop("n_words").distinct()
+    prefix = stored(prefix, "window-prefixes")
+    at = seen.join(small_or_not(prefix), "h").select(F.col("k").alias("__k"), F.col("d").alias("__d"), (F.col("pos") - F.col("off")).alias("start"), "len", "wtext", "n_words")
+    found = stored(at.where("start >= 0 and start + len <= n_words").drop("n_words").distinct(), "window-candidates")
+    release(wins, tokens, seen, prefix)
+    return found
 
 
 def verdicts(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, shingle: int = SHINGLE, share: int = 20) -> DataFrame:
@@ -88,8 +90,9 @@ def verdicts(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     keyed = row_key(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text")
     words = keyed.select(F.col("__k").alias("k"), F.col("__d").alias("d"), words_of(F.col("text")).alias("w"))
     windows = stored(item_windows(benchmark, item_id, item_text, window), "windows")
-    found = stored(candidates(words, windows, shingle), "window-candidates")
-    near = within(keyed, stored(found.select("__k", "__d").distinct(), "window-holders"))
+    found = candidates(words, windows, shingle)
+    holders = stored(found.select("__k", "__d").distinct(), "window-holders")
+    near = within(keyed, holders)
     near = near.select("__k", "__d", words_of(F.col("text")).alias("w")).dropDuplicates(["__k", "__d"])
     hits = found.join(near, ["__k", "__d"]).where("array_join(slice(w, start + 1, len), ' ') = wtext").select("__k", "__d", "start", "len", "wtext")
     hits = stored(hits, "window-hits")
@@ -100,8 +103,9 @@ def verdicts(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     covered = spans.groupBy("__k", "__d").agg(F.sum(fresh).cast("long").alias("n_hit"))
     named = hits.select("__k", "__d", "wtext").distinct().join(windows.where("item is not null").select("wtext", F.col("item").cast("string")), "wtext")
     named = named.groupBy("__k", "__d").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    marks = small_or_not(stored(covered.join(named, ["__k", "__d"], "left"), "window-marks"))
-    out = keyed.select("id", "__k", "__d", F.size(words_of(F.col("text"))).cast("long").alias("n_words")).join(marks, ["__k", "__d"], "left")
+    marks = stored(covered.join(named, ["__k", "__d"], "left"), "window-marks")
+    release(windows, found, holders, hits)
+    out = keyed.select("id", "__k", "__d", F.size(words_of(F.col("text"))).cast("long").alias("n_words")).join(small_or_not(marks), ["__k", "__d"], "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     items = F.coalesce("items", F.array().cast("array<string>"))
     return out.select("id", "__k", "__d", "n_words", n_hit.alias("n_hit"), items.alias("items"), ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"))
