@@ -76,7 +76,7 @@ def base_counts(docs: DataFrame, text_col: str) -> DataFrame:
         "h",
         F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated_words().alias("n_repeat_words"),
     )
@@ -119,11 +119,11 @@ def quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_co
     base = base_counts(rows, "text")
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     # One pass over the texts: the counts of a text go with each of its n-grams, and meet again before the shuffle.
-    grams = base.select("__k", "__d", "id", *counts, F.posexplode_outer(buckets_of(buckets)).alias("at", "bucket"))
+    grams = base.select("__k", "__d", "id", *counts, F.explode_outer(buckets_of(buckets)).alias("bucket"))
     found = grams.join(ratios, F.expr(f"bucket div {PACKED}") == F.col("block"), "left")
     llr = F.col("of")[F.expr(f"bucket % {PACKED}")].cast("double")
-    first = F.coalesce(F.col("at"), F.lit(0)) == 0
-    out = found.groupBy("__k", "__d", "id").agg(*[F.max(c).alias(c) for c in counts], F.avg(llr).alias("llr_score"), F.count_if(first).alias("alike"))
-    # Equal rows share a key, and the mean over their n-grams together is the mean over those of one.
-    out = out.withColumn("base_failed", base_failed()).withColumn("llr_score", F.coalesce("llr_score", F.lit(0.0))).withColumn("kept", ~F.col("base_failed") & (F.col("llr_score") >= threshold))
+    out = found.groupBy("__k", "__d", "id").agg(*[F.max(c).alias(c) for c in counts], F.avg(llr).alias("llr_score"), F.count("*").alias("rows"))
+    # Equal rows share a key: the mean over their n-grams together is that of one, and n words have 2 n - 1 n-grams.
+    out = out.withColumn("base_failed", base_failed()).withColumn("alike", F.expr("rows div greatest(2 * n_words - 1, 1)"))
+    out = out.withColumn("llr_score", F.coalesce("llr_score", F.lit(0.0))).withColumn("kept", ~F.col("base_failed") & (F.col("llr_score") >= threshold))
     return out.select("id", "__k", "__d", *counts, "base_failed", "llr_score", "kept", F.explode(F.expr("sequence(1L, alike)")).alias("copy")).drop("copy")
