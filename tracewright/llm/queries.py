@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import bin_packing, decontamination, html_extraction, lattice_lm, license_scan, quality_classifier, quality_rules, sharding, simhash, token_store
+from tracewright.llm import bin_packing, centroids, decontamination, html_extraction, lattice_lm, license_scan, minhash, quality_classifier, quality_rules, sharding, simhash, token_align, token_store
 from tracewright.plans.materialize import shared_dir
 
 
@@ -88,7 +88,24 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(docs, held_out, vocabulary("piece_bpe_32k.model")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_license_scan, op4_html_extraction, op5_quality_classifier, op6_best_fit_packing, op7_token_store, op8_simhash_near_dedup, op9_decontamination, op10_lm_scoring)}
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = vocabulary("piece_bpe_32k.model")
+    made = token_align.aligned(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), pieces)
+    named = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    made = made.select("id", "n_a", "n_b", "n_groups", named.alias("groups_sha256"), "pairs", "times")
+    return token_align.scored(made, token_align.pieces_in(pieces)).withColumnRenamed("id", "doc_id")
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.lloyd(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_license_scan, op4_html_extraction, op5_quality_classifier, op6_best_fit_packing, op7_token_store, op8_simhash_near_dedup, op9_decontamination, op10_lm_scoring, op11_minhash_near_dedup, op12_token_alignment, op13_centroid_clustering)}
 
 _WORDS9 = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
@@ -139,4 +156,41 @@ FROM docs LEFT JOIN f{len(license_scan.RULES)} USING (r)
 """
 
 
-ORACLES: dict[str, str] = {"op3_license_scan": _op3_sql(), "op9_decontamination": OP9_SQL}
+OP11_SQL = """
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+),
+shingles AS MATERIALIZED (SELECT DISTINCT r, array_to_string(w[s : s + 2], ' ') AS g FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS s FROM docs WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+common AS (SELECT a.r AS u, b.r AS v, count(*) AS m FROM shingles a JOIN shingles b ON a.g = b.g AND a.r < b.r GROUP BY 1, 2),
+links AS MATERIALIZED (SELECT u, v FROM common JOIN sizes a ON a.r = u JOIN sizes b ON b.r = v WHERE 100 * m >= 85 * (a.n + b.n - m)),
+both_ways AS MATERIALIZED (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach AS (SELECT r, r AS s FROM docs UNION SELECT reach.r, v FROM reach JOIN both_ways ON u = reach.s),
+tops AS (SELECT reach.r, min(doc_id) AS component_id FROM reach JOIN docs ON docs.r = reach.s GROUP BY reach.r)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, coalesce(doc_id = component_id, FALSE) AS kept FROM docs LEFT JOIN sizes USING (r) JOIN tops USING (r)
+"""
+
+
+def _op13_sql(k: int = 8, rounds: int = 10, size: int = 64) -> str:
+    near = "(SELECT r, q, arg_min(c, (d, c)) AS c, min(d) AS d FROM (SELECT r, q, c, list_sum(list_transform(list_zip(q, m), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM kept, {m}) GROUP BY r, q)"
+    steps = []
+    for i in range(rounds):
+        sums = f"SELECT c, j, sum(x) AS s, count(*) AS n FROM (SELECT c, unnest(range(1, {size + 1})) AS j, unnest(q) AS x FROM {near.format(m=f'm{i}')}) GROUP BY c, j"
+        whole = "(s - ((s % n) + n) % n) // n"
+        steps.append(f"s{i + 1} AS MATERIALIZED (SELECT c, list(CAST({whole} AS BIGINT) ORDER BY j) AS m FROM ({sums}) GROUP BY c), m{i + 1} AS MATERIALIZED (SELECT c, coalesce(s.m, o.m) AS m FROM m{i} o LEFT JOIN s{i + 1} s USING (c))")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+m0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, q) - 1 AS c, q AS m FROM (SELECT sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, q FROM kept ORDER BY h, q LIMIT {k})),
+{", ".join(steps)},
+last AS MATERIALIZED {near.format(m=f"m{rounds}")},
+cost AS (SELECT c, sum(d) AS cluster_inertia FROM last GROUP BY c)
+SELECT vec_id, CAST(last.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(cluster_inertia AS BIGINT) AS cluster_inertia, CAST((SELECT sum(d) FROM last) AS BIGINT) AS inertia,
+  sha256(array_to_string(list_transform(m, lambda x: CAST(x AS VARCHAR)), ',')) AS centroid_sha256
+FROM kept JOIN last USING (r) JOIN cost USING (c) JOIN m{rounds} USING (c)
+"""
+
+
+ORACLES: dict[str, str] = {"op11_minhash_near_dedup": OP11_SQL, "op13_centroid_clustering": _op13_sql(), "op3_license_scan": _op3_sql(), "op9_decontamination": OP9_SQL}
