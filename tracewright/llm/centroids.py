@@ -131,7 +131,7 @@ def lloyd(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
 
     assigned = stored(distinct.mapInArrow(assign, "digest binary, weight long, cluster int, distance long"), "assigned-vectors")
     cost = F.when(F.count("distance") == F.count("*"), F.sum(F.col("distance").cast("decimal(19,0)") * F.col("weight")))
-    costs = {r.cluster: r.cost and int(r.cost) for r in assigned.groupBy("cluster").agg(cost.alias("cost")).collect()}
+    costs = {r.cluster: None if r.cost is None else int(r.cost) for r in assigned.groupBy("cluster").agg(cost.alias("cost")).collect()}
     fits = lambda v: v if v is not None and v <= EXACT_LONG else None
     inertia = fits(None if None in costs.values() else sum(costs.values()))
     named = spark.createDataFrame([(i, fits(v), inertia, digest_of(centroids[i])) for i, v in costs.items()], "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")

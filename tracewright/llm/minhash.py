@@ -65,7 +65,7 @@ def signatures(sets: np.ndarray, bounds: np.ndarray, coordinates: int = COORDINA
 
 def bands(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
     """A 64-bit number for each band of each signature."""
-    cut = signature.reshape(len(signature), -1, rows).astype(np.uint64)
+    cut = signature.reshape(len(signature), signature.shape[1] // rows, rows).astype(np.uint64)
     out = np.zeros(cut.shape[:2], np.uint64)
     for i in range(rows):
         out = (out ^ cut[:, :, i]) * np.uint64(0x9E3779B97F4A7C15)
