@@ -84,3 +84,38 @@ def confidence_rank(value: Column) -> Column:
     """high 3, medium 2, low 1, else 0; case does not matter."""
     v = F.lower(F.trim(value))
     return F.when(v == "high", 3).when(v.isin("medium", "med"), 2).when(v == "low", 1).otherwise(0)
+
+
+#: Widths of the passes of ``prefix_sums``; they reach over two thousand million numbers.
+_PASSES = [1 << k for k in range(31)]
+
+
+def prefix_sums(numbers: Column) -> Column:
+    """The sum of the numbers up to each, itself included.
+
+    Each pass adds what stands 1, 2, 4 .. places before, so n numbers take log n passes and no list
+    is copied for each number.
+    """
+    def one(a, d):
+        return F.zip_with(a, F.concat(F.array_repeat(F.lit(0).cast("long"), d), F.slice(a, F.lit(1), F.size(a) - d)), lambda x, y: x + y)
+
+    a = numbers.cast("array<bigint>")
+    return F.aggregate(F.filter(F.array(*map(F.lit, _PASSES)), lambda d: d < F.size(a)), a, one)
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def match_places(text: Column, pattern: Column | str) -> Column:
+    """(start, match) of every match from the left, 0-based; the text is split and searched once, in time linear in the matches but for a logarithm."""
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    lengths = lambda c: F.transform(c, lambda x: F.length(x))
+
+    def placed(p):
+        gaps = F.slice(p["parts"], F.lit(1), F.size(p["found"]))
+        ends = prefix_sums(F.zip_with(lengths(gaps), lengths(p["found"]), lambda x, y: x + y))
+        return F.zip_with(ends, p["found"], lambda e, m: F.struct((e - F.length(m)).cast("int").alias("start"), m.alias("match")))
+
+    return bound(F.struct(F.split(text, pattern, -1).alias("parts"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("found")), placed)

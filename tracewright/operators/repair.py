@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions.media import CUE, cue_seconds, line_body
-from tracewright.functions.text import confidence_rank
+from tracewright.functions.text import confidence_rank, match_places
 from tracewright.operators.overrides import sane_correction
 
 
@@ -127,18 +127,9 @@ def scan(texts: DataFrame, patterns: list[tuple[str, str, str]], most: int = 150
     The caption is the last [M:SS] or [H:MM:SS] strictly before the match. The first ``most``
     findings of a text, by pattern and place, are given.
     """
-    text = F.col("text")
-    found = lambda p: F.regexp_extract_all(text, F.lit(p), F.lit(0))
-    parts = lambda p: F.split(text, F.lit(p), -1)
-
-    def places(p):
-        step = lambda a, k: F.struct((a["at"] + F.length(F.get(parts(p), k)) + F.length(F.get(found(p), k))).alias("at"), F.array_append(a["all"], a["at"] + F.length(F.get(parts(p), k))).alias("all"))
-        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
-        return F.when(F.size(found(p)) > 0, F.aggregate(F.sequence(F.lit(0), F.size(found(p)) - 1), begin, step)["all"]).otherwise(F.array().cast("array<int>"))
-
     def named(n, name, p, hint):
-        both = F.arrays_zip(places(p).alias("start"), found(p).alias("match"))
-        return F.transform(both, lambda x: F.struct(F.lit(n).alias("n"), F.lit(name).alias("id"), F.lit(hint).alias("hint"), x["start"].alias("start"), x["match"].alias("match")))
+        told = lambda m: F.struct(F.lit(n).alias("n"), F.lit(name).alias("id"), F.lit(hint).alias("hint"), m["start"].alias("start"), m["match"].alias("match"))
+        return F.transform(F.slice(match_places(F.col("text"), p), 1, most), told)
 
     hits = F.flatten(F.array(*[named(n, *pattern) for n, pattern in enumerate(patterns)]))
     cue = r"\[\d{1,2}:\d{2}(?::\d{2})?\]"
