@@ -74,9 +74,15 @@ def convergence_ranking(spark, d):
     return patterns.top(got.select("ref", "weight"), 20, F.desc("weight"), F.col("ref"))
 
 
-@register(f"WITH {_NODE}, p AS (SELECT ref, ep, coalesce(pressure, 'low') AS level FROM n) SELECT ref, string_agg(ep || ':' || level, ',' ORDER BY ep) AS levels, CASE max(CASE level WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 1 END) WHEN 3 THEN 'high' WHEN 2 THEN 'medium' ELSE 'low' END AS max_pressure FROM p GROUP BY 1 HAVING count(*) > 1 OR max(CASE level WHEN 'high' THEN 3 ELSE 1 END) = 3")
+_RANK = "CASE level WHEN 'high' THEN 3 WHEN 'medium' THEN 2 WHEN 'low' THEN 1 ELSE 0 END"
+
+
+@register(f"WITH {LINES}, n AS (SELECT 'N-' || l_suppkey AS ref, year(l_shipdate) AS ep, l_linenumber AS seq, coalesce(CASE count(*) % 5 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' WHEN 2 THEN 'low' WHEN 3 THEN 'odd' END, 'low') AS level FROM lines GROUP BY 1, 2, 3), e AS (SELECT ref, ep, arg_max(level, seq) AS level, max({_RANK}) AS r FROM n GROUP BY 1, 2) SELECT ref, string_agg(ep || ':' || level, ',' ORDER BY ep) AS levels, CASE max(r) WHEN 3 THEN 'high' WHEN 2 THEN 'medium' ELSE 'low' END AS max_pressure FROM e GROUP BY 1 HAVING count(*) > 1 OR max(r) = 3")
 def pressure_levels(spark, d):
-    got = scores.pressure_map(_nodes(Graph(spark, d)))
+    """Suppliers under pressure in the years they ship in; each line number is a row of its own, so a year has several levels."""
+    k = F.col("n") % 5
+    rows = order_lines(Graph(spark, d)).groupBy(F.concat(F.lit("N-"), F.col("l_suppkey").cast("string")).alias("ref"), F.year("l_shipdate").alias("ep"), F.col("l_linenumber").alias("seq")).agg(F.count("*").alias("n"))
+    got = scores.pressure_map(rows.withColumn("pressure", F.when(k == 0, "high").when(k == 1, "medium").when(k == 2, "low").when(k == 3, "odd")))
     entry = F.transform(F.map_entries("levels"), lambda x: F.concat_ws(":", x["key"].cast("string"), x["value"]))
     return got.select("ref", F.array_join(entry, ",").alias("levels"), "max_pressure")
 

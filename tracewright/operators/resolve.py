@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import sys
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions.text import normal_name
 from tracewright.plans.components import connected_components
-from tracewright.plans.materialize import stored
+from tracewright.plans.materialize import release, stored
 from tracewright.plans.ranks import global_rank, running
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def name_classes(names: DataFrame, id_col: str, name_col: str) -> DataFrame:
     """(name, id, members): each different normalised name, its least id, and how many rows bear it."""
@@ -103,26 +109,73 @@ def claim_repair(items: DataFrame, doc: str, claim: str, start: int = 1000) -> D
     return level.select(doc, claim, (F.col("at") + F.greatest(F.col("level"), F.lit(start).cast("long"))).alias("fixed"))
 
 
-def family_repair(items: DataFrame, doc: str, family: str) -> DataFrame:
+#: Rows of a block whose numbers one task gives in order.
+BLOCK = 1 << 20
+_LOWEST = -(1 << 62)
+
+
+def _numbered(tops: dict[int, int]):
+    """The function that goes through blocks of rows in their order; ``tops`` has the greatest number used before each block."""
+
+    def run(batches):
+        block, top, given, count = None, 0, set(), 0
+        for b in batches:
+            fixed, hits, so_far = [], [], []
+            for p, n, again in zip(*(b.column(c).to_pylist() for c in ("block", "n", "again")), strict=True):
+                if p != block:
+                    block, top, given, count = p, tops.get(p, _LOWEST), set(), 0
+                if hit := again or n in given:
+                    top += 1
+                    given.add(top)
+                    count += 1
+                else:
+                    top = max(top, n)
+                fixed.append(top if hit else n)
+                hits.append(hit)
+                so_far.append(count)
+            made = [pa.array(fixed, pa.int64()), pa.array(hits, pa.bool_()), pa.array(so_far, pa.int64())]
+            yield pa.RecordBatch.from_arrays([b.column("at"), b.column("block"), b.column("n"), *made], ["at", "block", "n", "fixed", "hit", "so_far"])
+
+    return run
+
+
+def family_repair(items: DataFrame, doc: str, family: str, block: int = BLOCK) -> DataFrame:
     """(doc, family, fixed): a number that is used already, in an earlier document or as a new number, gets the greatest used so far plus one.
 
-    Documents come in their order, their numbers ascending. The new numbers less the count of new
-    ones are a running maximum; a number that turns out to be taken by a new one before it is
-    marked, and the numbers are given again, until none is.
+    Documents come in their order, their numbers ascending. The rows are cut into blocks in that
+    order; in each round every block is gone through by itself, from the greatest number and the new
+    numbers that the round before gave the blocks before it. A block with ``c`` new numbers turns a
+    greatest number m into max(m + c, what its own numbers come to), so a round carries a change
+    through all blocks whose ``c`` it leaves alone. After each round one block more is right at
+    least, and nothing is left to do when a round changes nothing: the rounds are bounded by the
+    blocks, whatever the conflicts.
     """
     used = items.select(doc, family).distinct()
     first = used.groupBy(family).agg(F.min(doc).alias("first"))
     rows = global_rank(used.join(first, family).withColumn("again", F.col(doc) > F.col("first")).drop("first"), doc, family, name="at")
+    rows = stored(rows.withColumn("block", F.expr(f"at div {block}")), "family-rows")
+    plain = rows.select("at", "block", F.col(family).cast("long").alias("n"), "again")
+    tops, given, seen, fixed = {}, None, None, None
     while True:
-        counted = running(rows, ["at"], given=("sum", F.col("again").cast("long")))
-        top = running(counted, ["at"], top=("max", F.when(~F.col("again"), F.col(family) - F.col("given"))))
-        fixed = stored(top.withColumn("fixed", F.when(F.col("again"), F.coalesce("top", F.lit(0)) + F.col("given")).otherwise(F.col(family))), "family-numbers")
-        taken = fixed.where("again").groupBy(F.col("fixed").alias(family)).agg(F.min("at").alias("since"))
-        wrong = fixed.where("not again").join(taken, family).where("since < at").select("at")
-        if not wrong.limit(1).count():
-            return fixed.select(doc, family, "fixed")
-        flip = wrong.agg(F.min("at").alias("at")).withColumn("flip", F.lit(True))  # numbers before the first such row are right
-        rows = stored(fixed.drop("given", "top", "fixed").join(F.broadcast(flip), "at", "left").withColumn("again", F.col("again") | F.coalesce("flip", F.lit(False))).drop("flip"), "family-rows")
+        now = plain
+        if given is not None:
+            marked = plain.join(given, "n", "left").withColumn("again", F.col("again") | F.coalesce(F.col("since") < F.col("block"), F.lit(False)))
+            now = marked.select("at", "block", "n", "again")
+        dealt = now.repartition("block").sortWithinPartitions("block", "at")
+        before, fixed = fixed, stored(dealt.mapInArrow(_numbered(tops), "at long, block long, n long, fixed long, hit boolean, so_far long"), "family-numbers")
+        own = F.max(F.when(~F.col("hit"), F.col("n") - F.col("so_far")))
+        blocks = fixed.groupBy("block").agg(F.count_if("hit").alias("c"), own.alias("own"), F.bit_xor(F.xxhash64("at", "fixed")).alias("digest")).orderBy("block").collect()
+        next_tops, top = {}, _LOWEST
+        for r in blocks:  # a row for each block
+            next_tops[r.block] = top
+            top = max(top + r.c, top if r.own is None else r.own + r.c)
+        state = (next_tops, [(r.block, r.c, r.digest) for r in blocks])
+        if state == seen:
+            return rows.join(fixed.select("at", "fixed"), "at").select(doc, family, F.col("fixed").cast(rows.schema[family].dataType).alias("fixed"))
+        if before is not None:
+            release(before)
+        seen, tops = state, next_tops
+        given = fixed.where("hit").groupBy(F.col("fixed").alias("n")).agg(F.min("block").alias("since"))
 
 
 def dangling(refs: DataFrame, ref_col: str, known: DataFrame, key: str) -> DataFrame:

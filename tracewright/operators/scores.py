@@ -78,10 +78,18 @@ def convergence(stats: DataFrame, least: int = 2) -> DataFrame:
 
 
 def pressure_map(nodes: DataFrame) -> DataFrame:
-    """(ref, levels, max_pressure): the level of each episode, of nodes in several episodes or under high pressure once."""
+    """(ref, levels, max_pressure): the level of each episode, of nodes in several episodes or under high pressure once.
+
+    Of several levels in one episode the last stands, by ``seq`` where the nodes have it; the
+    pressure is the highest met in any row, low if none has a known level.
+    """
     level = F.coalesce("pressure", F.lit("low"))
-    last = nodes.where(F.coalesce("ref", F.lit("")) != "").groupBy("ref", "ep").agg(F.max(level).alias("level"))
-    made = last.groupBy("ref").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("ep", "level")))).alias("levels"), F.max_by("level", pressure_rank(F.col("level"))).alias("max_pressure"))
+    order = F.col("seq") if "seq" in nodes.columns else F.lit(0)
+    rows = nodes.where(F.coalesce("ref", F.lit("")) != "").select("ref", "ep", level.alias("level"), order.alias("seq"))
+    last = rows.groupBy("ref", "ep").agg(F.max_by("level", F.struct("seq", "level")).alias("level"), F.max(pressure_rank(F.col("level"))).alias("rank"))
+    top = F.max("rank")
+    named = F.coalesce(*[F.when(top == r, k) for k, r in PRESSURE.items()], F.lit("low"))
+    made = last.groupBy("ref").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("ep", "level")))).alias("levels"), named.alias("max_pressure"))
     return made.where((F.size("levels") > 1) | (F.col("max_pressure") == "high"))
 
 
