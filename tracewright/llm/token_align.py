@@ -32,7 +32,9 @@ BLANKS = r"\x00-\x20\x7F-\xA0\x{1680}\x{180E}\x{2000}-\x{200F}\x{2028}-\x{202F}\
 #: A character of the private planes that marks cuts; texts that hold it are cut in Python.
 CUT = "\U0010fffe"
 #: Bytes of texts taken at a time, and pieces that a task remembers.
-STRIP, REMEMBERED = 4 << 20, 400_000
+STRIP, REMEMBERED = 4 << 20, 200_000
+#: Pieces encoded in one call.
+JOINED = 100
 #: Pairs of ids with a count that are broadcast at most: the most frequent ones. The rest are joined by a shuffle.
 HEAD = 1_000_000
 _PYTHON_BLANKS = re.sub(r"\\x\{(\w+)\}", lambda m: f"\\u{m[1]}", BLANKS)
@@ -64,59 +66,86 @@ class Aligner:
             raise ValueError("a piece goes on after a space, so texts cannot be cut at spaces")
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else b"" if self.b.is_control(i) or self.b.is_unknown(i) else p.replace("\u2581", " ").encode() for i, p in enumerate(pieces)]
         self.width = len(pieces)
+        self.len_a, self.len_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
+        # A token as it is written among groups: its id and what follows it.
+        self.labels = pa.array([f"{i}{end}" for n, ends in ((size, ",|"), (self.width, ",;")) for end in ends for i in range(n)])
         self.clear()
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.names: list[bytes] = []
         self.good, self.counts = np.zeros(0, bool), np.zeros((0, 3), np.int64)
-        self.codes, self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _pieces_of(self, piece: str) -> list[int]:
-        """B's ids of a piece, whose first space is the one that B adds itself."""
-        if piece != " ":
-            return self.b.encode(piece[1:])
-        both, alone = self.b.encode("a "), self.b.encode("a")
-        return both[len(alone) :]
+        self.codes, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.order = np.zeros(0, np.int32)
+
+    def _covers(self, raw: bytes, a: list[int], b: list[int]) -> bool:
+        """Whether the tokens of both give back the bytes."""
+        return b"".join(map(self.bytes_a.__getitem__, a)) == raw == b"".join(map(self.bytes_b.__getitem__, b))
+
+    def _alone(self, piece: str) -> tuple[list[int], list[int]]:
+        """Both tokenizers' ids of a piece, whose first space is the one that B adds itself; none where they do not cover it."""
+        a, b = self.a.encode(piece, add_special_tokens=False).ids, self.b.encode(piece[1:])
+        if piece == " ":  # nothing is left for B: what it makes of a space at the end of a text
+            b = self.b.encode("a ")[len(self.b.encode("a")) :]
+        return (a, b) if self._covers(piece.encode(), a, b) else ([], [])
+
+    def tokens(self, new: list[str]) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
+        """The numbers of the pieces in the order in which they were encoded, and of A and B the ids and how many each piece has.
+
+        Pieces that end in no blank are encoded many to a call and told apart by their bytes.
+        """
+        blank = pc.match_substring_regex(pa.array(new), rf"[{BLANKS}]\z").to_pylist()
+        plain, single = ([k for k, x in enumerate(blank) if x is want] for want in (False, True))
+        lines = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
+        texts = ["".join([new[k] for k in line]) for line in lines]
+        encode = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
+        ids_a = [e.ids for e in encode(texts, add_special_tokens=False)]
+        ids_b = self.b.encode([t[1:] for t in texts], num_threads=1) if texts else []
+        flat, order = ([], []), []
+        for line, t, a, b in zip(lines, texts, ids_a, ids_b, strict=True):
+            if self._covers(t.encode(), a, b):
+                order += line
+                flat[0].append(np.array(a, np.int64))
+                flat[1].append(np.array(b, np.int64))
+            else:
+                single += line
+        stops = np.cumsum([len(new[k].encode()) for k in order])
+        ids, sizes = [], []
+        for parts, widths in zip(flat, (self.len_a, self.len_b), strict=True):
+            x = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+            ends = np.cumsum(widths[x])
+            at = np.searchsorted(ends, stops, "right")
+            if len(x) and not np.array_equal(ends[at - 1], stops):
+                raise ValueError("a token goes on from one piece into the next")
+            ids.append(x)
+            sizes.append(np.diff(at, prepend=0))
+        made = [self._alone(new[k]) for k in single]
+        for side in (0, 1):
+            ids[side] = np.concatenate((ids[side], np.array([i for m in made for i in m[side]], np.int64)))
+            sizes[side] = np.concatenate((sizes[side], np.array([len(m[side]) for m in made], np.int64)))
+        return order + single, ids, sizes
 
     def learn(self, new: list[str]) -> None:
-        """Adds pieces: their validity, counts, group text and links (as A's id times B's size plus B's id)."""
+        """Adds pieces: their validity, counts, links (A's id times B's size plus B's id) and tokens in the order of their groups."""
         if not new:
             return
-        encode = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
-        ids_a = [e.ids for e in encode(new, add_special_tokens=False)]
-        ids_b = self.b.encode([p[1:] for p in new], num_threads=1)
-        ids_b = [self._pieces_of(p) if p == " " else b for p, b in zip(new, ids_b, strict=True)]
-        raw = [p.encode() for p in new]
-        good = np.array([b"".join(map(self.bytes_a.__getitem__, a)) == r == b"".join(map(self.bytes_b.__getitem__, b)) for a, b, r in zip(ids_a, ids_b, raw, strict=True)], bool)
-        at = np.nonzero(good)[0]
-        flat_a = np.array([i for k in at for i in ids_a[k]], np.int64)
-        flat_b = np.array([i for k in at for i in ids_b[k]], np.int64)
-        sizes_a = np.array([len(self.bytes_a[i]) for i in flat_a.tolist()], np.int64)
-        sizes_b = np.array([len(self.bytes_b[i]) for i in flat_b.tolist()], np.int64)
-        owner_a, owner_b = np.repeat(np.arange(len(flat_a)), sizes_a), np.repeat(np.arange(len(flat_b)), sizes_b)
+        places, (flat_a, flat_b), (size_a, size_b) = self.tokens(new)
+        wide_a, wide_b = self.len_a[flat_a], self.len_b[flat_b]
+        owner_a, owner_b = np.repeat(np.arange(len(flat_a)), wide_a), np.repeat(np.arange(len(flat_b)), wide_b)
         new_a, new_b = (np.diff(o, prepend=-1) != 0 for o in (owner_a, owner_b))
         starts = np.nonzero(new_a | new_b)[0]  # of links
         codes = flat_a[owner_a[starts]] * self.width + flat_b[owner_b[starts]]
-        ends = np.cumsum([len(raw[k]) for k in at]).astype(np.int64)
-        stops = np.searchsorted(starts, ends)
-        cuts = np.nonzero(new_a & new_b)[0]  # first bytes of groups
-        cut_a, cut_b = np.append(owner_a[cuts], len(flat_a)), np.append(owner_b[cuts], len(flat_b))
-        cut_stops = np.searchsorted(cuts, ends)
-        text_a, text_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        cut_a, cut_b = cut_a.tolist(), cut_b.tolist()
-        groups = [",".join(text_a[a0:a1]) + "|" + ",".join(text_b[b0:b1]) for (a0, a1), (b0, b1) in zip(pairwise(cut_a), pairwise(cut_b), strict=True)]
-        counts, size, names, last = np.zeros((len(new), 3), np.int64), np.zeros(len(new), np.int64), [""] * len(new), 0
-        size[at] = np.diff(stops, prepend=0)
-        for k, stop in zip(at.tolist(), cut_stops.tolist(), strict=True):
-            names[k] = ";".join(groups[last:stop])
-            counts[k] = len(ids_a[k]), len(ids_b[k]), stop - last
-            last = stop
-        self.begin = np.concatenate((self.begin, len(self.codes) + np.cumsum(size) - size))
-        self.size, self.codes = np.concatenate((self.size, size)), np.concatenate((self.codes, codes))
-        self.good, self.counts = np.concatenate((self.good, good)), np.concatenate((self.counts, counts))
-        self.known |= zip(new, range(len(self.known), len(self.known) + len(new)), strict=True)
-        self.names += names
+        ends = np.concatenate(([0], np.cumsum(wide_a)))[np.cumsum(size_a)]  # bytes up to each piece
+        group = np.cumsum(new_a & new_b) - 1  # of each byte
+        group_a, group_b = group[np.nonzero(new_a)[0]], group[np.nonzero(new_b)[0]]
+        last_a, last_b = (np.append(np.diff(g) != 0, True) if len(g) else np.zeros(0, bool) for g in (group_a, group_b))
+        n = len(self.bytes_a)
+        label = np.concatenate((flat_a + n * last_a, 2 * n + flat_b + self.width * last_b)).astype(np.int32)
+        order = label[np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)), kind="stable")]
+        groups = np.diff(np.searchsorted(np.nonzero(new_a & new_b)[0], ends), prepend=0)
+        self.counts = np.concatenate((self.counts, np.stack((size_a, size_b, groups), axis=1)))
+        self.size = np.concatenate((self.size, np.diff(np.searchsorted(starts, ends), prepend=0)))
+        self.good, self.codes, self.order = np.concatenate((self.good, size_a > 0)), np.concatenate((self.codes, codes)), np.concatenate((self.order, order))
+        self.known |= zip([new[k] for k in places], range(len(self.known), len(self.known) + len(new)), strict=True)
 
     def align(self, texts: pa.Array):
         """(n_a, n_b, n_groups), groups, and the bounds of the links, their codes and how often each text has them."""
@@ -132,18 +161,25 @@ class Aligner:
         total = lambda x: np.diff(np.concatenate((np.zeros((1, *x.shape[1:]), np.int64), np.cumsum(x, 0)))[ends], axis=0)
         good = total((~self.good[idx]).astype(np.int64)) == 0
         counts = np.where(good[:, None], total(self.counts[idx]), 0)
-        names = [";".join(map(self.names.__getitem__, idx[a:b].tolist())) if g else "" for (a, b), g in zip(pairwise(ends.tolist()), good, strict=True)]
         doc = np.repeat(np.arange(len(texts)), np.diff(ends))
         kept = good[doc]
         idx, doc = idx[kept], doc[kept]
-        size = self.size[idx]
-        stop = np.cumsum(size)
-        codes = self.codes[np.repeat(self.begin[idx] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
+        written = self.labels.take(pa.array(_gathered(self.order, self.counts[:, 0] + self.counts[:, 1], idx)))
+        at = np.frombuffer(written.buffers()[1], np.int32)[np.concatenate(([0], np.cumsum(counts[:, 0] + counts[:, 1])))].tolist() if len(written) else [0] * (len(texts) + 1)
+        raw = memoryview(written.buffers()[2]) if len(written) else b""
+        names = [bytes(raw[a : max(a, b - 1)]).decode() for a, b in pairwise(at)]
         span = len(self.bytes_a) * self.width
-        both, times = np.unique(np.repeat(doc, size) * span + codes, return_counts=True)
+        both, times = np.unique(np.repeat(doc, self.size[idx]) * span + _gathered(self.codes, self.size, idx), return_counts=True)
         return counts, names, np.searchsorted(both, np.arange(len(texts) + 1) * span), both % span, times
 
 
+def _gathered(values: np.ndarray, sizes: np.ndarray, idx: np.ndarray) -> np.ndarray:
+    """The lists ``idx`` one after the other, of lists that lie in ``values`` one after the other."""
+    begin, size = np.cumsum(sizes) - sizes, sizes[idx]
+    stop = np.cumsum(size)
+    return values[np.repeat(begin[idx] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
+
+
 def cut_texts(texts: pa.Array) -> pa.ListArray:
     """The pieces of a space and each text; none of a null or empty text."""
     texts = texts.fill_null("")
