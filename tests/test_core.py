@@ -167,7 +167,3 @@ def test_streams_equal_batches(spark, tmp_path):
     assert got == {(r.user_id, r.m) for r in batch.groupBy("user_id").agg(F.max("event_id").alias("m")).collect()}
     seen = incremental.run_to_end(incremental.digest(stream(), ["event_id"], "ts", "3650 days"), f"file://{tmp_path}/c2", "digest_rows")
     assert seen.count() == batch.select("event_id").distinct().count()
-    changes = incremental.run_to_end(incremental.reminders(stream()), f"file://{tmp_path}/c3", "reminder_rows").collect()
-    firsts = [r.user_id for r in changes if r.change == "first"]
-    assert sorted(firsts) == sorted(r.user_id for r in batch.where("event_type = 'error'").select("user_id").distinct().collect())
-    assert {r.user_id for r in changes if r.change == "acked"} <= set(firsts)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tests.test_queue import items
 from tracewright.functions.text import match_places, prefix_sums
 from tracewright.operators import queue, repair, resolve, scores
+from tracewright.streaming import reminders
 
 
 def families(docs):
@@ -102,3 +103,32 @@ def test_pressure_of_several_levels_in_one_episode(spark):
     rows = [("N-1", 1, "high", 1), ("N-1", 1, "low", 2), ("N-1", 2, "high", 1), ("N-2", 1, "odd", 1), ("N-2", 2, None, 1), ("N-3", 1, "low", 1), ("N-3", 1, "high", 0), ("N-4", 1, "medium", 1)]
     got = {r.ref: (r.levels, r.max_pressure) for r in scores.pressure_map(spark.createDataFrame(rows, "ref string, ep int, pressure string, seq int")).collect()}
     assert got == {"N-1": ({1: "low", 2: "high"}, "high"), "N-2": ({1: "odd", 2: "low"}, "low"), "N-3": ({1: "low"}, "high")}
+
+
+def test_reminders_by_hand():
+    """Windows, a meeting known late, an acknowledgement for the last reminder sent, and none for another day."""
+    m = reminders.MINUTE
+    at = lambda *a: reminders.due(*a)
+    one = {("a", 100 * m): 0}
+    assert at(one, [], 84 * m) == [("a", 100 * m, 15, 84 * m)] and at(one, [], 94 * m) == [("a", 100 * m, 5, 94 * m)]
+    assert at(one, [90 * m], 94 * m) == [] and at(one, [83 * m], 94 * m) == [("a", 100 * m, 5, 94 * m)] and at(one, [95 * m], 94 * m) != []
+    assert reminders.sending(85 * m + 1, 100 * m, reminders.FIRST) == 86 * m and reminders.sending(86 * m + 1, 100 * m, reminders.FIRST) is None
+    two = {("a", 100 * m): 0, ("b", 104 * m): 0}
+    assert at(two, [89 * m], 94 * m) == [("a", 100 * m, 5, 94 * m)] and at(two, [89 * m], 98 * m) == []
+    days = {("a", 100 * m): 0, ("a", 1540 * m): 0}
+    assert at(days, [90 * m], 1534 * m) == [("a", 1540 * m, 5, 1534 * m)]
+
+
+def test_reminders_of_a_table(spark):
+    rng, m = random.Random(8), reminders.MINUTE
+    rows = [(rng.randint(1, 3), "meeting", rng.randint(0, 600) * m // 4, f"t{rng.randint(0, 2)}", rng.randint(0, 200) * m) for _ in range(150)] + [(rng.randint(1, 3), "ack", rng.randint(0, 200) * m + 7, None, None) for _ in range(40)]
+    frame = spark.createDataFrame(rows, "channel long, kind string, us long, title string, starts_us long").select("channel", "kind", F.timestamp_micros("us").alias("at"), "title", F.timestamp_micros("starts_us").alias("starts"))
+    want = []
+    for c in (1, 2, 3):
+        known = {}
+        for x in rows:
+            if x[0] == c and x[1] == "meeting":
+                known[x[3], x[4]] = min(x[2], known.get((x[3], x[4]), x[2]))
+        acks = [x[2] for x in rows if x[0] == c and x[1] == "ack"]
+        want += [(c, *r) for now in range(-20, 260) for r in reminders.due(known, acks, now * m)]
+    assert sorted(map(tuple, reminders.reminders_of(frame).collect())) == sorted(want)

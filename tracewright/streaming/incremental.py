@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def event_stream(spark: SparkSession, folder: str, pattern: str = "*.parquet", files: int = 1) -> DataFrame:
@@ -48,27 +44,3 @@ def upsert_batches(stream: DataFrame, path: str, keys: list[str], order: str, ch
 def latest_of(spark: SparkSession, path: str, keys: list[str], order: str) -> DataFrame:
     rows = spark.read.parquet(path)
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*rows.columns), F.struct(order, "batch")).alias("r")).select("r.*")
-
-
-def reminder_state(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One row for each change of a key: 'first' once, 'acked' once an acknowledgement has come.
-
-    State is (sent, acked); after an acknowledgement nothing more is sent.
-    """
-    sent, acked = state.get if state.exists else (False, False)
-    out = []
-    for b in batches:
-        for kind in b.sort_values("event_id")["event_type"]:
-            if kind == "purchase" and sent and not acked:
-                acked = True
-                out.append("acked")
-            elif kind == "error" and not sent:
-                sent = True
-                out.append("first")
-    state.update((sent, acked))
-    yield pd.DataFrame({"user_id": [key[0]] * len(out), "change": out})
-
-
-def reminders(events: DataFrame) -> DataFrame:
-    """(user_id, change): the first error of a user is sent once; a purchase after it acknowledges it."""
-    return events.groupBy("user_id").applyInPandasWithState(reminder_state, "user_id long, change string", "sent boolean, acked boolean", "append", GroupStateTimeout.NoTimeout)
