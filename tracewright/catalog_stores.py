@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.catalog import register
 from tracewright.operators import stores, transcript
 from tracewright.plans.bindings import Graph
+from tracewright.plans.materialize import shared_dir
+from tracewright.sources.keyed_log import KeyedLog
 
 
 def _t(spark, d, name):
@@ -98,12 +104,56 @@ def learned_names(spark, d):
     return stores.learned(log)
 
 
-@register("WITH reg AS (SELECT lower(p_name) AS k FROM part WHERE p_size <= 25 UNION SELECT lower(p_brand) FROM part WHERE p_size <= 25), f AS (SELECT lower(p_name) AS k, min(p_partkey) AS pos FROM part WHERE lower(p_name) NOT IN (SELECT k FROM reg) GROUP BY 1) SELECT 'M-' || ((SELECT max(p_partkey) + 1000 FROM part WHERE p_size <= 25) + row_number() OVER (ORDER BY f.pos)) AS id, p_name AS term FROM f JOIN part ON p_partkey = pos")
+@register("WITH p AS (SELECT p_partkey, p_brand, p_size, p_name || ' ' || p_partkey % 40 AS own, CASE WHEN p_partkey % 4 = 0 THEN upper(p_brand) WHEN p_partkey % 4 = 1 THEN ' ' ELSE upper(p_name) || ' ' || p_partkey % 60 END AS term FROM part), reg AS (SELECT lower(own) AS k FROM p WHERE p_size <= 25 UNION SELECT lower(p_brand) FROM p WHERE p_size <= 25), f AS (SELECT lower(trim(term)) AS k, min(p_partkey) AS pos FROM p WHERE trim(term) <> '' AND lower(trim(term)) NOT IN (SELECT k FROM reg) GROUP BY 1) SELECT 'M-' || ((SELECT max(p_partkey) + 1000 FROM part WHERE p_size <= 25) + row_number() OVER (ORDER BY f.pos)) AS id, term FROM f JOIN p ON p_partkey = pos")
 def added_terms(spark, d):
-    """Terms that the registry has neither as a term nor as an alias, with ids counted on."""
-    p = _t(spark, d, "part")
-    reg = p.where("p_size <= 25").select(F.concat(F.lit("M-"), (F.col("p_partkey") + 1000).cast("string")).alias("id"), F.col("p_name").alias("term"), F.array("p_brand").alias("aliases"))
-    return stores.added_terms(reg, p.select(F.col("p_partkey").alias("pos"), F.col("p_name").alias("term")))
+    """Terms that the registry has neither as a term nor as an alias, with ids counted on; some are known, some blank, some come twice."""
+    p, k = _t(spark, d, "part"), F.col("p_partkey")
+    word = lambda n: F.concat_ws(" ", "p_name", (k % n).cast("string"))
+    reg = p.where("p_size <= 25").select(F.concat(F.lit("M-"), (k + 1000).cast("string")).alias("id"), word(40).alias("term"), F.array("p_brand").alias("aliases"))
+    term = F.when(k % 4 == 0, F.upper("p_brand")).when(k % 4 == 1, " ").otherwise(F.concat_ws(" ", F.upper("p_name"), (k % 60).cast("string")))
+    return stores.added_terms(reg, p.select(k.alias("pos"), term.alias("term")))
+
+
+_LOG = """
+WITH p AS (SELECT p_partkey AS k, p_name AS said, p_brand AS brand, p_size AS day FROM part),
+one AS (SELECT k, said, day FROM p WHERE k % 7 <> 6),
+two AS (SELECT k, said, day FROM one WHERE k % 3 <> 0 UNION ALL SELECT k, upper(brand), day + 1 FROM p WHERE k % 3 = 0),
+three AS (SELECT * FROM two WHERE k % 5 <> 0),
+four AS (SELECT * FROM three WHERE day >= 10),
+six AS (SELECT k, brand AS said, day FROM p WHERE k % 11 = 0)
+"""
+
+
+@register(f"{_LOG} SELECT 1 AS version, * FROM one UNION ALL SELECT 2, * FROM two UNION ALL SELECT 3, * FROM three UNION ALL SELECT 4, * FROM four UNION ALL SELECT 6, * FROM six")
+def corrections_log(spark, d):
+    """A keyed log as of each version: put, replaced, deleted, those past their time pruned, cleared (nothing), put again."""
+    p, k = _t(spark, d, "part"), F.col("k")
+    rows = p.select(F.col("p_partkey").alias("k"), F.col("p_name").alias("said"), "p_brand", F.col("p_size").alias("day"))
+    kind = dict(rows.dtypes)
+    log = KeyedLog(spark, f"{shared_dir(spark)}/log-{uuid.uuid4().hex}", ["k"], f"k {kind['k']}, said string, day {kind['day']}")
+    log.put(rows.where(k % 7 != 6))
+    log.put(rows.where(k % 3 == 0).select("k", F.upper("p_brand").alias("said"), (F.col("day") + 1).cast(kind["day"]).alias("day")))
+    log.delete(rows.where(k % 5 == 0).select("k"))
+    log.delete_where("day < 10")
+    log.clear()
+    log.put(rows.where(k % 11 == 0).select("k", F.col("p_brand").alias("said"), "day"))
+    return reduce(DataFrame.unionByName, [log.read(n).select(F.lit(n).alias("version"), "k", "said", "day") for n in range(1, 7)])
+
+
+@register(f"{_LOG} SELECT * FROM four")
+def compacted_log(spark, d):
+    """The same store compacted twice on the way; what it holds at the end."""
+    p, k = _t(spark, d, "part"), F.col("k")
+    rows = p.select(F.col("p_partkey").alias("k"), F.col("p_name").alias("said"), "p_brand", F.col("p_size").alias("day"))
+    kind = dict(rows.dtypes)
+    log = KeyedLog(spark, f"{shared_dir(spark)}/log-{uuid.uuid4().hex}", ["k"], f"k {kind['k']}, said string, day {kind['day']}")
+    log.put(rows.where(k % 7 != 6))
+    log.compact()
+    log.put(rows.where(k % 3 == 0).select("k", F.upper("p_brand").alias("said"), (F.col("day") + 1).cast(kind["day"]).alias("day")))
+    log.delete(rows.where(k % 5 == 0).select("k"))
+    log.compact()
+    log.delete_where("day < 10")
+    return log.read()
 
 
 @register("WITH a AS (SELECT user_id, CASE arg_max(event_type, event_id) WHEN 'purchase' THEN 'approved' WHEN 'error' THEN 'flagged' ELSE 'promoted' END AS st, count(*) FILTER (event_type = 'error') AS f FROM events WHERE event_type IN ('purchase', 'error', 'signup') GROUP BY 1) SELECT c_custkey AS id, coalesce(st, 'open') AS status, 1 + coalesce(f, 0) AS n_flags FROM customer LEFT JOIN a ON user_id = c_custkey")
