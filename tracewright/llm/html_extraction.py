@@ -12,7 +12,7 @@ import html
 import math
 import re
 import sys
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 from itertools import accumulate
 
@@ -47,6 +47,8 @@ OUTWEIGH = 4.0
 #: What an element known as boilerplate costs amid main text, and the elements that may hold main text of several blocks.
 CROSS, CONTAINERS = 1.0, frozenset("body div article section main td".split())
 RATE, EPOCHS = 0.5, 400
+#: Regions inside boilerplate that are given up one by one.
+GIVE_UP = 50
 
 
 @dataclass
@@ -82,19 +84,32 @@ def runs(page: str) -> list[Run]:
     """
     out: list[Run] = []
     stack: list[tuple[str, int, bool]] = []
-    at, low = 0, None
+    places: defaultdict[str, list[int]] = defaultdict(list)  # where in the stack each name stands
+    at, low, mains, endless = 0, None, 0, set()
 
     def text(part: str) -> None:
         if part:
             decoded = html.unescape(part) if "&" in part else part
-            out.append(Run(decoded, len(decoded.split()), main=any(m for _, _, m in stack)))
+            out.append(Run(decoded, len(decoded.split()), main=mains > 0))
+
+    def opened(name: str, main: bool) -> None:
+        nonlocal mains
+        places[name].append(len(stack))
+        stack.append((name, len(out) - 1, main))
+        mains += main
 
     def close(first: int) -> None:
-        for name, opened, _ in reversed(stack[first:]):
-            out[opened].pair = len(out)
-            out.append(Run("", 0, "/" + name, out[opened].keys))
+        nonlocal mains
+        for name, begin, main in reversed(stack[first:]):
+            out[begin].pair = len(out)
+            out.append(Run("", 0, "/" + name, out[begin].keys))
+            places[name].pop()
+            mains -= main
         del stack[first:]
 
+    def last(names) -> int:
+        return max((places[n][-1] for n in names if places[n]), default=-1)
+
     while m := _TAG.search(page, at):
         text(page[at : m.start()])
         at = m.end()
@@ -102,30 +117,27 @@ def runs(page: str) -> list[Run]:
             continue
         name, attrs = m.group(2).lower(), m.group(3) or ""
         if m.group(1):
-            names = [n for n, _, _ in stack]
-            if name in names:
-                close(len(names) - 1 - names[::-1].index(name))
+            if places[name]:
+                close(places[name][-1])
             else:
                 out.append(Run("", 0, "/" + name, ("<" + name,)))
             continue
         closing = SAME.get(name, {"p"} if name in CLOSES_P else set())
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in closing:
-                close(k)
-                break
-            if stack[k][0] in SCOPES:
-                break
+        if closing and (k := last(closing)) >= max(0, last(SCOPES)):
+            close(k)
         out.append(Run("", 0, name, _keys(name, attrs)))
         empty = attrs.rstrip().endswith("/")
         if name in RAW and not (name in MARKUP and empty):
             low = page.lower() if low is None else low
-            end = low.find("</" + name, at)
+            end = -1 if name in endless else low.find("</" + name, at)
+            if end < 0:
+                endless.add(name)  # nor has it an end further on
             if end >= 0 or name not in MARKUP:
                 at = len(page) if end < 0 else end
-                stack.append((name, len(out) - 1, False))
+                opened(name, False)
                 continue
         if name not in VOID and not empty:
-            stack.append((name, len(out) - 1, "data-main" in attrs))
+            opened(name, "data-main" in attrs)
     # A cut-off tag at the end is no text.
     text(page[at:] if not _CUT_OFF.match(page, at) else "")
     close(0)
@@ -189,11 +201,21 @@ def learn(pages: list[str]) -> Weights:
     return out
 
 
+def _outer(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Those of nested spans, in the order of their begin, that stand in no other."""
+    out: list[tuple[int, int]] = []
+    for i, j in spans:
+        if not out or i >= out[-1][1]:
+            out.append((i, j))
+    return out
+
+
 def extract(page: str | None, weights: Weights) -> str:
     """Main text of a page: blocks in page order, joined by one space; '' where there is none.
 
     A region that stands inside an element known as boilerplate is given up, and the scan made
-    again without that element's words. Around the region that is left, within the container that
+    again without that element's words; after GIVE_UP such regions without those of all such
+    elements, so that a page takes time in proportion to its length. Around the region that is left, within the container that
     holds it, a second scan takes such elements for one tag each, so that an advert amid the text
     does not part it.
     """
@@ -202,20 +224,22 @@ def extract(page: str | None, weights: Weights) -> str:
     tags, words = ([0.0, *accumulate(x)] for x in ([s if r.tag else 0.0 for r, s in zip(found, scores, strict=True)], [r.words for r in found]))
     known = [(i, r.pair + 1) for i, r in enumerate(found) if r.pair > 0 and r.tag not in INLINE and weights.cost(r) <= KNOWN]
     known = [(i, j) for i, j in known if OUTWEIGH * (tags[j] - tags[i]) + words[j] - words[i] < 0]
-    while True:
+    for given_up in range(GIVE_UP + 2):
         first, last = best_region(scores)
-        around = next(((i, j) for i, j in known if i < first and last <= j), None)
-        if around is None or first == last:
+        around = [(i, j) for i, j in known if i < first and last <= j]
+        if not around or first == last:
             break
-        for k in range(*around):
-            scores[k] = min(scores[k], 0.0)
+        for i, j in around[:1] if given_up < GIVE_UP else _outer(known):
+            scores[i:j] = [min(s, 0.0) for s in scores[i:j]]
     if first == last:
         return ""
     holders = [(i, r.pair + 1) for i, r in enumerate(found[:first]) if r.tag in CONTAINERS and r.pair >= last]
     low, high = holders[-1] if holders else (0, len(found))
-    for i, j in known:
-        if low < i and j < high:
-            scores[i:j] = [-CROSS] + [0.0] * (j - i - 1)
+    crossed = [(i, j) for i, j in known if low < i and j < high]
+    for i, j in _outer(crossed):
+        scores[i:j] = [0.0] * (j - i)
+    for i, _ in crossed:
+        scores[i] = -CROSS
     first, last = (low + x for x in best_region(scores[low:high]))
     # Blocks are taken whole: no text without a block's tag between is parted from the region.
     while first > low and (not found[first - 1].tag or found[first - 1].tag.lstrip("/") in INLINE):
