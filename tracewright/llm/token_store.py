@@ -7,7 +7,7 @@ passages give equal chunks wherever they stand. The store is three Parquet datas
   (uint32 where the vocabulary is larger), at the place its digest gives;
 * ``recipes``  pos, part, doc_id, start, n_tokens, digests, sizes, root: the documents in ascending
   id order, each with the digests of its chunks and their Merkle root;
-* ``manifest``  level, node, digest: a Merkle tree of fan-out FAN over the documents' roots.
+* ``manifest``  level, node, digest: a Merkle tree of fan-out FAN over the documents' recipes.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tracewright.plans.materialize import stored
+from tracewright.plans.materialize import small_or_not, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -243,21 +243,51 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def manifest(recipes: DataFrame) -> DataFrame:
-    """(level, node, digest): the Merkle tree over the documents' roots, FAN children to a node.
+    """(level, node, digest): the Merkle tree over the documents, each by its place, id, start, length and root.
 
-    Each level is one aggregation over lists of at most FAN digests; the last level is the root.
+    FAN children to a node, in their order. Each level is one aggregation over lists of at most FAN
+    digests; the last level is the root. A level is made only while the one below has several nodes.
     """
-    level = recipes.select(F.col("pos").alias("node"), F.lower(F.hex("root")).alias("digest"))
-    out, depth, count = None, 0, recipes.count()
+    level = _leaves(recipes)
+    out, depth, count = None, 0, (recipes.agg(F.max("pos")).first()[0] or 0) + 1
     while count > 1 or depth == 0:
         depth, count = depth + 1, -(-count // FAN)
-        children = F.expr("transform(array_sort(collect_list(struct(node, digest))), x -> x.digest)")
-        level = level.groupBy((F.floor(F.col("node") / FAN)).alias("up")).agg(F.sha2(F.array_join(children, ""), 256).alias("digest")).withColumnRenamed("up", "node")
+        level = _parents(level)
         made = level.select(F.lit(depth).alias("level"), "node", "digest")
         out = made if out is None else out.union(made)
     return out
 
 
+def _leaves(recipes: DataFrame) -> DataFrame:
+    leaf = F.concat_ws("|", F.hex("root"), "pos", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "start", "n_tokens")
+    return recipes.select(F.col("pos").alias("node"), leaf.alias("digest"))
+
+
+def _parents(level: DataFrame) -> DataFrame:
+    children = F.expr("transform(array_sort(collect_list(struct(node, digest))), x -> x.digest)")
+    return level.groupBy((F.floor(F.col("node") / FAN)).alias("up")).agg(F.sha2(F.array_join(children, ";"), 256).alias("digest")).withColumnRenamed("up", "node")
+
+
+def intact_groups(recipes: DataFrame, tree: DataFrame) -> DataFrame:
+    """(node, intact) of each group of FAN documents: whether its recipes, and every stored node above it, give the stored digests.
+
+    The stored tree is read level by level, from the groups, whose digests are made anew from the
+    recipes, up to the root; there is a row for each FAN documents. A lost, doubled, changed or
+    exchanged recipe spoils its group; a changed node those below it.
+    """
+    tops = {r.level: r.n for r in tree.groupBy("level").agg(F.count("*").alias("n")).collect()}
+    groups = _parents(_leaves(recipes)).withColumnRenamed("digest", "made")
+    good = groups.join(tree.where("level = 1").select("node", "digest"), "node", "left").select("node", F.coalesce(F.col("made") == F.col("digest"), F.lit(False)).alias("intact"))
+    if not tops or tops[max(tops)] != 1:
+        return good.withColumn("intact", F.lit(False))
+    for depth in range(2, max(tops) + 1):
+        below, stored_level = tree.where(F.col("level") == depth - 1).select("node", "digest"), tree.where(F.col("level") == depth).select(F.col("node").alias("up"), F.col("digest").alias("said"))
+        right = _parents(below).select(F.col("node").alias("up"), "digest").join(stored_level, "up").where("digest = said").select("up", F.lit(True).alias("right"))
+        above = F.floor(F.col("node") / FAN ** (depth - 1))
+        good = good.withColumn("up", above).join(right, "up", "left").select("node", (F.col("intact") & F.coalesce("right", F.lit(False))).alias("intact"))
+    return good
+
+
 def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Products of polynomials modulo the CRC-32 polynomial, in its reflected bit order."""
     out, b = np.zeros(len(b), np.uint32), b.copy()
@@ -286,8 +316,9 @@ def verified(spark: SparkSession, path: str) -> DataFrame:
 
     Each stored chunk is read once, its digest compared with its payload, and its CRC-32 taken over
     the ids as uint32; a document's CRC-32 is put together from those of its chunks, so payloads
-    are not shuffled. ``verified``: all chunks are there and whole, the lengths agree and the
-    recipe's digests have its Merkle root.
+    are not shuffled. ``verified``: all chunks are there and whole, the lengths agree, the
+    recipe's digests have its Merkle root, and the stored manifest holds for the group of recipes
+    that it stands in, so a lost or exchanged recipe shows in the FAN documents around it.
     """
 
     def check(batches):
@@ -323,8 +354,10 @@ def verified(spark: SparkSession, path: str) -> DataFrame:
     whole = F.coalesce(F.col("good") & (F.col("size") == F.col("want")), F.lit(False))
     found = found.select("pos", moved(F.coalesce("crc", F.lit(0)), F.col("after")).alias("crc"), F.coalesce("size", F.lit(0)).cast("long").alias("size"), whole.alias("whole"))
     sums = found.groupBy("pos").agg(F.bit_xor("crc").alias("ids_crc32"), F.sum("size").alias("n_read"), F.every("whole").alias("whole"))
+    groups = stored(intact_groups(recipes.select("pos", "doc_id", "start", "n_tokens", "root"), spark.read.parquet(f"{path}/manifest")), "manifest-groups")
     out = recipes.select("pos", "doc_id", "start", "n_tokens", rooted("digests", "root").alias("rooted")).join(sums, "pos")
-    return out.select("doc_id", "start", F.col("n_read").alias("n_tokens"), "ids_crc32", (F.col("whole") & F.col("rooted") & (F.col("n_read") == F.col("n_tokens"))).alias("verified"))
+    out = out.withColumn("node", F.floor(F.col("pos") / FAN)).join(small_or_not(groups), "node", "left")
+    return out.select("doc_id", "start", F.col("n_read").alias("n_tokens"), "ids_crc32", (F.col("whole") & F.col("rooted") & (F.col("n_read") == F.col("n_tokens")) & F.coalesce("intact", F.lit(False))).alias("verified"))
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
