@@ -4,6 +4,8 @@ import hashlib
 import math
 import random
 import re
+import time
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -12,8 +14,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
-from tracewright.llm import centroids, minhash, token_align
+from tracewright.llm import centroids, html_extraction, minhash, shared, token_align, token_store
 from tracewright.llm.queries import QUERIES, vocabulary
+from tracewright.plans import materialize
 
 A, B = (vocabulary(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
 ODD = [None, "", " ", "\n\t ", "one", "one two", "Two words", "two WORDS", "a  b", "a b ", " a", "a\n b", "a \nb", "a  b", "　 x", "x▁y", "<|endoftext|> <s></s>", "it's  I'll 123,45!", "é́ café 中文\U0001f600", "\x00 \x01", "a\U0010fffe b c", "tab\there \r\n  there", "​ x  y", "x" * 3000]
@@ -204,3 +207,66 @@ def test_lloyd_of_few_large_and_no_vectors(spark):
         assert sorted(str(tuple(r)) for r in got.collect()) == plain_lloyd(rows)
     assert centroids.lloyd(spark.createDataFrame([], schema)).collect() == []
     assert centroids.lloyd(spark.createDataFrame([(1, [1.0])], schema)).columns == ["id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+
+
+CLASHES = ["__bucket", "__bits", "__at", "__byte", "__k", "__d", "__maybe", "row", "k", "d", "bits", "bucket", "at", "maybe"]
+
+
+@pytest.mark.parametrize("rows,size", [(10**6, 1 << 26), (0, 0)])
+def test_no_column_name_is_reserved(spark, monkeypatch, rows, size):
+    """Under the limit of a broadcast and beyond it, with columns of every name that is used inside."""
+    monkeypatch.setattr(materialize, "BROADCAST_ROWS", rows)
+    monkeypatch.setattr(materialize, "BROADCAST_BYTES", size)
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)] + [(None, "no id"), (41, None), (7, "text 7")], "doc_id long, text string")
+    docs = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in CLASHES})
+    gone = shared.row_key(spark.createDataFrame([(7, "text 7"), (8, "text 9"), (None, "no id"), (9, "text 9")], "doc_id long, text string")).select("__k", "__d")
+    got = shared.without(docs, gone)
+    assert got.columns == docs.columns and sorted(str(r.doc_id) for r in got.collect()) == sorted(str(i) for i in [*range(40), 41] if i not in (7, 9))
+    keyed = shared.row_key(docs.select("doc_id", "text", "bits", "row", "at"))
+    assert sorted(str(r.doc_id) for r in shared.within(keyed, gone).collect()) == ["7", "7", "9", "None"]
+
+
+def test_pipeline_keeps_one_of_rows_that_differ_in_other_columns(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    text = "one two three four five six seven eight"
+    rows = [(1, text, "en", 1), (1, text, "de", 2), (1, text, "de", 2), (2, text, "en", 3), (3, "quite another text of some words that nobody copies", "fr", 4), (3, "a third one which is unlike the others in every word", "fr", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, __k int")
+    runs = [sorted((r.doc_id, r.lang, r["__k"]) for r in pipeline.near_duplicate_stage(spark, docs.repartition(n), SMALL).collect()) for n in (1, 5)]
+    assert runs[0] == runs[1] and [r[0] for r in runs[0]] == [1, 3, 3] and runs[0][0] in [(1, "en", 1), (1, "de", 2)]
+
+
+@pytest.mark.parametrize("page", ["<b>" * 140_000 + "x" + "</i>" * 140_000, "<svg>" * 200_000, "<p><td>" + "<b>" * 100_000 + "<hr>" * 100_000, "<article>" + "<p>some words of the text</p>" * 50 + "</article>" + "<nav class='menu'><a>x</a> y</nav>" * 28_000, "<div>" * 80_000 + "x" + "</div>" * 80_000], ids=["unclosed", "raw", "scopes", "boilerplate", "deep"])
+def test_pages_of_a_megabyte_take_seconds(page):
+    weights = html_extraction.learn(html_extraction.LABELLED_PAGES)
+    start = time.time()
+    found = html_extraction.extract(page, weights)
+    assert time.time() - start < 15 and found == ("some words of the text " * 50).strip() * ("article" in page) + "x" * page.endswith(("</i>", "</div>"))
+
+
+def test_damaged_stores_are_seen(spark, monkeypatch):
+    """A lost recipe, two exchanged recipes, a changed start and a flipped payload byte; groups of four documents."""
+    monkeypatch.setattr(token_store, "FAN", 4)
+    texts = [(i, f"document {i} has some words of its own {i * 7919} " * 40) for i in range(40)]
+    path = f"{materialize.shared_dir(spark)}/damaged-{uuid.uuid4().hex}"
+    token_store.write_store(spark.createDataFrame(texts, "doc_id long, text string"), path, vocabulary("word_bpe_49k.json"))
+    recipes, chunks, tree = (spark.read.parquet(f"{path}/{n}").cache() for n in ("recipes", "parts", "manifest"))
+    assert [r.level for r in tree.where("level > 1").select("level").distinct().orderBy("level").collect()] == [2, 3]
+
+    def bad(recipes=recipes, chunks=chunks, tree=tree):
+        at = f"{materialize.shared_dir(spark)}/damaged-{uuid.uuid4().hex}"
+        recipes.write.parquet(f"{at}/recipes")
+        chunks.write.partitionBy("kind").parquet(f"{at}/parts")
+        tree.write.parquet(f"{at}/manifest")
+        return {r.doc_id for r in token_store.verified(spark, at).collect() if not r.verified}
+
+    assert bad() == set()
+    assert bad(recipes=recipes.where("doc_id <> 6")) == {4, 5, 7}
+    swapped = recipes.withColumn("pos", F.when(F.col("pos") == 9, 22).when(F.col("pos") == 22, 9).otherwise(F.col("pos")).cast("long"))
+    assert bad(recipes=swapped) == {*range(8, 12), *range(20, 24)}
+    assert bad(recipes=recipes.withColumn("start", F.when(F.col("doc_id") == 30, 5).otherwise(F.col("start")).cast("long"))) == {*range(28, 32)}
+    one = recipes.where("doc_id = 17").select(F.col("digests")[0]).first()[0]
+    flipped = F.when((F.col("kind") == "chunk") & (F.col("key") == F.lit(one)), F.unhex(F.concat(F.lit("FFFF"), F.substring(F.hex("payload"), 5, 1 << 20)))).otherwise(F.col("payload"))
+    assert bad(chunks=chunks.withColumn("payload", flipped)) == {17}
+    changed = F.when((F.col("level") == 2) & (F.col("node") == 1), F.lit("0")).otherwise(F.col("digest"))
+    assert bad(tree=tree.withColumn("digest", changed)) >= {*range(16, 32)}
+    assert len(bad(tree=tree.where("level < 3"))) == 40
