@@ -1,8 +1,8 @@
 """A corpus pipeline: five stages, each on all that the one before it kept.
 
-Stages take the columns of ``documents`` and any others; all but the last return the columns they
-got. Columns must not be called __k, __d, __maybe or __rules; any other name may clash. An empty
-table gives an empty one, and null languages, sources or labels change nothing.
+Stages take the columns of ``documents`` and any others, whatever their names; all but the last
+return the columns they got. An empty table gives an empty one, and null languages, sources or
+labels change nothing.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.llm import bin_packing, decontamination, quality_classifier, quality_rules, queries, simhash
-from tracewright.llm.shared import without
+from tracewright.llm.shared import one_of_each, without
 from tracewright.plans.materialize import release, stored
 
 
@@ -44,13 +44,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Keeps one row of each group of near duplicates: that of the least id, null ids last; of equal rows one.
 
     Rows are told by id and text, so an id that comes with several texts loses only those that are
-    duplicates. Null, empty and wordless texts are one group.
+    duplicates; of rows that differ in other columns alone that of the least hash stays, and only
+    such rows are moved. Null, empty and wordless texts are one group.
     """
     found = stored(simhash.row_groups(docs), "near-duplicates")
     kept = without(docs, stored(found.where("not first").select("__k", "__d").distinct(), "duplicates"))
-    if found.where("first").groupBy("__k", "__d").count().where("count > 1").limit(1).count():
-        kept = kept.dropDuplicates(["doc_id", "text"])
-    return kept
+    repeated = stored(found.where("first").groupBy("__k", "__d").count().where("count > 1").select("__k", "__d"), "repeated-rows")
+    return one_of_each(kept, repeated) if repeated.limit(1).count() else kept
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
