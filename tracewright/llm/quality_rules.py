@@ -26,6 +26,9 @@ SMOOTHING = 1.0
 #: on sf0.1 (-0.67, -0.16) and check_s (-0.74, -0.10); README.md has the figures.
 THRESHOLD = -0.45
 
+#: Parts in which log ratios are summed.
+UNIT = 1 << 26
+
 SYMBOLS = r"[#*$%&|<>]"
 
 
@@ -87,7 +90,7 @@ def base_failed() -> Column:
 
 
 def bucket_ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, buckets: tuple[int, int], smoothing: float) -> DataFrame:
-    """(block, llr): the ratios of PACKED neighbouring buckets in each row.
+    """(block, llr): the ratios of PACKED neighbouring buckets in each row, in parts of 1 / UNIT.
 
     ``trusted`` holds the ids of the target documents. Every document is counted; what a bucket
     sums is combined before the shuffle. Without any target document all ratios are 0.
@@ -102,7 +105,8 @@ def bucket_ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: st
     counts = stored(each.union(none).groupBy("bucket").agg((F.count("*") - 1).alias("raw"), F.sum("target").alias("target")), "ngram-buckets")
     raw, target = counts.agg(F.sum("raw"), F.sum("target")).first()
     scale = target / raw if raw else 0.0
-    ratio = F.log((F.col("target") + smoothing) / (F.col("raw") * scale + smoothing)).cast("float")
+    # Whole numbers, so that a document's sum is the same in whatever order its n-grams come.
+    ratio = F.round(F.log((F.col("target") + smoothing) / (F.col("raw") * scale + smoothing)) * UNIT).cast("int")
     packed = counts.groupBy(F.expr(f"bucket div {PACKED}").alias("block")).agg(F.array_sort(F.collect_list(F.struct("bucket", ratio.alias("llr")))).alias("x"))
     return packed.select("block", F.col("x.llr").alias("llr"))
 
@@ -121,8 +125,8 @@ def quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_co
     # One pass over the texts: the counts of a text go with each of its n-grams, and meet again before the shuffle.
     grams = base.select("__k", "__d", "id", *counts, F.explode_outer(buckets_of(buckets)).alias("bucket"))
     found = grams.join(ratios, F.expr(f"bucket div {PACKED}") == F.col("block"), "left")
-    llr = F.col("of")[F.expr(f"bucket % {PACKED}")].cast("double")
-    out = found.groupBy("__k", "__d", "id").agg(*[F.max(c).alias(c) for c in counts], F.avg(llr).alias("llr_score"), F.count("*").alias("rows"))
+    llr = F.col("of")[F.expr(f"bucket % {PACKED}")]
+    out = found.groupBy("__k", "__d", "id").agg(*[F.max(c).alias(c) for c in counts], (F.sum(llr) / F.nullif(F.count(llr), F.lit(0)) / UNIT).alias("llr_score"), F.count("*").alias("rows"))
     # Equal rows share a key: the mean over their n-grams together is that of one, and n words have 2 n - 1 n-grams.
     out = out.withColumn("base_failed", base_failed()).withColumn("alike", F.expr("rows div greatest(2 * n_words - 1, 1)"))
     out = out.withColumn("llr_score", F.coalesce("llr_score", F.lit(0.0))).withColumn("kept", ~F.col("base_failed") & (F.col("llr_score") >= threshold))
