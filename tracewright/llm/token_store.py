@@ -16,7 +16,7 @@ import hashlib
 import os
 import sys
 import zlib
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,8 +34,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WINDOW, LEAST, USUAL, MOST = 16, 64, 256, 1024
 #: Digests a task remembers.
 REMEMBERED = 400_000
-#: Words encoded in one call.
-JOINED = 200
+#: Words encoded as one line, and lines in one call, which bounds what the library holds at a time.
+JOINED, CALL = 200, 100
+#: Ids of the documents that a task writes at a time; one document may have more.
+PORTION = 1 << 19
 FAN = 1024
 _POLY = 0xEDB88320
 
@@ -69,12 +71,13 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         if len(self.ends) and letters:
             lines = [" ".join(letters[i : i + JOINED]) for i in range(0, len(letters), JOINED)]
-            ids = np.concatenate([np.array(e.ids, np.uint32) for e in encode(lines, add_special_tokens=False)])
+            ids = np.concatenate([np.array(e.ids, np.uint32) for i in range(0, len(lines), CALL) for e in encode(lines[i : i + CALL], add_special_tokens=False)])
             stops = np.nonzero(self.ends[ids])[0]
             if len(stops) == len(letters) and stops[-1] == len(ids) - 1:
                 rest, sizes = self.tokens([], others)
                 return np.concatenate((ids, rest)), np.concatenate((np.diff(stops, prepend=-1), sizes))
-        made = [e.ids for e in encode(letters + others, add_special_tokens=False)]
+        words, most = letters + others, CALL * JOINED
+        made = [e.ids for i in range(0, len(words), most) for e in encode(words[i : i + most], add_special_tokens=False)]
         sizes = np.fromiter(map(len, made), np.int64, len(made))
         return np.fromiter(chain.from_iterable(made), np.uint32, int(sizes.sum())), sizes
 
@@ -155,6 +158,19 @@ def merkle_root(leaves: list[bytes]) -> bytes:
     return leaves[0] if leaves else digest_of(b"")
 
 
+def _portions(encoded):
+    """Lists of (id, ids) of about PORTION ids in all."""
+    part, n = [], 0
+    for doc_id, ids in encoded:
+        part.append((doc_id, ids))
+        n += len(ids)
+        if n >= PORTION:
+            yield part
+            part, n = [], 0
+    if part:
+        yield part
+
+
 def _encoded(docs: DataFrame, tokenizer_path: str, end: int) -> DataFrame:
     """A row for each document (its recipe) and one for each chunk new to the task (its payload)."""
 
@@ -168,7 +184,7 @@ def _encoded(docs: DataFrame, tokenizer_path: str, end: int) -> DataFrame:
         names = ["kind", "key", "id", "digests", "sizes", "n", "payload"]
         for b in batches:
             encoded = zip(b.column("id").to_pylist(), encoder.encode(b.column("text").cast(pa.string()), end), strict=True)
-            while part := list(islice(encoded, 500)):
+            for part in _portions(encoded):
                 out = [[] for _ in names]
                 for doc_id, ids in part:
                     ends, raw = cuts(ids), ids.astype(kind).tobytes()
