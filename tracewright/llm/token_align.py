@@ -33,8 +33,8 @@ BLANKS = r"\x00-\x20\x7F-\xA0\x{1680}\x{180E}\x{2000}-\x{200F}\x{2028}-\x{202F}\
 CUT = "\U0010fffe"
 #: Bytes of texts taken at a time, and pieces that a task remembers.
 STRIP, REMEMBERED = 4 << 20, 200_000
-#: Pieces encoded in one call.
-JOINED = 100
+#: Pieces encoded as one line, and lines in one call, which bounds what the library holds at a time.
+JOINED, CALL = 100, 200
 #: Pairs of ids with a count that are broadcast at most: the most frequent ones. The rest are joined by a shuffle.
 HEAD = 1_000_000
 _PYTHON_BLANKS = re.sub(r"\\x\{(\w+)\}", lambda m: f"\\u{m[1]}", BLANKS)
@@ -98,7 +98,7 @@ class Aligner:
         lines = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
         texts = ["".join([new[k] for k in line]) for line in lines]
         encode = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
-        ids_a = [e.ids for e in encode(texts, add_special_tokens=False)]
+        ids_a = [e.ids for i in range(0, len(texts), CALL) for e in encode(texts[i : i + CALL], add_special_tokens=False)]
         ids_b = self.b.encode([t[1:] for t in texts], num_threads=1) if texts else []
         flat, order = ([], []), []
         for line, t, a, b in zip(lines, texts, ids_a, ids_b, strict=True):
