@@ -88,7 +88,7 @@ def test_pairs_in_blocks(spark):
     from tracewright.plans.pairs import block_pairs
 
     rows = [(1, i, f"t{i % 5}") for i in range(40)] + [(2, 1, "x"), (2, 1, "y"), (2, 2, "z"), (3, 9, "q")]
-    got = block_pairs(spark.createDataFrame(rows, "k int, item int, t string"), "k", "item", blocks=3).select("k", "a.item", "a.t", "b.item", "b.t").collect()
+    got = block_pairs(spark.createDataFrame(rows, "k int, item int, t string"), "k", "item", block_rows=13).select("k", "a.item", "a.t", "b.item", "b.t").collect()
     want = [(x[0], *x[1:], *y[1:]) for x in rows for y in rows if x[0] == y[0] and x[1] < y[1]]
     assert sorted(map(tuple, got)) == sorted(want)
 
