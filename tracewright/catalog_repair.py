@@ -110,12 +110,33 @@ def name_corrections(spark, d):
     return Graph(spark, d).table("documents").select("doc_id", x.alias("x")).select("doc_id", F.md5(F.col("x.text").cast("binary")).alias("digest"), "x.applied")
 
 
-@register("SELECT v.* FROM (VALUES (0, 'Kl ir', 'KlIr', 'join_split'), (1, 'a bc', 'ABc', 'join_split'), (2, 'Ju ne', 'JuNe', 'join_split')) AS v(k, wrong, right, method) WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey % 3 = k)".replace("SELECT v.*", 'SELECT wrong, "right", method').replace("wrong, right, method) WHERE", 'wrong, "right", method) WHERE'))
+_S = repair.SPACE
+_PLACES = f"""
+l AS (SELECT doc_id AS doc, unnest(range(0, len(p))) AS line_no, unnest(p) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents)),
+c AS (SELECT doc, line_no, line, regexp_extract_all(line, '{_S}+|' || replace('{_S}', '[', '[^') || '+') AS p FROM l),
+w AS (SELECT doc, line_no, line, p, unnest(range(1, len(p) - 1)) AS i FROM c WHERE len(p) > 2),
+m AS (SELECT doc, line_no, line, CAST(CASE WHEN i = 1 THEN 0 ELSE list_sum(list_transform(p[1 : i - 1], lambda x: length(x))) END AS INT) AS start, length(p[i]) AS n FROM w WHERE regexp_full_match(p[i], '{_S}+') AND i > 1 AND regexp_matches(p[i - 1], '[A-Za-z]$') AND regexp_full_match(p[i + 1], '[A-Za-z]{{1,3}}')),
+o AS (SELECT doc, line_no, start, regexp_replace(substr(line, greatest(start - 30, 0) + 1, start + n + 30 - greatest(start - 30, 0)), '^{_S}+|{_S}+$', '', 'g') AS context FROM m)
+"""
+
+
+def _places(spark, d):
+    from tracewright.operators import transcript
+
+    docs = Graph(spark, d).table("documents").withColumnRenamed("doc_id", "doc")
+    return repair.split_places(transcript.numbered_lines(docs, "doc", "text").select("doc", "line_no", "line"))
+
+
+@register(f"WITH {_PLACES} SELECT doc, CAST(line_no AS INT) AS line_no, start, context FROM o")
+def split_places(spark, d):
+    """Where a word may have been split, in every line of every document, with what stands around."""
+    return _places(spark, d)
+
+
+@register(f"WITH {_PLACES}, f AS (SELECT DISTINCT unnest(regexp_extract_all(context, '[A-Za-z]{{1,3}}{_S}+[A-Za-z]{{1,3}}')) AS f FROM o), p AS (SELECT DISTINCT regexp_split_to_array(f, '{_S}+') AS p FROM f) SELECT p[1] || ' ' || p[2] AS wrong, upper(p[1][1]) || lower(p[1][2:]) || upper(p[2][1]) || lower(p[2][2:]) AS \"right\" FROM p")
 def generated_corrections(spark, d):
-    """Split words joined; words in double capitals differ in case alone and are left out."""
-    k = F.col("o_orderkey") % 3
-    said = F.when(k == 0, "longer Kl ir stays, KIrk too").when(k == 1, "where a bc there").otherwise("seven Ju  ne later")
-    return repair.generated_corrections(Graph(spark, d).table("orders").select(F.concat(F.col("o_orderkey").cast("string"), F.lit(" "), said).alias("text")))
+    """Corrections from all places where a word may have been split."""
+    return repair.generated_corrections(_places(spark, d))
 
 
 @register("WITH c AS (SELECT DISTINCT l_suppkey AS k FROM lineitem) SELECT 'AB' || repeat('x', k % 5 + 1) AS w, count(*) AS n FROM c GROUP BY 1")

@@ -157,18 +157,33 @@ def corrected(text: Column, corrections: list[tuple[str, str, str]], threshold:
     return F.aggregate(rules, begin, step)
 
 
-def generated_corrections(texts: DataFrame, text: str = "text") -> DataFrame:
-    """(wrong, right, method): words of two or more capitals with small letters after them in one-capital form, split short words joined.
+# White space; what a place where a word may be split looks like, how much around it is looked at, and the parts that are joined.
+SPACE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+SPLIT = rf"(?<=[A-Za-z]){SPACE}+(?=[A-Za-z]{{1,3}}{SPACE})"
+PARTS = rf"[A-Za-z]{{1,3}}{SPACE}+[A-Za-z]{{1,3}}"
+AROUND = 30
 
-    Corrections that change letter case alone are left out, so a capital word stays only in the
-    join of its halves; of a text met by several methods the join holds.
+
+def split_places(lines: DataFrame) -> DataFrame:
+    """(doc, line_no, start, context): where white space after a letter is followed by a word of one to three letters and white space.
+
+    ``lines`` has (doc, line_no, line). The context is the line 30 characters to either side, trimmed.
+    """
+    each = lines.select("doc", "line_no", "line", F.explode(match_places(F.col("line"), SPLIT)).alias("m"))
+    lo, end = F.greatest(F.col("m.start") - AROUND, F.lit(0)), F.col("m.start") + F.length("m.match") + AROUND
+    context = F.regexp_replace(F.substr("line", lo + 1, end - lo), rf"^{SPACE}+|{SPACE}+$", "")
+    return each.select("doc", "line_no", F.col("m.start").alias("start"), context.alias("context"))
+
+
+def generated_corrections(places: DataFrame) -> DataFrame:
+    """(wrong, right): every two runs of one to three letters with white space between in a context, joined, each part with one capital.
+
+    The first run may be the end of a longer word, as in the studied rule. Words that would differ
+    in letter case alone give no correction there, so none is made of capitals.
     """
-    # Fixed value: what a word in double capitals looks like.
-    ghosts = texts.select(F.explode(F.regexp_extract_all(text, F.lit(r"\b[A-Z]{2,}[a-z]+"), F.lit(0))).alias("wrong")).distinct().select("wrong", F.initcap("wrong").alias("right"), F.lit("ghost_cap").alias("method"))
-    halves = texts.select(F.explode(F.regexp_extract_all(text, F.lit(r"(?<![A-Za-z])([A-Za-z]{1,3})\s+([A-Za-z]{1,3})(?=\s)"), F.lit(0))).alias("wrong")).distinct()
-    parts = F.split("wrong", r"\s+")
-    joined = halves.select(F.concat_ws(" ", parts).alias("wrong"), F.concat(F.initcap(parts[0]), F.initcap(parts[1])).alias("right"), F.lit("join_split").alias("method")).distinct()
-    return ghosts.union(joined).where(F.lower("wrong") != F.lower("right"))
+    found = places.select(F.explode(F.array_distinct(F.regexp_extract_all("context", F.lit(PARTS), F.lit(0)))).alias("found")).distinct()
+    parts = F.split("found", rf"{SPACE}+")
+    return found.select(F.concat_ws(" ", parts).alias("wrong"), F.concat(F.initcap(parts[0]), F.initcap(parts[1])).alias("right")).distinct()
 
 
 def whole_word_counts(texts: DataFrame, corrections: DataFrame, text: str = "text") -> DataFrame:
