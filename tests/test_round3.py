@@ -198,3 +198,73 @@ def test_workflow_equals_full_recomputation(spark):
         rows = sorted((r.doc, str(r.text), r.passes) for r in got.collect())
         assert rows == plain(most)
     assert max(p for *_, p in rows) >= 3
+
+
+SCHEMA = {
+    "type": "object", "required": ["id", "claims"], "additionalProperties": False,
+    "properties": {
+        "id": {"type": "string", "pattern": r"^E-\d+$", "minLength": 3, "maxLength": 6}, "n": {"type": ["integer", "null"], "minimum": 0, "maximum": 9},
+        "kind": {"enum": ["a", "b", 3, None, True]},
+        "claims": {"type": "array", "minItems": 1, "maxItems": 3, "items": {"$ref": "#/definitions/claim"}},
+    },
+    "definitions": {"claim": {"type": "object", "required": ["ref"], "properties": {"ref": {"type": "string", "pattern": "^C-"}, "nodes": {"items": {"type": "string", "pattern": "^N-"}}, "at": {"type": "number"}}}},
+}
+BODIES = [
+    None, "no json", "[]", "3", "{}", '{"id": "E-1", "claims": [{"ref": "C-1"}]}', '{"id": "E-1", "claims": [{"ref": "C-1", "nodes": ["N-1", "x", 4, {"a": 1}], "at": 1.5}, {"nodes": []}, 7]}',
+    '{"id": "e", "n": -1, "kind": "c", "claims": [], "more": 1, "also": null}', '{"id": 12, "n": 10.5, "kind": 3, "claims": {"ref": 1}}', '{"id": "E-12345", "n": null, "kind": null, "claims": [1, 2, 3, 4]}',
+    '{"id": "E-1", "n": 5.0, "kind": true, "claims": [{"ref": null, "nodes": null, "at": "x"}]}', '{"id": "E-9", "n": 1e300, "claims": [' + ",".join(['{"ref": "x"}'] * 60) + "]}",
+]
+
+
+def plain_errors(value, schema, path, root):
+    import json
+
+    if "$ref" in schema:
+        schema = root["definitions"][schema["$ref"].split("/")[-1]]
+    kinds = {"object": dict, "array": list, "string": str, "boolean": bool}
+    number = isinstance(value, (int, float)) and not isinstance(value, bool)
+    fits = lambda t: value is None if t == "null" else number and (t == "number" or value == int(value)) if t in ("number", "integer") else isinstance(value, kinds[t])
+    out, at = [], "/".join(map(str, path)) or "(root)"
+    add = lambda bad, what: out.append(f"schema[{at}]: {what}") if bad else None
+    if "type" in schema:
+        names = [schema["type"]] if isinstance(schema["type"], str) else schema["type"]
+        add(not any(map(fits, names)), f"is not of type {', '.join(names)}")
+    if "enum" in schema:
+        add(not any(type(x) is type(value) and x == value for x in schema["enum"]), f"is not one of {', '.join(map(json.dumps, schema['enum']))}")
+    if isinstance(value, str):
+        add("pattern" in schema and not re.search(schema.get("pattern", ""), value), f"does not match {schema.get('pattern')}")
+        add(len(value) < schema.get("minLength", 0), f"is shorter than {schema.get('minLength')}")
+        add(len(value) > schema.get("maxLength", 10**9), f"is longer than {schema.get('maxLength')}")
+    if number:
+        add(value < schema.get("minimum", value), f"is less than {schema.get('minimum')}")
+        add(value > schema.get("maximum", value), f"is greater than {schema.get('maximum')}")
+    if isinstance(value, dict):
+        for name in schema.get("required", []):
+            add(name not in value, f"{name} is required")
+        odd = sorted(set(value) - set(schema.get("properties", {})))
+        add(schema.get("additionalProperties") is False and odd, f"has unknown properties {', '.join(odd)}")
+    if isinstance(value, list):
+        add(len(value) < schema.get("minItems", 0), f"has fewer than {schema.get('minItems')} items")
+        add(len(value) > schema.get("maxItems", 10**9), f"has more than {schema.get('maxItems')} items")
+    for name, sub in schema.get("properties", {}).items() if isinstance(value, dict) else []:
+        out += plain_errors(value[name], sub, [*path, name], root) if name in value else []
+    for i, x in enumerate(value) if isinstance(value, list) and "items" in schema else []:
+        out += plain_errors(x, schema["items"], [*path, i], root)
+    return out
+
+
+def test_schema_errors_name_their_path(spark):
+    import json
+
+    from tracewright.functions.schema import schema_errors
+
+    got = spark.createDataFrame(list(enumerate(BODIES)), "k int, body string").select("k", schema_errors(F.col("body"), SCHEMA).alias("e")).orderBy("k").collect()
+    for row, body in zip(got, BODIES, strict=True):
+        try:
+            want = plain_errors(json.loads(body), SCHEMA, [], SCHEMA)[:50]
+        except (TypeError, ValueError):
+            want = ["schema[(root)]: is not JSON"]
+        assert row.e == want, body
+    for bad in ({"oneOf": []}, {"$ref": "#"}, {"items": {"$ref": "other.json"}}):
+        with pytest.raises(ValueError):
+            schema_errors(F.lit("{}"), bad)

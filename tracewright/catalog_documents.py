@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tracewright.catalog import register
+from tracewright.functions.schema import schema_errors
 from tracewright.functions import text as tx
 from tracewright.operators import documents, patterns
 from tracewright.plans.bindings import SQL, Graph
@@ -55,6 +56,24 @@ def schema_validation(spark, d):
     return _t(spark, d, "events").select("event_id", F.array_join(documents.schema_errors(text, rules), "; ").alias("errors"))
 
 
+@register("WITH l AS (SELECT l_orderkey AS k, l_linenumber AS n, max(l_partkey) AS p FROM lineitem GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY n) - 1 AS i, count(*) OVER (PARTITION BY k) AS m FROM l), e AS (SELECT k, i, 0 AS s, 'schema[lines/' || i || ']: n is required' AS e FROM r WHERE p % 5 = 0 UNION ALL SELECT k, i, 1, 'schema[lines/' || i || '/ref]: does not match ^P-\\d+$' FROM r WHERE p % 7 = 0 UNION ALL SELECT k, i, 2, 'schema[lines/' || i || '/said/1/by]: is not of type string' FROM r WHERE p % 3 = 0 UNION ALL SELECT DISTINCT k, -1, 0, 'schema[lines]: has more than 5 items' FROM r WHERE m > 5) SELECT k, string_agg(e, '; ' ORDER BY i, s) AS errors FROM e GROUP BY 1")
+def nested_schema_errors(spark, d):
+    """Orders with their lines as nested documents against a schema with references, lists in lists and patterns; every error has its path."""
+    lines = _t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n")).agg(F.max("l_partkey").alias("p"))
+    p = F.col("p").cast("string")
+    said = F.concat(F.lit('[{"by": "a"}, {"by": '), F.when(F.col("p") % 3 == 0, p).otherwise('"b"'), F.lit("}]"))
+    n = F.when(F.col("p") % 5 == 0, "").otherwise(F.concat(F.lit('"n": '), F.col("n").cast("string"), F.lit(", ")))
+    line = F.concat(F.lit("{"), n, F.lit('"ref": "'), F.when(F.col("p") % 7 == 0, "Q-").otherwise("P-"), p, F.lit('", "said": '), said, F.lit("}"))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", line.alias("line")))), lambda x: x["line"]), ", ")
+    docs = lines.groupBy("k").agg(F.concat(F.lit('{"lines": ['), listed, F.lit("]}")).alias("body"))
+    rules = {
+        "type": "object", "required": ["lines"], "properties": {"lines": {"type": "array", "maxItems": 5, "items": {"$ref": "#/definitions/line"}}},
+        "definitions": {"line": {"required": ["n"], "properties": {"n": {"type": "integer"}, "ref": {"pattern": r"^P-\d+$"}, "said": {"items": {"type": "object", "properties": {"by": {"type": "string"}}}}}}},
+    }
+    found = docs.select("k", schema_errors(F.col("body"), rules).alias("e")).where("size(e) > 0")
+    return found.select("k", F.array_join("e", "; ").alias("errors"))
+
+
 @register("SELECT o_orderkey, 'C-' || o_orderkey AS id, 'C-' || o_orderkey AS ref, CASE WHEN o_orderkey % 2 = 0 THEN 'Claim' ELSE o_orderstatus END AS type, substr(repeat('long text ', 40), 1, 240) AS label FROM orders")
 def document_defaults(spark, d):
     """Identifier, reference, type and context filled in; labels taken from the text."""
