@@ -87,7 +87,7 @@ class Encoder:
 
         Texts in which special tokens may stand are split as they are.
         """
-        plain = pc.replace_substring_regex(pc.ascii_lower(texts), r"([a-z])([.,])([\x20\x09-\x0D]|\z)", r"\1 \2\3")
+        plain = pc.replace_substring_regex(pc.ascii_lower(texts), r"(\p{L})([.,])([\x20\x09-\x0D]|\z)", r"\1 \2\3")
         return pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, plain))
 
     def kinds(self, texts: pa.Array):
