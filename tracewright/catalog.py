@@ -31,6 +31,7 @@ from tracewright import (  # noqa: E402, F401
     catalog_records,
     catalog_register,
     catalog_repair,
+    catalog_reports,
     catalog_rules,
     catalog_scores,
     catalog_stores,
