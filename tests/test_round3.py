@@ -268,3 +268,24 @@ def test_schema_errors_name_their_path(spark):
     for bad in ({"oneOf": []}, {"$ref": "#"}, {"items": {"$ref": "other.json"}}):
         with pytest.raises(ValueError):
             schema_errors(F.lit("{}"), bad)
+
+
+def test_reports_leave_out_what_is_missing(spark):
+    from tracewright.operators import reports
+
+    prep = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "day int, at int, line string")
+    tasks = spark.createDataFrame([(1, 1, None, "x"), (3, 2, "done", None)], "day int, at int, status string, description string")
+    text = {}
+    for r in reports.daily_brief(prep, tasks).orderBy("day", "section", "a", "b").collect():
+        text.setdefault(r.day, []).append(r.line)
+    assert text == {1: ["a", "---", "## To-dos", "- [PENDING] x"], 2: ["b"], 3: ["# Daily Brief — 3", "- [DONE] "]}
+    people = spark.createDataFrame([("p", "Ann", None, "", [1, 2])], "person string, name string, aliases array<string>, description string, episodes array<int>")
+    claims = spark.createDataFrame([], "person string, at int, claim string, label string, ep int, time string, text string, anchors array<string>")
+    arts = spark.createDataFrame([("p", 1, "A-1", 2, "seen", None)], "person string, at int, artifact string, ep int, text string, confidence string")
+    near = spark.createDataFrame([("p", f"N-{i}", f"n{i}", list(range(i % 3 + 1))) for i in range(12)], "person string, other string, name string, episodes array<int>")
+    lines = [r.line for r in reports.person_reports(people, claims, arts, near).orderBy("section", "a", "b").collect()]
+    assert lines[:6] == ["# Ann", "**ID:** p", "**Episodes:** 1, 2", "**Evidence:** 1 artifacts, 0 claims", "## Evidence (1)", "- **A-1** (Episode 2): seen"]
+    assert lines[6] == "## Connections" and len(lines) == 17 and lines[7] == "- **n11** (N-11): 3 episodes [0, 1, 2]"
+    raw = [None, "x", "{}", '{"drafts": [], "published": [{"url": "u"}]}', '{"main": {"drafts": null, "refreshing": true}}', '{"main": 3}']
+    got = [r.x for r in spark.createDataFrame([(i, t) for i, t in enumerate(raw)], "k int, t string").select("k", reports.cached_publication(F.col("t"), "main", "main").alias("x")).orderBy("k").collect()]
+    assert [(len(x.drafts), len(x.published), x.refreshing) for x in got] == [(0, 0, False)] * 3 + [(0, 1, False), (0, 0, True), (0, 0, False)]
