@@ -270,3 +270,12 @@ def test_damaged_stores_are_seen(spark, monkeypatch):
     changed = F.when((F.col("level") == 2) & (F.col("node") == 1), F.lit("0")).otherwise(F.col("digest"))
     assert bad(tree=tree.withColumn("digest", changed)) >= {*range(16, 32)}
     assert len(bad(tree=tree.where("level < 3"))) == 40
+
+
+def test_quality_scores_do_not_depend_on_partitions(spark):
+    from tracewright.llm import quality_rules
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    trusted = docs.where("doc_id % 3 = 0").select("doc_id")
+    runs = [sorted((r["id"], r.llr_score, r.kept) for r in quality_rules.quality(docs.repartition(n), trusted).collect()) for n in (1, 7)]
+    assert runs[0] == runs[1]
