@@ -234,15 +234,25 @@ def pair_counts(rows: DataFrame, width: int) -> DataFrame:
 def scored(made: DataFrame, width: int, head: int = HEAD) -> DataFrame:
     """Rows of ``aligned`` without pairs, plus n_links, n_best and count_sum.
 
-    A pair's count is over all rows. The ``head`` most frequent pairs are broadcast, so the ids that
-    nearly every text links never meet in one task; rarer ones are joined by a shuffle. A row
+    A pair's count is over all rows. The most frequent pairs, ``head`` at most, are broadcast, so the
+    ids that nearly every text links never meet in one task; rarer ones are joined by a shuffle. A row
     without tokens has zeros, an empty table no rows.
     """
     keep = [c for c in made.columns if c not in ("pairs", "times")]
     rows = stored(made.withColumn("row", F.monotonically_increasing_id()), "aligned-texts")
     counts = stored(pair_counts(rows, width), "pair-counts")
-    several = counts.count() > head
-    top = stored(counts.orderBy(F.desc("count"), "pair").limit(head), "pair-head") if several else counts
+    # Powers of two of the counts, from the greatest down, as long as the pairs are few enough to broadcast.
+    power, sizes = F.floor(F.log2("count")), {}
+    for r in counts.groupBy(power.alias("p")).agg(F.count("*").alias("n")).collect():
+        sizes[r.p] = r.n
+    least, n = None, 0
+    for p in sorted(sizes, reverse=True):
+        n += sizes[p]
+        if n > head:
+            break
+        least = p
+    several = bool(sizes) and least != min(sizes)
+    top = counts.where(power >= least) if least is not None else counts.limit(0)
     each = _each(rows, "row").join(F.broadcast(top), "pair", "left")
     if several:
         rest = counts.join(F.broadcast(top.select("pair")), "pair", "left_anti")
