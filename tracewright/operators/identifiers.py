@@ -12,9 +12,16 @@ COUNTERS = {"family": ("A", 1000), "claim": ("C", 1000), "matter": ("LM", 1000),
 
 
 def bumped(start: dict[str, int], registry: DataFrame) -> dict[str, int]:
-    """Counters moved past the numbers that the registry's node ids have: those from 1000 are targets."""
+    """Counters moved past the numbers that the registry's node ids have.
+
+    A number belongs to the ``counter`` (person or target) that the registry names, where it has that
+    column and value; else those from 1000 are targets.
+    """
     n = F.regexp_extract("id", r"^N-(\d+)$", 1).cast("long")
-    top = registry.select(n.alias("n")).agg(F.max(F.when(F.col("n") < 1000, F.col("n"))).alias("person"), F.max(F.when(F.col("n") >= 1000, F.col("n"))).alias("target")).first()
+    by_number = F.when(n < 1000, "person").otherwise("target")
+    counter = F.coalesce("counter", by_number) if "counter" in registry.columns else by_number
+    tops = registry.select(n.alias("n"), counter.alias("counter")).agg(*[F.max(F.when(F.col("counter") == c, F.col("n"))).alias(c) for c in ("person", "target")])
+    top = tops.first()
     return {k: max(v, (top[k] or 0) + 1) if k in ("person", "target") else v for k, v in start.items()}
 
 
@@ -22,8 +29,8 @@ def assigned(items: DataFrame, registry: DataFrame | None = None, start: dict[st
     """``items`` (ep, pos, counter, ref, bucket, name, ..) plus ``new_id``, counted up by counter in the order of (ep, pos).
 
     With ``reuse`` a node's name that came before in its bucket, or stands in the registry
-    (bucket, name, id), keeps its id; names are compared as they are, blank ones never. Counters
-    begin at ``start``, past the registry.
+    (bucket, name, id, and counter if ids do not tell it by number), keeps its id; names are compared
+    as they are, blank ones never. Counters begin at ``start``, past the registry.
     """
     begin = {k: v for k, (_, v) in COUNTERS.items()} | (start or {})
     node = F.col("counter").isin("person", "target") & (F.coalesce("name", F.lit("")) != "") & F.lit(reuse)
