@@ -54,9 +54,13 @@ def inserted_after(text: Column, marker: str, line: Column) -> Column:
     return F.when(place > 0, F.regexp_replace(put, r"\n\z", "")).otherwise(F.concat_ws("\n", text, line))
 
 
-def plain_title(html: Column) -> Column:
-    """Text of a piece of HTML: tags gone, the common character references read, white space as one space."""
+#: Common character references; the ampersand comes last, so that it makes no other.
+REFERENCES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+
+
+def plain_title(html: Column, references: tuple[tuple[str, str], ...] = REFERENCES) -> Column:
+    """Text of a piece of HTML: tags gone, the given character references read, white space as one space."""
     out = F.regexp_replace(html, r"(?s)<[^>]*>", " ")
-    for ref, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+    for ref, char in references:
         out = F.replace(out, F.lit(ref), F.lit(char))
     return F.trim(F.regexp_replace(out, r"\s+", " "))
