@@ -20,6 +20,11 @@ def _share(total: Column, n: Column) -> Column:
     return F.when(n > 0, total / n).otherwise(0.0)
 
 
+def half_even(value: Column, digits: int) -> Column:
+    """A double rounded to so many digits: it is scaled as a double and the nearest whole number taken, the even one of two."""
+    return F.rint(value * 10.0**digits) / 10.0**digits
+
+
 def _given(text: Column) -> Column:
     return F.coalesce(text, F.lit("")) != ""
 
@@ -45,9 +50,9 @@ def episode_scores(docs: DataFrame, id_col: str = "doc") -> DataFrame:
         "node_connectivity": F.least(_share(_total(nodes, lambda x: F.size(x["related_nodes"]) + F.size(x["related_claims"])), m) / 4, F.lit(1.0)),
     }
     out = docs.select(id_col, n.cast("long").alias("n_claims"), k.cast("long").alias("n_artifacts"), m.cast("long").alias("n_nodes"), *[v.alias(c) for c, v in parts.items()])
-    overall = F.bround(100 * sum((w * F.col(c) for c, w in WEIGHTS.items()), F.lit(0.0)), 1)
+    overall = half_even(100 * sum((w * F.col(c) for c, w in WEIGHTS.items()), F.lit(0.0)), 1)
     grades = F.concat(*[letter(F.col(c)) for c in WEIGHTS])
-    return out.withColumn("overall_score", overall).withColumn("grades", grades).withColumns({c: F.bround(c, 3) for c in WEIGHTS})
+    return out.withColumn("overall_score", overall).withColumn("grades", grades).withColumns({c: half_even(F.col(c), 3) for c in WEIGHTS})
 
 
 def pressure_rank(level: Column) -> Column:
