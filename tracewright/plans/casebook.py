@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.plans.bindings import Graph
 
 
-def _line(rows: DataFrame, section: int, sub, step: int, *parts) -> DataFrame:
-    return rows.select("doc", F.lit(section).alias("section"), F.col("okey").alias("a"), sub.alias("b") if not isinstance(sub, int) else F.lit(sub).alias("b"), F.lit(step).alias("step"), F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]).alias("line"))
+def _line(section: int, a, b, step: int, *parts):
+    """One line with its place in the document."""
+    text = F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    return F.struct(F.lit(section).alias("section"), a.cast("long").alias("a"), (F.lit(b) if isinstance(b, int) else b.cast("int")).alias("b"), F.lit(step).alias("step"), text.alias("line"))
 
 
 def order_lines(g: Graph) -> DataFrame:
-    """Line items with (l_orderkey, l_linenumber) as a key: of repeated ones the greatest values."""
-    return g.table("lineitem").groupBy("l_orderkey", "l_linenumber").agg(*[F.max(c).alias(c) for c in ("l_partkey", "l_suppkey", "l_shipdate", "l_returnflag")])
+    """Line items with (l_orderkey, l_linenumber) as a key: of repeated ones the greatest values. Dealt by order, so that what follows by order moves nothing."""
+    return g.table("lineitem").repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(*[F.max(c).alias(c) for c in ("l_partkey", "l_suppkey", "l_shipdate", "l_returnflag")])
 
 
 #: The same for DuckDB.
@@ -22,41 +24,53 @@ LINES = "lines AS (SELECT l_orderkey, l_linenumber, max(l_partkey) AS l_partkey,
 
 
 def register_lines(g: Graph) -> DataFrame:
-    """(doc, section, a, b, step, line): families, artifacts, claims, nodes and links of each customer's orders."""
-    o = g.table("orders").select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("okey"), "o_orderstatus", "o_orderpriority", "o_orderdate")
-    li = order_lines(g).withColumnRenamed("l_orderkey", "okey").join(o.select("doc", "okey"), "okey")
-    n, key, ln = (F.col("okey") + 1000).cast("string"), F.col("okey"), F.col("l_linenumber").cast("int")
-    level = F.when(F.col("l_returnflag") == "R", "high").when(F.col("l_returnflag") == "A", "medium").otherwise("low")
-    arts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber"))), lambda x: x["l_linenumber"].cast("string")), ",")
-    lists = li.groupBy("doc", "okey").agg(arts.alias("lines"), F.max("l_suppkey").alias("supp"), F.max("l_partkey").alias("part"))
-    c = o.join(lists, ["doc", "okey"], "left")
-    anchored = F.array_join(F.transform(F.split("lines", ","), lambda x: F.concat(F.lit("A-"), n, F.lit("."), x)), ", ")
-    s, p = F.col("supp"), F.col("part") + 1000
-    nodes = c.where("supp is not null").groupBy("doc", F.col("supp")).agg(F.min("okey").alias("okey"), F.max("part").alias("part"))
-    parts = [
-        _line(o, 1, 0, 0, "**A-", n, "** Family of order ", key),
-        _line(li, 1, ln, 1, "**A-", n, ".", ln, "** Part ", F.col("l_partkey")),
-        _line(li, 1, ln, 2, "Event Timestamp: ", F.date_format("l_shipdate", "yyyy-MM-dd")),
-        _line(li, 1, ln, 3, "Confidence: ", level),
-        _line(c, 2, 0, 1, "**C-", n, "** Claim ", F.col("o_orderpriority")),
-        _line(c, 2, 0, 2, "Claim: ", F.col("o_orderstatus")),
-        _line(c, 2, 0, 3, "Anchored Artifacts: ", F.coalesce(anchored, F.lit(""))),
-        _line(c.where("supp is not null"), 2, 0, 4, "Related Nodes: N-", s, ", same_as:N-", p, ", N-", s),
-        _line(nodes, 3, s.cast("int"), 1, "**N-", s, "** Supplier ", s),
-        _line(nodes, 3, s.cast("int"), 2, "*Also known as: S", s, "; Sup ", s, "*"),
-        _line(nodes, 3, s.cast("int"), 3, "Type: organization"),
-        _line(nodes, 3, s.cast("int"), 4, "Sells part ", F.col("part"), " among others."),
-        _line(nodes, 3, s.cast("int"), 5, "OrgLink: N-", s, " parent_of N-", p),
-        _line(nodes, 3, s.cast("int"), 6, "OrgLink: N-", s, " invents N-", p),
-        _line(nodes, 3, s.cast("int"), 7, "RoleLink: N-", s, " member_of N-", p, " title: Seller"),
-        _line(nodes, 3, s.cast("int"), 8, "SameAs: N-", p, " N-", s),
-        _line(c.where("supp is not null"), 4, 0, 1, "**LM-", n, "** Matter ", key),
-        _line(c.where("supp is not null"), 4, 0, 2, "Prov: C-", n, " cites_source A-", n, ".1"),
-        _line(c.where("supp is not null"), 4, 0, 3, "TopicMention: C-", n, " N-", p),
-        _line(c.where("supp is not null"), 5, 0, 1, "**M-", n, "** Meme ", key),
-        _line(c.where("supp is not null"), 5, 0, 2, "MemeLink: C-", n, " invoked_by_claim M-", n),
-    ]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+    """(doc, section, a, b, step, line): families, artifacts, claims, nodes and links of each customer's orders.
+
+    An order is joined with the list of its lines and dealt to its customer once; all lines of text
+    are made after that, so no text moves. Repeated orders are rows each, with the lines of all.
+    """
+    o = g.table("orders").select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("okey"), "o_orderstatus", "o_orderpriority")
+    item = F.struct(F.col("l_linenumber").cast("int").alias("ln"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"), F.col("l_shipdate").alias("shipped"), F.col("l_returnflag").alias("flag"))
+    held = order_lines(g).groupBy(F.col("l_orderkey").alias("okey")).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    most = lambda c: F.array_max(F.transform("items", lambda x: x[c])).alias(c)
+    c = o.join(held, "okey", "left").repartition("doc").select("*", most("supp"), most("part"))
+    sold = Window.partitionBy("doc", "supp")
+    c = c.withColumns({"alike": F.count("*").over(Window.partitionBy("doc", "okey")), "place": F.row_number().over(sold.orderBy("okey")), "top": F.max("part").over(sold)})
+
+    key, n, s, p, t = F.col("okey"), F.col("okey") + 1000, F.col("supp"), F.col("part") + 1000, F.col("top")
+    level = lambda x: F.when(x["flag"] == "R", "high").when(x["flag"] == "A", "medium").otherwise("low")
+    named = F.sort_array(F.flatten(F.array_repeat(F.transform("items", lambda x: x["ln"]), F.col("alike").cast("int"))))
+    anchored = F.array_join(F.transform(named, lambda x: F.concat(F.lit("A-"), n.cast("string"), F.lit("."), x.cast("string"))), ", ")
+    order = F.array(
+        _line(1, key, 0, 0, "**A-", n, "** Family of order ", key),
+        _line(2, key, 0, 1, "**C-", n, "** Claim ", F.col("o_orderpriority")),
+        _line(2, key, 0, 2, "Claim: ", F.col("o_orderstatus")),
+        _line(2, key, 0, 3, "Anchored Artifacts: ", F.coalesce(anchored, F.lit(""))),
+    )
+    artifacts = F.flatten(F.transform("items", lambda x: F.array(
+        _line(1, key, x["ln"], 1, "**A-", n, ".", x["ln"], "** Part ", x["part"]),
+        _line(1, key, x["ln"], 2, "Event Timestamp: ", F.date_format(x["shipped"], "yyyy-MM-dd")),
+        _line(1, key, x["ln"], 3, "Confidence: ", level(x)),
+    )))
+    anchors = F.array(
+        _line(2, key, 0, 4, "Related Nodes: N-", s, ", same_as:N-", p, ", N-", s),
+        _line(4, key, 0, 1, "**LM-", n, "** Matter ", key),
+        _line(4, key, 0, 2, "Prov: C-", n, " cites_source A-", n, ".1"),
+        _line(4, key, 0, 3, "TopicMention: C-", n, " N-", p),
+        _line(5, key, 0, 1, "**M-", n, "** Meme ", key),
+        _line(5, key, 0, 2, "MemeLink: C-", n, " invoked_by_claim M-", n),
+    )
+    nodes = F.array(
+        _line(3, key, s, 1, "**N-", s, "** Supplier ", s),
+        _line(3, key, s, 2, "*Also known as: S", s, "; Sup ", s, "*"),
+        _line(3, key, s, 3, "Type: organization"),
+        _line(3, key, s, 4, "Sells part ", t, " among others."),
+        _line(3, key, s, 5, "OrgLink: N-", s, " parent_of N-", t + 1000),
+        _line(3, key, s, 6, "OrgLink: N-", s, " invents N-", t + 1000),
+        _line(3, key, s, 7, "RoleLink: N-", s, " member_of N-", t + 1000, " title: Seller"),
+        _line(3, key, s, 8, "SameAs: N-", t + 1000, " N-", s),
+    )
+    none = F.slice(order, 1, 0)
+    only = lambda lines, holds: F.when(holds, lines).otherwise(none)
+    whole = F.concat(order, only(artifacts, F.col("items").isNotNull()), only(anchors, s.isNotNull()), only(nodes, s.isNotNull() & (F.col("place") == 1)))
+    return c.select("doc", F.explode(whole).alias("x")).select("doc", "x.*")
