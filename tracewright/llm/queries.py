@@ -85,7 +85,9 @@ def vocabulary(name: str) -> str:
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = quality_classifier.remainder("doc_id", 10) == 0
-    return lattice_lm.score(docs, held_out, vocabulary("piece_bpe_32k.model")).withColumnRenamed("id", "doc_id")
+    got = lattice_lm.score(docs, held_out, vocabulary("piece_bpe_32k.model"))
+    # The model that has learned from the training texts is the score; that of the vocabulary's own scores stands beside it.
+    return got.withColumnsRenamed({"id": "doc_id", "score": "lattice_score", "mixed_score": "score"})
 
 
 def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
