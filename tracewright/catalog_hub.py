@@ -228,7 +228,7 @@ def contradictions_of_one(spark, d):
     """The ten most alike of one key, a keyword in both texts."""
     p = Graph(spark, d).table("part")
     one = p.agg(F.min("p_brand").alias("p_brand"))
-    got = patterns.contradictions(p.join(F.broadcast(one), "p_brand").where(F.contains("p_name", F.lit("a"))), "p_brand", "p_partkey", "p_name")
+    got = patterns.contradictions(p.join(F.broadcast(one), "p_brand").where(F.contains("p_name", F.lit("a"))), "p_brand", "p_partkey", "p_name", first=10)
     return patterns.top(got.select("id1", "id2", "sim"), 10, F.desc("sim"), F.col("id1"), F.col("id2"))
 
 
