@@ -235,4 +235,6 @@ def edit_tiers(spark, d):
     """Tier and score of each turn and its edit; similarity is by edit distance, fillers are given as a pattern."""
     fillers = r"(?i)\b(th|of|and)\b"
     t = _turns(spark, d).select("conv_id", "turn", "text", F.trim(F.regexp_replace(F.regexp_replace("text", fillers, ""), "tion", "cion")).alias("fixed"))
-    return t.select("conv_id", "turn", *transcript.edit_confidence(F.col("text"), F.col("fixed"), fillers))
+    # Dealt anew, since a small file is one task, however long its texts take.
+    t = t.repartition("conv_id", "turn").withColumn("distance", transcript.edit_distance(F.col("text"), F.col("fixed")))
+    return t.select("conv_id", "turn", *transcript.edit_confidence(F.col("text"), F.col("fixed"), fillers, F.col("distance")))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewright.functions.text import bound
+
 
 def segments(lines: DataFrame, doc: str, order: str, text: str, cue: Column) -> DataFrame:
     """Lines after a cue join it; (doc, seg, first, n_lines, body). Lines before the first cue are segment 0."""
@@ -110,14 +112,30 @@ def line_patches(lines: DataFrame, patches: DataFrame, doc: str) -> DataFrame:
     return lines.join(inside, [doc, "line_no"], "left_anti").select(doc, "line_no", "line").union(new)
 
 
-def edit_confidence(raw: Column, fixed: Column, fillers: str) -> list[Column]:
+#: Distances at which the comparison of two texts stops, one after the other; what is farther apart is compared wholly.
+NEAR = (32, 128, 512)
+
+
+def edit_distance(a: Column, b: Column) -> Column:
+    """The edit distance of two texts, in time of their length times the distance: a band of each width is tried, the narrow ones first."""
+    def within(widths):
+        if not widths:
+            return F.levenshtein(a, b)
+        return bound(F.levenshtein(a, b, widths[0]), lambda d: F.when(d >= 0, d).otherwise(within(widths[1:])))
+
+    return within(NEAR)
+
+
+def edit_confidence(raw: Column, fixed: Column, fillers: str, distance: Column | None = None) -> list[Column]:
     """sim (1 - edit distance / longer length), tier (high, medium or low) and score (0 to 100) of an edit.
 
     Fixed values: .92 with fillers removed or a change of length of at most 8 characters or a
     fiftieth; .75, or .65 with fillers removed; 70 points for likeness, 20 for fillers, 10 for length.
+    All three use the distance several times: give it as a column of the rows, and it is computed once.
     """
+    distance = edit_distance(raw, fixed) if distance is None else distance
     n, m = F.length(raw), F.length(fixed)
-    sim = F.when((n == 0) & (m == 0), 1.0).when((n == 0) | (m == 0), 0.0).otherwise(1 - F.levenshtein(raw, fixed) / F.greatest(n, m))
+    sim = F.when((n == 0) & (m == 0), 1.0).when((n == 0) | (m == 0), 0.0).otherwise(1 - distance / F.greatest(n, m))
     gone = F.regexp_count(raw, F.lit(fillers)) > F.regexp_count(fixed, F.lit(fillers))
     tier = F.when((sim >= 0.92) & (gone | (F.abs(m - n) <= F.greatest(F.lit(8), F.floor(n / 50)))), "high").when((sim >= 0.75) | (gone & (sim >= 0.65)), "medium").otherwise("low")
     ratio = F.when(n > 0, m / n).otherwise(1.0)
