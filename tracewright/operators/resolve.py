@@ -201,6 +201,14 @@ def edge_screen(forward: DataFrame, backward: DataFrame, claims: DataFrame) -> D
 
 
 def edge_sanitise(forward: DataFrame, backward: DataFrame, claims: DataFrame) -> DataFrame:
-    """(node, claim): declared links less unknown and mismatched ones, plus missing backlinks."""
-    wrong = edge_screen(forward, backward, claims).where("issue in ('node_claim_missing', 'node_claim_subject_mismatch')")
-    return forward.select("node", "claim").join(wrong, ["node", "claim"], "left_anti").union(backward.select("node", "claim")).distinct()
+    """(node, claim): declared links less unknown and mismatched ones, plus missing backlinks.
+
+    Both sides are dealt by claim once, as marks of one row for each link, and a claim's links are
+    judged together: a link stays if the claim's side declares it, or if that side declares none of
+    the claim's links and the claim is known.
+    """
+    side = lambda df, of: df.select("node", "claim", F.lit(of == "back").alias("back"))
+    links = side(forward, "forward").union(side(backward, "back")).repartition("claim").groupBy("node", "claim").agg(F.max("back").alias("back"))
+    alone = links.withColumn("listed", F.max("back").over(Window.partitionBy("claim")) & F.col("claim").isNotNull())
+    known = claims.select("claim").where("claim is not null").distinct().withColumn("known", F.lit(True))
+    return alone.join(known, "claim", "left").where("back or (known and not listed)").select("node", "claim")
