@@ -151,19 +151,16 @@ def analysis_report(spark, d):
 @register(q("x AS (SELECT 'claims without anchors' AS check_name, 'CRITICAL' AS severity, claim::VARCHAR AS item FROM claims WHERE claim NOT IN (SELECT claim FROM anchors) UNION ALL SELECT 'parts never used', 'WARN', p_partkey::VARCHAR FROM part WHERE p_partkey NOT IN (SELECT part FROM anchors) UNION ALL SELECT 'customers without claims', 'WARN', c_custkey::VARCHAR FROM customer WHERE c_custkey NOT IN (SELECT person FROM claims) UNION ALL SELECT 'claims of no customer', 'CRITICAL', claim::VARCHAR FROM claims WHERE person NOT IN (SELECT c_custkey FROM customer) UNION ALL SELECT 'anchors of no claim', 'CRITICAL', artifact FROM anchors WHERE claim NOT IN (SELECT claim FROM claims)), r AS (SELECT *, row_number() OVER (PARTITION BY check_name ORDER BY item) AS r FROM x) SELECT check_name, severity, count(*) AS n, string_agg(item, ',' ORDER BY item) FILTER (r <= 8) AS sample FROM r GROUP BY 1, 2"))
 def validation_runner(spark, d):
     """Five checks with their severity, how many rows break each, and eight of them."""
-    from pyspark.sql import Window
-
     g = Graph(spark, d)
     c, a = g.claims, g.anchors
     row = lambda name, level, df, item: df.select(F.lit(name).alias("check_name"), F.lit(level).alias("severity"), F.col(item).cast("string").alias("item"))
-    anti = lambda left, right, on: left.join(right, on, "left_anti")
+    anti = documents.lacking
     found = row("claims without anchors", "CRITICAL", anti(c, a.select("claim"), "claim"), "claim")
     found = found.union(row("parts never used", "WARN", anti(g.table("part"), a.select(F.col("part").alias("p_partkey")), "p_partkey"), "p_partkey"))
     found = found.union(row("customers without claims", "WARN", anti(g.table("customer"), c.select(F.col("person").alias("c_custkey")), "c_custkey"), "c_custkey"))
     found = found.union(row("claims of no customer", "CRITICAL", anti(c, g.table("customer").select(F.col("c_custkey").alias("person")), "person"), "claim"))
     found = found.union(row("anchors of no claim", "CRITICAL", anti(a, c.select("claim"), "claim"), "artifact"))
-    ranked = found.withColumn("r", F.row_number().over(Window.partitionBy("check_name").orderBy("item")))
-    return ranked.groupBy("check_name", "severity").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list(F.when(F.col("r") <= 8, F.col("item")))), ",").alias("sample"))
+    return documents.checked(found, 8)
 
 
 @register("SELECT event_type, count(*) FILTER (value > 50) AS high, count(*) FILTER (value BETWEEN 20 AND 50) AS medium, count(*) FILTER (value < 20) AS low FROM events GROUP BY 1")
@@ -194,11 +191,7 @@ def five_gaps(spark, d):
     docs, labels = g.table("documents").select(F.col("doc_id").alias("k")), g.table("labels").select(F.col("doc_id").alias("k"))
     orders, lines = g.table("orders").select(F.col("o_orderkey").alias("k")), g.table("lineitem").select(F.col("l_orderkey").alias("k"))
     gaps = [("document without label", docs, labels), ("label without document", labels, docs), ("document without vector", docs, labels.select((F.col("k") % 1000).alias("k"))), ("order without line", orders, lines), ("line without order", lines, orders)]
-    out = None
-    for name, a, b in gaps:
-        part = a.join(b.distinct(), "k", "left_anti").select(F.lit(name).alias("gap"))
-        out = part if out is None else out.union(part)
-    return out.groupBy("gap").agg(F.count("*").alias("n"))
+    return documents.gap_counts(gaps, "k")
 
 
 @register("SELECT source, min(nullif(CASE WHEN doc_id % 4 = 0 THEN '' ELSE lpad(doc_id::VARCHAR, 8, '0') END, '')) AS earliest, sum(len(string_split(text, chr(10))))::BIGINT AS items, count(*) AS claims FROM documents GROUP BY 1")
