@@ -14,11 +14,10 @@ def entity_rows(entities: DataFrame, links: DataFrame, most: int = 10) -> DataFr
 
     ``links`` are (id, other), each counted once. Only so many are kept of a busy entity's links.
     """
-    own = links.distinct()
-    counts = own.groupBy("id").agg(F.count("*").alias("n_related"))
-    first = own.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("other"))).where(F.col("r") <= most)
-    first = first.groupBy("id").agg(F.array_sort(F.collect_list("other")).alias("ids"))
-    out = entities.join(counts, "id", "left").join(first, "id", "left")
+    own = links.repartition("id").distinct()  # dealt once; what follows is by id too
+    place = F.row_number().over(Window.partitionBy("id").orderBy("other"))
+    held = own.withColumn("r", place).groupBy("id").agg(F.count("*").alias("n_related"), F.array_sort(F.collect_list(F.when(F.col("r") <= most, F.col("other")))).alias("ids"))
+    out = entities.join(held, "id", "left")
     kind = links.schema["other"].dataType.simpleString()
     return out.select("kind", "id", "title", "subtitle", F.coalesce("n_related", F.lit(0)).alias("n_related"), F.coalesce("ids", F.array().cast(f"array<{kind}>")).alias("ids"))
 
