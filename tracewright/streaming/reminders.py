@@ -10,6 +10,7 @@ one day says nothing on the next.
 from __future__ import annotations
 
 import sys
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -43,46 +44,67 @@ def due(meetings: dict[tuple[str, int], int], acks: list[int], now: int) -> list
     return out + [(title, starts, SECOND[0] - 1, now) for (title, starts), known in meetings.items() if sending(known, starts, SECOND) == now and (starts, title) not in told]
 
 
+def due_between(meetings: dict[tuple[str, int], int], acks: list[int], after: int, until: int) -> list[tuple[str, int, int, int]]:
+    """What ``due`` tells of every minute past ``after`` up to ``until``, in one pass over what a channel remembers."""
+    firsts = sorted((at, starts, title) for (title, starts), known in meetings.items() if (at := sending(known, starts, FIRST)) is not None)
+    times, told = [f[0] for f in firsts], {}
+    for t in acks:
+        if place := bisect_right(times, t):
+            meeting = firsts[place - 1][1:]
+            told[meeting] = min(t, told.get(meeting, t))
+    out = [(title, starts, FIRST[0] - 1, at) for at, starts, title in firsts if after < at <= until]
+    for (title, starts), known in meetings.items():
+        at = sending(known, starts, SECOND)
+        if at is not None and after < at <= until and told.get((starts, title), at + 1) > at:
+            out.append((title, starts, SECOND[0] - 1, at))
+    return out
+
+
 class Reminders(StatefulProcessor):
     """Meetings and acknowledgements of a channel as they come; all that a minute decides waits for its timer.
 
     A timer runs when the watermark has passed it, so every row that happened before it is there and
-    the order of arrival within the watermark makes no difference.
+    the order of arrival within the watermark makes no difference. It is set for the next minute at
+    which something may be sent, and tells of all minutes that the watermark has passed: a channel
+    reads and writes its state once a batch, not once a minute.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.memory = handle.getValueState("memory", "titles array<string>, starts array<long>, known array<long>, acks array<long>")
+        self.memory = handle.getValueState("memory", "titles array<string>, starts array<long>, known array<long>, acks array<long>, done long")
+
+    def _recall(self) -> tuple[dict[tuple[str, int], int], list[int], int]:
+        titles, starts, known, acks, done = self.memory.get() if self.memory.exists() else ([], [], [], [], -(1 << 62))
+        return dict(zip(zip(titles, map(int, starts), strict=True), map(int, known), strict=True)), list(map(int, acks)), int(done)
 
-    def _recall(self) -> tuple[dict[tuple[str, int], int], list[int]]:
-        titles, starts, known, acks = self.memory.get() if self.memory.exists() else ([], [], [], [])
-        return dict(zip(zip(titles, map(int, starts), strict=True), map(int, known), strict=True)), list(map(int, acks))
+    def _remember(self, meetings: dict[tuple[str, int], int], acks: list[int], done: int) -> None:
+        self.memory.update(([m[0] for m in meetings], [m[1] for m in meetings], list(meetings.values()), acks, done))
 
-    def _remember(self, meetings: dict[tuple[str, int], int], acks: list[int]) -> None:
-        self.memory.update(([m[0] for m in meetings], [m[1] for m in meetings], list(meetings.values()), acks))
+    def _wake(self, meetings: dict[tuple[str, int], int], done: int) -> None:
+        """A timer for the first minute past ``done`` at which something may be sent."""
+        minutes = [at for (_, starts), known in meetings.items() for window in (FIRST, SECOND) if (at := sending(known, starts, window)) is not None and at > done]
+        if minutes:
+            self.handle.registerTimer(min(minutes) // 1000)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        meetings, acks = self._recall()
-        timers = set()
+        meetings, acks, done = self._recall()
         for frame in rows:
             acks += frame[frame["kind"] == "ack"]["us"].astype(int).tolist()
             for title, starts, known in frame[frame["kind"] == "meeting"][["title", "starts", "us"]].itertuples(index=False):
                 meeting = (title, int(starts))
                 meetings[meeting] = min(int(known), meetings.get(meeting, int(known)))
-                timers |= {at // 1000 for window in (FIRST, SECOND) if (at := sending(meetings[meeting], meeting[1], window)) is not None}
-        for at in timers:
-            self.handle.registerTimer(at)
-        self._remember(meetings, acks)
+        self._wake(meetings, done)
+        self._remember(meetings, acks, done)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        meetings, acks = self._recall()
-        rows = due(meetings, acks, now)
-        kept = {m: known for m, known in meetings.items() if m[1] >= now - KEPT * MINUTE}
-        recent = [t for t in acks if t >= now - KEPT * MINUTE]
-        if len(kept) < len(meetings) or len(recent) < len(acks):
-            self._remember(kept, recent)
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) * 1000
+        meetings, acks, done = self._recall()
+        rows = due_between(meetings, acks, done, now)
+        if now > done:
+            kept = {m: known for m, known in meetings.items() if m[1] >= now - KEPT * MINUTE}
+            self._wake(kept, now)
+            self._remember(kept, [t for t in acks if t >= now - KEPT * MINUTE], now)
         yield pd.DataFrame([(key[0], *r) for r in rows], columns=["channel", "title", "starts", "reminder", "sent_at"])
 
     def close(self) -> None:
