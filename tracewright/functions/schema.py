@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tracewright.functions.text import bound
+
 _TELLING = {"$schema", "$id", "title", "description", "default", "examples", "$comment", "definitions", "$defs"}
 _KNOWN = _TELLING | {"type", "enum", "const", "pattern", "minLength", "maxLength", "minimum", "maximum", "required", "properties", "additionalProperties", "items", "minItems", "maxItems", "$ref"}
 
@@ -49,8 +51,13 @@ def _resolved(schema, root: dict, seen: tuple[str, ...]) -> tuple[dict, tuple[st
 
 
 def _errors(v: Column, schema, path: Column, root: dict, seen: tuple[str, ...]) -> Column:
+    """Errors of ``v``, a bound value; its kind and its items are computed once too, whatever looks at them."""
     schema, seen = _resolved(schema, root, seen)
-    kind, none = F.schema_of_variant(v), F.array().cast("array<string>")
+    return bound(F.schema_of_variant(v), lambda kind: _errors_of(v, kind, schema, path, root, seen))
+
+
+def _errors_of(v: Column, kind: Column, schema: dict, path: Column, root: dict, seen: tuple[str, ...]) -> Column:
+    none = F.array().cast("array<string>")
     said = lambda what: F.array(F.concat(F.lit("schema["), F.coalesce(F.nullif(path, F.lit("")), F.lit("(root)")), F.lit("]: "), what if isinstance(what, Column) else F.lit(what)))
     below = lambda name: F.concat(path, F.when(path == "", "").otherwise("/"), name)
     out = []
@@ -88,16 +95,27 @@ def _errors(v: Column, schema, path: Column, root: dict, seen: tuple[str, ...])
         demand(F.coalesce(F.size(more), F.lit(0)) <= 0, F.concat(F.lit("has unknown properties "), F.array_join(more, ", ")))
     elif schema.get("additionalProperties", True) is not True:
         raise ValueError("additionalProperties is true or false")
-    items = F.when(kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>"))
-    for key, test, what in (("minItems", lambda n: F.size(items) >= n, "has fewer than {} items"), ("maxItems", lambda n: F.size(items) <= n, "has more than {} items")):
-        if key in schema:
-            demand(items.isNull() | test(schema[key]), what.format(schema[key]))
+
+    def child(name, sub):
+        return lambda c: F.when(c.isNull(), none).otherwise(_errors(c, sub, below(F.lit(name)), root, seen))
+
     for name, sub in schema.get("properties", {}).items():
-        child = F.try_variant_get(v, place(name), "variant")
-        out.append(F.when(kind.startswith("OBJECT") & child.isNotNull(), _errors(child, sub, below(F.lit(name)), root, seen)).otherwise(none))
-    if "items" in schema:
-        each = F.transform(items, lambda x, i: _errors(x, schema["items"], below(i.cast("string")), root, seen))
-        out.append(F.coalesce(F.flatten(each), none))
+        out.append(F.when(kind.startswith("OBJECT"), bound(F.try_variant_get(v, place(name), "variant"), child(name, sub))).otherwise(none))
+    if {"items", "minItems", "maxItems"} & set(schema):
+        # What a list breaks itself stands before what stands under it, as do an object's own errors.
+        own, out = out, []
+
+        def listed(items):
+            told = []
+            for key, test, what in (("minItems", lambda n: F.size(items) >= n, "has fewer than {} items"), ("maxItems", lambda n: F.size(items) <= n, "has more than {} items")):
+                if key in schema:
+                    told.append(F.when(items.isNull() | test(schema[key]), none).otherwise(said(what.format(schema[key]))))
+            if "items" in schema:
+                each = F.transform(items, lambda x, i: _errors(x, schema["items"], below(i.cast("string")), root, seen))
+                told.append(F.coalesce(F.flatten(each), none))
+            return F.concat(*told)
+
+        out = [*own, F.when(kind.startswith("ARRAY"), bound(F.try_variant_get(v, "$", "array<variant>"), listed)).otherwise(none)]
     return F.concat(*out) if out else none
 
 
@@ -107,6 +125,8 @@ def schema_errors(text: Column, schema: dict, most: int = 50) -> Column:
     What a place breaks itself comes before what stands under it, properties in the schema's order,
     items in theirs. A text that is no JSON has one error, a null one too.
     """
-    v = F.try_parse_json(text)
-    found = F.slice(_errors(v, schema, F.lit(""), schema, ()), 1, most)
-    return F.when(v.isNull(), F.array(F.lit("schema[(root)]: is not JSON"))).otherwise(found)
+    def told(v):
+        found = F.slice(_errors(v, schema, F.lit(""), schema, ()), 1, most)
+        return F.when(v.isNull(), F.array(F.lit("schema[(root)]: is not JSON"))).otherwise(found)
+
+    return bound(F.try_parse_json(text), told)
