@@ -34,13 +34,28 @@ def until_stable(texts: DataFrame, corrections: DataFrame, verify: Callable[[Dat
 
     A pass replaces every word of each text that a correction (wrong, right) names. ``verify`` turns
     words (word) that have come in since into further corrections; the first for a wrong word holds,
-    of several at once the least. ``passes`` counts the passes that changed a text.
+    of several at once the least. ``passes`` is the last pass that changed a text.
+
+    What becomes of a word does not depend on the text it stands in, and what is written for it never
+    grows together with its neighbours, which begin and end with no letter. So the passes are run
+    over the different words, each a text of its own, and the texts are written once, at the end.
+    Null and empty texts stay as they are.
+    """
+    kinds = words_of(texts).select("word").distinct()
+    made = _word_passes(kinds.select(F.col("word").alias("doc"), F.col("word").alias("text")), corrections, verify, most)
+    made = stored(made.where("passes > 0").select(F.col("doc").alias("word"), F.col("text").alias("right"), "passes"), "workflow-words-made")
+    rules = words_of(texts).join(small_or_not(made), "word").groupBy("doc").agg(F.collect_list(F.struct("word", "right")).alias("rules"), F.max("passes").alias("passes"))
+    out = texts.select("doc", "text").join(rules, "doc", "left")
+    return out.select("doc", F.when(F.col("rules").isNull(), F.col("text")).otherwise(replaced(F.col("text"), F.col("rules"))).alias("text"), F.coalesce("passes", F.lit(0)).alias("passes"))
+
+
+def _word_passes(texts: DataFrame, corrections: DataFrame, verify: Callable[[DataFrame], DataFrame] | None, most: int) -> DataFrame:
+    """The passes over texts of a word each.
 
     Only what is new is joined: new corrections with the words of all texts, and all corrections
     with the words of texts that the last pass has changed. Texts and words lie in layers, one for
     each pass, so a text that a pass does not change is neither moved nor written again; which
-    layer of a text is the newest is a narrow table of the texts that were changed. Null and empty
-    texts stay as they are.
+    layer of a text is the newest is a narrow table of the texts that were changed.
     """
     layers = [stored(texts.select("doc", "text"), "workflow-texts")]
     words = [stored(words_of(layers[0]), "workflow-words")]
