@@ -110,8 +110,8 @@ def prefix_sums(numbers: Column) -> Column:
     def one(a, d):
         return F.zip_with(a, F.concat(F.array_repeat(F.lit(0).cast("long"), d), F.slice(a, F.lit(1), F.size(a) - d)), lambda x, y: x + y)
 
-    a = numbers.cast("array<bigint>")
-    return F.aggregate(F.filter(F.array(*map(F.lit, _PASSES)), lambda d: d < F.size(a)), a, one)
+    passes = lambda n: F.filter(F.array(*map(F.lit, _PASSES)), lambda d: d < n)
+    return bound(numbers.cast("array<bigint>"), lambda a: F.aggregate(bound(F.size(a), passes), a, one))
 
 
 def bound(value: Column, use) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions.media import CUE, cue_seconds, line_body
-from tracewright.functions.text import confidence_rank, match_places
+from tracewright.functions.text import bound, confidence_rank, match_places, prefix_sums
 from tracewright.operators.overrides import sane_correction
 
 
@@ -159,8 +159,11 @@ def corrected(text: Column, corrections: list[tuple[str, str, str]], threshold:
 
 # White space; what a place where a word may be split looks like, how much around it is looked at, and the parts that are joined.
 SPACE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-SPLIT = rf"(?<=[A-Za-z]){SPACE}+(?=[A-Za-z]{{1,3}}{SPACE})"
-PARTS = rf"[A-Za-z]{{1,3}}{SPACE}+[A-Za-z]{{1,3}}"
+_SPACES = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+_SPACE = rf"[[^!-~]&&{SPACE}]"  # the same characters; most others are told by one comparison
+#: A line up to the end of the next such place, or what is left of it, so the last piece of a line is never a place.
+UP_TO_SPLIT = rf"(?s).*?[A-Za-z]{_SPACE}++(?=[A-Za-z]{{1,3}}+{_SPACE})|.+"
+PARTS = rf"[A-Za-z]{{1,3}}+{_SPACE}++[A-Za-z]{{1,3}}+"
 AROUND = 30
 
 
@@ -169,10 +172,17 @@ def split_places(lines: DataFrame) -> DataFrame:
 
     ``lines`` has (doc, line_no, line). The context is the line 30 characters to either side, trimmed.
     """
-    each = lines.select("doc", "line_no", "line", F.explode(match_places(F.col("line"), SPLIT)).alias("m"))
-    lo, end = F.greatest(F.col("m.start") - AROUND, F.lit(0)), F.col("m.start") + F.length("m.match") + AROUND
-    context = F.regexp_replace(F.substr("line", lo + 1, end - lo), rf"^{SPACE}+|{SPACE}+$", "")
-    return each.select("doc", "line_no", F.col("m.start").alias("start"), context.alias("context"))
+    def placed(pieces):
+        pieces = F.slice(pieces, F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(0)))
+        return F.arrays_zip(prefix_sums(F.transform(pieces, lambda x: F.length(x))).alias("end"), pieces.alias("piece"))
+
+    pieces = F.regexp_extract_all("line", F.lit(UP_TO_SPLIT), F.lit(0))
+    each = lines.select("doc", "line_no", "line", F.inline(bound(pieces, placed)).alias("end", "piece"))
+    start = F.col("end") - F.length("piece") + F.length(F.rtrim("piece", F.lit(_SPACES)))
+    each = each.select("doc", "line_no", "line", start.cast("int").alias("start"), F.col("end").cast("int").alias("end"))
+    lo = F.greatest(F.col("start") - AROUND, F.lit(0))
+    context = F.btrim(F.substr("line", lo + 1, F.col("end") + AROUND - lo), F.lit(_SPACES))
+    return each.select("doc", "line_no", "start", context.alias("context"))
 
 
 def generated_corrections(places: DataFrame) -> DataFrame:
@@ -181,9 +191,11 @@ def generated_corrections(places: DataFrame) -> DataFrame:
     The first run may be the end of a longer word, as in the studied rule. Words that would differ
     in letter case alone give no correction there, so none is made of capitals.
     """
-    found = places.select(F.explode(F.array_distinct(F.regexp_extract_all("context", F.lit(PARTS), F.lit(0)))).alias("found")).distinct()
-    parts = F.split("found", rf"{SPACE}+")
-    return found.select(F.concat_ws(" ", parts).alias("wrong"), F.concat(F.initcap(parts[0]), F.initcap(parts[1])).alias("right")).distinct()
+    found = places.select(F.explode(F.regexp_extract_all("context", F.lit(PARTS), F.lit(0))).alias("found")).distinct()
+    # An expression is compiled once where a split compiles its own for every row; what is right follows from what is wrong.
+    wrong = found.select(F.regexp_replace("found", f"{_SPACE}++", " ").alias("wrong")).distinct()
+    first, second = (F.substring_index("wrong", " ", n) for n in (1, -1))
+    return wrong.select("wrong", F.concat(F.initcap(first), F.initcap(second)).alias("right"))
 
 
 def whole_word_counts(texts: DataFrame, corrections: DataFrame, text: str = "text") -> DataFrame:
