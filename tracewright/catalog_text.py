@@ -80,7 +80,7 @@ def top_words(spark, d):
 @register("WITH w AS (SELECT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS word FROM documents), c AS (SELECT word, count(*) AS n, length(regexp_replace(word, '[^A-Z]', '', 'g')) / length(word)::DOUBLE AS r FROM w WHERE length(word) >= 4 GROUP BY 1) SELECT word, n, round(abs(r - 0.5) * 2, 6) AS score FROM c WHERE NOT r BETWEEN 0.25 AND 0.75 AND abs(r - 0.5) * 2 > 0.7 ORDER BY score DESC, n DESC, word LIMIT 100")
 def mixed_case(spark, d):
     """The hundred words of the most one-sided letter case."""
-    w = _docs(spark, d).select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), 0)).alias("word")).where(F.length("word") >= 4)
+    w = _docs(spark, d).select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{4,}"), 0)).alias("word"))
     c = w.groupBy("word").agg(F.count("*").alias("n")).withColumn("score", F.round(predicates.case_anomaly(F.col("word")), 6))
     return patterns.top(c.where("score > 0.7"), 100, F.desc("score"), F.desc("n"), F.col("word"))
 

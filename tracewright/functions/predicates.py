@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewright.functions.text import bound
+
 
 def truthy(value: Column) -> Column:
     return F.coalesce(F.lower(F.trim(value.cast("string"))).isin("1", "true", "yes", "y", "on"), F.lit(False))
@@ -47,9 +49,11 @@ def risk_decision(text: Column) -> Column:
 
 def case_anomaly(word: Column) -> Column:
     """0 where a quarter to three quarters of a word's letters are capitals; the further from a half, the nearer to 1."""
-    upper, lower = F.length(F.regexp_replace(word, r"[^\p{Lu}]", "")), F.length(F.regexp_replace(word, r"[^\p{Ll}]", ""))
-    ratio = upper / F.nullif(upper + lower, F.lit(0))
-    return F.when((F.length(word) < 2) | ratio.isNull() | ratio.between(0.25, 0.75), 0.0).otherwise(F.abs(ratio - 0.5) * 2)
+    def anomaly(n):
+        ratio = n["upper"] / F.nullif(n["upper"] + n["lower"], F.lit(0))
+        return F.when((F.length(word) < 2) | ratio.isNull() | ratio.between(0.25, 0.75), 0.0).otherwise(F.abs(ratio - 0.5) * 2)
+
+    return bound(F.struct(F.regexp_count(word, F.lit(r"\p{Lu}")).alias("upper"), F.regexp_count(word, F.lit(r"\p{Ll}")).alias("lower")), anomaly)
 
 
 def id_sort_key(identifier: Column, episode: Column) -> Column:
