@@ -36,11 +36,16 @@ def word_hashes(text: Column) -> Column:
     return F.transform(space_words(text), lambda x: F.xxhash64(x))
 
 
-def buckets_of(buckets: tuple[int, int]) -> Column:
-    """Bucket of every unigram and bigram of the array of word hashes ``h``."""
+def gram_places() -> Column:
+    """A number for every unigram and bigram of the array of word hashes ``h``: unigrams from 0, bigrams after them."""
+    return F.expr("if(size(h) = 0, cast(array() as array<int>), sequence(0, 2 * size(h) - 2))")
+
+
+def bucket_at(buckets: tuple[int, int]) -> Column:
+    """Bucket of the n-gram with number ``i`` of ``h``, null for none; it is made for each exploded number in compiled code, so no list of buckets is built."""
     uni, bi = buckets
-    pairs = "zip_with(slice(h, 1, size(h) - 1), slice(h, 2, size(h) - 1), (a, b) -> xxhash64(a, b))"
-    return F.expr(f"concat(transform(h, x -> cast(pmod(x, {uni}) as int)), if(size(h) < 2, cast(array() as array<int>), transform({pairs}, x -> cast({uni} + pmod(x, {bi}) as int))))")
+    pair = "xxhash64(h[i - size(h)], h[i - size(h) + 1])"
+    return F.expr(f"if(i is null, null, if(i < size(h), cast(pmod(h[i], {uni}) as int), cast({uni} + pmod({pair}, {bi}) as int)))")
 
 
 #: Low bits of a window's hash that its place takes while windows are sorted as plain numbers.
@@ -99,7 +104,7 @@ def bucket_ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: st
     ids = small_or_not(stored(trusted.select(F.col(trusted.columns[0]).alias("__t")).where("__t is not null").distinct(), "trusted"))
     texts = docs.select(F.col(id_col).alias("id"), word_hashes(F.col(text_col)).alias("h"))
     marked = texts.join(ids, texts["id"] == ids["__t"], "left").select("h", F.col("__t").isNotNull().cast("long").alias("target"))
-    each = marked.select(F.explode(buckets_of(buckets)).alias("bucket"), "target")
+    each = marked.select("h", F.explode(gram_places()).alias("i"), "target").select(bucket_at(buckets).alias("bucket"), "target")
     # Every bucket once more, so that none is missing from a row of ratios; its count is one less.
     none = spark.range(0, total, 1, 8).select(F.col("id").cast("int").alias("bucket"), F.lit(0).cast("long").alias("target"))
     counts = stored(each.union(none).groupBy("bucket").agg((F.count("*") - 1).alias("raw"), F.sum("target").alias("target")), "ngram-buckets")
@@ -123,7 +128,7 @@ def quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_co
     base = base_counts(rows, "text")
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     # One pass over the texts: the counts of a text go with each of its n-grams, and meet again before the shuffle.
-    grams = base.select("__k", "__d", "id", *counts, F.explode_outer(buckets_of(buckets)).alias("bucket"))
+    grams = base.select("__k", "__d", "id", *counts, "h", F.explode_outer(gram_places()).alias("i")).select("__k", "__d", "id", *counts, bucket_at(buckets).alias("bucket"))
     found = grams.join(ratios, F.expr(f"bucket div {PACKED}") == F.col("block"), "left")
     llr = F.col("of")[F.expr(f"bucket % {PACKED}")]
     out = found.groupBy("__k", "__d", "id").agg(*[F.max(c).alias(c) for c in counts], (F.sum(llr) / F.nullif(F.count(llr), F.lit(0)) / UNIT).alias("llr_score"), F.count("*").alias("rows"))
