@@ -82,7 +82,8 @@ def close_pairs(fps: DataFrame, most: int = 3) -> DataFrame:
     """Distinct pairs (u, v) of the distinct fingerprints ``fps`` that differ in at most ``most`` <= 3 bits.
 
     Every link between different fingerprints is found: no bucket is capped, and a join partition
-    that holds a large bucket is split by adaptive execution.
+    that holds a large bucket is split by adaptive execution. The 66 variants of a fingerprint are
+    sized like the one row they are made of, so the join is told to shuffle.
     """
     if not 0 <= most <= 3:
         raise ValueError("two halves reach at most three bits")
@@ -90,7 +91,7 @@ def close_pairs(fps: DataFrame, most: int = 3) -> DataFrame:
     a = index.where("side <> 1").select(F.col("fp").alias("u"), "key", "j")
     b = index.where("side <> 0").select(F.col("fp").alias("v"), "key")
     near = (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= most) & ((F.col("j") < 32) | (F.col("u") < F.col("v")))
-    pairs = a.join(b, (a["key"] == b["key"]) & near)
+    pairs = a.join(b.hint("merge"), (a["key"] == b["key"]) & near)
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
